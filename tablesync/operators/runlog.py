@@ -16,12 +16,15 @@ from pyspark.sql import types as T
 from ..functions.text import error_text
 from ..session import Files
 
-RUN_LOG_SCHEMA = T.StructType.fromDDL(
-    "run_id string, invocation_id string, model_unique_id string, target_view string, "
-    "internal_table string, source_type string, effective_mode string, predicate_json string, "
-    "export_segments string, source_job_references string, staging_table_reference string, "
-    "publish_ids string, retry string, cleanup string, status string, error_message string, "
-    "started_at timestamp, finished_at timestamp"
+_TEXT_COLUMNS = (
+    "run_id", "invocation_id", "model_unique_id", "target_view", "internal_table",
+    "source_type", "effective_mode", "predicate_json", "export_segments",
+    "source_job_references", "staging_table_reference", "publish_ids", "retry", "cleanup",
+    "status", "error_message",
+)
+RUN_LOG_SCHEMA = T.StructType(
+    [T.StructField(name, T.StringType()) for name in _TEXT_COLUMNS]
+    + [T.StructField(name, T.TimestampType()) for name in ("started_at", "finished_at")]
 )
 _JSON_COLUMNS = (
     "predicate_json", "export_segments", "source_job_references", "publish_ids", "retry",

@@ -116,5 +116,9 @@ class Files:
                 raise PublishConflict(f"version record {name} already exists") from None
             raise
 
+    def rename(self, path: str, new_path: str) -> None:
+        if not self._fs.rename(self._path(path), self._path(new_path)):
+            raise OSError(f"cannot rename {path}")
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
