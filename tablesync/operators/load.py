@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -159,40 +159,31 @@ def enforce_not_null(source: DataFrame, schema: T.StructType) -> DataFrame:
     columns = []
     for field in schema.fields:
         column = F.col(quoted(field.name))
-        checked = column
-        for path, is_null in _null_checks(column, field.dataType, field.nullable, field.name):
-            message = F.lit(f"NULL in NOT NULL column {path}")
-            checked = F.when(is_null, F.raise_error(message)).otherwise(checked)
-        columns.append(checked.alias(field.name))
+        violated = _violation(column, field.dataType, field.nullable)
+        if violated is not None:
+            message = F.lit(f"NULL in NOT NULL column {field.name}")
+            column = F.when(violated, F.raise_error(message)).otherwise(column)
+        columns.append(column.alias(field.name))
     return source.select(columns)
 
 
-def _null_checks(
-    column: Column, data_type: T.DataType, nullable: bool, path: str
-) -> Sequence[tuple[str, Column]]:
-    checks = [] if nullable else [(path, column.isNull())]
+def _violation(column: Column, data_type: T.DataType, nullable: bool) -> Column | None:
+    """Whether a required value is missing at or below ``column``; None if nothing
+    is required there."""
+    found = [] if nullable else [column.isNull()]
     if isinstance(data_type, T.StructType):
         for child in data_type.fields:
-            inner = _null_checks(
-                column.getField(child.name), child.dataType, child.nullable, f"{path}.{child.name}"
-            )
-            checks += [(name, column.isNotNull() & is_null) for name, is_null in inner]
-    elif isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, T.StructType):
-        for child in data_type.elementType.fields:
-            probe = _null_checks(F.col("x"), child.dataType, child.nullable, "")
-            if probe:
-                checks.append(
-                    (f"{path}[].{child.name}", F.exists(column, _element_check(child)))
-                )
-    return checks
+            inner = _violation(column.getField(child.name), child.dataType, child.nullable)
+            if inner is not None:
+                found.append(column.isNotNull() & inner)
+    elif isinstance(data_type, T.ArrayType) and _requires(data_type.elementType):
+        found.append(
+            F.exists(column, lambda element: _violation(element, data_type.elementType, True))
+        )
+    return reduce(lambda one, other: one | other, found) if found else None
 
 
-def _element_check(child: T.StructField):
-    def violated(element: Column) -> Column:
-        checks = _null_checks(element.getField(child.name), child.dataType, child.nullable, "")
-        any_null = F.lit(False)
-        for _, is_null in checks:
-            any_null = any_null | is_null
-        return element.isNotNull() & any_null
-
-    return violated
+def _requires(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return any(not child.nullable or _requires(child.dataType) for child in data_type.fields)
+    return isinstance(data_type, T.ArrayType) and _requires(data_type.elementType)

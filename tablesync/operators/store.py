@@ -157,8 +157,16 @@ class ManagedTable:
         return [root] if part.files is None else [f"{root}/{name}" for name in part.files]
 
     def write(self, frame: DataFrame, directory: str) -> Part:
-        """Write rows to a new, still unpublished, data directory."""
-        frame.write.parquet(f"{self.location}/data/{directory}")
+        """Write rows to a new, still unpublished, data directory.
+
+        Tasks move their files into place themselves (commit algorithm 2), so a job
+        with very many files does not end in one long series of renames on the
+        driver. What that gives up, an atomic directory, is not needed: nothing
+        reads the directory before a version names it, and a failed write is
+        discarded whole.
+        """
+        writer = frame.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        writer.parquet(f"{self.location}/data/{directory}")
         return Part(directory)
 
     def discard(self, directory: str) -> None:

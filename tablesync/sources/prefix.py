@@ -69,36 +69,29 @@ class Prefix:
 
     def infer_schema(self, max_files: int) -> T.StructType:
         """Table schema from the footers of the newest files."""
-        sample = [row["path"] for row in self.newest(max_files).select("path").collect()]
-        return normalise_inferred(self._footers(sample))
+        return footer_schema(self.newest(max_files))
 
-    def file_schema(self) -> T.StructType:
-        """The merged schema of every selected file, footers read by the executors."""
-        if self.pattern:
-            return self._footers(sorted({path for path, _ in self._named_files()}))
-        return self._footers([self._path(suffix) for suffix in covering(sorted(self.present))])
-
-    def _footers(self, paths: list[str]) -> T.StructType:
-        reader = self.spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
-        try:
-            return reader.parquet(*paths).schema
-        except PySparkException as error:
-            raise SchemaError(f"file schemas do not agree: {error.getCondition()}") from error
-
-    def read(self, schema: T.StructType) -> DataFrame:
+    def read(self, schema: T.StructType | None = None) -> DataFrame:
         """All rows of all segments: a file in two segments is read twice.
 
+        Without a schema the rows have the merged schema of every selected file; the
+        executors read the footers, and one listing serves both footers and rows.
         Directory names like ``dt=...`` are not columns.
         """
-        reader = self.spark.read.schema(schema)
         if self.pattern:
-            files = [path for path, copies in self._named_files() for _ in range(copies)]
-            return reader.parquet(*files)
+            copies = self._named_files()
+            paths = [path for path, count in copies for _ in range(count)]
+            return _reader(self.spark, schema or _merged(self.spark, [p for p, _ in copies]))(paths)
         chosen = [suffix for suffix in self.suffixes if suffix in self.present]
-        scans = [
-            reader.option("recursiveFileLookup", True).parquet(*map(self._path, layer))
-            for layer in disjoint_layers(chosen, suffixes_overlap)
-        ]
+        layers = disjoint_layers(chosen, suffixes_overlap)
+        if schema is None and len(layers) > 1:
+            schema = _merged(self.spark, [self._path(s) for s in covering(chosen)])
+        scans = []
+        for layer in layers:
+            paths = [self._path(suffix) for suffix in layer]
+            if schema is None:
+                return _merging_scan(self.spark, paths)
+            scans.append(_reader(self.spark, schema, recursiveFileLookup=True)(paths))
         return reduce(DataFrame.unionAll, scans)
 
     def _named_files(self) -> list[tuple[str, int]]:
@@ -111,6 +104,29 @@ class Prefix:
         return [(row["path"], row["copies"]) for row in counted.collect()]
 
 
+def footer_schema(files: DataFrame) -> T.StructType:
+    """Table schema from the footers of a few files."""
+    paths = [row["path"] for row in files.select("path").collect()]
+    return normalise_inferred(_merged(files.sparkSession, paths))
+
+
+def _reader(spark: SparkSession, schema: T.StructType, **options):
+    reader = spark.read.schema(schema).options(**options)
+    return lambda paths: reader.parquet(*paths)
+
+
+def _merging_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
+    reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
+    try:
+        return reader.parquet(*paths)
+    except PySparkException as error:
+        raise SchemaError(f"file schemas do not agree: {error.getCondition()}") from error
+
+
+def _merged(spark: SparkSession, paths: list[str]) -> T.StructType:
+    return _merging_scan(spark, paths).schema
+
+
 def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
     # One listing serves the roll-up and the footer sample. It is spread over the
     # cores whatever the file sizes, in a session of its own so that the scan
@@ -133,20 +149,19 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
         if context.declared is not None:
             schema = context.declared
         else:
-            sample = newest_files(matched, source.infer_max_files).select("path").collect()
-            schema = normalise_inferred(prefix._footers([row["path"] for row in sample]))
+            schema = footer_schema(newest_files(matched, source.infer_max_files))
     finally:
         matched.unpersist()
     prefix = Prefix(context.engine, source.location, suffixes, source.file_pattern)
 
     def rows(table_schema: T.StructType) -> DataFrame:
-        files = prefix.file_schema()
+        # Rows come as the files hold them, so nested names keep the files' spelling;
+        # the conversion, or the projection by name, fits them to the table.
+        frame = prefix.read()
         if source.load_mode == CONVERT:
-            return convert(prefix.read(files), schema)
-        check_file_types(files, schema)
-        # Read as stored and let the projection by name fit the rest, so nested
-        # names keep the spelling the files use.
-        return prefix.read(T.StructType([f for f in files.fields if f.name in schema.names]))
+            return convert(frame, schema)
+        check_file_types(frame.schema, schema)
+        return frame
 
     return SourcePlan(
         schema=schema,

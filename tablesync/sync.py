@@ -85,8 +85,9 @@ def sync(
         },
     )
     started = datetime.now(UTC)
-    view_existed = view.exists()
+    view_existed = True
     try:
+        view_existed = view.exists()
         result.effective_mode = effective_mode(
             spec.strategy, spec.full_refresh, table.exists(), view_existed
         )

@@ -19,6 +19,10 @@ TABLES = (
     "pages benchmark labels conversations"
 ).split()
 
+SPARK_TYPES = {
+    "string": "VARCHAR", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP", "bigint": "BIGINT",
+}
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
@@ -35,6 +39,10 @@ def difference(frame, connection: duckdb.DuckDBPyConnection, sql: str) -> str |
     columns = [column[0] for column in result.description]
     if sorted(columns) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} vs {sorted(columns)}"
+    kinds = dict(zip(columns, (str(column[1]) for column in result.description)))
+    for name, kind in frame.dtypes:
+        if SPARK_TYPES.get(kind, kind.upper()) != kinds[name]:
+            return f"type of {name}: {kind} vs {kinds[name]}"
     order = sorted(columns)
     wanted = Counter(
         tuple(row[columns.index(name)] for name in order) for row in result.fetchall()
