@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.slices import suffixes_overlap
-
 # The suffix list is broadcast only up to this many rows; beyond it the join
 # shuffles both sides like any other.
 BROADCAST_SUFFIXES = 10_000
@@ -35,11 +33,12 @@ def normalise_suffix(suffix: Column) -> Column:
 
 def covering(suffixes: Sequence[str]) -> list[str]:
     """The suffixes that are not inside another one: list these, nothing twice."""
-    cover: list[str] = []
+    cover: set[str] = set()
     for suffix in sorted(set(suffixes), key=len):
-        if not any(suffixes_overlap(suffix, other) for other in cover):
-            cover.append(suffix)
-    return cover
+        pieces = suffix.split("/")
+        if cover.isdisjoint({"", *("/".join(pieces[: n + 1]) for n in range(len(pieces)))}):
+            cover.add(suffix)
+    return sorted(cover)
 
 
 def _suffix_rows(spark: SparkSession, suffixes: Sequence[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,9 +84,10 @@ class Prefix:
             paths = [path for path, count in copies for _ in range(count)]
             return _reader(self.spark, schema or _merged(self.spark, [p for p, _ in copies]))(paths)
         chosen = [suffix for suffix in self.suffixes if suffix in self.present]
-        layers = disjoint_layers(chosen, suffixes_overlap)
-        if schema is None and len(layers) > 1:
-            schema = _merged(self.spark, [self._path(s) for s in covering(chosen)])
+        layers = [chosen]
+        if len(covering(chosen)) < len(chosen):
+            layers = disjoint_layers(chosen, suffixes_overlap)
+            schema = schema or _merged(self.spark, [self._path(s) for s in covering(chosen)])
         scans = []
         for layer in layers:
             paths = [self._path(suffix) for suffix in layer]
@@ -119,8 +121,10 @@ def _merging_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
     try:
         return reader.parquet(*paths)
-    except PySparkException as error:
-        raise SchemaError(f"file schemas do not agree: {error.getCondition()}") from error
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
+        raise SchemaError("the schemas of the files do not agree") from error
 
 
 def _merged(spark: SparkSession, paths: list[str]) -> T.StructType:

@@ -275,7 +275,9 @@ class SyncSpec:
                 shape = RangePartition if "interval" in partition else TimePartition
                 source["partition"] = _built(shape, partition)
             values["source"] = _built(kinds[kind], source)
-        if values.get("columns"):
+        if "columns" in values:
+            if not values["columns"]:
+                raise SpecError("columns must not be empty when set")
             values["columns"] = tuple(_built(ColumnSpec, column) for column in values["columns"])
         if isinstance(values.get("retry"), Mapping):
             values["retry"] = _built(RetryPolicy, values["retry"])
