@@ -6,7 +6,7 @@ from .operators.views import read_table, read_view, register_view
 from .plans.slices import RangePartition, TimePartition
 from .sources.base import SourcePlan, register_source
 from .spec import ColumnSpec, PrefixSource, RetryPolicy, SqlSource, SyncSpec, TableSource
-from .sync import SyncResult, evolve, sync
+from .sync import SyncPlan, SyncResult, evolve, plan, sync
 
 __all__ = [
     "ColumnSpec",
@@ -20,12 +20,14 @@ __all__ = [
     "SourcePlan",
     "SpecError",
     "SqlSource",
+    "SyncPlan",
     "SyncResult",
     "SyncSpec",
     "TableSource",
     "TableSyncError",
     "TimePartition",
     "evolve",
+    "plan",
     "read_table",
     "read_view",
     "register_source",

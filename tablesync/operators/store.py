@@ -27,6 +27,25 @@ from ..sources.listing import list_files
 from .load import keep_filter
 
 
+_RECORD = T.StructType(
+    [
+        T.StructField("number", T.LongType()),
+        T.StructField("published_at", T.StringType()),
+        T.StructField(
+            "parts",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("directory", T.StringType()),
+                        T.StructField("files", T.ArrayType(T.StringType())),
+                    ]
+                )
+            ),
+        ),
+    ]
+)
+
+
 @dataclass(frozen=True)
 class Part:
     """A data directory; ``files`` is None while every file in it is live."""
@@ -252,54 +271,59 @@ class ManagedTable:
         so time travel inside the retention window keeps working.
         """
         limit = (now or datetime.now(UTC)) - timedelta(days=retention_days)
-        versions = [self.version(number) for number in self.version_numbers()]
-        count = 0
-        while (
-            count < len(versions) - 1
-            and datetime.fromisoformat(versions[count + 1].published_at) < limit
-        ):
-            count += 1
-        expired, live = versions[:count], versions[count:]
+        if not self.exists():
+            return {"versions": 0, "directories": 0, "files": 0}
+        records = self.spark.read.schema(_RECORD).option("multiLine", True).json(self._versions)
+        published = sorted(records.select("number", "published_at").collect())
+        expired = []
+        for record, successor in zip(published, published[1:]):
+            if datetime.fromisoformat(successor["published_at"]) >= limit:
+                break
+            expired.append(record["number"])
         if not expired:
             return {"versions": 0, "directories": 0, "files": 0}
         # Data goes first and the records last: a run that is cut short is simply
         # repeated by the next one.
+        parts = records.select(
+            (F.col("number") > max(expired)).alias("live"), F.inline("parts")
+        )
         files = 0
-        for row in self._unreferenced(expired, live).toLocalIterator():
+        for row in self._unreferenced(parts).toLocalIterator():
             self._files.delete(f"{self.location}/data/{row['directory']}/{row['name']}")
             files += 1
-        directories = {p.directory for v in expired for p in v.parts} - {
-            p.directory for v in live for p in v.parts
-        }
+        directories = self._directories(parts.where("NOT live"), parts.where("live"))
         for directory in directories:
             self.discard(directory)
-        for version in expired:
-            self._files.delete(self._record(version.number))
-        return {"versions": count, "directories": len(directories), "files": files}
-
-    def _unreferenced(self, expired: list[Version], live: list[Version]) -> DataFrame:
-        """Files of live directories that no live version names, as an anti join."""
-        shape = "directory string, name string"
-        named = [
-            (part.directory, name)
-            for version in live
-            for part in version.parts
-            for name in part.files or ()
+        for number in expired:
+            self._files.delete(self._record(number))
+        return {"versions": len(expired), "directories": len(directories), "files": files}
+
+    def _directories(self, these: DataFrame, but_not: DataFrame) -> list[str]:
+        left = these.select("directory").distinct()
+        rows = left.join(but_not.select("directory"), "directory", "left_anti").collect()
+        return sorted(row["directory"] for row in rows)
+
+    def _unreferenced(self, parts: DataFrame) -> DataFrame:
+        """Files, in directories that are live in part, that no live version names.
+
+        Only directories an expired version used are looked at, and never one that a
+        live version holds whole.
+        """
+        live = parts.where("live")
+        whole = live.where("files IS NULL")
+        partial = self._directories(live.where("files IS NOT NULL"), whole)
+        unused_before = set(self._directories(live, parts.where("NOT live")))
+        paths = [
+            f"{self.location}/data/{name}" for name in partial if name not in unused_before
         ]
-        whole = {p.directory for v in live for p in v.parts if p.files is None}
-        partial = sorted({directory for directory, _ in named} - whole)
-        used_before = {part.directory for version in expired for part in version.parts}
-        partial = [directory for directory in partial if directory in used_before]
-        if not partial:
-            return self.spark.createDataFrame([], shape)
+        if not paths:
+            return self.spark.createDataFrame([], "directory string, name string")
         pieces = F.split("path", "/")
-        stored = list_files(
-            self.spark, *(f"{self.location}/data/{directory}" for directory in partial)
-        ).select(
+        stored = list_files(self.spark, *paths).select(
             F.element_at(pieces, -2).alias("directory"), F.element_at(pieces, -1).alias("name")
         )
-        referenced = self.spark.createDataFrame(named, shape).distinct()
-        return stored.join(referenced, ["directory", "name"], "left_anti")
+        named = live.select("directory", F.explode("files").alias("name"))
+        return stored.join(named, ["directory", "name"], "left_anti")
 
 
 def _file_key(path: str) -> tuple[str, str]:

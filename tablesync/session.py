@@ -42,6 +42,17 @@ def engine_session(spark: SparkSession) -> SparkSession:
     return child_session(spark, ENGINE_CONF)
 
 
+def copy_split_bytes(total_bytes: int, cores: int) -> int:
+    """Input bytes per task of a copy.
+
+    Spark's usual 128 MiB while that leaves fewer than 16 tasks per core, then more,
+    up to 1 GiB: a very large copy has fewer tasks to schedule, and the table fewer
+    and larger files to list, open and prune in every later run.
+    """
+    smallest, largest, tasks_per_core = 128 << 20, 1 << 30, 16
+    return max(smallest, min(largest, total_bytes // max(1, cores * tasks_per_core)))
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path in the folder every executor shares (``spark.checkpoint.dir``)."""
     base = spark.conf.get("spark.checkpoint.dir", None)

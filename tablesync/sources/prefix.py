@@ -20,7 +20,7 @@ from ..operators.load import (
 from ..plans.modes import slices_for
 from ..plans.slices import disjoint_layers, suffixes_overlap
 from ..plans.types import normalise_inferred
-from ..session import Files, child_session
+from ..session import Files, child_session, copy_split_bytes
 from ..spec import PrefixSource
 from .base import SourceContext, SourcePlan, register_source
 from .listing import covering, list_files, match_segments, newest_files, segment_rollup
@@ -156,7 +156,13 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
             schema = footer_schema(newest_files(matched, source.infer_max_files))
     finally:
         matched.unpersist()
-    prefix = Prefix(context.engine, source.location, suffixes, source.file_pattern)
+    total_bytes = sum(segment["total_bytes"] for segment in segments)
+    cores = context.engine.sparkContext.defaultParallelism
+    copier = child_session(
+        context.engine,
+        {"spark.sql.files.maxPartitionBytes": str(copy_split_bytes(total_bytes, cores))},
+    )
+    prefix = Prefix(copier, source.location, suffixes, source.file_pattern)
 
     def rows(table_schema: T.StructType) -> DataFrame:
         # Rows come as the files hold them, so nested names keep the files' spelling;

@@ -6,7 +6,7 @@ import random
 import time
 import uuid
 from collections.abc import Callable
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from typing import Any
 
@@ -115,6 +115,47 @@ def sync(
     return result
 
 
+@dataclass
+class SyncPlan:
+    """What a run would do now: its mode and slices, and how the schema would change."""
+
+    effective_mode: str
+    slices: tuple[str, ...]
+    segments: list[dict[str, Any]]
+    skip_reason: str | None = None
+    schema: T.StructType | None = None
+    evolution: EvolutionPlan | None = None
+    view_columns: list[ViewColumn] = field(default_factory=list)
+
+
+def plan(spark: SparkSession, spec: SyncSpec) -> SyncPlan:
+    """Plan a run and check its schema without touching the table, view or run log.
+
+    A SQL source stages its result (and a table source with an export location
+    exports) while planning, just as the run would.
+    """
+    engine = engine_session(spark)
+    table = ManagedTable(engine, spec.table_location)
+    result = SyncResult(uuid.uuid4().hex, spec.target, spec.table_location)
+    exists = table.exists()
+    result.effective_mode = effective_mode(
+        spec.strategy, spec.full_refresh, exists, View(table).exists()
+    )
+    source = plan_source(_context(spark, engine, spec, result), spec.source)
+    planned = SyncPlan(
+        result.effective_mode,
+        slices_for(spec.source, result.effective_mode),
+        source.segments,
+        source.skip_reason,
+    )
+    if source.schema is not None:
+        planned.schema = source.schema
+        planned.view_columns = view_columns(source.schema, source.expressions_at_load)
+        if exists:
+            planned.evolution = plan_evolution(table.head().schema, source.schema)
+    return planned
+
+
 def evolve(spark: SparkSession, location: str, wanted: T.StructType) -> EvolutionPlan:
     """Evolve a table's schema without loading anything."""
     table = ManagedTable(engine_session(spark), location)
@@ -258,8 +299,3 @@ def _log(
         if spec.run_log_fail_on_error:
             raise TableSyncError("the run log could not be written") from error
         result.run_log_error = type(error).__name__
-
-
-def result_row(result: SyncResult) -> dict[str, Any]:
-    """The result as plain values, for logging or JSON."""
-    return asdict(result)

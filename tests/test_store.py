@@ -16,7 +16,7 @@ from tablesync.operators.load import (
     project_by_name,
 )
 from tablesync.operators.store import Part
-from tablesync.session import Files, engine_session
+from tablesync.session import Files, copy_split_bytes, engine_session
 
 
 @pytest.fixture(scope="module")
@@ -196,3 +196,12 @@ def test_not_null(engine, ddl, value, fails):
             checked.collect()
     else:
         assert checked.count() == 1 and checked.collect()
+
+
+@pytest.mark.parametrize(
+    "total, cores, wanted",
+    [(0, 8, 128 << 20), (10 << 30, 8, 128 << 20), (100 << 40, 4000, 1 << 30),
+     (20 << 40, 4000, (20 << 40) // 64000)],
+)
+def test_copy_split_bytes(total, cores, wanted):
+    assert copy_split_bytes(total, cores) == wanted

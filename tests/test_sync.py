@@ -19,6 +19,7 @@ from tablesync import (
     SyncSpec,
     TableSource,
     evolve,
+    plan,
     read_table,
     read_view,
     register_source,
@@ -480,6 +481,27 @@ def test_evolve_without_loading(spark, setup):
         evolve(spark, spec.table_location, required)
 
 
+def test_plan_touches_nothing(spark, setup, write, tmp_path):
+    import os
+
+    spec = setup()
+    planned = plan(spark, spec)
+    assert planned.effective_mode == "full_refresh" and planned.evolution is None
+    assert [c.alias for c in planned.view_columns] == ["order_id", "event_date"]
+    assert not os.path.exists(spec.table_location) and not os.path.exists(spec.run_log)
+    sync(spark, spec)
+    write(
+        tmp_path / "src/dt=2026-01-02", "OrderID int, EventDate string, Name string",
+        (2, "2026-01-02", "bob"), mode="overwrite",
+    )
+    planned = plan(spark, spec)
+    assert planned.slices == ("dt=2026-01-02",) and planned.segments[0]["file_count"] == 1
+    assert planned.evolution.added_columns == ["Name"]
+    assert read_table(spark, spec.table_location).columns == ["OrderID", "EventDate"]
+    missing = {"incremental_paths": ["dt=1999"], "skip_missing": True}
+    assert plan(spark, setup(source=missing)).skip_reason
+
+
 def test_latest_run_per_target(spark, setup, log):
     for target in ("db.a", "db.b", "db.a"):
         sync(spark, setup(target=target))
