@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import error_text
-from ..session import Files
+from ..session import Files, literal_path
 
 _TEXT_COLUMNS = (
     "run_id", "invocation_id", "model_unique_id", "target_view", "internal_table",
@@ -51,7 +51,7 @@ def read_runs(spark: SparkSession, location: str) -> DataFrame:
     if not Files(spark, location).is_dir(location):
         return spark.createDataFrame([], RUN_LOG_SCHEMA)
     reader = spark.read.schema(RUN_LOG_SCHEMA).option("recursiveFileLookup", True)
-    return reader.parquet(location)
+    return reader.parquet(literal_path(location))
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import PublishConflict, SchemaError
-from ..session import Files
+from ..session import Files, literal_path
 from ..sources.listing import list_files
 from .load import keep_filter
 
@@ -169,7 +169,7 @@ class ManagedTable:
         paths = [path for part in parts for path in self._paths(part)]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        return self.spark.read.schema(schema).parquet(*map(literal_path, paths))
 
     def _paths(self, part: Part) -> list[str]:
         root = f"{self.location}/data/{part.directory}"
@@ -273,7 +273,9 @@ class ManagedTable:
         limit = (now or datetime.now(UTC)) - timedelta(days=retention_days)
         if not self.exists():
             return {"versions": 0, "directories": 0, "files": 0}
-        records = self.spark.read.schema(_RECORD).option("multiLine", True).json(self._versions)
+        records = self.spark.read.schema(_RECORD).option("multiLine", True).json(
+            literal_path(self._versions)
+        )
         published = sorted(records.select("number", "published_at").collect())
         expired = []
         for record, successor in zip(published, published[1:]):

@@ -60,8 +60,9 @@ class View:
             raise SchemaError(f"no view is published at {self.table.location}")
         return [ViewColumn(**column) for column in json.loads(self._files.read_text(self._path))]
 
-    def create_or_replace(self, columns: list[ViewColumn]) -> None:
-        project_view(self.table.read(), columns)  # analysis catches a bad expression
+    def create_or_replace(self, columns: list[ViewColumn], schema: T.StructType) -> None:
+        """Store the definition; a bad expression fails here, without opening a file."""
+        project_view(self.table.spark.createDataFrame([], schema), columns)
         self._files.write_text(self._path, json.dumps([asdict(column) for column in columns]))
 
     def read(self) -> DataFrame:

@@ -6,6 +6,7 @@ sidecar). Rows always move through DataFrame reads and writes.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -53,6 +54,11 @@ def copy_split_bytes(total_bytes: int, cores: int) -> int:
     return max(smallest, min(largest, total_bytes // max(1, cores * tasks_per_core)))
 
 
+def literal_path(path: str) -> str:
+    """The path with glob characters escaped, for readers that expand them."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path in the folder every executor shares (``spark.checkpoint.dir``)."""
     base = spark.conf.get("spark.checkpoint.dir", None)

@@ -8,28 +8,31 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SEGMENT = "segment"
-
+from ..session import literal_path
 
 def export_slices(
     slices: Sequence[DataFrame], location: str, run_id: str, compression: str = "ZSTD"
 ) -> list[str]:
     """Write slices below ``<location>/<run_id>/segment=NNNNN`` and return those paths.
 
+    (With underscores after ``segment`` while the slices have a column of that name.)
     All slices are written by one job, in parallel, with no shuffle: each task holds
     rows of a single slice.
     """
     destination = f"{location.rstrip('/')}/{run_id}"
+    segment = "segment"
+    while segment.lower() in (name.lower() for name in slices[0].columns):
+        segment += "_"
     names = [f"{number:05d}" for number in range(len(slices))]
-    tagged = [frame.withColumn(_SEGMENT, F.lit(name)) for frame, name in zip(slices, names)]
+    tagged = [frame.withColumn(segment, F.lit(name)) for frame, name in zip(slices, names)]
     everything = reduce(DataFrame.unionByName, tagged)
-    everything.write.option("compression", compression.lower()).partitionBy(_SEGMENT).parquet(
+    everything.write.option("compression", compression.lower()).partitionBy(segment).parquet(
         destination
     )
-    return [f"{destination}/{_SEGMENT}={name}" for name in names]
+    return [f"{destination}/{segment}={name}" for name in names]
 
 
 def read_export(like: DataFrame, location: str, run_id: str) -> DataFrame:
     """All exported slices of a run, with the exported columns only."""
     reader = like.sparkSession.read.schema(like.schema).option("recursiveFileLookup", True)
-    return reader.parquet(f"{location.rstrip('/')}/{run_id}")
+    return reader.parquet(literal_path(f"{location.rstrip('/')}/{run_id}"))

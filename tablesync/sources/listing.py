@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import literal_path
+
 # The suffix list is broadcast only up to this many rows; beyond it the join
 # shuffles both sides like any other.
 BROADCAST_SUFFIXES = 10_000
@@ -19,7 +21,7 @@ def list_files(spark: SparkSession, *directories: str) -> DataFrame:
     (leading ``_`` or ``.``) are skipped.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return reader.load(list(directories)).select("path", "length", "modificationTime")
+    return reader.load([*map(literal_path, directories)]).select("path", "length", "modificationTime")
 
 
 def relative_to(path: Column, root: str) -> Column:

@@ -20,7 +20,7 @@ from ..operators.load import (
 from ..plans.modes import slices_for
 from ..plans.slices import disjoint_layers, suffixes_overlap
 from ..plans.types import normalise_inferred
-from ..session import Files, child_session, copy_split_bytes
+from ..session import Files, child_session, copy_split_bytes, literal_path
 from ..spec import PrefixSource
 from .base import SourceContext, SourcePlan, register_source
 from .listing import covering, list_files, match_segments, newest_files, segment_rollup
@@ -39,8 +39,10 @@ class Prefix:
         location: str,
         suffixes: tuple[str, ...] = ("",),
         pattern: str | None = None,
+        named: list[tuple[str, int]] | None = None,
     ):
         self.spark = spark
+        self._named = named
         self.suffixes = suffixes
         self.pattern = pattern
         self._files = Files(spark, location)
@@ -80,7 +82,7 @@ class Prefix:
         Directory names like ``dt=...`` are not columns.
         """
         if self.pattern:
-            copies = self._named_files()
+            copies = self._named if self._named is not None else named_files(self.files())
             paths = [path for path, count in copies for _ in range(count)]
             return _reader(self.spark, schema or _merged(self.spark, [p for p, _ in copies]))(paths)
         chosen = [suffix for suffix in self.suffixes if suffix in self.present]
@@ -96,14 +98,15 @@ class Prefix:
             scans.append(_reader(self.spark, schema, recursiveFileLookup=True)(paths))
         return reduce(DataFrame.unionAll, scans)
 
-    def _named_files(self) -> list[tuple[str, int]]:
-        """Paths a pattern selects, and in how many segments each lies.
 
-        A pattern cannot be given to the reader, so the names go back to it as a
-        list: file metadata, which the reader's own index holds as well.
-        """
-        counted = self.files().groupBy("path").agg(F.count("*").alias("copies"))
-        return [(row["path"], row["copies"]) for row in counted.collect()]
+def named_files(matched: DataFrame) -> list[tuple[str, int]]:
+    """Paths a pattern selects, and in how many segments each lies.
+
+    A pattern cannot be given to the reader, so the names go back to it as a list:
+    file metadata, which the reader's own index holds as well.
+    """
+    counted = matched.groupBy("path").agg(F.count("*").alias("copies"))
+    return [(row["path"], row["copies"]) for row in counted.collect()]
 
 
 def footer_schema(files: DataFrame) -> T.StructType:
@@ -114,13 +117,13 @@ def footer_schema(files: DataFrame) -> T.StructType:
 
 def _reader(spark: SparkSession, schema: T.StructType, **options):
     reader = spark.read.schema(schema).options(**options)
-    return lambda paths: reader.parquet(*paths)
+    return lambda paths: reader.parquet(*map(literal_path, paths))
 
 
 def _merging_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
     try:
-        return reader.parquet(*paths)
+        return reader.parquet(*map(literal_path, paths))
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE" not in str(error):
             raise
@@ -150,6 +153,7 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
             if source.skip_missing:
                 return SourcePlan(segments=segments, skip_reason=reason)
             raise SourceError(reason)
+        named = named_files(matched) if source.file_pattern else None
         if context.declared is not None:
             schema = context.declared
         else:
@@ -162,7 +166,7 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
         context.engine,
         {"spark.sql.files.maxPartitionBytes": str(copy_split_bytes(total_bytes, cores))},
     )
-    prefix = Prefix(copier, source.location, suffixes, source.file_pattern)
+    prefix = Prefix(copier, source.location, suffixes, source.file_pattern, named)
 
     def rows(table_schema: T.StructType) -> DataFrame:
         # Rows come as the files hold them, so nested names keep the files' spelling;

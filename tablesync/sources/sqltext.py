@@ -13,12 +13,16 @@ from ..operators.load import check_file_types
 from ..plans.modes import slices_for
 from ..plans.slices import resolve_sql_predicates
 from ..plans.types import normalise_inferred
-from ..session import Files
+from ..session import Files, literal_path
 from ..spec import SqlSource
 from .base import SourceContext, SourcePlan, register_source
 from .export import export_slices, read_export
 
 
+# A run may still read a build for a while after it expired.
+_GRACE_SECONDS = 24 * 3600
+
+
 def select_rows(context: SourceContext, sql: str, predicates: tuple[str, ...]) -> DataFrame:
     """The query's rows matching any predicate. Catalyst pushes the filter down.
 
@@ -61,18 +65,32 @@ class Staging:
 
     def current(self) -> str | None:
         """The build to reuse, if it has the right hash and has not expired."""
-        if not self._files.exists(self._sidecar):
+        state = self._state()
+        if state["hash"] != self._digest or not state["builds"]:
             return None
-        state = json.loads(self._files.read_text(self._sidecar))
-        fresh = state["hash"] == self._digest and state["expires_at"] > time.time()
-        return state["build"] if fresh and self._files.exists(state["build"]) else None
+        newest = state["builds"][-1]
+        fresh = newest["expires_at"] > time.time() and self._files.exists(newest["path"])
+        return newest["path"] if fresh else None
 
     def build(self, frame: DataFrame, hours: float) -> str:
-        build = f"{self.path}/{self._context.run_id}"
-        frame.write.parquet(build)
-        state = {"hash": self._digest, "expires_at": time.time() + hours * 3600, "build": build}
-        self._files.write_text(self._sidecar, json.dumps(state))
-        return build
+        """Run the query into a new build and drop builds that expired a day ago."""
+        path = f"{self.path}/{self._context.run_id}"
+        frame.write.parquet(path)
+        now = time.time()
+        kept = []
+        for build in self._state()["builds"]:
+            if build["expires_at"] + _GRACE_SECONDS < now:
+                self._files.delete(build["path"])
+            else:
+                kept.append(build)
+        kept.append({"path": path, "expires_at": now + hours * 3600})
+        self._files.write_text(self._sidecar, json.dumps({"hash": self._digest, "builds": kept}))
+        return path
+
+    def _state(self) -> dict:
+        if not self._files.exists(self._sidecar):
+            return {"hash": None, "builds": []}
+        return json.loads(self._files.read_text(self._sidecar))
 
 
 def plan_sql(context: SourceContext, source: SqlSource) -> SourcePlan:
@@ -85,7 +103,7 @@ def plan_sql(context: SourceContext, source: SqlSource) -> SourcePlan:
     if build is None:
         build = staging.build(select_rows(context, source.sql, predicates), source.staging_hours)
         jobs.append({"operation": "query", "path": build})
-    staged = context.engine.read.parquet(build)
+    staged = context.engine.read.parquet(literal_path(build))
     schema = context.declared if context.declared is not None else normalise_inferred(staged.schema)
     segment = {"table": staging.path.rpartition("/")[2]}
     if source.export_location:

@@ -23,7 +23,7 @@ from ..plans.slices import (
     resolve_table_predicates,
 )
 from ..plans.types import map_source_schema, normalise_inferred
-from ..session import Files
+from ..session import Files, literal_path
 from ..spec import TableSource
 from .base import SourceContext, SourcePlan, register_source
 from .export import export_slices, read_export
@@ -59,7 +59,7 @@ class Dataset:
 
     def read(self, table: str) -> DataFrame:
         if self.is_path:
-            return self.spark.read.parquet(self.path(table))
+            return self.spark.read.parquet(literal_path(self.path(table)))
         return self.spark.table(f"{self.name}.{table}")
 
     def read_shards(self, tables: Sequence[str]) -> DataFrame:
@@ -76,7 +76,7 @@ class Dataset:
             return reduce(
                 DataFrame.unionAll,
                 [
-                    reader.parquet(*map(self.path, layer))
+                    reader.parquet(*(literal_path(self.path(name)) for name in layer))
                     for layer in disjoint_layers(tables, lambda one, other: one == other)
                 ],
             )

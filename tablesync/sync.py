@@ -101,7 +101,7 @@ def sync(
         else:
             _load(table, spec, plan, result, sleep)
             result.view_columns = view_columns(plan.schema, plan.expressions_at_load)
-            view.create_or_replace(result.view_columns)
+            view.create_or_replace(result.view_columns, plan.schema)
             result.status = "success"
     except Exception as error:
         result.status, result.error_message = "failure", str(error)

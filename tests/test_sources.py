@@ -12,7 +12,7 @@ from tablesync.session import engine_session
 from tablesync.sources import sqltext, tables  # noqa: F401
 from tablesync.sources.base import SourceContext, plan_source
 from tablesync.sources.export import export_slices, read_export
-from tablesync.sources.listing import covering, normalise_suffix
+from tablesync.sources.listing import covering, match_segments, normalise_suffix
 from tablesync.sources.prefix import Prefix
 from tablesync.sources.tables import Dataset
 
@@ -125,6 +125,45 @@ def test_listing_opens_no_content(engine, write, tmp_path):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_glob_characters_are_literal(engine, write, tmp_path):
+    write(tmp_path / "lake/a[1]", "x int", (1,))
+    write(tmp_path / "lake/a1", "x int", (2,))
+    write(tmp_path / "lake/b*{c}", "x int", (3,))
+    for suffixes, wanted in ((("a[1]",), [1]), (("b*{c}",), [3]), (("a[1]", "a1"), [1, 2])):
+        for pattern in (None, "parquet"):
+            prefix = Prefix(engine, str(tmp_path / "lake"), suffixes, pattern)
+            assert [row[0] for row in bag(prefix.read())] == wanted
+            assert prefix.rollup().agg(F.sum("file_count")).first()[0] == len(wanted)
+
+
+def test_segments_against_brute_force(engine):
+    """Matching by equality of parent directories, on random listings and suffixes."""
+    import random
+    import re
+
+    random.seed(5)
+
+    def directory():
+        return "/".join(random.choice(("a", "b", "a1", "m=1", "m=10")) for _ in range(random.randint(0, 3)))
+
+    for pattern in (None, "^a", "m=1/", "1"):
+        rels = sorted({f"{d}/f{n}".lstrip("/") for n, d in enumerate(directory() for _ in range(40))})
+        suffixes = [directory() for _ in range(12)]
+        listing = engine.createDataFrame(
+            [(f"file:/root/{rel}", 1, None) for rel in rels],
+            "path string, length long, modificationTime timestamp",
+        )
+        wanted = []
+        for number, suffix in enumerate(suffixes):
+            start = f"{suffix}/" if suffix else ""
+            for rel in rels:
+                name = rel[len(start) :]
+                if rel.startswith(start) and (not pattern or re.search(pattern, name)):
+                    wanted.append((number, rel))
+        found = match_segments(listing, "file:/root", suffixes, pattern).select("segment", "rel")
+        assert bag(found) == sorted(wanted, key=str)
+
+
 def test_covering():
     assert covering(["a/b", "a", "c"]) == ["a", "c"]
     assert covering(["", "a"]) == [""]
@@ -326,3 +365,24 @@ def test_export_codecs(rows, tmp_path, codec, wanted):
         meta = pq.ParquetFile(f"{path}/{files[0]}").metadata
         assert meta.row_group(0).column(0).compression == wanted
     assert bag(read_export(frame, str(tmp_path), "run")) == [(1, "x"), (2, "y")]
+
+
+def test_export_keeps_a_column_called_segment(rows, tmp_path):
+    frame = rows("id int, segment string", (1, "x"))
+    (path,) = export_slices([frame], str(tmp_path), "run")
+    assert path.endswith("/segment_=00000")
+    assert bag(read_export(frame, str(tmp_path), "run")) == [(1, "x")]
+
+
+def test_expired_builds_are_dropped(spark, context, rows, tmp_path, monkeypatch):
+    from tablesync.sources import sqltext as module
+
+    rows("id int", (1,)).createOrReplaceTempView("built")
+    source = SqlSource("SELECT * FROM built", str(tmp_path / "s"), reuse=False, staging_hours=0)
+    first = plan_source(context(run_id="one"), source)
+    assert bag(first.rows(first.schema)) == [(1,)]
+    plan_source(context(run_id="two"), source)
+    monkeypatch.setattr(module, "_GRACE_SECONDS", -1)
+    plan_source(context(run_id="three"), source)
+    (stage,) = os.listdir(tmp_path / "s")
+    assert [n for n in sorted(os.listdir(tmp_path / "s" / stage)) if n[0] not in "._"] == ["three"]
