@@ -71,7 +71,7 @@ def run_log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def run_log_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_log_skip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Successful, skipped and failed runs, beside the rows the table still has."""
     log = scratch_dir(spark, "log")
     good = lake_spec(spark, sf_dir, "counted", run_log=log)
@@ -156,7 +156,7 @@ def redact_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _texts(spark, sf_dir).select("origin", "id", redact(F.col("text")).alias("clean"))
 
 
-def error_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def redact_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts as error messages; the length limit is the operator's own."""
     message = error_text(F.concat(F.col("origin"), F.lit("Error")), F.col("text"))
     return _texts(spark, sf_dir).select("origin", "id", message.alias("message"))
@@ -199,11 +199,11 @@ def tolerant_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "run_log_modes": run_log_modes,
     "run_log_latest": run_log_latest,
-    "run_log_status_counts": run_log_status_counts,
+    "run_log_skip_counts": run_log_skip_counts,
     "reconcile_counts": reconcile_counts,
     "custom_source": custom_source,
     "redact_texts": redact_texts,
-    "error_messages": error_messages,
+    "redact_errors": redact_errors,
     "lower_snake_values": lower_snake_values,
     "stable_hashes": stable_hashes,
     "json_counts": json_counts,
@@ -256,7 +256,7 @@ ORACLE = {
         "UNION ALL SELECT 'latest_events', 'table', 'full_refresh', "
         "count(DISTINCT CAST(ts AS DATE)) FROM events"
     ),
-    "run_log_status_counts": (
+    "run_log_skip_counts": (
         "SELECT 'counted' AS target_view, CAST(3 AS BIGINT) AS runs, "
         "CAST(1 AS BIGINT) AS success, CAST(1 AS BIGINT) AS skipped, "
         "CAST(1 AS BIGINT) AS failure, count(*) AS table_rows FROM orders"
@@ -270,7 +270,7 @@ ORACLE = {
         "FROM documents LEFT JOIN labels USING (doc_id)"
     ),
     "redact_texts": f"SELECT origin, id, {_redacted_sql()} AS clean FROM ({_TEXTS})",
-    "error_messages": (
+    "redact_errors": (
         "SELECT origin, id, CASE WHEN short = '' THEN kind ELSE kind || ': ' || short END "
         "AS message FROM (SELECT origin, id, origin || 'Error' AS kind, CASE WHEN "
         "length(clean) > 500 THEN rtrim(left(clean, 497)) || '...' ELSE clean END AS short "

@@ -152,7 +152,7 @@ MAPPED_FIELDS = (
 )
 
 
-def mapped_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+def type_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` loaded under a mapped source schema."""
     source = TableSource(sf_dir, "events", schema_fields=MAPPED_FIELDS)
     return synced_table(spark, "mapped", source)
@@ -275,7 +275,7 @@ QUERIES = {
     "partition_overlapping": time_partitions("202401", "20240105"),
     "partition_int_range": partition_int_range,
     "partition_pruned": partition_pruned,
-    "mapped_schema": mapped_schema,
+    "type_mapping": type_mapping,
     "select_join_agg": select_join_agg,
     "select_where_or": select_where_or,
     "staging_reuse": staged(force_rebuild=False),
@@ -364,7 +364,7 @@ ORACLE = {
         "SELECT * FROM customer WHERE c_nationkey BETWEEN 5 AND 9 OR c_nationkey BETWEEN 20 AND 24"
     ),
     "partition_pruned": "SELECT * FROM customer",
-    "mapped_schema": (
+    "type_mapping": (
         "SELECT event_id, ts, user_id, event_type, CAST(value AS DECIMAL(38, 9)) AS value, props "
         "FROM events"
     ),

@@ -117,15 +117,15 @@ def project_by_name(source: DataFrame, schema: T.StructType) -> DataFrame:
     the table's spelling, because a differently spelled one would silently be NULL.
     """
     stored = {field.name: field.dataType for field in schema.fields}
-    columns = []
+    respelled = {}
     for field in source.schema.fields:
-        column = F.col(quoted(field.name))
         if field.name in stored and _is_nested(field.dataType):
-            respelled = _respell(field.dataType, stored[field.name])
-            if respelled != field.dataType:
-                column = column.cast(respelled)  # struct to struct casts go by position
-        columns.append(column.alias(field.name))
-    return source.select(columns).to(as_nullable(schema))
+            data_type = _respell(field.dataType, stored[field.name])
+            if data_type != field.dataType:  # struct to struct casts go by position
+                respelled[field.name] = F.col(quoted(field.name)).cast(data_type)
+    if respelled:
+        source = source.withColumns(respelled)
+    return source.to(as_nullable(schema))
 
 
 def _respell(found: T.DataType, stored: T.DataType) -> T.DataType:
@@ -156,15 +156,15 @@ def enforce_not_null(source: DataFrame, schema: T.StructType) -> DataFrame:
     Parquet reads do not carry nullability, so the rule is part of the projection
     and is evaluated in the same pass that writes the rows.
     """
-    columns = []
+    checked = {}
     for field in schema.fields:
+        if field.nullable and not _requires(field.dataType):
+            continue
         column = F.col(quoted(field.name))
+        message = F.lit(f"NULL in NOT NULL column {field.name}")
         violated = _violation(column, field.dataType, field.nullable)
-        if violated is not None:
-            message = F.lit(f"NULL in NOT NULL column {field.name}")
-            column = F.when(violated, F.raise_error(message)).otherwise(column)
-        columns.append(column.alias(field.name))
-    return source.select(columns)
+        checked[field.name] = F.when(violated, F.raise_error(message)).otherwise(column)
+    return source.withColumns(checked) if checked else source
 
 
 def _violation(column: Column, data_type: T.DataType, nullable: bool) -> Column | None:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 from dataclasses import asdict, dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,9 +74,14 @@ class View:
         self._files.delete(self._path)
 
 
-def read_view(spark: SparkSession, location: str) -> DataFrame:
-    """The view over the head of the table at ``location``."""
-    return View(ManagedTable(engine_session(spark), location)).read()
+def read_view(
+    spark: SparkSession, location: str, functions: Mapping[str, Any] | None = None
+) -> DataFrame:
+    """The view over the head of the table at ``location``.
+
+    ``functions`` are the session functions its expressions call, as for a sync.
+    """
+    return View(ManagedTable(engine_session(spark, functions), location)).read()
 
 
 def read_table(spark: SparkSession, location: str, version: int | None = None) -> DataFrame:
@@ -83,6 +90,8 @@ def read_table(spark: SparkSession, location: str, version: int | None = None) -
     return table.read(None if version is None else table.version(version))
 
 
-def register_view(spark: SparkSession, location: str, name: str) -> None:
+def register_view(
+    spark: SparkSession, location: str, name: str, functions: Mapping[str, Any] | None = None
+) -> None:
     """Make the view readable from SQL, in any session, as ``global_temp.<name>``."""
-    read_view(spark, location).createOrReplaceGlobalTempView(name)
+    read_view(spark, location, functions).createOrReplaceGlobalTempView(name)

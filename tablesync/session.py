@@ -9,6 +9,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from typing import Any
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -23,30 +26,51 @@ ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+_DEFAULT_SPLIT_BYTES = "134217728b"
 
-def child_session(spark: SparkSession, conf: dict[str, str]) -> SparkSession:
-    """A session that shares context, catalog and cache with ``spark`` but has its
-    own copy of the SQL settings, with ``conf`` on top."""
+
+def engine_session(
+    spark: SparkSession, functions: Mapping[str, Any] | None = None
+) -> SparkSession:
+    """A child session with the engine's settings on top of the caller's.
+
+    It shares context, catalog and cache with ``spark`` but has its own settings, so
+    lazily returned frames keep the right semantics, concurrent syncs cannot disturb
+    each other, and the caller's session stays untouched. Catalog functions are
+    visible in it; session functions are not, so those that predicates or column
+    expressions call are given by name.
+    """
     child = spark.newSession()
-    for key, value in {**spark.conf.getAll, **conf}.items():
+    for key, value in {**spark.conf.getAll, **ENGINE_CONF}.items():
         if child.conf.isModifiable(key):
             child.conf.set(key, value)
+    for name, function in (functions or {}).items():
+        child.udf.register(name, function)
     return child
 
 
-def engine_session(spark: SparkSession) -> SparkSession:
-    """A child session with the engine's settings.
+@contextmanager
+def one_partition_per_core(engine: SparkSession) -> Iterator[None]:
+    """Size scans by core count alone: a metadata scan has no bytes to split, and
+    would otherwise get a partition for every (large) file."""
+    before = engine.conf.get(_SPLIT_BYTES)
+    engine.conf.set(_SPLIT_BYTES, str(1 << 50))
+    try:
+        yield
+    finally:
+        engine.conf.set(_SPLIT_BYTES, before)
 
-    Lazily returned frames keep the right semantics, concurrent syncs cannot
-    disturb each other, and the caller's session stays untouched.
-    """
-    return child_session(spark, ENGINE_CONF)
 
+def size_copy_splits(engine: SparkSession, total_bytes: int) -> None:
+    """Choose the input bytes per task of a copy, unless the caller has set them."""
+    if engine.conf.get(_SPLIT_BYTES) == _DEFAULT_SPLIT_BYTES:
+        cores = engine.sparkContext.defaultParallelism
+        engine.conf.set(_SPLIT_BYTES, str(copy_split_bytes(total_bytes, cores)))
 
-def copy_split_bytes(total_bytes: int, cores: int) -> int:
-    """Input bytes per task of a copy.
 
-    Spark's usual 128 MiB while that leaves fewer than 16 tasks per core, then more,
+def copy_split_bytes(total_bytes: int, cores: int) -> int:
+    """Spark's usual 128 MiB while that leaves fewer than 16 tasks per core, then more,
     up to 1 GiB: a very large copy has fewer tasks to schedule, and the table fewer
     and larger files to list, open and prune in every later run.
     """
@@ -76,10 +100,11 @@ class Files:
         self._jvm = spark._jvm
         self._gateway = spark.sparkContext._gateway
         self._conf = spark._jsc.hadoopConfiguration()
+        self._path = self._java_class("org.apache.hadoop.fs.Path")
         self._fs = self._path(root).getFileSystem(self._conf)
 
-    def _path(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
+    def _java_class(self, name: str):
+        return getattr(self._jvm, name)
 
     def qualified(self, path: str) -> str:
         return self._fs.makeQualified(self._path(path)).toString()
@@ -101,7 +126,7 @@ class Files:
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self._java_class("org.apache.commons.io.IOUtils").toString(stream, "UTF-8")
         finally:
             stream.close()
 
@@ -121,10 +146,11 @@ class Files:
         parent, _, name = path.rpartition("/")
         temporary = f"{parent}/.{name}.{uuid.uuid4().hex}"
         self.write_text(temporary, text)
-        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        context = self._java_class("org.apache.hadoop.fs.FileContext").getFileContext(
             self._path(path).toUri(), self._conf
         )
-        no_options = self._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        rename = self._java_class("org.apache.hadoop.fs.Options$Rename")
+        no_options = self._gateway.new_array(rename, 0)
         try:
             context.rename(self._path(temporary), self._path(path), no_options)
         except Py4JJavaError as error:

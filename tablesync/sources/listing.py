@@ -75,13 +75,17 @@ def match_segments(
     return matched.select("segment", "path_suffix", "rel", "path", "length", "modificationTime")
 
 
+def segment_sums(matched: DataFrame) -> DataFrame:
+    """Files and bytes of the segments that have files."""
+    return matched.groupBy("segment").agg(
+        F.count("*").alias("file_count"), F.sum("length").alias("total_bytes")
+    )
+
+
 def segment_rollup(matched: DataFrame, suffixes: Sequence[str]) -> DataFrame:
     """Files and bytes per segment; a segment without files counts 0."""
     wanted = _suffix_rows(matched.sparkSession, suffixes)
-    sums = matched.groupBy("segment").agg(
-        F.count("*").alias("file_count"), F.sum("length").alias("total_bytes")
-    )
-    return wanted.join(sums, "segment", "left").select(
+    return wanted.join(segment_sums(matched), "segment", "left").select(
         "segment",
         "path_suffix",
         F.coalesce("file_count", F.lit(0)).alias("file_count"),

@@ -20,15 +20,10 @@ from ..operators.load import (
 from ..plans.modes import slices_for
 from ..plans.slices import disjoint_layers, suffixes_overlap
 from ..plans.types import normalise_inferred
-from ..session import Files, child_session, copy_split_bytes, literal_path
+from ..session import Files, literal_path, one_partition_per_core, size_copy_splits
 from ..spec import PrefixSource
 from .base import SourceContext, SourcePlan, register_source
-from .listing import covering, list_files, match_segments, newest_files, segment_rollup
-
-# A metadata scan has no bytes to split, so its partitions are sized by core
-# count alone rather than one per (large) file.
-_LISTING_CONF = {"spark.sql.files.maxPartitionBytes": str(1 << 50)}
-
+from .listing import covering, list_files, match_segments, newest_files, segment_rollup, segment_sums
 
 class Prefix:
     """The files a suffix list selects under a location."""
@@ -39,10 +34,9 @@ class Prefix:
         location: str,
         suffixes: tuple[str, ...] = ("",),
         pattern: str | None = None,
-        named: list[tuple[str, int]] | None = None,
     ):
         self.spark = spark
-        self._named = named
+        self.named: list[tuple[str, int]] | None = None
         self.suffixes = suffixes
         self.pattern = pattern
         self._files = Files(spark, location)
@@ -82,7 +76,7 @@ class Prefix:
         Directory names like ``dt=...`` are not columns.
         """
         if self.pattern:
-            copies = self._named if self._named is not None else named_files(self.files())
+            copies = self.named if self.named is not None else named_files(self.files())
             paths = [path for path, count in copies for _ in range(count)]
             return _reader(self.spark, schema or _merged(self.spark, [p for p, _ in copies]))(paths)
         chosen = [suffix for suffix in self.suffixes if suffix in self.present]
@@ -135,38 +129,25 @@ def _merged(spark: SparkSession, paths: list[str]) -> T.StructType:
 
 
 def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
-    # One listing serves the roll-up and the footer sample. It is spread over the
-    # cores whatever the file sizes, in a session of its own so that the scan
-    # setting cannot reach the data reads.
-    lister = child_session(context.engine, _LISTING_CONF)
     suffixes = slices_for(source, context.mode)
-    prefix = Prefix(lister, source.location, suffixes, source.file_pattern)
-    matched = prefix.files().persist()
-    try:
-        rollup = segment_rollup(matched, suffixes).orderBy("segment").collect()
-        segments = [
-            {key: row[key] for key in ("path_suffix", "file_count", "total_bytes")}
-            for row in rollup
-        ]
-        if not any(segment["file_count"] for segment in segments):
-            reason = "no Parquet files matched the location"
-            if source.skip_missing:
-                return SourcePlan(segments=segments, skip_reason=reason)
-            raise SourceError(reason)
-        named = named_files(matched) if source.file_pattern else None
-        if context.declared is not None:
+    prefix = Prefix(context.engine, source.location, suffixes, source.file_pattern)
+    with one_partition_per_core(context.engine):
+        # One listing serves the sums, the file names and the footer sample.
+        matched = prefix.files().persist()
+        try:
+            segments = _segments(matched, suffixes)
+            if not any(segment["file_count"] for segment in segments):
+                reason = "no Parquet files matched the location"
+                if source.skip_missing:
+                    return SourcePlan(segments=segments, skip_reason=reason)
+                raise SourceError(reason)
+            prefix.named = named_files(matched) if source.file_pattern else None
             schema = context.declared
-        else:
-            schema = footer_schema(newest_files(matched, source.infer_max_files))
-    finally:
-        matched.unpersist()
-    total_bytes = sum(segment["total_bytes"] for segment in segments)
-    cores = context.engine.sparkContext.defaultParallelism
-    copier = child_session(
-        context.engine,
-        {"spark.sql.files.maxPartitionBytes": str(copy_split_bytes(total_bytes, cores))},
-    )
-    prefix = Prefix(copier, source.location, suffixes, source.file_pattern, named)
+            if schema is None:
+                schema = footer_schema(newest_files(matched, source.infer_max_files))
+        finally:
+            matched.unpersist()
+    size_copy_splits(context.engine, sum(segment["total_bytes"] for segment in segments))
 
     def rows(table_schema: T.StructType) -> DataFrame:
         # Rows come as the files hold them, so nested names keep the files' spelling;
@@ -186,4 +167,19 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
     )
 
 
+def _segments(matched: DataFrame, suffixes: tuple[str, ...]) -> list[dict]:
+    sums = {row["segment"]: row for row in segment_sums(matched).collect()}
+    segments = []
+    for number, suffix in enumerate(suffixes):
+        found = sums.get(number)
+        segments.append(
+            {
+                "path_suffix": suffix,
+                "file_count": found["file_count"] if found else 0,
+                "total_bytes": found["total_bytes"] if found else 0,
+            }
+        )
+    return segments
+
+
 register_source(PrefixSource, plan_prefix)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from typing import Any
@@ -53,7 +53,11 @@ class SyncResult:
 
 
 def sync(
-    spark: SparkSession, spec: SyncSpec, *, sleep: Callable[[float], None] = time.sleep
+    spark: SparkSession,
+    spec: SyncSpec,
+    *,
+    functions: Mapping[str, Any] | None = None,
+    sleep: Callable[[float], None] = time.sleep,
 ) -> SyncResult:
     """Bring the managed table in step with its source.
 
@@ -62,10 +66,11 @@ def sync(
     Every run ends in the run log, failed and skipped ones too; a failure leaves
     the version before it live and is raised.
 
-    Loaded rows are not checked against the delete predicate: slices that bring
+    ``functions`` are session functions (names and UDFs) that the delete predicate or
+    column expressions call. Loaded rows are not checked against the delete predicate: slices that bring
     rows outside it add duplicates run after run.
     """
-    engine = engine_session(spark)
+    engine = engine_session(spark, functions)
     table = ManagedTable(engine, spec.table_location)
     view = View(table)
     result = SyncResult(
@@ -128,13 +133,15 @@ class SyncPlan:
     view_columns: list[ViewColumn] = field(default_factory=list)
 
 
-def plan(spark: SparkSession, spec: SyncSpec) -> SyncPlan:
+def plan(
+    spark: SparkSession, spec: SyncSpec, *, functions: Mapping[str, Any] | None = None
+) -> SyncPlan:
     """Plan a run and check its schema without touching the table, view or run log.
 
     A SQL source stages its result (and a table source with an export location
     exports) while planning, just as the run would.
     """
-    engine = engine_session(spark)
+    engine = engine_session(spark, functions)
     table = ManagedTable(engine, spec.table_location)
     result = SyncResult(uuid.uuid4().hex, spec.target, spec.table_location)
     exists = table.exists()

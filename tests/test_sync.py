@@ -481,6 +481,21 @@ def test_evolve_without_loading(spark, setup):
         evolve(spark, spec.table_location, required)
 
 
+def test_session_functions(spark, setup):
+    doubled = F.udf(lambda value: value * 2, "int")
+    given = {"doubled": doubled}
+    columns = (
+        ColumnSpec("OrderID", "int", expression='doubled("OrderID")'),
+        ColumnSpec("EventDate", "string"),
+    )
+    spec = setup(columns=columns, incremental_predicate='doubled("OrderID") = 4')
+    for _ in range(2):
+        result = sync(spark, spec, functions=given)
+    assert result.rows_deleted == 1
+    view = read_view(spark, spec.table_location, given)
+    assert [row[0] for row in bag(view)] == [2, 4]
+
+
 def test_plan_touches_nothing(spark, setup, write, tmp_path):
     import os
 
