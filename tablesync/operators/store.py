@@ -6,15 +6,17 @@ version *n*; the highest number is the head. A run writes its files first and
 publishes last, in one put-if-absent, so readers see all of a run or nothing and
 of two concurrent runs one gets :class:`PublishConflict`.
 
-A version lists a directory by name alone while all of its files are live, and
-by file names once some of them were replaced, so its size follows the number of
-runs and of partly replaced directories rather than the number of files.
+A version lists directories, each with the names of the files that later runs
+replaced. Reading lists the directories and leaves those files out by a filter on
+the file name, which Spark applies while planning the scan: they are never opened.
+The record grows with runs and replaced files, not with the files of the table.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,35 +25,32 @@ from pyspark.sql import types as T
 
 from ..errors import PublishConflict, SchemaError
 from ..session import Files, literal_path
-from ..sources.listing import list_files
 from .load import keep_filter
 
 
+_PART = T.StructType(
+    [
+        T.StructField("directory", T.StringType()),
+        T.StructField("file_count", T.LongType()),
+        T.StructField("removed", T.ArrayType(T.StringType())),
+    ]
+)
 _RECORD = T.StructType(
     [
         T.StructField("number", T.LongType()),
         T.StructField("published_at", T.StringType()),
-        T.StructField(
-            "parts",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("directory", T.StringType()),
-                        T.StructField("files", T.ArrayType(T.StringType())),
-                    ]
-                )
-            ),
-        ),
+        T.StructField("parts", T.ArrayType(_PART)),
     ]
 )
 
 
 @dataclass(frozen=True)
 class Part:
-    """A data directory; ``files`` is None while every file in it is live."""
+    """A data directory: how many files were written there, and which are dead."""
 
     directory: str
-    files: tuple[str, ...] | None = None
+    file_count: int
+    removed: frozenset[str] = frozenset()
 
 
 @dataclass(frozen=True)
@@ -70,7 +69,11 @@ class Version:
                 "published_at": self.published_at,
                 "schema": self.schema.jsonValue(),
                 "parts": [
-                    {"directory": part.directory, "files": part.files and list(part.files)}
+                    {
+                        "directory": part.directory,
+                        "file_count": part.file_count,
+                        "removed": sorted(part.removed),
+                    }
                     for part in self.parts
                 ],
             }
@@ -85,7 +88,7 @@ class Version:
             record["published_at"],
             T.StructType.fromJson(record["schema"]),
             tuple(
-                Part(part["directory"], part["files"] and tuple(part["files"]))
+                Part(part["directory"], part["file_count"], frozenset(part["removed"]))
                 for part in record["parts"]
             ),
         )
@@ -163,17 +166,18 @@ class ManagedTable:
         bind by name at every depth, new ones are NULL, narrower ones widen.
         """
         version = version or self.head()
-        return self._read(version.parts, version.schema)
+        removed = [name for part in version.parts for name in part.removed]
+        rows = self._scan([part.directory for part in version.parts], version.schema)
+        return rows.where(f"NOT ({_named(removed)})") if removed else rows
 
-    def _read(self, parts: tuple[Part, ...], schema: T.StructType) -> DataFrame:
-        paths = [path for part in parts for path in self._paths(part)]
+    def _scan(self, directories: Iterable[str], schema: T.StructType) -> DataFrame:
+        paths = [literal_path(self._path(directory)) for directory in directories]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*map(literal_path, paths))
+        return self.spark.read.schema(schema).parquet(*paths)
 
-    def _paths(self, part: Part) -> list[str]:
-        root = f"{self.location}/data/{part.directory}"
-        return [root] if part.files is None else [f"{root}/{name}" for name in part.files]
+    def _path(self, directory: str) -> str:
+        return f"{self.location}/data/{directory}"
 
     def write(self, frame: DataFrame, directory: str) -> Part:
         """Write rows to a new, still unpublished, data directory.
@@ -184,13 +188,12 @@ class ManagedTable:
         reads the directory before a version names it, and a failed write is
         discarded whole.
         """
-        writer = frame.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-        writer.parquet(f"{self.location}/data/{directory}")
-        return Part(directory)
+        frame.write.options(**_WRITE_OPTIONS).parquet(self._path(directory))
+        return Part(directory, self._files.count(self._path(directory)))
 
     def discard(self, directory: str) -> None:
         """Remove a directory that was never published."""
-        self._files.delete(f"{self.location}/data/{directory}")
+        self._files.delete(self._path(directory))
 
     # --- delete ---------------------------------------------------------------
 
@@ -204,62 +207,26 @@ class ManagedTable:
         """
         if not predicate:
             return Deletion((), None)
-        path = F.col("_metadata.file_path")
-        hits = self.read(version).where(F.expr(predicate)).groupBy(path.alias("path"))
-        deleted = {
-            _file_key(row["path"]): row["n"] for row in hits.agg(F.count("*").alias("n")).collect()
-        }
-        if not deleted:
+        hit_rows = _rows_per_file(self.read(version).where(F.expr(predicate)))
+        if not hit_rows:
             return Deletion(version.parts, None)
-        hit_parts = _as_parts(deleted)
-        totals = self._read(hit_parts, version.schema).groupBy(path.alias("path"))
-        partly = [
-            key
-            for key, rows in (
-                (_file_key(row["path"]), row["n"])
-                for row in totals.agg(F.count("*").alias("n")).collect()
-            )
-            if rows > deleted[key]
-        ]
+        all_rows = _rows_per_file(self._pick(hit_rows, version.schema))
+        partly = [file for file, rows in all_rows.items() if rows > hit_rows[file]]
         rewritten = None
         if partly:
-            rewritten = self._read(_as_parts(partly), version.schema).where(keep_filter(predicate))
+            rewritten = self._pick(partly, version.schema).where(keep_filter(predicate))
         return Deletion(
-            self._without(version, hit_parts),
+            _without(version.parts, hit_rows),
             rewritten,
-            len(deleted) - len(partly),
+            len(hit_rows) - len(partly),
             len(partly),
-            sum(deleted.values()),
+            sum(hit_rows.values()),
         )
 
-    def _without(self, version: Version, gone: tuple[Part, ...]) -> tuple[Part, ...]:
-        removed = {part.directory: set(part.files) for part in gone}
-        unlisted = [
-            part.directory
-            for part in version.parts
-            if part.files is None and part.directory in removed
-        ]
-        listed = self._list(unlisted)
-        kept = []
-        for part in version.parts:
-            if part.directory not in removed:
-                kept.append(part)
-                continue
-            names = part.files if part.files is not None else listed[part.directory]
-            rest = tuple(name for name in names if name not in removed[part.directory])
-            if rest:
-                kept.append(Part(part.directory, rest))
-        return tuple(kept)
-
-    def _list(self, directories: list[str]) -> dict[str, list[str]]:
-        """Names of the (non-empty) files in some data directories, by a Spark job."""
-        listed: dict[str, list[str]] = {name: [] for name in directories}
-        if directories:
-            paths = [f"{self.location}/data/{name}" for name in directories]
-            for row in list_files(self.spark, *paths).select("path").collect():
-                directory, name = _file_key(row["path"])
-                listed[directory].append(name)
-        return listed
+    def _pick(self, files: Iterable[tuple[str, str]], schema: T.StructType) -> DataFrame:
+        """Rows of some (directory, name) files only."""
+        directories = sorted({directory for directory, _ in files})
+        return self._scan(directories, schema).where(_named(name for _, name in files))
 
     # --- retention ------------------------------------------------------------
 
@@ -286,58 +253,70 @@ class ManagedTable:
             return {"versions": 0, "directories": 0, "files": 0}
         # Data goes first and the records last: a run that is cut short is simply
         # repeated by the next one.
-        parts = records.select(
-            (F.col("number") > max(expired)).alias("live"), F.inline("parts")
-        )
-        files = 0
-        for row in self._unreferenced(parts).toLocalIterator():
-            self._files.delete(f"{self.location}/data/{row['directory']}/{row['name']}")
-            files += 1
-        directories = self._directories(parts.where("NOT live"), parts.where("live"))
-        for directory in directories:
+        live = F.col("number") > max(expired)
+        parts = records.select("number", live.alias("live"), F.inline("parts")).persist()
+        try:
+            files = 0
+            for row in _dead_files(parts).toLocalIterator():
+                self._files.delete(f"{self._path(row['directory'])}/{row['name']}")
+                files += 1
+            ends = parts.groupBy("directory").agg(F.max("live").alias("live"))
+            dead = [row["directory"] for row in ends.where("NOT live").collect()]
+        finally:
+            parts.unpersist()
+        for directory in dead:
             self.discard(directory)
         for number in expired:
             self._files.delete(self._record(number))
-        return {"versions": len(expired), "directories": len(directories), "files": files}
-
-    def _directories(self, these: DataFrame, but_not: DataFrame) -> list[str]:
-        left = these.select("directory").distinct()
-        rows = left.join(but_not.select("directory"), "directory", "left_anti").collect()
-        return sorted(row["directory"] for row in rows)
-
-    def _unreferenced(self, parts: DataFrame) -> DataFrame:
-        """Files, in directories that are live in part, that no live version names.
-
-        Only directories an expired version used are looked at, and never one that a
-        live version holds whole.
-        """
-        live = parts.where("live")
-        whole = live.where("files IS NULL")
-        partial = self._directories(live.where("files IS NOT NULL"), whole)
-        unused_before = set(self._directories(live, parts.where("NOT live")))
-        paths = [
-            f"{self.location}/data/{name}" for name in partial if name not in unused_before
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], "directory string, name string")
-        pieces = F.split("path", "/")
-        stored = list_files(self.spark, *paths).select(
-            F.element_at(pieces, -2).alias("directory"), F.element_at(pieces, -1).alias("name")
-        )
-        named = live.select("directory", F.explode("files").alias("name"))
-        return stored.join(named, ["directory", "name"], "left_anti")
-
-
-def _file_key(path: str) -> tuple[str, str]:
-    directory, name = path.rsplit("/", 2)[-2:]
-    return directory, name
+        return {"versions": len(expired), "directories": len(dead), "files": files}
+
+
+_WRITE_OPTIONS = {
+    "mapreduce.fileoutputcommitter.algorithm.version": "2",
+    "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
+}
+
+
+def _dead_files(parts: DataFrame) -> DataFrame:
+    """Files every live version holding their directory has removed, and that some
+    expired version still had (the others are gone already)."""
+    versions = parts.groupBy("directory").agg(
+        F.count_if("live").alias("live"), F.count_if(~F.col("live")).alias("expired")
+    )
+    named = parts.select("directory", "live", F.explode("removed").alias("name"))
+    removals = named.groupBy("directory", "name").agg(
+        F.count_if("live").alias("live_removed"), F.count_if(~F.col("live")).alias("old_removed")
+    )
+    return (
+        removals.join(versions, "directory")
+        .where("live > 0 AND live_removed = live AND old_removed < expired")
+        .select("directory", "name")
+    )
+
+
+def _rows_per_file(rows: DataFrame) -> dict[tuple[str, str], int]:
+    path = F.col("_metadata.file_path").alias("path")
+    counted = rows.groupBy(path).agg(F.count("*").alias("n")).collect()
+    return {tuple(row["path"].rsplit("/", 2)[-2:]): row["n"] for row in counted}
+
+
+def _without(parts: tuple[Part, ...], gone: Iterable[tuple[str, str]]) -> tuple[Part, ...]:
+    """The parts with some more files dead; a directory without live files is dropped."""
+    dead: dict[str, set[str]] = {}
+    for directory, name in gone:
+        dead.setdefault(directory, set()).add(name)
+    kept = [
+        replace(part, removed=part.removed | dead.get(part.directory, frozenset()))
+        for part in parts
+    ]
+    return tuple(part for part in kept if len(part.removed) < part.file_count)
 
 
-def _as_parts(keys) -> tuple[Part, ...]:
-    grouped: dict[str, list[str]] = {}
-    for directory, name in keys:
-        grouped.setdefault(directory, []).append(name)
-    return tuple(Part(directory, tuple(sorted(names))) for directory, names in grouped.items())
+def _named(names: Iterable[str]) -> str:
+    """A condition on the file name. It is one SQL text because literals passed one
+    by one would each be a call to the JVM."""
+    listed = ", ".join("'" + name.replace("'", "\\'") + "'" for name in names)
+    return f"_metadata.file_name IN ({listed})"
 
 
 def _now() -> str:

@@ -123,6 +123,10 @@ class Files:
             return []
         return sorted(status.getPath().getName() for status in self._fs.listStatus(target))
 
+    def count(self, path: str) -> int:
+        """Number of files below ``path``."""
+        return self._fs.getContentSummary(self._path(path)).getFileCount()
+
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:
