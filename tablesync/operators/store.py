@@ -232,17 +232,24 @@ class ManagedTable:
 
     def expire(self, retention_days: float = 7, now: datetime | None = None) -> dict[str, int]:
         """Forget versions replaced more than ``retention_days`` ago and delete the
-        files only they used.
+        files only they used, and what interrupted runs left behind.
 
         The head always stays. A version's age counts from when it was replaced,
-        so time travel inside the retention window keeps working.
+        so time travel inside the retention window keeps working. A directory no
+        version names may belong to a run in progress, so it is kept for a day at
+        least.
         """
-        limit = (now or datetime.now(UTC)) - timedelta(days=retention_days)
+        now = now or datetime.now(UTC)
+        limit = now - timedelta(days=retention_days)
+        done = {"versions": 0, "directories": 0, "files": 0, "unpublished": 0}
         if not self.exists():
-            return {"versions": 0, "directories": 0, "files": 0}
+            return done
         records = self.spark.read.schema(_RECORD).option("multiLine", True).json(
             literal_path(self._versions)
         )
+        done["unpublished"] = self._discard_unpublished(
+            records, now - timedelta(days=max(retention_days, 1))
+        )
         published = sorted(records.select("number", "published_at").collect())
         expired = []
         for record, successor in zip(published, published[1:]):
@@ -250,16 +257,15 @@ class ManagedTable:
                 break
             expired.append(record["number"])
         if not expired:
-            return {"versions": 0, "directories": 0, "files": 0}
+            return done
         # Data goes first and the records last: a run that is cut short is simply
         # repeated by the next one.
         live = F.col("number") > max(expired)
         parts = records.select("number", live.alias("live"), F.inline("parts")).persist()
         try:
-            files = 0
             for row in _dead_files(parts).toLocalIterator():
                 self._files.delete(f"{self._path(row['directory'])}/{row['name']}")
-                files += 1
+                done["files"] += 1
             ends = parts.groupBy("directory").agg(F.max("live").alias("live"))
             dead = [row["directory"] for row in ends.where("NOT live").collect()]
         finally:
@@ -268,7 +274,28 @@ class ManagedTable:
             self.discard(directory)
         for number in expired:
             self._files.delete(self._record(number))
-        return {"versions": len(expired), "directories": len(dead), "files": files}
+        return done | {"versions": len(expired), "directories": len(dead)}
+
+    def expiry_is_due(self, retention_days: float) -> bool:
+        """Whether the oldest version was replaced before the retention window."""
+        numbers = self.version_numbers()
+        if len(numbers) < 2:
+            return False
+        replaced = datetime.fromisoformat(self.version(numbers[1]).published_at)
+        return replaced < datetime.now(UTC) - timedelta(days=retention_days)
+
+    def _discard_unpublished(self, records: DataFrame, before: datetime) -> int:
+        named = records.select(F.explode("parts.directory").alias("directory")).distinct()
+        known = {row["directory"] for row in named.collect()}
+        old = [
+            name
+            for name in self._files.names(f"{self.location}/data")
+            if name not in known
+            and self._files.modified(self._path(name)) < before.timestamp()
+        ]
+        for name in old:
+            self.discard(name)
+        return len(old)
 
 
 _WRITE_OPTIONS = {

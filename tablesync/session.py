@@ -127,6 +127,10 @@ class Files:
         """Number of files below ``path``."""
         return self._fs.getContentSummary(self._path(path)).getFileCount()
 
+    def modified(self, path: str) -> float:
+        """Modification time in epoch seconds."""
+        return self._fs.getFileStatus(self._path(path)).getModificationTime() / 1000
+
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:

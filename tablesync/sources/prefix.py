@@ -77,8 +77,11 @@ class Prefix:
         """
         if self.pattern:
             copies = self.named if self.named is not None else named_files(self.files())
+            names = [path for path, _ in copies]
+            if schema is None and all(count == 1 for _, count in copies):
+                return _merging_scan(self.spark, names)
             paths = [path for path, count in copies for _ in range(count)]
-            return _reader(self.spark, schema or _merged(self.spark, [p for p, _ in copies]))(paths)
+            return _reader(self.spark, schema or _merged(self.spark, names))(paths)
         chosen = [suffix for suffix in self.suffixes if suffix in self.present]
         layers = [chosen]
         if len(covering(chosen)) < len(chosen):

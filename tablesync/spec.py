@@ -208,7 +208,9 @@ class SyncSpec:
     """One managed table and the source it follows.
 
     ``target`` names the view (``name``, ``schema.name`` or ``db.schema.name``). The
-    table lives at ``location``, by default ``<warehouse>/<target parts>``.
+    table lives at ``location``, by default ``<warehouse>/<target parts>``. Versions
+    replaced more than ``retention_days`` ago are removed after a successful run (None
+    keeps them all).
     """
 
     target: str
@@ -222,6 +224,7 @@ class SyncSpec:
     columns: tuple[ColumnSpec, ...] = ()
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    retention_days: float | None = 7
     retry: RetryPolicy = field(default_factory=RetryPolicy)
     drop_created_on_failure: bool = True
     run_log: str | None = None
@@ -237,6 +240,8 @@ class SyncSpec:
             raise SpecError("target is required")
         if not self.location and not self.warehouse:
             raise SpecError("location or warehouse is required")
+        if self.retention_days is not None and self.retention_days < 0:
+            raise SpecError("retention_days must be non-negative")
         if self.partition_by or self.cluster_by:
             raise SpecError("partition_by and cluster_by are not supported")
         names = [column.name for column in self.columns]

@@ -108,6 +108,7 @@ def sync(
             result.view_columns = view_columns(plan.schema, plan.expressions_at_load)
             view.create_or_replace(result.view_columns, plan.schema)
             result.status = "success"
+            _expire(table, spec, result)
     except Exception as error:
         result.status, result.error_message = "failure", str(error)
         _clean_up(table, spec, result, view_existed)
@@ -253,6 +254,16 @@ def _check_appended(plan: EvolutionPlan, stored: T.StructType) -> None:
         )
 
 
+def _expire(table: ManagedTable, spec: SyncSpec, result: SyncResult) -> None:
+    """Apply the retention. The run itself is done, so a problem here is only noted."""
+    days = spec.retention_days
+    try:
+        if days is not None and table.expiry_is_due(days):
+            result.cleanup["expired"] = table.expire(days)
+    except Exception as error:
+        result.cleanup["expiry_error"] = type(error).__name__
+
+
 def _clean_up(
     table: ManagedTable, spec: SyncSpec, result: SyncResult, view_existed: bool
 ) -> None:

@@ -76,6 +76,7 @@ def test_text_predicate_is_one_item():
         (lambda: spec(warehouse=None), "location or warehouse"),
         (lambda: spec(partition_by=("a",)), "partition_by"),
         (lambda: spec(cluster_by=("a",)), "cluster_by"),
+        (lambda: spec(retention_days=-1), "retention_days"),
         (lambda: spec(incremental_predicate="a = 1"), "both"),
         (lambda: spec(source=PrefixSource("/l", incremental_paths=["a"])), "both"),
         (lambda: spec(source=TableSource("/d", "t_*", incremental_predicates=["1"])), "both"),

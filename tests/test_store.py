@@ -110,7 +110,7 @@ def test_expire(table):
     assert table.expire(retention_days=7)["versions"] == 0
     later = datetime.now(UTC) + timedelta(days=8)
     done = table.expire(retention_days=7, now=later)
-    assert done == {"versions": 3, "directories": 1, "files": 1}
+    assert done == {"versions": 3, "directories": 1, "files": 1, "unpublished": 0}
     assert table.version_numbers() == [3]
     assert os.listdir(f"{table.location}/data") == ["first"]
     left = {n for n in os.listdir(f"{table.location}/data/first") if n.endswith(".parquet")}
@@ -126,6 +126,26 @@ def test_expire_keeps_what_an_unexpired_version_needs(table):
     assert table.read(table.version(1)).count() == 40
 
 
+def test_leftovers_of_interrupted_runs(table, engine):
+    """An unpublished directory is never read, and goes once it is old."""
+    table.write(engine.range(5), "crashed")
+    assert table.read().count() == 40
+    assert table.expire(retention_days=0)["unpublished"] == 0
+    later = datetime.now(UTC) + timedelta(days=8)
+    assert table.expire(retention_days=7, now=later)["unpublished"] == 1
+    assert os.listdir(f"{table.location}/data") == ["first"] and table.read().count() == 40
+
+
+def test_expire_again_deletes_nothing_twice(table):
+    apply(table, "id < 5", "second")
+    assert table.expire(retention_days=0)["files"] == 1
+    apply(table, "id < 20", "third")
+    assert table.expire(retention_days=0) == {
+        "versions": 1, "directories": 1, "files": 1, "unpublished": 0,
+    }
+    assert [row[0] for row in table.read().orderBy("id").collect()] == list(range(20, 40))
+
+
 def test_whole_directory_stays_one_entry(table):
     assert table.head().parts == (Part("first", 4),)
 
