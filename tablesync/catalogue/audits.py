@@ -118,7 +118,7 @@ class TableRows:
 
 def _plan_rows(context, source: TableRows) -> SourcePlan:
     frame = source.rows(context.engine)
-    return SourcePlan(schema=frame.schema, rows=lambda schema: frame)
+    return SourcePlan(schema=frame.schema, rows=lambda: frame)
 
 
 def custom_source(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,10 +14,10 @@ from ..errors import SourceError
 
 @dataclass
 class SourcePlan:
-    """One run's reading plan. ``rows`` is called with the table schema to load into."""
+    """One run's reading plan. ``rows`` makes the frame to load, once per attempt."""
 
     schema: T.StructType | None = None
-    rows: Callable[[T.StructType], DataFrame] | None = None
+    rows: Callable[[], DataFrame] | None = None
     segments: list[dict[str, Any]] = field(default_factory=list)
     job_references: list[dict[str, Any]] = field(default_factory=list)
     staging_reference: str | None = None

@@ -152,7 +152,7 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
             matched.unpersist()
     size_copy_splits(context.engine, sum(segment["total_bytes"] for segment in segments))
 
-    def rows(table_schema: T.StructType) -> DataFrame:
+    def rows() -> DataFrame:
         # Rows come as the files hold them, so nested names keep the files' spelling;
         # the conversion, or the projection by name, fits them to the table.
         frame = prefix.read()

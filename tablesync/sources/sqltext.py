@@ -6,7 +6,6 @@ import json
 import time
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 from ..functions.expressions import stable_digest
 from ..operators.load import check_file_types
@@ -113,7 +112,7 @@ def plan_sql(context: SourceContext, source: SqlSource) -> SourcePlan:
         segment["path"] = path
         jobs.append({"operation": "export", "path": path})
 
-    def rows(table_schema: T.StructType) -> DataFrame:
+    def rows() -> DataFrame:
         frame = staged
         if source.export_location:
             frame = read_export(staged, source.export_location, context.run_id)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,6 @@ from ..errors import SourceError
 from ..operators.load import check_file_types, convert
 from ..plans.modes import slices_for
 from ..plans.slices import (
-    NONE,
     PARTITION_DECORATOR,
     TABLE_SUFFIX,
     RangePartition,
@@ -110,6 +110,55 @@ def read_partitions(
     return reduce(DataFrame.unionAll, scans)
 
 
+@dataclass
+class _Slices:
+    """The slices of a source that exist, out of ``planned`` ones."""
+
+    planned: int
+    labels: list[str]
+    stored: T.StructType | None = None
+    rows: Callable[[], DataFrame] | None = None
+    each: Callable[[], list[DataFrame]] | None = None
+
+
+def _partition_slices(dataset: Dataset, source: TableSource, ids: Sequence[str]) -> _Slices:
+    if not dataset.exists(source.table):
+        return _Slices(len(ids), [])
+    table = dataset.read(source.table)
+    counts = partition_counts(table, source.partition, ids)
+    found = [name for name in ids if counts[name]]
+    return _Slices(
+        len(ids),
+        [f"{source.table}${name}" for name in found],
+        table.schema,
+        rows=lambda: read_partitions(table, source.partition, found),
+        each=lambda: [table.where(source.partition.condition(name)) for name in found],
+    )
+
+
+def _table_slices(
+    dataset: Dataset, source: TableSource, kind: str, suffixes: Sequence[str]
+) -> _Slices:
+    if kind == TABLE_SUFFIX:
+        names = [source.table[:-1] + suffix for suffix in suffixes]
+    elif is_wildcard(source.table):
+        names = dataset.tables(source.table[:-1])
+    else:
+        names = [source.table]
+    found = [name for name in names if dataset.exists(name)]
+    if not found:
+        return _Slices(len(names), [])
+    stored = dataset.read(found[0]).schema
+    fitted = normalise_inferred(stored)
+    return _Slices(
+        len(names),
+        found,
+        stored,
+        rows=lambda: dataset.read_shards(found),
+        each=lambda: [dataset.read(name).to(fitted) for name in found],
+    )
+
+
 def plan_table(context: SourceContext, source: TableSource) -> SourcePlan:
     dataset = Dataset(context.engine, source.dataset)
     predicates = slices_for(source, context.mode)
@@ -117,49 +166,35 @@ def plan_table(context: SourceContext, source: TableSource) -> SourcePlan:
         source.predicate_type, source.table, predicates, lambda: source.partition is not None
     )
     if kind == PARTITION_DECORATOR:
-        names = [f"{source.table}${name}" for name in predicates]
-        found = _existing_partitions(dataset, source, predicates)
+        slices = _partition_slices(dataset, source, predicates)
     else:
-        names = _table_names(dataset, source, kind, predicates)
-        found = [name for name in names if dataset.exists(name)]
-    missing = len(names) - len(found)
+        slices = _table_slices(dataset, source, kind, predicates)
+    missing = slices.planned - len(slices.labels)
     if missing and not source.skip_missing:
-        raise SourceError(f"{missing} of {len(names)} planned tables or partitions were not found")
-    if not found:
+        raise SourceError(f"{missing} of {slices.planned} planned tables or partitions not found")
+    if not slices.labels:
         reason = "no table or partition matched the plan"
         if source.skip_missing:
             return SourcePlan(skip_reason=reason)
         raise SourceError(reason)
 
-    if kind == PARTITION_DECORATOR:
-        table = dataset.read(source.table)
-        read = lambda: read_partitions(table, source.partition, found)
-        pieces = lambda: [table.where(source.partition.condition(p)) for p in found]
-        labels = [f"{source.table}${name}" for name in found]
-        stored = table.schema
-    else:
-        read = lambda: dataset.read_shards(found)
-        pieces = lambda: [
-            dataset.read(name).to(normalise_inferred(stored)) for name in found
-        ]
-        labels = list(found)
-        stored = dataset.read(found[0]).schema
-
     if context.declared is not None:
         schema = context.declared
     elif source.schema_fields is not None:
         schema = map_source_schema(source.schema_fields)
     else:
-        schema = normalise_inferred(stored)
-    segments = [{"table": label} for label in labels]
+        schema = normalise_inferred(slices.stored)
+    segments = [{"table": label} for label in slices.labels]
     jobs = []
     if source.export_location:
-        paths = export_slices(pieces(), source.export_location, context.run_id, source.compression)
-        segments = [{"table": label, "path": path} for label, path in zip(labels, paths)]
+        paths = export_slices(
+            slices.each(), source.export_location, context.run_id, source.compression
+        )
+        segments = [{"table": label, "path": path} for label, path in zip(slices.labels, paths)]
         jobs = [{"operation": "export", "path": path} for path in paths]
 
-    def rows(table_schema: T.StructType) -> DataFrame:
-        frame = read()
+    def rows() -> DataFrame:
+        frame = slices.rows()
         if source.export_location:
             frame = read_export(frame, source.export_location, context.run_id)
         if source.schema_fields is not None:
@@ -170,25 +205,6 @@ def plan_table(context: SourceContext, source: TableSource) -> SourcePlan:
     return SourcePlan(schema=schema, rows=rows, segments=segments, job_references=jobs)
 
 
-def _table_names(
-    dataset: Dataset, source: TableSource, kind: str, predicates: Sequence[str]
-) -> list[str]:
-    if kind == TABLE_SUFFIX:
-        return [source.table[:-1] + suffix for suffix in predicates]
-    if kind == NONE and is_wildcard(source.table):
-        return dataset.tables(source.table[:-1])
-    return [source.table]
-
-
-def _existing_partitions(
-    dataset: Dataset, source: TableSource, ids: Sequence[str]
-) -> list[str]:
-    if not dataset.exists(source.table):
-        return []
-    counts = partition_counts(dataset.read(source.table), source.partition, ids)
-    return [name for name in ids if counts[name]]
-
-
 def _without_expressions(schema: T.StructType) -> T.StructType:
     """Expressions of table sources belong to the view, not to the load."""
     return T.StructType([T.StructField(f.name, f.dataType, f.nullable) for f in schema.fields])

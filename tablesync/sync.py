@@ -230,7 +230,7 @@ def _load_once(
     if not full:
         _check_appended(evolution, head.schema)
     schema = evolution.schema
-    incoming = enforce_not_null(project_by_name(plan.rows(schema), schema), schema)
+    incoming = enforce_not_null(project_by_name(plan.rows(), schema), schema)
     deletion = table.delete(head, None if full else spec.incremental_predicate)
     if deletion.rewritten is not None:
         kept_rows = project_by_name(deletion.rewritten, schema)

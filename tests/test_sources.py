@@ -202,7 +202,7 @@ def dataset(write, tmp_path):
 )
 def test_shards(context, dataset, source, wanted):
     plan = plan_source(context(), TableSource(dataset, "events_*", **source))
-    frame = plan.rows(plan.schema).select("id", *(["v"] if "v" in plan.schema.names else []))
+    frame = plan.rows().select("id", *(["v"] if "v" in plan.schema.names else []))
     wanted = [row[: len(frame.columns)] for row in wanted]
     assert bag(frame) == sorted(wanted, key=str)
 
@@ -236,7 +236,7 @@ def test_catalog_tables(spark, context, rows):
     for day, value in (("20260101", 1), ("20260102", 2)):
         rows("id int", (value,)).write.mode("overwrite").saveAsTable(f"shop.clicks_{day}")
     plan = plan_source(context(), TableSource("shop", "clicks_*"))
-    assert bag(plan.rows(plan.schema)) == [(1,), (2,)]
+    assert bag(plan.rows()) == [(1,), (2,)]
     spark.sql("DROP DATABASE shop CASCADE")
 
 
@@ -256,12 +256,12 @@ def test_time_partitions(context, tmp_path):
                 str(root), "orders", partition=TimePartition(column), full_refresh_predicates=ids
             )
             plan = plan_source(context(), source)
-            assert [row[0] for row in bag(plan.rows(plan.schema))] == wanted
+            assert [row[0] for row in bag(plan.rows())] == wanted
     hours = TableSource(
         str(root), "orders", partition=TimePartition("t"), full_refresh_predicates=("2026013123",)
     )
     plan = plan_source(context(), hours)
-    assert [row[0] for row in bag(plan.rows(plan.schema))] == [1]
+    assert [row[0] for row in bag(plan.rows())] == [1]
 
 
 def test_partition_range_reaches_the_scan(engine, write, tmp_path):
@@ -284,7 +284,7 @@ def test_range_partitions(context, write, tmp_path):
             full_refresh_predicates=ids,
         )
         plan = plan_source(context(), source)
-        assert [row[0] for row in bag(plan.rows(plan.schema))] == wanted
+        assert [row[0] for row in bag(plan.rows())] == wanted
 
 
 def test_missing_partition(context, write, tmp_path):
@@ -303,7 +303,7 @@ def test_mapped_fields_convert(context, engine, tmp_path):
     frame.write.parquet(str(tmp_path / "d/t"))
     fields = ({"name": "at", "type": "TIMESTAMP"}, {"name": "amount", "type": "NUMERIC"})
     plan = plan_source(context(), TableSource(str(tmp_path / "d"), "t", schema_fields=fields))
-    loaded = plan.rows(plan.schema)
+    loaded = plan.rows()
     assert [kind for _, kind in loaded.dtypes] == ["timestamp_ntz", "decimal(38,9)"]
     assert str(loaded.first()[0]) == "2026-01-01 12:00:00"
 
@@ -319,7 +319,7 @@ def test_sql_sees_the_callers_views(spark, context, rows, tmp_path):
         full_refresh_predicates=("at = 'a'", "id = 3"),
     )
     plan = plan_source(context(), source)
-    assert bag(plan.rows(plan.schema)) == [(1, "a"), (3, None)]
+    assert bag(plan.rows()) == [(1, "a"), (3, None)]
 
 
 def test_staging_reuse(spark, context, rows, tmp_path):
@@ -327,7 +327,7 @@ def test_staging_reuse(spark, context, rows, tmp_path):
         values = {"sql": "SELECT * FROM changing", "staging_location": str(tmp_path / "s")}
         run_id = f"run{next(counter)}"
         plan = plan_source(context(run_id=run_id), SqlSource(**(values | changes)))
-        return len(plan.job_references), bag(plan.rows(plan.schema))
+        return len(plan.job_references), bag(plan.rows())
 
     counter = iter(range(100))
     rows("id int", (1,)).createOrReplaceTempView("changing")
@@ -380,7 +380,7 @@ def test_expired_builds_are_dropped(spark, context, rows, tmp_path, monkeypatch)
     rows("id int", (1,)).createOrReplaceTempView("built")
     source = SqlSource("SELECT * FROM built", str(tmp_path / "s"), reuse=False, staging_hours=0)
     first = plan_source(context(run_id="one"), source)
-    assert bag(first.rows(first.schema)) == [(1,)]
+    assert bag(first.rows()) == [(1,)]
     plan_source(context(run_id="two"), source)
     monkeypatch.setattr(module, "_GRACE_SECONDS", -1)
     plan_source(context(run_id="three"), source)

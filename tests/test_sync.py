@@ -266,7 +266,7 @@ class Racing:
 
 
 def _plan_racing(context, source):
-    def rows(schema):
+    def rows():
         if source.races:
             source.races -= 1
             table = ManagedTable(context.engine, source.location)
