@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 from typing import TypeVar
 
 from pyspark.sql import Column
@@ -87,21 +88,14 @@ class TimePartition:
 
     column: str
 
-    def condition(self, partition_id: str) -> Column:
-        column = F.col(quoted(self.column))
-        if partition_id == NULL_PARTITION:
-            return column.isNull()
-        # Text literals take the column's own type, so a date or a timestamp column
-        # is compared uncast and the range reaches the scan.
-        low, high = self.bounds(partition_id)
-        return (column >= F.lit(low)) & (column < F.lit(high))
-
-    def bounds(self, partition_id: str) -> tuple[str, str]:
-        forms = {4: "%Y", 6: "%Y%m", 8: "%Y%m%d", 10: "%Y%m%d%H"}
-        if not partition_id.isdigit() or len(partition_id) not in forms:
+    def span(self, partition_id: str) -> tuple[str, str]:
+        """First value of the partition and first value after it, as text: a text
+        literal takes the column's own type, so a date or timestamp column is compared
+        uncast and the range reaches the scan."""
+        if not partition_id.isdigit() or len(partition_id) not in _TIME_FORMS:
             raise SpecError(f"partition id {partition_id!r} is not YYYY[MM[DD[HH]]]")
         try:
-            low = datetime.strptime(partition_id, forms[len(partition_id)])
+            low = datetime.strptime(partition_id, _TIME_FORMS[len(partition_id)][0])
         except ValueError:
             raise SpecError(f"partition id {partition_id!r} is not a date") from None
         if len(partition_id) == 4:
@@ -112,11 +106,20 @@ class TimePartition:
             high = low + (timedelta(days=1) if len(partition_id) == 8 else timedelta(hours=1))
         return low.isoformat(" "), high.isoformat(" ")
 
+    def outside(self) -> Column:
+        raise SpecError(f"a time partition has no {OUTSIDE_PARTITION} rows")
+
     def overlap(self, one: str, other: str) -> bool:
         if NULL_PARTITION in (one, other):
             return one == other
         return one.startswith(other) or other.startswith(one)
 
+    def group(self, ids: Sequence[str]) -> tuple[Column, Column]:
+        """A grouping key fine enough for all ids, and the id text of a group."""
+        width = max((len(name) for name in ids if name.isdigit()), default=4)
+        _, unit, pattern = _TIME_FORMS[width]
+        return F.date_trunc(unit, quoted(self.column)), F.date_format("key", pattern)
+
 
 @dataclass(frozen=True)
 class RangePartition:
@@ -128,27 +131,61 @@ class RangePartition:
     end: int
     interval: int
 
-    def condition(self, partition_id: str) -> Column:
-        column = F.col(quoted(self.column))
-        if partition_id == NULL_PARTITION:
-            return column.isNull()
-        if partition_id == OUTSIDE_PARTITION:
-            return (column < self.start) | (column >= self.end)
-        low = self._low(partition_id)
-        return (column >= low) & (column < min(low + self.interval, self.end))
-
-    def _low(self, partition_id: str) -> int:
+    def span(self, partition_id: str) -> tuple[int, int]:
         try:
             low = int(partition_id)
         except ValueError:
             raise SpecError(f"partition id {partition_id!r} is not an integer") from None
         if not self.start <= low < self.end or (low - self.start) % self.interval:
             raise SpecError(f"partition id {partition_id} does not start a range")
-        return low
+        return low, min(low + self.interval, self.end)
+
+    def outside(self) -> Column:
+        column = F.col(quoted(self.column))
+        return (column < self.start) | (column >= self.end)
 
     def overlap(self, one: str, other: str) -> bool:
         return one == other
 
+    def group(self, ids: Sequence[str]) -> tuple[Column, Column]:
+        """The grouping key of a row (its range, or -1 outside all), and its id text."""
+        offset = F.col(quoted(self.column)).cast("bigint") - self.start
+        inside = offset - F.pmod(offset, F.lit(self.interval))
+        key = F.when(self.outside(), F.lit(-1)).otherwise(inside)
+        first = (F.col("key") + self.start).cast("string")
+        return key, F.when(F.col("key") == -1, F.lit(OUTSIDE_PARTITION)).otherwise(first)
+
+
+# Per length of a time id, how it parses, its unit and how it prints.
+_TIME_FORMS = {
+    4: ("%Y", "year", "yyyy"),
+    6: ("%Y%m", "month", "yyyyMM"),
+    8: ("%Y%m%d", "day", "yyyyMMdd"),
+    10: ("%Y%m%d%H", "hour", "yyyyMMddHH"),
+}
+
+
+def partition_condition(
+    partition: TimePartition | RangePartition, ids: Sequence[str]
+) -> Column:
+    """Rows of any of the partitions. Adjacent ranges are merged, so a run of days is
+    one range however long it is."""
+    column = F.col(quoted(partition.column))
+    conditions = []
+    if NULL_PARTITION in ids:
+        conditions.append(column.isNull())
+    if OUTSIDE_PARTITION in ids:
+        conditions.append(partition.outside())
+    spans: list[tuple] = []
+    special = (NULL_PARTITION, OUTSIDE_PARTITION)
+    for low, high in sorted(partition.span(name) for name in ids if name not in special):
+        if spans and low <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(high, spans[-1][1]))
+        else:
+            spans.append((low, high))
+    conditions += [(column >= F.lit(low)) & (column < F.lit(high)) for low, high in spans]
+    return reduce(lambda one, other: one | other, conditions)
+
 
 # --- multiplicity -------------------------------------------------------------
 

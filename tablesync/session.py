@@ -10,6 +10,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from typing import Any
 
@@ -113,8 +114,17 @@ class Files:
         return self._fs.exists(self._path(path))
 
     def is_dir(self, path: str) -> bool:
-        target = self._path(path)
-        return self._fs.exists(target) and self._fs.getFileStatus(target).isDirectory()
+        try:
+            return self._fs.getFileStatus(self._path(path)).isDirectory()
+        except Py4JJavaError as error:
+            if "FileNotFoundException" in error.java_exception.getClass().getName():
+                return False
+            raise
+
+    def directories(self, paths: list[str]) -> list[bool]:
+        """:meth:`is_dir` of many paths; the round trips overlap."""
+        with ThreadPoolExecutor(max_workers=16) as pool:
+            return list(pool.map(self.is_dir, paths))
 
     def names(self, path: str) -> list[str]:
         """Names directly under ``path``, sorted; empty when it does not exist."""

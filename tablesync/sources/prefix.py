@@ -41,8 +41,9 @@ class Prefix:
         self.pattern = pattern
         self._files = Files(spark, location)
         self.root = self._files.qualified(location.rstrip("/"))
-        present = [s for s in dict.fromkeys(suffixes) if self._files.is_dir(self._path(s))]
-        self.present = frozenset(present)
+        distinct = list(dict.fromkeys(suffixes))
+        found = self._files.directories([self._path(suffix) for suffix in distinct])
+        self.present = frozenset(s for s, there in zip(distinct, found) if there)
 
     def _path(self, suffix: str) -> str:
         return f"{self.root}/{suffix}" if suffix else self.root

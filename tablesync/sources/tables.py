@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +14,14 @@ from ..errors import SourceError
 from ..operators.load import check_file_types, convert
 from ..plans.modes import slices_for
 from ..plans.slices import (
+    NULL_PARTITION,
     PARTITION_DECORATOR,
     TABLE_SUFFIX,
     RangePartition,
     TimePartition,
     disjoint_layers,
     is_wildcard,
+    partition_condition,
     resolve_table_predicates,
 )
 from ..plans.types import map_source_schema, normalise_inferred
@@ -38,24 +40,27 @@ class Dataset:
         self.is_path = "/" in name
         self._files = Files(spark, name) if self.is_path else None
 
+    @cached_property
+    def _names(self) -> frozenset[str]:
+        """Everything directly under a path dataset, from one listing."""
+        return frozenset(self._files.names(self.name))
+
     def exists(self, table: str) -> bool:
         if self.is_path:
-            return self._files.exists(self.path(table))
+            return table in self._names or f"{table}.parquet" in self._names
         return self.spark.catalog.tableExists(f"{self.name}.{table}")
 
     def tables(self, prefix: str) -> list[str]:
         """Tables whose name starts with ``prefix``, by name."""
         if self.is_path:
-            names = [n.removesuffix(".parquet") for n in self._files.names(self.name)]
-            names = [name for name in names if name[:1] not in ("_", ".")]
+            names = {n.removesuffix(".parquet") for n in self._names if n[:1] not in ("_", ".")}
         else:
-            names = [table.name for table in self.spark.catalog.listTables(self.name)]
+            names = {table.name for table in self.spark.catalog.listTables(self.name)}
         return sorted(name for name in names if name.startswith(prefix))
 
     def path(self, table: str) -> str:
         """A table is a directory, or one ``<table>.parquet`` file or directory."""
-        path = f"{self.name}/{table}"
-        return path if self._files.exists(path) else f"{path}.parquet"
+        return f"{self.name}/{table if table in self._names else f'{table}.parquet'}"
 
     def read(self, table: str) -> DataFrame:
         if self.is_path:
@@ -90,23 +95,31 @@ class Dataset:
 def partition_counts(
     table: DataFrame, partition: TimePartition | RangePartition, ids: Sequence[str]
 ) -> dict[str, int]:
-    """Rows per partition id, in one pass over the partition column of those ids."""
-    conditions = {name: partition.condition(name) for name in dict.fromkeys(ids)}
-    anywhere = reduce(lambda one, other: one | other, conditions.values())
-    counts = table.where(anywhere).agg(
-        *(F.count_if(condition).alias(name) for name, condition in conditions.items())
+    """Rows per partition id, in one pass over the partition column of those ids.
+
+    Rows are grouped by the finest unit among the ids; a coarser time id is a prefix
+    of the finer ones it holds.
+    """
+    key, label = partition.group(ids)
+    counted = (
+        table.where(partition_condition(partition, ids))
+        .groupBy(key.alias("key"))
+        .agg(F.count("*").alias("n"))
+        .select(F.coalesce(label, F.lit(NULL_PARTITION)).alias("id"), "n")
+        .collect()
     )
-    return counts.first().asDict()
+    return {
+        name: sum(row["n"] for row in counted if partition.overlap(name, row["id"]))
+        for name in ids
+    }
 
 
 def read_partitions(
     table: DataFrame, partition: TimePartition | RangePartition, ids: Sequence[str]
 ) -> DataFrame:
     """Rows of the given partitions; ids that overlap yield their rows once per id."""
-    scans = []
-    for layer in disjoint_layers(ids, partition.overlap):
-        conditions = [partition.condition(name) for name in layer]
-        scans.append(table.where(reduce(lambda one, other: one | other, conditions)))
+    layers = disjoint_layers(ids, partition.overlap)
+    scans = [table.where(partition_condition(partition, layer)) for layer in layers]
     return reduce(DataFrame.unionAll, scans)
 
 
@@ -132,7 +145,7 @@ def _partition_slices(dataset: Dataset, source: TableSource, ids: Sequence[str])
         [f"{source.table}${name}" for name in found],
         table.schema,
         rows=lambda: read_partitions(table, source.partition, found),
-        each=lambda: [table.where(source.partition.condition(name)) for name in found],
+        each=lambda: [table.where(partition_condition(source.partition, [n])) for n in found],
     )
 
 

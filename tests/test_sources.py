@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync import RangePartition, SchemaError, SourceError, SqlSource, TableSource, TimePartition
+from tablesync.plans.slices import partition_condition
 from tablesync.session import engine_session
 from tablesync.sources import sqltext, tables  # noqa: F401
 from tablesync.sources.base import SourceContext, plan_source
 from tablesync.sources.export import export_slices, read_export
 from tablesync.sources.listing import covering, match_segments, normalise_suffix
 from tablesync.sources.prefix import Prefix
-from tablesync.sources.tables import Dataset
+from tablesync.sources.tables import Dataset, partition_counts
 
 
 @pytest.fixture(scope="module")
@@ -267,7 +268,7 @@ def test_time_partitions(context, tmp_path):
 def test_partition_range_reaches_the_scan(engine, write, tmp_path):
     write(tmp_path / "t", "k int, v int", (1, 1))
     frame = engine.read.parquet(str(tmp_path / "t")).where(
-        RangePartition("k", 0, 100, 10).condition("10")
+        partition_condition(RangePartition("k", 0, 100, 10), ["10"])
     )
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(k,10)" in plan and "LessThan(k,20)" in plan
@@ -287,6 +288,21 @@ def test_range_partitions(context, write, tmp_path):
         assert [row[0] for row in bag(plan.rows())] == wanted
 
 
+def test_partition_counts(engine, rows):
+    frame = engine.sql(
+        "SELECT TIMESTAMP_NTZ'2026-01-01 10:00:00' + make_interval(0,0,0,0,CAST(id AS int),0,0) AS t "
+        "FROM range(48) UNION ALL SELECT NULL"
+    )
+    ids = ["2026", "202602", "20260102", "2026010223", "__NULL__"]
+    assert list(partition_counts(frame, TimePartition("t"), ids).values()) == [48, 0, 24, 1, 1]
+    numbers = engine.sql("SELECT id - 5 AS k FROM range(30) UNION ALL SELECT NULL")
+    ids = ["0", "10", "__UNPARTITIONED__", "__NULL__"]
+    partition = RangePartition("k", 0, 20, 10)
+    assert list(partition_counts(numbers, partition, ids).values()) == [10, 10, 10, 1]
+    dates = engine.sql("SELECT DATE'2026-03-01' + CAST(id AS int) AS d FROM range(40)")
+    assert list(partition_counts(dates, TimePartition("d"), ["202603", "20260409"]).values()) == [31, 1]
+
+
 def test_missing_partition(context, write, tmp_path):
     write(tmp_path / "d/t", "k int", (1,))
     values = {"partition": RangePartition("k", 0, 100, 10), "full_refresh_predicates": ("0", "50")}

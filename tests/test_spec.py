@@ -18,6 +18,7 @@ from tablesync import (
 from tablesync.plans.modes import effective_mode, retry_delay, slices_for
 from tablesync.plans.slices import (
     disjoint_layers,
+    partition_condition,
     resolve_sql_predicates,
     resolve_table_predicates,
     suffixes_overlap,
@@ -247,19 +248,27 @@ def test_one_wildcard_only(table):
     ],
 )
 def test_time_bounds(name, low, high):
-    assert TimePartition("ts").bounds(name) == (low, high)
+    assert TimePartition("ts").span(name) == (low, high)
 
 
 @pytest.mark.parametrize("name", ["20240230", "2024-01", "24", "abcd", "202413"])
 def test_time_id_rejected(name):
     with pytest.raises(SpecError):
-        TimePartition("ts").bounds(name)
+        TimePartition("ts").span(name)
 
 
 @pytest.mark.parametrize("name", ["x", "5", "100", "-10"])
-def test_range_id_rejected(spark, name):
+def test_range_id_rejected(name):
     with pytest.raises(SpecError):
-        RangePartition("k", 0, 100, 10).condition(name)
+        RangePartition("k", 0, 100, 10).span(name)
+
+
+def test_adjacent_ranges_merge(spark):
+    days = [f"202401{day:02d}" for day in (3, 1, 2, 9)]
+    text = str(partition_condition(TimePartition("ts"), [*days, "__NULL__"])._jc)
+    assert text.count(">=") == 2 and "2024-01-04" in text and "2024-01-02" not in text
+    with pytest.raises(SpecError):
+        partition_condition(TimePartition("ts"), ["__UNPARTITIONED__"])
 
 
 def test_layers():
