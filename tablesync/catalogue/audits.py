@@ -192,7 +192,9 @@ def tolerant_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string")
     )
     return events.select(
-        "event_id", try_number(text).alias("as_number"), try_double(text).alias("as_double")
+        "event_id",
+        try_number(text).cast("bigint").alias("as_number"),
+        try_double(text).alias("as_double"),
     )
 
 
@@ -291,7 +293,7 @@ ORACLE = {
         "strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS tokyo FROM events"
     ),
     "tolerant_numbers": (
-        "SELECT event_id, TRY_CAST(t AS DECIMAL(38, 0)) AS as_number, "
+        "SELECT event_id, CAST(TRY_CAST(t AS DECIMAL(38, 0)) AS BIGINT) AS as_number, "
         "TRY_CAST(t AS DOUBLE) AS as_double FROM (SELECT event_id, CASE WHEN event_type = 'error' "
         "THEN event_type ELSE CAST(user_id AS VARCHAR) END AS t FROM events)"
     ),

@@ -184,7 +184,7 @@ def view_expression_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
             "AmountText", "VARCHAR", alias="amount", expression='try_cast("AmountText" AS DOUBLE)'
         ),
         ColumnSpec(
-            "HTTPCustomerKey", "bigint", expression='CAST("HTTPCustomerKey" AS DECIMAL(20, 0))'
+            "HTTPCustomerKey", "bigint", expression='CAST("HTTPCustomerKey" AS STRING)'
         ),
     )
     source = PrefixSource(camel_orders(spark, sf_dir))
@@ -208,7 +208,14 @@ def full_ingest_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "ingest", source=source, incremental_predicate=None, columns=columns
     )
     sync(spark, spec)
-    return read_view(spark, spec.location)
+    view = read_view(spark, spec.location)
+    return view.withColumns(
+        {
+            "order_id": F.col("order_id").cast("bigint"),
+            "order_date": F.col("order_date").cast("string"),
+            "loaded_types": F.lit(",".join(kind for _, kind in view.dtypes)),
+        }
+    )
 
 
 def load_by_name_case_sensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,7 +332,7 @@ EVOLUTIONS: dict[str, tuple] = {
                 _field("o_totalprice", "price", "decimal(20,2)"),
             ).alias("payload")
         ],
-        {"item_count": "payload.item_count", "price": "payload.price"},
+        {"item_count": "payload.item_count", "price": "CAST(payload.price AS DOUBLE)"},
     ),
     "evolve_nested_keep_missing": (
         _alpha_beta,
@@ -478,12 +485,13 @@ ORACLE = {
     ),
     "view_expression_try_cast": (
         f"SELECT o_orderkey AS order_id, TRY_CAST({_AMOUNT} AS DOUBLE) AS amount, "
-        "CAST(o_custkey AS DECIMAL(20, 0)) AS http_customer_key FROM orders"
+        "CAST(o_custkey AS VARCHAR) AS http_customer_key FROM orders"
     ),
     "full_ingest_expression": (
-        "SELECT CAST(o_orderkey AS DECIMAL(38, 0)) AS order_id, "
-        f"TRY_CAST({_AMOUNT} AS DOUBLE) AS amount, CAST(o_orderdate AS DATE) AS order_date, "
-        "CAST(NULL AS BIGINT) AS not_in_files FROM orders"
+        f"SELECT o_orderkey AS order_id, TRY_CAST({_AMOUNT} AS DOUBLE) AS amount, "
+        "CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date, "
+        "CAST(NULL AS BIGINT) AS not_in_files, "
+        "'decimal(38,0),double,date,bigint' AS loaded_types FROM orders"
     ),
     "load_by_name_case_sensitive": (
         "SELECT o_totalprice, CAST(NULL AS BIGINT) AS wrong_case, o_orderkey FROM orders"
@@ -512,8 +520,8 @@ ORACLE = {
         "SELECT o_orderkey, o_orderpriority AS alpha, o_custkey AS beta FROM orders"
     ),
     "evolve_nested_widen": (
-        "SELECT o_orderkey, o_custkey AS item_count, CAST(o_totalprice AS DECIMAL(20, 2)) AS price "
-        "FROM orders"
+        "SELECT o_orderkey, o_custkey AS item_count, "
+        "CAST(CAST(o_totalprice AS DECIMAL(20, 2)) AS DOUBLE) AS price FROM orders"
     ),
     "evolve_nested_keep_missing": (
         "SELECT o_orderkey, o_orderpriority AS alpha, "

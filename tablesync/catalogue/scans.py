@@ -153,9 +153,13 @@ MAPPED_FIELDS = (
 
 
 def type_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` loaded under a mapped source schema."""
+    """``events`` loaded under a mapped source schema, with the type each column got."""
     source = TableSource(sf_dir, "events", schema_fields=MAPPED_FIELDS)
-    return synced_table(spark, "mapped", source)
+    loaded = synced_table(spark, "mapped", source)
+    types = ",".join(kind for _, kind in loaded.dtypes)
+    return loaded.withColumns(
+        {"value": F.col("value").cast("double"), "loaded_types": F.lit(types)}
+    )
 
 
 # --- SQL ----------------------------------------------------------------------
@@ -174,7 +178,8 @@ def _join_sql(sf_dir: str) -> str:
 
 def select_join_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = SqlSource(_join_sql(sf_dir), scratch_dir(spark, "staging"))
-    return synced_table(spark, "join_agg", source)
+    joined = synced_table(spark, "join_agg", source)
+    return joined.withColumn("revenue", F.col("revenue").cast("double"))
 
 
 def select_where_or(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,13 +370,14 @@ ORACLE = {
     ),
     "partition_pruned": "SELECT * FROM customer",
     "type_mapping": (
-        "SELECT event_id, ts, user_id, event_type, CAST(value AS DECIMAL(38, 9)) AS value, props "
-        "FROM events"
+        "SELECT event_id, ts, user_id, event_type, "
+        "CAST(CAST(value AS DECIMAL(38, 9)) AS DOUBLE) AS value, props, "
+        "'bigint,timestamp_ntz,bigint,string,decimal(38,9),string' AS loaded_types FROM events"
     ),
     "select_join_agg": (
         "SELECT c_mktsegment AS segment, CAST(year(o_orderdate) AS INTEGER) AS order_year, "
         "count(*) AS order_count, "
-        "CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DECIMAL(38, 2)) AS revenue "
+        "CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS revenue "
         "FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"
     ),
     "select_where_or": (

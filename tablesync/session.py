@@ -20,11 +20,17 @@ from pyspark.sql import SparkSession
 from .errors import PublishConflict, SpecError
 
 # Name matching on load is case-sensitive, predicates may quote identifiers with
-# double quotes, and timestamps are UTC wall-clock values.
+# double quotes (which needs ANSI mode, as do casts that fail rather than lose a
+# value), timestamps are UTC wall-clock values, stored so that they have statistics
+# to prune by, and a file that is missing or corrupt is an error, not an omission.
 ENGINE_CONF = {
-    "spark.sql.caseSensitive": "true",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.ansi.doubleQuotedIdentifiers": "true",
+    "spark.sql.caseSensitive": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.files.ignoreCorruptFiles": "false",
+    "spark.sql.files.ignoreMissingFiles": "false",
 }
 
 _SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"

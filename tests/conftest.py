@@ -13,10 +13,11 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("tablesync-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )

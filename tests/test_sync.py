@@ -76,6 +76,20 @@ def test_full_then_incremental(spark, setup, log):
     assert len(log().columns) == 18
 
 
+def test_caller_settings_cannot_loosen_a_run(spark, setup):
+    """Non-ANSI casts and skipped corrupt files stay the caller's own business."""
+    loose = spark.newSession()
+    for key in ("spark.sql.files.ignoreCorruptFiles", "spark.sql.files.ignoreMissingFiles"):
+        loose.conf.set(key, "true")
+    loose.conf.set("spark.sql.ansi.enabled", "false")
+    columns = (ColumnSpec("EventDate", "int"),)
+    source = {"load_mode": "full_ingest", "incremental_paths": [""]}
+    spec = setup(columns=columns, source=source, incremental_predicate=None)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        sync(loose, spec)
+    assert engine_session(loose).conf.get("spark.sql.files.ignoreCorruptFiles") == "false"
+
+
 def test_caller_session_is_untouched(spark, setup):
     before = dict(spark.conf.getAll)
     sync(spark, setup())
