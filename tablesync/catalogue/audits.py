@@ -127,7 +127,10 @@ def custom_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def rows(session: SparkSession) -> DataFrame:
         documents = table(session, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-        return documents.join(table(session, sf_dir, "labels"), "doc_id", "left")
+        labels = table(session, sf_dir, "labels").select(
+            "doc_id", F.concat_ws("/", "quality", "toxic").alias("label")
+        )
+        return documents.join(labels, "doc_id", "left")
 
     spec = SyncSpec(
         target="labelled", location=scratch_dir(spark, "labelled"), source=TableRows(rows)
@@ -193,7 +196,7 @@ def tolerant_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return events.select(
         "event_id",
-        try_number(text).cast("bigint").alias("as_number"),
+        try_number(text).cast("string").alias("as_number"),
         try_double(text).alias("as_double"),
     )
 
@@ -268,7 +271,7 @@ ORACLE = {
         "UNION ALL SELECT 'internal', count(*) FROM orders"
     ),
     "custom_source": (
-        "SELECT doc_id, lang, source, n_chars, quality, toxic "
+        "SELECT doc_id, lang, source, n_chars, quality || '/' || toxic AS label "
         "FROM documents LEFT JOIN labels USING (doc_id)"
     ),
     "redact_texts": f"SELECT origin, id, {_redacted_sql()} AS clean FROM ({_TEXTS})",
@@ -293,7 +296,7 @@ ORACLE = {
         "strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS tokyo FROM events"
     ),
     "tolerant_numbers": (
-        "SELECT event_id, CAST(TRY_CAST(t AS DECIMAL(38, 0)) AS BIGINT) AS as_number, "
+        "SELECT event_id, CAST(TRY_CAST(t AS DECIMAL(38, 0)) AS VARCHAR) AS as_number, "
         "TRY_CAST(t AS DOUBLE) AS as_double FROM (SELECT event_id, CASE WHEN event_type = 'error' "
         "THEN event_type ELSE CAST(user_id AS VARCHAR) END AS t FROM events)"
     ),

@@ -213,6 +213,7 @@ def full_ingest_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "order_id": F.col("order_id").cast("bigint"),
             "order_date": F.col("order_date").cast("string"),
+            "not_in_files": F.col("not_in_files").cast("double"),
             "loaded_types": F.lit(",".join(kind for _, kind in view.dtypes)),
         }
     )
@@ -222,10 +223,10 @@ def load_by_name_case_sensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wrong case reads as NULL, extra columns are dropped, order is the table's."""
     engine = engine_session(spark)
     schema = engine.read.schema(
-        "o_totalprice double, O_ORDERKEY bigint, o_orderkey bigint"
+        "o_totalprice double, O_ORDERPRIORITY string, o_orderkey bigint"
     ).parquet(f"{sf_dir}/orders.parquet")
     loaded = project_by_name(table(engine, sf_dir, "orders"), schema.schema)
-    return loaded.select("o_totalprice", F.col("O_ORDERKEY").alias("wrong_case"), "o_orderkey")
+    return loaded.select("o_totalprice", F.col("O_ORDERPRIORITY").alias("wrong_case"), "o_orderkey")
 
 
 def not_null_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,7 +338,7 @@ EVOLUTIONS: dict[str, tuple] = {
     "evolve_nested_keep_missing": (
         _alpha_beta,
         lambda: [F.struct(_field("o_orderpriority", "alpha")).alias("payload")],
-        {"alpha": "payload.alpha", "beta": "payload.beta"},
+        {"alpha": "payload.alpha", "beta": "CAST(payload.beta AS STRING)"},
     ),
     "evolve_nested_deep": (
         lambda: [F.struct(F.struct(_field("o_custkey", "inner_a")).alias("outer")).alias("p")],
@@ -362,7 +363,7 @@ EVOLUTIONS: dict[str, tuple] = {
                 F.struct(_field("o_orderstatus", "sku"), _field("o_custkey", "qty")),
             ).alias("items")
         ],
-        {"skus": "array_join(items.sku, '|')", "qty": "items[1].qty"},
+        {"skus": "array_join(items.sku, '|')", "qty": "CAST(items[1].qty AS STRING)"},
     ),
     "evolve_nested_combined": (
         lambda: [
@@ -490,11 +491,11 @@ ORACLE = {
     "full_ingest_expression": (
         f"SELECT o_orderkey AS order_id, TRY_CAST({_AMOUNT} AS DOUBLE) AS amount, "
         "CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date, "
-        "CAST(NULL AS BIGINT) AS not_in_files, "
+        "CAST(NULL AS DOUBLE) AS not_in_files, "
         "'decimal(38,0),double,date,bigint' AS loaded_types FROM orders"
     ),
     "load_by_name_case_sensitive": (
-        "SELECT o_totalprice, CAST(NULL AS BIGINT) AS wrong_case, o_orderkey FROM orders"
+        "SELECT o_totalprice, CAST(NULL AS VARCHAR) AS wrong_case, o_orderkey FROM orders"
     ),
     "not_null_columns": "SELECT event_id, ts, value FROM events",
     "evolve_plan_report": " UNION ALL ".join(
@@ -525,7 +526,7 @@ ORACLE = {
     ),
     "evolve_nested_keep_missing": (
         "SELECT o_orderkey, o_orderpriority AS alpha, "
-        f"CASE WHEN NOT ({_NEW}) THEN o_custkey END AS beta FROM orders"
+        f"CASE WHEN NOT ({_NEW}) THEN CAST(o_custkey AS VARCHAR) END AS beta FROM orders"
     ),
     "evolve_nested_deep": (
         "SELECT o_orderkey, o_custkey AS inner_a, "
@@ -533,7 +534,7 @@ ORACLE = {
     ),
     "evolve_nested_array_struct": (
         "SELECT o_orderkey, o_orderpriority || '|' || o_orderstatus AS skus, "
-        f"CASE WHEN {_NEW} THEN o_custkey END AS qty FROM orders"
+        f"CASE WHEN {_NEW} THEN CAST(o_custkey AS VARCHAR) END AS qty FROM orders"
     ),
     "evolve_nested_combined": (
         "SELECT o_orderkey, o_custkey AS alpha, o_orderpriority AS beta, "
