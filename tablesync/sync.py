@@ -6,10 +6,12 @@ import random
 import time
 import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -230,8 +232,14 @@ def _load_once(
     if not full:
         _check_appended(evolution, head.schema)
     schema = evolution.schema
-    incoming = enforce_not_null(project_by_name(plan.rows(), schema), schema)
-    deletion = table.delete(head, None if full else spec.incremental_predicate)
+    # The jobs that find the files to delete from and those that read the footers to
+    # load have nothing to do with each other, so they share the cluster.
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        predicate = None if full else spec.incremental_predicate
+        in_background = inheritable_thread_target(table.spark)
+        finding = pool.submit(in_background(table.delete), head, predicate)
+        incoming = enforce_not_null(project_by_name(plan.rows(), schema), schema)
+        deletion = finding.result()
     if deletion.rewritten is not None:
         kept_rows = project_by_name(deletion.rewritten, schema)
         incoming = kept_rows.unionByName(incoming)
