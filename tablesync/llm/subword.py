@@ -31,9 +31,14 @@ class Shape:
     grams: tuple[int, ...] = (2, 3, 4)
     dimensions: int = 12
     epochs: int = 4
+    least_steps: int = 12000
     rate: float = 0.08
     fold_case: bool = False
 
+    def passes(self, examples: int) -> int:
+        """Passes over the examples: ``epochs``, or more until ``least_steps`` are made."""
+        return max(self.epochs, -(-self.least_steps // max(1, examples)))
+
     @property
     def end(self) -> int:
         return 1 << self.bits
@@ -128,8 +133,9 @@ def fit(examples: list[tuple], shape: Shape, seed: int = 1) -> Model:
     seen_weights = np.full(weights.shape, 1e-6, np.float32)
     seen_bias = np.full(len(classes), 1e-6, np.float32)
     target = {label: i for i, label in enumerate(classes)}
-    done, steps = 0, max(1, len(examples) * shape.epochs)
-    for _ in range(shape.epochs):
+    passes = shape.passes(len(examples))
+    done, steps = 0, max(1, len(examples) * passes)
+    for _ in range(passes):
         for i in rng.permutation(len(examples)):
             label, keys, counts = examples[i]
             rate = shape.rate * (1 - done / steps)

@@ -54,7 +54,7 @@ def fit_severity(
     weights = np.zeros(shape.rows, np.float32)
     thresholds = np.arange(1.0, levels + 1)
     seen = np.full(levels, 1e-6)
-    for _ in range(shape.epochs):
+    for _ in range(shape.passes(len(examples))):
         for i in rng.permutation(len(examples)):
             grade, keys, _ = examples[i]
             grade, keys = int(grade), keys[:-2]  # without the marks of end and repetition
