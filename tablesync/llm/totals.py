@@ -21,25 +21,25 @@ def running_total(
     """
     # The sign bit is flipped because the shift reads the hash as an unsigned number.
     leading = F.shiftrightunsigned(
-        F.col("_order").bitwiseXOR(F.lit(-(1 << 63))), 64 - (PIECES.bit_length() - 1)
+        F.col("_rt_order").bitwiseXOR(F.lit(-(1 << 63))), 64 - (PIECES.bit_length() - 1)
     )
-    dealt = frame.withColumn("_order", order).withColumn("_piece", leading.cast("int"))
-    within = Window.partitionBy(*group, "_piece").orderBy("_order", *tie)
+    dealt = frame.withColumn("_rt_order", order).withColumn("_rt_piece", leading.cast("int"))
+    within = Window.partitionBy(*group, "_rt_piece").orderBy("_rt_order", *tie)
     within = within.rowsBetween(Window.unboundedPreceding, -1)
-    across = Window.partitionBy(*group).orderBy("_piece")
+    across = Window.partitionBy(*group).orderBy("_rt_piece")
     across = across.rowsBetween(Window.unboundedPreceding, -1)
-    totals = dealt.groupBy(*group, "_piece").agg(F.sum(value).alias("_total"))
+    totals = dealt.groupBy(*group, "_rt_piece").agg(F.sum(value).alias("_rt_total"))
     totals = totals.select(
-        *[F.col(name).alias(f"_g{i}") for i, name in enumerate(group)],
-        F.col("_piece").alias("_p"),
-        F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_base"),
+        *[F.col(name).alias(f"_rt_g{i}") for i, name in enumerate(group)],
+        F.col("_rt_piece").alias("_rt_p"),
+        F.coalesce(F.sum("_rt_total").over(across), F.lit(0)).alias("_rt_base"),
     )
-    same = [F.col(name).eqNullSafe(F.col(f"_g{i}")) for i, name in enumerate(group)]
-    condition = F.col("_piece") == F.col("_p")
+    same = [F.col(name).eqNullSafe(F.col(f"_rt_g{i}")) for i, name in enumerate(group)]
+    condition = F.col("_rt_piece") == F.col("_rt_p")
     for one in same:
         condition = condition & one
-    local = dealt.withColumn("_before", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    local = dealt.withColumn("_rt_before", F.coalesce(F.sum(value).over(within), F.lit(0)))
     joined = local.join(totals, condition)
-    return joined.withColumn(out, F.col("_base") + F.col("_before")).drop(
-        "_order", "_piece", "_before", "_base", "_p", *[f"_g{i}" for i in range(len(group))]
+    return joined.withColumn(out, F.col("_rt_base") + F.col("_rt_before")).drop(
+        "_rt_order", "_rt_piece", "_rt_before", "_rt_base", "_rt_p", *[f"_rt_g{i}" for i in range(len(group))]
     )
