@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_dir
 from .deploy import ship
 from .langid import predict_languages
+from .mixing import mix_sources
+from .packing import pack_documents
 from .quality import classify_quality
 from .toxicity import rate_toxicity
+from .warc import archive_round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +21,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
 def op3_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -27,13 +35,24 @@ def op4_subword_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(_table(spark, sf_dir, "documents"))
 
 
+def op5_deficit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op6_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(_table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+
+
 def op9_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_entropy_mixing": op1_entropy_mixing,
     "op3_subword_quality": op3_subword_quality,
     "op4_subword_languages": op4_subword_languages,
+    "op5_deficit_packing": op5_deficit_packing,
+    "op6_dictionary_warc": op6_dictionary_warc,
     "op9_ordinal_toxicity": op9_ordinal_toxicity,
 }
 
