@@ -1,19 +1,16 @@
 """Language-model scores by context-tree weighting over bytes.
 
-A text is a sequence of words in lower case (A-Z) and an end. A word is its bytes and a
-space, the end is one byte of its own. The next byte is decomposed into eight binary
-decisions. Each decision has a context tree over the bytes before it, back to the start of
-the word, whose nodes hold Krichevsky-Trofimov estimators; a node's weighted probability is
-the even mix of its own estimate and the product of its children's,
+A text is a stream of bytes: its words in lower case (A-Z), a space after each, and an end
+mark. The next byte is decomposed into eight binary decisions. Each decision has a context
+tree over the bytes before it, whose nodes hold Krichevsky-Trofimov estimators; a node's
+weighted probability is the even mix of its own estimate and the product of its children's,
 
     P_w = (P_kt + prod P_w(child)) / 2,
 
 and ``P_w = P_kt`` at full depth. Trained on counts, the tree gives the probability of a byte
 after the bytes before it as a mix of the estimates of all depths, weighted by how well each
-explained the training text. Only the counts of strings of ``depth + 1`` bytes are needed.
-
-Contexts end at the start of a word, so a word has one probability: each distinct word is
-scored once, and a text adds up those of its words.
+explained the training text. Only the counts of strings of ``depth + 1`` bytes are needed, and
+each distinct string is scored once.
 """
 
 from __future__ import annotations
@@ -29,46 +26,51 @@ from pyspark.sql import functions as F
 
 from .folds import remainder
 from .storage import stash
-from .text import raw, slices, words
+from .text import Words, slices, words
 
-#: Bytes of context: with the next byte they fill a 64-bit key.
-DEPTH = 7
+#: Bytes of context; with the next byte they must fit a 64-bit key, so at most 7.
+DEPTH = 5
 
-#: Bytes that no UTF-8 text holds, for the end of a text and what precedes a word.
+#: Bytes that no UTF-8 text holds, for the end of a text and what precedes it.
 END, BEFORE = 0xFF, 0xFE
 END_WORD = bytes([END])
 
-#: Characters of text in a block, the unit that texts and their words' scores are joined by,
-#: and distinct words in a block that is joined with scores of strings.
+#: Characters of text in a block, the unit that texts and scores are joined by.
 BLOCK_CHARS = 48 << 20
-BLOCK_WORDS = 200_000
+
+#: Distinct strings or words that a task holds before it hands them on.
+HELD = 1 << 20
 
 _U = np.uint64
 
 
-def strings(vocabulary: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all strings of ``depth + 1`` bytes in distinct words, and the word of each.
+def stream(found: Words, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all strings of ``depth + 1`` bytes, and the text of each.
 
     A key has the predicted byte in its lowest eight bits, the byte before it in the next,
-    and so on; before a word come marks.
+    and so on; before a text come marks.
     """
-    data, offsets = raw(vocabulary)
-    lengths = np.diff(offsets)
-    size = lengths + 1 + depth
+    lengths = np.diff(found.offsets)[found.code]
+    count = np.bincount(found.doc, weights=lengths + 1, minlength=found.rows).astype(np.int64)
+    size = count + depth + 1
     stops = np.cumsum(size)
-    line = np.full(int(stops[-1]) if len(stops) else 0, BEFORE, np.uint8)
-    place = np.arange(len(data)) + np.repeat((np.arange(len(size)) + 1) * depth, lengths)
-    line[place + np.repeat(np.arange(len(size)), lengths)] = data
-    line[stops - 1] = 0x20
-    keys = np.zeros(len(line), _U)
-    for k in range(depth + 1):
-        keys[k:] |= line[: len(line) - k].astype(_U) << _U(8 * k)
-    word = np.repeat(np.arange(len(size)), size)
-    real = np.ones(len(line), bool)
+    data = np.full(int(stops[-1]) if len(stops) else 0, 0x20, np.uint8)
+    begins = np.cumsum(lengths + 1) - lengths - 1 + found.doc * (depth + 1) + depth
+    inner = np.cumsum(lengths) - lengths
+    span = np.arange(int(lengths.sum()))
+    source = found.offsets[:-1][found.code]
+    data[span + np.repeat(begins - inner, lengths)] = found.data[
+        span + np.repeat(source - inner, lengths)
+    ]
+    data[stops - 1] = END
+    real = np.ones(len(data), bool)
     for k in range(depth):
+        data[stops - size + k] = BEFORE
         real[stops - size + k] = False
-    real &= (keys >> _U(8)) & _U(0xFF) != END  # nothing follows an end
-    return keys[real], word[real]
+    keys = np.zeros(len(data), _U)
+    for k in range(depth + 1):
+        keys[k:] |= data[: len(data) - k].astype(_U) << _U(8 * k)
+    return keys[real], np.repeat(np.arange(found.rows), size)[real]
 
 
 def _log_rising(n: np.ndarray) -> np.ndarray:
@@ -151,7 +153,10 @@ def forest(keys: np.ndarray, counts: np.ndarray, depth: int, top: int) -> list[l
 
 
 def predict(keys: np.ndarray, trees: list[list[Level]]) -> np.ndarray:
-    """Natural log probability of each key's byte after its context."""
+    """Natural log probability of each key's byte after its context.
+
+    Below a context that training never saw every node is empty and estimates one half.
+    """
     total = np.zeros(len(keys))
     for bit in range(8):
         is_one = (keys >> _U(7 - bit) & _U(1)).astype(bool)
@@ -180,53 +185,108 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return _grouped(keys[order], counts[order])
 
 
-def count_words(documents: DataFrame) -> DataFrame:
-    """``word, n``: every word, the end among them, and its count in ``learned`` texts."""
+def _batches(grams: pa.Array | None, names: pa.Array | None, values: dict) -> Iterator:
+    """Record batches of strings or of words, with further columns."""
+    size = len(grams if names is None else names)
+    columns = [
+        pa.nulls(size, pa.int64()) if grams is None else grams,
+        pa.nulls(size, pa.binary()) if names is None else names.cast(pa.binary()),
+        *(pa.array(value) for value in values.values()),
+    ]
+    table = pa.Table.from_arrays(columns, ["gram", "word", *values])
+    yield from table.combine_chunks().to_batches(max_chunksize=1 << 16)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        ends = texts = 0
 
-        def merged() -> pa.Table:
-            table = pa.concat_tables(held).group_by("word").aggregate([("n", "sum")])
-            return pa.table({"word": table["word"], "n": table["n_sum"]})
+def tally(documents: DataFrame, depth: int) -> DataFrame:
+    """``gram, word, n``: each string and each word, and its count in ``learned`` texts.
+
+    The end of a text counts as a word.
+    """
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, counts = np.zeros(0, _U), np.zeros(0, np.int64)
+        held = pa.table({"word": pa.array([], pa.large_binary()), "n": pa.array([], pa.int64())})
+        ends = texts = 0
+        waiting: list[pa.Table] = []
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 learned = part.column("learned").to_numpy(zero_copy_only=False)
                 ends, texts = ends + int(learned.sum()), texts + len(part)
                 found = words(part.column("text"), True)
+                keys, doc = stream(found, depth)
+                grams, counts = _summed(
+                    np.concatenate([grams, keys]), np.concatenate([counts, learned[doc] * 1])
+                )
+                if len(grams) > HELD:
+                    yield from _batches(pa.array(grams.view(np.int64)), None, {"n": counts})
+                    grams, counts = np.zeros(0, _U), np.zeros(0, np.int64)
                 use = np.bincount(
                     found.code, weights=learned[found.doc], minlength=len(found.offsets) - 1
                 )
-                held.append(pa.table({"word": found.distinct, "n": use.astype(np.int64)}))
-                if sum(map(len, held)) > 1 << 20:
-                    held = [merged()]
-                    if len(held[0]) > 1 << 19:  # bounds what a task holds
-                        yield from _as_rows(held.pop())
+                waiting.append(pa.table({"word": found.distinct, "n": use.astype(np.int64)}))
+                if sum(map(len, waiting)) > HELD:
+                    held = pa.concat_tables([held, *waiting]).group_by("word").aggregate(
+                        [("n", "sum")]
+                    ).rename_columns({"n_sum": "n"}).combine_chunks()
+                    waiting = []
+                    if len(held) > HELD // 2:
+                        yield from _batches(None, held["word"].combine_chunks(), {"n": held["n"]})
+                        held = held.slice(0, 0)
         if texts:
-            held.append(pa.table({"word": pa.array([END_WORD], pa.large_binary()), "n": [ends]}))
-            yield from _as_rows(merged())
-
-    tally = documents.select("learned", "text").mapInArrow(task, "word binary, n long")
-    return tally.groupBy("word").agg(F.sum("n").alias("n"))
+            yield from _batches(pa.array(grams.view(np.int64)), None, {"n": counts})
+            waiting.append(pa.table({"word": pa.array([END_WORD], pa.large_binary()), "n": [ends]}))
+            held = pa.concat_tables([held, *waiting]).group_by("word").aggregate([("n", "sum")])
+            yield from _batches(None, held["word"].combine_chunks(), {"n": held["n_sum"]})
 
+    found = documents.select("learned", "text").mapInArrow(
+        task, "gram long, word binary, n long"
+    )
+    return found.groupBy("gram", "word").agg(F.sum("n").alias("n"))
 
-def _as_rows(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    table = table.cast(pa.schema([("word", pa.binary()), ("n", pa.int64())]))
-    yield from table.to_batches(max_chunksize=1 << 16)
 
+def asked_of(blocked: DataFrame, depth: int) -> DataFrame:
+    """``block, gram, word``: the distinct strings and words that each block holds.
 
-def count_strings(blocked: DataFrame, depth: int) -> DataFrame:
-    """``block, gram, n``: the strings of the words of each block, with training counts."""
+    A string may come more than once for a block.
+    """
 
-    def task(key: tuple, table: pa.Table) -> pa.Table:
-        keys, word = strings(table["word"].combine_chunks(), depth)
-        gram, n = _summed(keys, table["n"].to_numpy()[word])
-        block = np.full(len(gram), key[0].as_py(), np.int64)
-        return pa.table({"block": block, "gram": gram.view(np.int64), "n": n})
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams: dict[int, list[np.ndarray]] = {}
+        names: dict[int, list[pa.Array]] = {}
+
+        def hand_on(block: int, last: bool) -> Iterator[pa.RecordBatch]:
+            own = np.unique(np.concatenate(grams.pop(block)))
+            if last or len(own) > HELD // 2:
+                numbers = np.full(len(own), block, np.int64)
+                yield from _batches(pa.array(own.view(np.int64)), None, {"block": numbers})
+            else:
+                grams[block] = [own]
+            word = pa.chunked_array(names.pop(block)).unique()
+            if last or len(word) > HELD // 2:
+                yield from _batches(None, word, {"block": np.full(len(word), block, np.int64)})
+            else:
+                names[block] = [word]
 
-    return blocked.groupBy("block").applyInArrow(task, "block long, gram long, n long")
+        for batch in batches:
+            for part in slices(batch, "text", 2 << 20):
+                numbers = part.column("block").to_numpy()
+                for block in np.unique(numbers):
+                    own = int(block)
+                    found = words(part.column("text").filter(pa.array(numbers == block)), True)
+                    grams.setdefault(own, [np.zeros(0, _U)]).append(
+                        np.unique(stream(found, depth)[0])
+                    )
+                    names.setdefault(own, [pa.array([END_WORD], pa.large_binary())]).append(
+                        found.distinct
+                    )
+                    if max(sum(map(len, grams[own])), sum(map(len, names[own]))) > 2 * HELD:
+                        yield from hand_on(own, False)
+                        grams.setdefault(own, [np.zeros(0, _U)])
+                        names.setdefault(own, [pa.array([END_WORD], pa.large_binary())])
+        for block in list(grams):
+            yield from hand_on(block, True)
+
+    return blocked.mapInArrow(task, "gram long, word binary, block long")
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
@@ -297,38 +357,14 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
     return dealt.mapInArrow(scores, "gram long, value double")
 
 
-def score_words(counted: DataFrame, depth: int = DEPTH, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``word, n, value``: the log10 probability of each distinct word.
-
-    Blocks of words ask for the strings they hold, so no task needs the whole model.
-    """
-    blocks = max(1, -(-counted.count() // block_words))
-    blocked = counted.withColumn("block", F.pmod(F.xxhash64("word"), F.lit(blocks)))
-    held = stash(count_strings(blocked, depth), "strings")
-    grams = stash(held.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    asked = held.select("block", "gram").join(gram_scores(grams, depth), "gram")
-
-    def task(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, word = strings(left["word"].combine_chunks(), depth)
-        gram, value = right["gram"].to_numpy().view(_U), right["value"].to_numpy()
-        order = np.argsort(gram)
-        own = value[order[np.searchsorted(gram, keys, sorter=order)]]
-        total = np.bincount(word, weights=own, minlength=len(left))
-        return pa.table({"word": left["word"], "n": left["n"], "value": total})
-
-    return blocked.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
-        task, "word binary, n long, value double"
-    )
-
-
 def score_texts(
     documents: DataFrame, learned: Column, depth: int = DEPTH, block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
     """Add ``n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte``.
 
     ``learned`` marks the texts to learn from. ``score`` is the model's log10 probability of
-    the text; ``bits_per_byte`` its code length over the bytes of words, spaces and end. The
-    base is a smoothed word model: each word and the end of a text, counted as a word, adds
+    the text; ``bits_per_byte`` its code length over the bytes of the stream. The base
+    is a smoothed word model: each word and the end of a text, counted as a word, adds
     ``log10((c + 0.5) / (N + 0.5 * (V + 1)))`` with its count, the number of all and of
     distinct ones in training texts. A null text is empty and consists of its end. With
     nothing to learn from every decision has probability one half.
@@ -336,47 +372,29 @@ def score_texts(
     Texts and scores meet in blocks of about ``block_chars`` characters: a block asks for the
     words it holds, so neither side is ever held whole.
     """
-    marked = documents.select("*").withColumn("learned", F.coalesce(learned, F.lit(False)))
-    counted = stash(count_words(marked), "words")
-    totals = counted.where("n > 0").agg(
+    marked = documents.withColumn("learned", F.coalesce(learned, F.lit(False)))
+    counted = stash(tally(marked, depth), "counts")
+    known_words = counted.where("word IS NOT NULL")
+    totals = known_words.where("n > 0").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("kinds")
     ).first()
     tokens, floor = totals["tokens"], totals["tokens"] + 0.5 * (totals["kinds"] + 1)
-    scored = stash(score_words(counted, depth), "scores")
+    scores = gram_scores(counted.where("gram IS NOT NULL").select("gram", "n"), depth)
+    scores = stash(scores, "scores")
     size = documents.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // block_chars))
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Texts are dealt to blocks once: both uses below read the same exchange.
     place = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks))
     dealt = documents.withColumn("block", place).repartition(max(parts, blocks), "block")
-
-    def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[pa.Array]] = {}
-
-        def rows(block: int, last: bool) -> Iterator[pa.RecordBatch]:
-            distinct = pa.chunked_array(held.pop(block)).unique()
-            if not last and len(distinct) < 1 << 20:
-                held[block] = [distinct]
-                return
-            for at in range(0, len(distinct), 1 << 16):
-                word = distinct[at : at + (1 << 16)].cast(pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(word), block, np.int64)), word], ["block", "word"]
-                )
-
-        for batch in batches:
-            for part in slices(batch, "text"):
-                numbers = part.column("block").to_numpy()
-                for block in np.unique(numbers):
-                    texts = part.column("text").filter(pa.array(numbers == block))
-                    own = held.setdefault(int(block), [pa.array([END_WORD], pa.large_binary())])
-                    own.append(words(texts, True).distinct)
-                    if sum(map(len, own)) > 1 << 21:
-                        yield from rows(int(block), False)
-        for block in list(held):
-            yield from rows(block, True)
-
-    asked = dealt.mapInArrow(vocabulary, "block long, word binary").join(scored, "word")
+    asked = asked_of(dealt, depth)
+    model = asked.where("gram IS NOT NULL").select("block", "gram").join(scores, "gram").select(
+        "block", "gram", F.lit(None).cast("binary").alias("word"), "value"
+    ).unionByName(
+        asked.where("word IS NOT NULL").select("block", "word")
+        .join(known_words.select("word", F.col("n").cast("double").alias("value")), "word")
+        .withColumn("gram", F.lit(None).cast("long"))
+    )
     added = pa.schema(
         [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
          ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()),
@@ -385,18 +403,29 @@ def score_texts(
     names = documents.columns
 
     def answer(texts: pa.Table, model: pa.Table) -> pa.Table:
-        known = model["word"].combine_chunks().cast(pa.large_binary())
-        count, value = model["n"].to_numpy(), model["value"].to_numpy()
+        values = model["value"].to_numpy()
+        of_gram = model["gram"].is_valid().to_numpy()
+        gram = model["gram"].drop_null().to_numpy().view(_U)
+        order = np.argsort(gram)
+        gram, chance = gram[order], values[of_gram][order]
+        known = model["word"].drop_null().combine_chunks().cast(pa.large_binary())
+        count = values[~of_gram]
         base = np.log10((count + 0.5) / floor)
         end = known.index(pa.scalar(END_WORD, pa.large_binary())).as_py()
         done = []
         for batch in texts.to_batches():
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 found = words(part.column("text"), True)
+                keys, doc = stream(found, depth)
+                # Strings repeat within a slice, so each distinct one is looked up once.
+                distinct = pa.array(keys).dictionary_encode()
+                own = chance[np.searchsorted(gram, distinct.dictionary.to_numpy())]
+                score = np.bincount(
+                    doc, weights=own[distinct.indices.to_numpy()], minlength=found.rows
+                )
+                letters = np.bincount(doc, minlength=found.rows)
                 at = pc.index_in(found.distinct, value_set=known).to_numpy(zero_copy_only=False)
                 at = at.astype(np.int64)
-                letters = found.per_doc(np.diff(found.offsets) + 1.0).astype(np.int64) + 1
-                score = found.per_doc(value[at]) + value[end]
                 columns = [
                     np.bincount(found.doc, minlength=found.rows) + 1,
                     found.per_doc((count[at] > 0) * 1.0) + (count[end] > 0),
@@ -418,7 +447,7 @@ def score_texts(
             "score": F.lit(0.0), "n_bytes": F.lit(0).cast("long"), "bits_per_byte": F.lit(0.0),
         }
     ).schema
-    return dealt.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(answer, out)
+    return dealt.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(answer, out)
 
 
 def score_documents(documents: DataFrame) -> DataFrame:
