@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
+from .bagminhash import group_near_copies
+from .ctw import score_documents
 from .deploy import ship
 from .langid import predict_languages
 from .mixing import mix_sources
@@ -43,6 +45,14 @@ def op6_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(_table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
 
 
+def op7_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
+def op8_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_near_copies(_table(spark, sf_dir, "documents"))
+
+
 def op9_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -53,6 +63,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_subword_languages": op4_subword_languages,
     "op5_deficit_packing": op5_deficit_packing,
     "op6_dictionary_warc": op6_dictionary_warc,
+    "op7_context_tree": op7_context_tree,
+    "op8_bagminhash": op8_bagminhash,
     "op9_ordinal_toxicity": op9_ordinal_toxicity,
 }
 
