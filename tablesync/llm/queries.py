@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from .bagminhash import group_near_copies
@@ -12,7 +13,9 @@ from .ctw import score_documents
 from .deploy import ship
 from .langid import predict_languages
 from .mixing import mix_sources
+from .multi_index import search
 from .packing import pack_documents
+from .projection import group_vectors
 from .quality import classify_quality
 from .toxicity import rate_toxicity
 from .warc import archive_round_trip
@@ -27,6 +30,10 @@ def op1_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -57,8 +64,13 @@ def op9_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_entropy_mixing": op1_entropy_mixing,
+    "op2_multi_index": op2_multi_index,
     "op3_subword_quality": op3_subword_quality,
     "op4_subword_languages": op4_subword_languages,
     "op5_deficit_packing": op5_deficit_packing,
@@ -66,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_context_tree": op7_context_tree,
     "op8_bagminhash": op8_bagminhash,
     "op9_ordinal_toxicity": op9_ordinal_toxicity,
+    "op10_sorted_projections": op10_sorted_projections,
 }
 
 #: None of the operators can be written in SQL: they learn, search approximately, tokenise
