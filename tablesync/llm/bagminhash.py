@@ -293,9 +293,11 @@ def drop_near_copies(documents: DataFrame, similarity: float = SIMILARITY) -> Da
     gone = found.where("key IS NOT NULL AND group_id <> doc_id").select(
         F.col("doc_id").alias("_gone"), F.col("key").alias("_key")
     ).distinct()
-    keyed = documents.withColumn("_text", F.md5("text"))
-    same = (F.col("doc_id") == F.col("_gone")) & (F.col("_text") == F.col("_key"))
-    kept = keyed.repartition("doc_id").join(gone, same, "left_anti")
-    unnamed = F.when(F.col("doc_id").isNull(), F.expr("uuid()"))
-    kept = kept.withColumn("_unnamed", unnamed).dropDuplicates(["doc_id", "_text", "_unnamed"])
-    return kept.select(*documents.columns)
+    keyed = documents.select(
+        F.struct("*").alias("_all"), F.col("doc_id").alias("_id"), F.md5("text").alias("_text")
+    )
+    same = (F.col("_id") == F.col("_gone")) & (F.col("_text") == F.col("_key"))
+    kept = keyed.repartition("_id").join(gone, same, "left_anti")
+    unnamed = F.when(F.col("_id").isNull(), F.expr("uuid()"))
+    kept = kept.withColumn("_unnamed", unnamed).dropDuplicates(["_id", "_text", "_unnamed"])
+    return kept.select("_all.*")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .folds import held_out, labelled_sample
+from .storage import fresh
 from .subword import Model, Shape, bags, fit, logits_of, probabilities, softmax
 from .text import slices
 
@@ -72,19 +73,22 @@ def train_languages(
     return calibrate(model, [e for e, out in zip(examples, apart) if out])
 
 
-def detect_languages(documents: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of ``documents`` and ``lang_pred, lang_score, lang_rejected``.
+ADDED = ("lang_pred", "lang_score", "lang_rejected")
+
+
+def detect_languages(
+    documents: DataFrame, model: Model | None, added: tuple[str, str, str] = ADDED
+) -> DataFrame:
+    """All columns of ``documents`` and those ``added`` (columns of such names are replaced).
 
     ``lang_pred`` is a learned language, or ``und`` (score 0, rejected) for a text that is
     null or has no letter, or when nothing was learned. ``lang_rejected`` also marks texts
     whose best language scores below the calibrated threshold.
     """
-    added = ["lang_pred", "lang_score", "lang_rejected"]
     rest = documents.drop(*added)
+    kinds = dict(zip(added, (F.lit(UNKNOWN), F.lit(0.0), F.lit(True))))
     if model is None:
-        return rest.withColumns(
-            {"lang_pred": F.lit(UNKNOWN), "lang_score": F.lit(0.0), "lang_rejected": F.lit(True)}
-        )
+        return rest.withColumns(kinds)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # fixed size: see Shape
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,18 +103,16 @@ def detect_languages(documents: DataFrame, model: Model | None) -> DataFrame:
                 letters = pc.match_substring_regex(pc.fill_null(texts, ""), r"\p{L}")
                 letters = letters.to_numpy(zero_copy_only=False)
                 score = np.where(letters, score, 0.0)
-                yield (
-                    part.append_column(
-                        "lang_pred", pa.array(np.where(letters, names[best], UNKNOWN), pa.string())
-                    )
-                    .append_column("lang_score", pa.array(score))
-                    .append_column("lang_rejected", pa.array(~letters | (score < own.threshold)))
-                )
+                found = [
+                    pa.array(np.where(letters, names[best], UNKNOWN), pa.string()),
+                    pa.array(score),
+                    pa.array(~letters | (score < own.threshold)),
+                ]
+                for name, values in zip(added, found):
+                    part = part.append_column(name, values)
+                yield part
 
-    schema = rest.withColumns(
-        {"lang_pred": F.lit(""), "lang_score": F.lit(0.0), "lang_rejected": F.lit(True)}
-    ).schema
-    return rest.mapInArrow(task, schema)
+    return rest.mapInArrow(task, rest.withColumns(kinds).schema)
 
 
 def predict_languages(documents: DataFrame) -> DataFrame:
@@ -127,5 +129,6 @@ def predict_languages(documents: DataFrame) -> DataFrame:
 
 def keep_recognised(documents: DataFrame) -> DataFrame:
     """The documents whose language is recognised, with their own columns only."""
-    found = detect_languages(documents, train_languages(documents))
-    return found.where("NOT lang_rejected").select(*documents.columns)
+    added = tuple(fresh(name, documents.columns) for name in ADDED)
+    found = detect_languages(documents, train_languages(documents), added)
+    return found.where(~F.col(added[2])).select(*documents.columns)

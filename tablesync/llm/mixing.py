@@ -235,16 +235,17 @@ def repeat_mixed(documents: DataFrame, most: int = MOST, share: float = TOTAL_SH
     content = F.xxhash64(*[
         F.to_json(name) if "map<" in kind else F.col(name) for name, kind in documents.dtypes
     ])
-    keyed = documents.withColumn("_row", content)
-    sized = stash(
-        keyed.select("doc_id", "_row", "source", size_in_words(F.col("text")).alias("size")),
-        "sizes",
+    keyed = documents.select(
+        F.struct("*").alias("_all"), F.col("doc_id").alias("_id"), content.alias("_row")
+    )
+    sized = documents.select(
+        "doc_id", content.alias("_row"), "source", size_in_words(F.col("text")).alias("size")
     )
-    times = _mix_sized(sized, most, share).groupBy("doc_id", "_row")
+    times = _mix_sized(stash(sized, "sizes"), most, share).groupBy("doc_id", "_row")
     times = times.agg(F.sum("copies").alias("_times")).where("_times > 0")
-    times = times.withColumnsRenamed({"doc_id": "_doc_id", "_row": "_content"})
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_row") == F.col("_content"))
-    kept = keyed.dropDuplicates(["doc_id", "_row"]).join(times, same)
+    times = times.withColumnRenamed("_row", "_content")
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_row") == F.col("_content"))
+    kept = keyed.dropDuplicates(["_id", "_row"]).join(times, same)
     return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(
-        *documents.columns
+        "_all.*"
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .folds import held_out, labelled_sample
+from .storage import fresh
 from .subword import Model, Shape, bags, fit, probabilities
 from .text import slices
 
@@ -35,14 +36,17 @@ def train_quality(
     return fit(examples, shape) if examples else None
 
 
-def score_quality(documents: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of ``documents`` and ``quality_score``: the probability of label 1.
+def score_quality(
+    documents: DataFrame, model: Model | None, column: str = "quality_score"
+) -> DataFrame:
+    """All columns of ``documents`` and ``column``: the probability of label 1.
 
-    Null texts count as empty, and empty texts get the score of a text without words.
-    Without a model every score is 0.5; when only one label was seen it is that label.
+    A column of that name is replaced. Null texts count as empty, and empty texts get the
+    score of a text without words. Without a model every score is 0.5; when only one label
+    was seen it is that label.
     """
     if model is None:
-        return documents.withColumn("quality_score", F.lit(0.5))
+        return documents.withColumn(column, F.lit(0.5))
     shared = documents.sparkSession.sparkContext.broadcast(model)  # fixed size: see Shape
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,11 +57,10 @@ def score_quality(documents: DataFrame, model: Model | None) -> DataFrame:
                 score = np.zeros(len(part))
                 if good is not None:
                     score = probabilities(own, part.column("text"))[:, good]
-                yield part.append_column("quality_score", pa.array(score))
+                yield part.append_column(column, pa.array(score))
 
-    rest = documents.drop("quality_score")
-    schema = rest.withColumn("quality_score", F.lit(0.0)).schema
-    return rest.mapInArrow(task, schema)
+    rest = documents.drop(column)
+    return rest.mapInArrow(task, rest.withColumn(column, F.lit(0.0)).schema)
 
 
 def classify_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -73,5 +76,6 @@ def classify_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, with their own columns only."""
-    scored = score_quality(documents, train_quality(documents, labels))
-    return scored.where("quality_score >= 0.5").select(*documents.columns)
+    column = fresh("score", documents.columns)
+    scored = score_quality(documents, train_quality(documents, labels), column)
+    return scored.where(F.col(column) >= 0.5).select(*documents.columns)

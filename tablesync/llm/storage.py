@@ -7,6 +7,14 @@ from pyspark.sql import DataFrame
 from ..session import scratch_dir
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    used = {column.lower() for column in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
 def stash(frame: DataFrame, label: str) -> DataFrame:
     """Write ``frame`` as Parquet below ``spark.checkpoint.dir`` and read it back.
 
