@@ -100,10 +100,10 @@ def balance(cells: DataFrame, targets: DataFrame, most: float = MOST) -> DataFra
         "source",
         F.greatest(F.col("_s") / F.col("_n"), F.lit(1e-9)).alias("mean"),
         "target",
-        (F.col("target") / (F.col("source_size") * F.lit(float(most)))).alias("_part"),
+        F.try_divide(F.col("target"), F.col("source_size") * F.lit(float(most))).alias("_part"),
     )
     inner = (F.col("_part") > 1e-12) & (F.col("_part") < 1 - 1e-12)
-    start = F.log(F.col("_part") * (most - 1) / (1 - F.col("_part")))
+    start = F.log(F.try_divide(F.col("_part") * (most - 1), 1 - F.col("_part")))
     state = state.select(
         "source", "mean", "target",
         F.when(inner, start)
@@ -129,13 +129,13 @@ def balance(cells: DataFrame, targets: DataFrame, most: float = MOST) -> DataFra
         step = step.withColumn(
             "low", F.when(gap < 0, F.col("multiplier")).otherwise(F.col("low"))
         ).withColumn("high", F.when(gap > 0, F.col("multiplier")).otherwise(F.col("high")))
-        newton = F.col("multiplier") - gap / F.col("slope")
+        newton = F.col("multiplier") - F.try_divide(gap, F.col("slope"))
         middle = (
             F.when(F.col("low") == F.lit(float("-inf")), F.col("high") - F.abs("high") - 1)
             .when(F.col("high") == F.lit(float("inf")), F.col("low") + F.abs("low") + 1)
             .otherwise((F.col("low") + F.col("high")) / 2)
         )
-        fine = (newton > F.col("low")) & (newton < F.col("high"))
+        fine = F.coalesce((newton > F.col("low")) & (newton < F.col("high")), F.lit(False))
         near = F.abs(gap) <= F.lit(TOLERANCE) * F.col("target")
         stuck = (F.col("high") - F.col("low")) <= F.lit(1e-13) * F.abs("multiplier")
         over = F.col("done") | F.coalesce(near | stuck, F.lit(True))
