@@ -21,7 +21,7 @@ from .layout import lake, shards, table, write_partitioned
 def prefix_scan(*suffixes: str, pattern: str | None = None):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         prefix = Prefix(engine_session(spark), lake(spark, sf_dir), suffixes or ("",), pattern)
-        return prefix.read(prefix.infer_schema(16))
+        return prefix.read(prefix.infer_schema())
 
     return query
 
@@ -60,7 +60,7 @@ def newest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def infer_capped_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inferred columns, with the values each holds over the whole prefix."""
     prefix = Prefix(engine_session(spark), lake(spark, sf_dir))
-    schema = prefix.infer_schema(16)
+    schema = prefix.infer_schema()
     counts = prefix.read(schema).agg(*(F.count(name).alias(name) for name in schema.names))
     described = F.explode(
         F.array(

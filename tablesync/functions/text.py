@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space that is collapsed, what is redacted by what (in this
-# order), and the length an error message is cut to.
+# White space that is collapsed, and what is redacted by what (in this
+# order).
 WHITESPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]+"
 REDACTIONS = (
     (r"(?i)bearer [A-Za-z0-9._~+/=-]+", "Bearer <redacted>"),
@@ -19,7 +19,6 @@ REDACTIONS = (
         "$1$2<redacted>",
     ),
 )
-MESSAGE_LIMIT = 500
 
 
 def redact(text: Column) -> Column:
@@ -30,9 +29,14 @@ def redact(text: Column) -> Column:
     return text
 
 
-def error_text(kind: Column, message: Column) -> Column:
-    """``Kind: redacted message``, the message cut to the limit with an ellipsis."""
+def error_text(kind: Column, message: Column, limit: int | None = None) -> Column:
+    """``Kind: redacted message``.
+
+    With a ``limit`` a longer message is cut to that many characters, the last three of
+    which are dots; by default nothing is cut.
+    """
     clean = redact(message)
-    cut = F.concat(F.rtrim(F.left(clean, F.lit(MESSAGE_LIMIT - 3))), F.lit("..."))
-    short = F.when(F.length(clean) > MESSAGE_LIMIT, cut).otherwise(clean)
-    return F.when(short == "", kind).otherwise(F.concat(kind, F.lit(": "), short))
+    if limit is not None:
+        cut = F.concat(F.rtrim(F.left(clean, F.lit(limit - 3))), F.lit("..."))
+        clean = F.when(F.length(clean) > limit, cut).otherwise(clean)
+    return F.when(clean == "", kind).otherwise(F.concat(kind, F.lit(": "), clean))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
@@ -109,10 +110,18 @@ class TimePartition:
     def outside(self) -> Column:
         raise SpecError(f"a time partition has no {OUTSIDE_PARTITION} rows")
 
-    def overlap(self, one: str, other: str) -> bool:
-        if NULL_PARTITION in (one, other):
-            return one == other
-        return one.startswith(other) or other.startswith(one)
+    def containers(self, partition_id: str) -> list[str]:
+        """The coarser partitions that hold this one."""
+        width = len(partition_id) if partition_id.isdigit() else 0
+        return [partition_id[:length] for length in _TIME_FORMS if length < width]
+
+    def labels(self, ids: Sequence[str]) -> list[Column]:
+        """Of a row: its partition id in each of the units that the ids use."""
+        column = F.col(quoted(self.column))
+        forms = [_TIME_FORMS[width] for width in sorted({len(i) for i in ids if i.isdigit()})]
+        found = [F.date_format(F.date_trunc(unit, column), form) for _, unit, form in forms]
+        null = F.when(column.isNull(), F.lit(NULL_PARTITION))
+        return [F.coalesce(label, null) for label in found] or [null]
 
     def group(self, ids: Sequence[str]) -> tuple[Column, Column]:
         """A grouping key fine enough for all ids, and the id text of a group."""
@@ -144,8 +153,15 @@ class RangePartition:
         column = F.col(quoted(self.column))
         return (column < self.start) | (column >= self.end)
 
-    def overlap(self, one: str, other: str) -> bool:
-        return one == other
+    def containers(self, partition_id: str) -> list[str]:
+        return []
+
+    def labels(self, ids: Sequence[str]) -> list[Column]:
+        """Of a row: the id of its range."""
+        column = F.col(quoted(self.column)).cast("bigint")
+        first = column - F.pmod(column - self.start, F.lit(self.interval))
+        inside = F.when(self.outside(), F.lit(OUTSIDE_PARTITION)).otherwise(first.cast("string"))
+        return [F.coalesce(inside, F.lit(NULL_PARTITION))]
 
     def group(self, ids: Sequence[str]) -> tuple[Column, Column]:
         """The grouping key of a row (its range, or -1 outside all), and its id text."""
@@ -191,30 +207,26 @@ def partition_condition(
 
 
 def disjoint_layers(
-    items: Sequence[Item], overlap: Callable[[Item, Item], bool]
+    items: Sequence[Item], containers: Callable[[Item], Iterable[Item]] = lambda item: ()
 ) -> list[list[Item]]:
     """Split slices into layers without overlap inside a layer.
 
     One layer is one scan; a row that lies in two slices is then read once per
     slice, so a slice list keeps bag semantics. Nearly always there is one layer.
+    ``containers`` names the slices that would hold an item: two slices overlap when
+    they are equal or one is such a container, so an item's layer is the number of
+    slices that hold it, and no two items are ever compared.
     """
-    layers: list[list[Item]] = []
+    total, seen = Counter(items), Counter()
+    layers: dict[int, list[Item]] = {}
     for item in items:
-        for layer in layers:
-            if not any(overlap(item, other) for other in layer):
-                layer.append(item)
-                break
-        else:
-            layers.append([item])
-    return layers
-
-
-def suffixes_overlap(one: str, other: str) -> bool:
-    """Whether one directory holds the other (``''`` is the root)."""
-    return (
-        one == other
-        or not one
-        or not other
-        or one.startswith(f"{other}/")
-        or other.startswith(f"{one}/")
-    )
+        number = sum(total[container] for container in containers(item)) + seen[item]
+        seen[item] += 1
+        layers.setdefault(number, []).append(item)
+    return [layers[number] for number in sorted(layers)]
+
+
+def suffix_containers(suffix: str) -> list[str]:
+    """The directories above a path suffix (``''`` is the root)."""
+    pieces = suffix.split("/")
+    return ["/".join(pieces[:depth]) for depth in range(len(pieces))] if suffix else []

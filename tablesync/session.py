@@ -34,7 +34,6 @@ ENGINE_CONF = {
 }
 
 _SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
-_DEFAULT_SPLIT_BYTES = "134217728b"
 
 
 def engine_session(
@@ -69,22 +68,6 @@ def one_partition_per_core(engine: SparkSession) -> Iterator[None]:
         engine.conf.set(_SPLIT_BYTES, before)
 
 
-def size_copy_splits(engine: SparkSession, total_bytes: int) -> None:
-    """Choose the input bytes per task of a copy, unless the caller has set them."""
-    if engine.conf.get(_SPLIT_BYTES) == _DEFAULT_SPLIT_BYTES:
-        cores = engine.sparkContext.defaultParallelism
-        engine.conf.set(_SPLIT_BYTES, str(copy_split_bytes(total_bytes, cores)))
-
-
-def copy_split_bytes(total_bytes: int, cores: int) -> int:
-    """Spark's usual 128 MiB while that leaves fewer than 16 tasks per core, then more,
-    up to 1 GiB: a very large copy has fewer tasks to schedule, and the table fewer
-    and larger files to list, open and prune in every later run.
-    """
-    smallest, largest, tasks_per_core = 128 << 20, 1 << 30, 16
-    return max(smallest, min(largest, total_bytes // max(1, cores * tasks_per_core)))
-
-
 def literal_path(path: str) -> str:
     """The path with glob characters escaped, for readers that expand them."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
@@ -93,10 +76,16 @@ def literal_path(path: str) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path in the folder every executor shares (``spark.checkpoint.dir``)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    on_cluster = not spark.sparkContext.master.startswith("local")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if on_cluster:
             raise SpecError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tablesync-")
+    if on_cluster and ":" not in base and Files(spark, base).qualified(base).startswith("file:"):
+        raise SpecError(
+            "spark.checkpoint.dir is a plain path on a local file system; a mounted shared "
+            "folder is given as file:///..."
+        )
     return f"{base.rstrip('/')}/tablesync-{label}-{uuid.uuid4().hex[:12]}"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -18,9 +19,9 @@ from ..operators.load import (
     has_load_expressions,
 )
 from ..plans.modes import slices_for
-from ..plans.slices import disjoint_layers, suffixes_overlap
+from ..plans.slices import disjoint_layers, suffix_containers
 from ..plans.types import normalise_inferred
-from ..session import Files, literal_path, one_partition_per_core, size_copy_splits
+from ..session import Files, literal_path, one_partition_per_core
 from ..spec import PrefixSource
 from .base import SourceContext, SourcePlan, register_source
 from .listing import covering, list_files, match_segments, newest_files, segment_rollup, segment_sums
@@ -65,8 +66,10 @@ class Prefix:
     def newest(self, count: int) -> DataFrame:
         return newest_files(self.files(), count)
 
-    def infer_schema(self, max_files: int) -> T.StructType:
-        """Table schema from the footers of the newest files."""
+    def infer_schema(self, max_files: int | None = None) -> T.StructType:
+        """Table schema from the footers of all files, or of the newest ``max_files``."""
+        if max_files is None:
+            return normalise_inferred(self.read().schema)
         return footer_schema(self.newest(max_files))
 
     def read(self, schema: T.StructType | None = None) -> DataFrame:
@@ -80,19 +83,19 @@ class Prefix:
             copies = self.named if self.named is not None else named_files(self.files())
             names = [path for path, _ in copies]
             if schema is None and all(count == 1 for _, count in copies):
-                return _merging_scan(self.spark, names)
+                return merging_scan(self.spark, names)
             paths = [path for path, count in copies for _ in range(count)]
             return _reader(self.spark, schema or _merged(self.spark, names))(paths)
         chosen = [suffix for suffix in self.suffixes if suffix in self.present]
         layers = [chosen]
         if len(covering(chosen)) < len(chosen):
-            layers = disjoint_layers(chosen, suffixes_overlap)
+            layers = disjoint_layers(chosen, suffix_containers)
             schema = schema or _merged(self.spark, [self._path(s) for s in covering(chosen)])
         scans = []
         for layer in layers:
             paths = [self._path(suffix) for suffix in layer]
             if schema is None:
-                return _merging_scan(self.spark, paths)
+                return merging_scan(self.spark, paths)
             scans.append(_reader(self.spark, schema, recursiveFileLookup=True)(paths))
         return reduce(DataFrame.unionAll, scans)
 
@@ -118,10 +121,15 @@ def _reader(spark: SparkSession, schema: T.StructType, **options):
     return lambda paths: reader.parquet(*map(literal_path, paths))
 
 
-def _merging_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
+def merging_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
+    return agreeing(lambda: reader.parquet(*map(literal_path, paths)))
+
+
+def agreeing(scan: Callable[[], DataFrame]) -> DataFrame:
+    """The scan, or a clear error when the footers it merges do not agree."""
     try:
-        return reader.parquet(*map(literal_path, paths))
+        return scan()
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE" not in str(error):
             raise
@@ -129,34 +137,48 @@ def _merging_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _merged(spark: SparkSession, paths: list[str]) -> T.StructType:
-    return _merging_scan(spark, paths).schema
+    return merging_scan(spark, paths).schema
+
+
+#: How often a plan is made anew when files come or go while it is made.
+LISTINGS = 3
 
 
 def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
     suffixes = slices_for(source, context.mode)
     prefix = Prefix(context.engine, source.location, suffixes, source.file_pattern)
+    schema = context.declared
     with one_partition_per_core(context.engine):
-        # One listing serves the sums, the file names and the footer sample.
-        matched = prefix.files().persist()
-        try:
-            segments = _segments(matched, suffixes)
-            if not any(segment["file_count"] for segment in segments):
-                reason = "no Parquet files matched the location"
-                if source.skip_missing:
-                    return SourcePlan(segments=segments, skip_reason=reason)
-                raise SourceError(reason)
-            prefix.named = named_files(matched) if source.file_pattern else None
-            schema = context.declared
-            if schema is None:
-                schema = footer_schema(newest_files(matched, source.infer_max_files))
-        finally:
-            matched.unpersist()
-    size_copy_splits(context.engine, sum(segment["total_bytes"] for segment in segments))
+        for _ in range(LISTINGS):
+            # One listing serves the sums and the file names. The scan lists once more, reads
+            # all footers and holds on to what it found: it must be what was planned.
+            matched = prefix.files().persist()
+            try:
+                segments = _segments(matched, suffixes)
+                if not any(segment["file_count"] for segment in segments):
+                    reason = "no Parquet files matched the location"
+                    if source.skip_missing:
+                        return SourcePlan(segments=segments, skip_reason=reason)
+                    raise SourceError(reason)
+                prefix.named = named_files(matched) if source.file_pattern else None
+                frame = prefix.read()
+                if schema is None and source.infer_max_files is not None:
+                    schema = footer_schema(newest_files(matched, source.infer_max_files))
+                planned = _distinct_files(matched, segments, suffixes)
+            finally:
+                matched.unpersist()
+            if planned == _scanned_files(frame):
+                break
+        else:
+            raise SourceError("files under the location keep changing while they are listed")
+    if schema is None:
+        schema = normalise_inferred(frame.schema)
+    if source.split_bytes:
+        context.engine.conf.set("spark.sql.files.maxPartitionBytes", str(source.split_bytes))
 
     def rows() -> DataFrame:
         # Rows come as the files hold them, so nested names keep the files' spelling;
         # the conversion, or the projection by name, fits them to the table.
-        frame = prefix.read()
         if source.load_mode == CONVERT:
             return convert(frame, schema)
         check_file_types(frame.schema, schema)
@@ -171,6 +193,18 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
     )
 
 
+def _distinct_files(matched: DataFrame, segments: list[dict], suffixes: tuple[str, ...]) -> int:
+    """Planned files; segments that overlap count theirs once."""
+    if len(covering(suffixes)) == len(suffixes):
+        return sum(segment["file_count"] for segment in segments)
+    return matched.select("path").distinct().count()
+
+
+def _scanned_files(frame: DataFrame) -> int:
+    """Files in the scan's own listing; their names stay where they are."""
+    return len(frame._jdf.inputFiles())
+
+
 def _segments(matched: DataFrame, suffixes: tuple[str, ...]) -> list[dict]:
     sums = {row["segment"]: row for row in segment_sums(matched).collect()}
     segments = []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,8 @@ from .base import SourceContext, SourcePlan, register_source
 from .export import export_slices, read_export
 
 
+# A text literal, a back-quoted name, or a name in double quotes.
+_QUOTED = re.compile(r"""'(?:[^'\\]|\\.|'')*'|`[^`]*`|"(?P<name>(?:[^"]|"")*)(?:")""")
 # A run may still read a build for a while after it expired.
 _GRACE_SECONDS = 24 * 3600
 
@@ -25,14 +28,29 @@ _GRACE_SECONDS = 24 * 3600
 def select_rows(context: SourceContext, sql: str, predicates: tuple[str, ...]) -> DataFrame:
     """The query's rows matching any predicate. Catalyst pushes the filter down.
 
-    Runs in the caller's session, so temporary views and functions are visible.
+    Runs in the caller's session, so temporary views and functions are visible. In
+    predicates double quotes quote identifiers, as in the delete predicate, whatever the
+    caller's settings make of them.
     """
     frame = context.user.sql(sql.strip().rstrip(";"))
     if predicates:
-        frame = frame.where(" OR ".join(f"({predicate})" for predicate in predicates))
+        respelled = map(identifiers_quoted, predicates)
+        frame = frame.where(" OR ".join(f"({predicate})" for predicate in respelled))
     return frame
 
 
+def identifiers_quoted(predicate: str) -> str:
+    """The predicate with ``"name"`` written as a back-quoted name; text stays as it is."""
+
+    def respell(match: re.Match) -> str:
+        if match["name"] is None:
+            return match[0]
+        name = match["name"].replace('""', '"').replace("`", "``")
+        return f"`{name}`"
+
+    return _QUOTED.sub(respell, predicate)
+
+
 def staging_hash(source: SqlSource, target: str, predicates: tuple[str, ...]) -> str:
     """Identity of a staged result. It uses the requested predicate type, so ``auto``
     and ``where`` stage separately."""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import cached_property, reduce
+from functools import cached_property, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,9 @@ from ..plans.types import map_source_schema, normalise_inferred
 from ..session import Files, literal_path
 from ..spec import TableSource
 from .base import SourceContext, SourcePlan, register_source
-from .export import export_slices, read_export
+from .export import export_partitions, export_slices, read_export
+from .prefix import agreeing as _agreeing
+from .prefix import merging_scan
 
 
 class Dataset:
@@ -64,7 +67,9 @@ class Dataset:
 
     def read(self, table: str) -> DataFrame:
         if self.is_path:
-            return self.spark.read.parquet(literal_path(self.path(table)))
+            # Files of a table may have been written under different schemas.
+            reader = self.spark.read.option("mergeSchema", True)
+            return _agreeing(lambda: reader.parquet(literal_path(self.path(table))))
         return self.spark.table(f"{self.name}.{table}")
 
     def read_shards(self, tables: Sequence[str]) -> DataFrame:
@@ -82,11 +87,22 @@ class Dataset:
                 DataFrame.unionAll,
                 [
                     reader.parquet(*(literal_path(self.path(name)) for name in layer))
-                    for layer in disjoint_layers(tables, lambda one, other: one == other)
+                    for layer in disjoint_layers(tables)
                 ],
             )
         return reduce(DataFrame.unionAll, [self.read(table).to(schema) for table in tables])
 
+    def check_shards(self, tables: Sequence[str], schema: T.StructType) -> None:
+        """Raise unless the footers of every table fit ``schema``.
+
+        The footers of flat shards are merged by the executors in one job.
+        """
+        if self.is_path and not self._has_partition_directories(tables[0]):
+            check_file_types(merging_scan(self.spark, [*map(self.path, tables)]).schema, schema)
+            return
+        for table in tables:
+            check_file_types(self.read(table).schema, schema)
+
     def _has_partition_directories(self, table: str) -> bool:
         path = self.path(table)
         return self._files.is_dir(path) and any("=" in name for name in self._files.names(path))
@@ -108,17 +124,18 @@ def partition_counts(
         .select(F.coalesce(label, F.lit(NULL_PARTITION)).alias("id"), "n")
         .collect()
     )
-    return {
-        name: sum(row["n"] for row in counted if partition.overlap(name, row["id"]))
-        for name in ids
-    }
+    total: Counter[str] = Counter()
+    for row in counted:
+        for name in (row["id"], *partition.containers(row["id"])):
+            total[name] += row["n"]
+    return {name: total[name] for name in ids}
 
 
 def read_partitions(
     table: DataFrame, partition: TimePartition | RangePartition, ids: Sequence[str]
 ) -> DataFrame:
     """Rows of the given partitions; ids that overlap yield their rows once per id."""
-    layers = disjoint_layers(ids, partition.overlap)
+    layers = disjoint_layers(ids, partition.containers)
     scans = [table.where(partition_condition(partition, layer)) for layer in layers]
     return reduce(DataFrame.unionAll, scans)
 
@@ -131,7 +148,8 @@ class _Slices:
     labels: list[str]
     stored: T.StructType | None = None
     rows: Callable[[], DataFrame] | None = None
-    each: Callable[[], list[DataFrame]] | None = None
+    export: Callable[[str, str, str], list[str]] | None = None
+    check: Callable[[T.StructType], None] = lambda schema: None
 
 
 def _partition_slices(dataset: Dataset, source: TableSource, ids: Sequence[str]) -> _Slices:
@@ -145,7 +163,7 @@ def _partition_slices(dataset: Dataset, source: TableSource, ids: Sequence[str])
         [f"{source.table}${name}" for name in found],
         table.schema,
         rows=lambda: read_partitions(table, source.partition, found),
-        each=lambda: [table.where(partition_condition(source.partition, [n])) for n in found],
+        export=partial(export_partitions, table, source.partition, found),
     )
 
 
@@ -168,7 +186,8 @@ def _table_slices(
         found,
         stored,
         rows=lambda: dataset.read_shards(found),
-        each=lambda: [dataset.read(name).to(fitted) for name in found],
+        export=lambda *to: export_slices([dataset.read(n).to(fitted) for n in found], *to),
+        check=lambda schema: dataset.check_shards(found, schema),
     )
 
 
@@ -200,9 +219,9 @@ def plan_table(context: SourceContext, source: TableSource) -> SourcePlan:
     segments = [{"table": label} for label in slices.labels]
     jobs = []
     if source.export_location:
-        paths = export_slices(
-            slices.each(), source.export_location, context.run_id, source.compression
-        )
+        if source.schema_fields is None:
+            slices.check(schema)
+        paths = slices.export(source.export_location, context.run_id, source.compression)
         segments = [{"table": label, "path": path} for label, path in zip(slices.labels, paths)]
         jobs = [{"operation": "export", "path": path} for path in paths]
 
@@ -212,6 +231,7 @@ def plan_table(context: SourceContext, source: TableSource) -> SourcePlan:
             frame = read_export(frame, source.export_location, context.run_id)
         if source.schema_fields is not None:
             return convert(frame, _without_expressions(schema))
+        slices.check(schema)
         check_file_types(frame.schema, schema)
         return frame
 

@@ -70,15 +70,21 @@ class ColumnSpec:
 
 @dataclass(frozen=True)
 class PrefixSource:
-    """Parquet files below ``location``, chosen by path suffix and name pattern."""
+    """Parquet files below ``location``, chosen by path suffix and name pattern.
+
+    The schema comes from the footers of all chosen files, or of the newest
+    ``infer_max_files`` only (columns that only other files have are then not loaded).
+    ``split_bytes`` sets the input bytes per task of the copy; Spark's setting by default.
+    """
 
     location: str
     file_pattern: str | None = None
     full_refresh_paths: tuple[str, ...] = ("",)
     incremental_paths: tuple[str, ...] = ("",)
     skip_missing: bool = False
-    infer_max_files: int = 16
+    infer_max_files: int | None = None
     load_mode: str = STRICT
+    split_bytes: int | None = None
 
     kind = "prefix"
 
@@ -91,8 +97,9 @@ class PrefixSource:
             raise SpecError("location is required")
         if self.file_pattern == "":
             raise SpecError("file_pattern must not be empty when set")
-        if self.infer_max_files < 1:
-            raise SpecError("infer_max_files must be at least 1")
+        for name in ("infer_max_files", "split_bytes"):
+            if getattr(self, name) is not None and getattr(self, name) < 1:
+                raise SpecError(f"{name} must be at least 1 when set")
 
     @property
     def full_refresh_slices(self) -> tuple[str, ...]:

@@ -57,11 +57,13 @@ def test_redact(rows, text, wanted):
 
 
 def test_error_text(rows):
-    def shown(text):
-        return rows("t string", (text,)).select(error_text(F.lit("E"), F.col("t"))).first()[0]
+    def shown(text, limit=500):
+        frame = rows("t string", (text,))
+        return frame.select(error_text(F.lit("E"), F.col("t"), limit)).first()[0]
 
     assert shown("boom") == "E: boom"
     assert shown("") == "E"
+    assert shown("x" * 9000, None) == "E: " + "x" * 9000
     assert shown("x" * 500) == "E: " + "x" * 500
     assert shown("x" * 501) == "E: " + "x" * 497 + "..."
     assert shown("x" * 495 + " yz" + "q" * 9) == "E: " + "x" * 495 + " y..."

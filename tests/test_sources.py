@@ -7,12 +7,12 @@ from conftest import bag
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync import RangePartition, SchemaError, SourceError, SqlSource, TableSource, TimePartition
+from tablesync import PrefixSource, RangePartition, SchemaError, SourceError, SqlSource, TableSource, TimePartition
 from tablesync.plans.slices import partition_condition
 from tablesync.session import engine_session
 from tablesync.sources import sqltext, tables  # noqa: F401
 from tablesync.sources.base import SourceContext, plan_source
-from tablesync.sources.export import export_slices, read_export
+from tablesync.sources.export import export_partitions, export_slices, read_export
 from tablesync.sources.listing import covering, match_segments, normalise_suffix
 from tablesync.sources.prefix import Prefix
 from tablesync.sources.tables import Dataset, partition_counts
@@ -89,28 +89,49 @@ def test_pattern(engine, write, tmp_path, suffixes, pattern, wanted):
         assert [row[0] for row in bag(prefix.read())] == wanted
 
 
-def test_newest_files_decide_the_schema(engine, write, tmp_path):
+def test_every_file_adds_its_columns(engine, context, write, tmp_path):
     root = tmp_path / "lake"
-    layouts = (
-        ("keep-old", "a int", (1,)),
-        ("drop", "a int, d int", (1, 2)),
-        ("keep-new", "a int, n string", (1, "x")),
-    )
-    for number, (name, ddl, row) in enumerate(layouts):
-        path = write(root / name, ddl, row)
-        for file in os.listdir(path):
-            os.utime(f"{path}/{file}", (1_000_000 + number, 1_000_000 + number))
-    prefix = Prefix(engine, str(root), ("",), "keep")
-    assert prefix.infer_schema(1).names == ["a", "n"]
-    assert [row["rel"].split("/")[0] for row in prefix.newest(1).collect()] == ["keep-new"]
-    assert prefix.read().count() == 2
+    write(root / "part=00", "k int, first_only string", (0, "x"))
+    for number in range(1, 21):
+        write(root / f"part={number:02d}", "k int", (number,))
+    for number, name in enumerate(sorted(os.listdir(root))):  # the first is the oldest
+        for file in os.listdir(root / name):
+            os.utime(root / name / file, (1_000_000 + number, 1_000_000 + number))
+    plan = plan_source(context(), PrefixSource(str(root)))
+    assert plan.schema.names == ["k", "first_only"]
+    assert plan.rows().where("first_only = 'x'").count() == 1 and plan.rows().count() == 21
+    capped = plan_source(context(), PrefixSource(str(root), infer_max_files=2))
+    assert capped.schema.names == ["k"]
+    prefix = Prefix(engine, str(root), ("",), "part=2")
+    assert [row["rel"].split("/")[0] for row in prefix.newest(1).collect()] == ["part=20"]
+
+
+@pytest.mark.parametrize("pattern", [None, "parquet$"])
+@pytest.mark.parametrize("paths", [("",), ("a", "a/b"), ("a", "a")])
+def test_rows_are_those_of_the_plan(context, write, tmp_path, pattern, paths):
+    write(tmp_path / "lake/a/b", "x int", (1,), (2,))
+    source = PrefixSource(str(tmp_path / "lake"), pattern, paths)
+    plan = plan_source(context(), source)
+    planned = sum(segment["file_count"] for segment in plan.segments)
+    write(tmp_path / "lake/a/late", "x int", (3,))
+    write(tmp_path / "lake/a/b", "x int", (4,), mode="append")
+    assert bag(plan.rows()) == sorted([(1,), (2,)] * planned)
+
+
+def test_files_that_keep_coming(context, write, tmp_path, monkeypatch):
+    from tablesync.sources import prefix as module
+
+    write(tmp_path / "lake", "x int", (1,))
+    monkeypatch.setattr(module, "_scanned_files", lambda frame: 7)
+    with pytest.raises(SourceError, match="keep changing"):
+        plan_source(context(), PrefixSource(str(tmp_path / "lake")))
 
 
 def test_disagreeing_files(engine, write, tmp_path):
     write(tmp_path / "lake/a", "x int", (1,))
     write(tmp_path / "lake/b", "x string", ("1",))
     with pytest.raises(SchemaError, match="do not agree"):
-        Prefix(engine, str(tmp_path / "lake")).infer_schema(16)
+        Prefix(engine, str(tmp_path / "lake")).infer_schema()
 
 
 def test_hidden_files_are_not_listed(engine, write, tmp_path):
@@ -303,6 +324,67 @@ def test_partition_counts(engine, rows):
     assert list(partition_counts(dates, TimePartition("d"), ["202603", "20260409"]).values()) == [31, 1]
 
 
+def test_a_table_directory_of_two_schemas(context, write, tmp_path):
+    write(tmp_path / "d/t", "id int", (1,))
+    write(tmp_path / "d/t", "id int, extra string", (2, "x"), mode="append")
+    plan = plan_source(context(), TableSource(str(tmp_path / "d"), "t"))
+    assert plan.schema.names == ["id", "extra"]
+    assert bag(plan.rows()) == [(1, None), (2, "x")]
+
+
+@pytest.mark.parametrize(
+    "second", ["TIMESTAMP'2026-01-01 00:00:00' AS at, 1 AS k",
+               "TIMESTAMP_NTZ'2026-01-01 00:00:00' AS at, CAST(1 AS decimal(9,3)) AS k"],
+)
+@pytest.mark.parametrize("export", [False, True])
+def test_later_shards_are_checked(context, engine, tmp_path, second, export):
+    first = "TIMESTAMP_NTZ'2026-01-01 00:00:00' AS at, CAST(1 AS decimal(9,2)) AS k"
+    for name, sql in (("e_1", first), ("e_2", second)):
+        engine.sql(f"SELECT {sql}").write.parquet(str(tmp_path / "d" / name))
+    to = {"export_location": str(tmp_path / "x")} if export else {}
+    with pytest.raises(SchemaError):
+        plan_source(context(), TableSource(str(tmp_path / "d"), "e_*", **to)).rows()
+
+
+def test_shards_take_the_first_one_s_columns(context, write, tmp_path):
+    write(tmp_path / "d/e_1", "id int, a string", (1, "x"))
+    write(tmp_path / "d/e_2", "id int, b string", (2, "y"))
+    plan = plan_source(context(), TableSource(str(tmp_path / "d"), "e_*"))
+    assert bag(plan.rows()) == [(1, "x"), (2, None)]
+
+
+@pytest.mark.parametrize("ids", [("202601", "20260105", "2025"), ("20260105", "__NULL__")])
+def test_partitions_are_exported_from_one_scan(engine, tmp_path, ids):
+    table = engine.sql(
+        "SELECT id, TIMESTAMP_NTZ'2025-12-20 00:00:00' + make_interval(0,0,0,CAST(id AS int)) AS ts "
+        "FROM range(40) UNION ALL SELECT 99, NULL"
+    )
+    table.write.parquet(str(tmp_path / "t"))
+    table = engine.read.parquet(str(tmp_path / "t"))
+    partition = TimePartition("ts")
+    paths = export_partitions(table, partition, ids, str(tmp_path / "x"), "run")
+    for path, name in zip(paths, ids):
+        wanted = table.where(partition_condition(partition, [name]))
+        assert bag(engine.read.parquet(path)) == bag(wanted)
+    text = read_partitions_plan(engine, table, partition, ids)
+    assert text.count("FileScan parquet") == 1
+
+
+def read_partitions_plan(engine, table, partition, ids):
+    """The plan of the frame an export writes."""
+    from tablesync.sources.export import labelled_partitions
+
+    return labelled_partitions(table, partition, ids, "s")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranges_are_exported(engine, tmp_path):
+    table = engine.sql("SELECT id - 5 AS k FROM range(30) UNION ALL SELECT NULL")
+    partition = RangePartition("k", 0, 20, 10)
+    ids = ("0", "10", "__UNPARTITIONED__", "__NULL__")
+    paths = export_partitions(table, partition, ids, str(tmp_path), "run")
+    assert [engine.read.parquet(path).count() for path in paths] == [10, 10, 10, 1]
+
+
 def test_missing_partition(context, write, tmp_path):
     write(tmp_path / "d/t", "k int", (1,))
     values = {"partition": RangePartition("k", 0, 100, 10), "full_refresh_predicates": ("0", "50")}
@@ -338,6 +420,20 @@ def test_sql_sees_the_callers_views(spark, context, rows, tmp_path):
     assert bag(plan.rows()) == [(1, "a"), (3, None)]
 
 
+def test_predicates_quote_as_the_delete_does(context, rows, tmp_path):
+    rows('st string, `a"b` int', ("F", 1), ("O", 2)).createOrReplaceTempView("quoting")
+
+    def found(predicate):
+        source = SqlSource("SELECT * FROM quoting", str(tmp_path), full_refresh_predicates=(predicate,))
+        return bag(plan_source(context(), source).rows())
+
+    assert found("\"st\" = 'F'") == [("F", 1)]
+    assert found("\"a\"\"b\" = 2") == [("O", 2)]
+    assert found("st = '\"F\"' OR `st` = 'O'") == [("O", 2)]
+    assert found("'st' = 'F'") == []  # names no column, and stays a comparison of texts
+    assert found("1 = 1") == [("F", 1), ("O", 2)]
+
+
 def test_staging_reuse(spark, context, rows, tmp_path):
     def runs(**changes):
         values = {"sql": "SELECT * FROM changing", "staging_location": str(tmp_path / "s")}

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import itertools
 
+import time
+
 import pytest
 
 from tablesync import (
@@ -21,7 +23,7 @@ from tablesync.plans.slices import (
     partition_condition,
     resolve_sql_predicates,
     resolve_table_predicates,
-    suffixes_overlap,
+    suffix_containers,
 )
 
 
@@ -33,7 +35,7 @@ def spec(**changes):
 def test_defaults():
     s = spec()
     assert s.table_location == "/w/db/s/orders"
-    assert s.source.full_refresh_slices == ("",) and s.source.infer_max_files == 16
+    assert s.source.full_refresh_slices == ("",) and s.source.infer_max_files is None
     assert s.retry == RetryPolicy(3, 5, 60, 2.0, 3)
     assert TableSource("/d", "t").compression == "ZSTD"
     assert SqlSource("select 1", "/s").staging_hours == 24
@@ -272,7 +274,18 @@ def test_adjacent_ranges_merge(spark):
 
 
 def test_layers():
-    assert disjoint_layers(["a", "b"], suffixes_overlap) == [["a", "b"]]
-    assert disjoint_layers(["a", "a/b", "a"], suffixes_overlap) == [["a"], ["a/b"], ["a"]]
-    assert disjoint_layers(["m=1", "m=12"], suffixes_overlap) == [["m=1", "m=12"]]
-    assert disjoint_layers(["", "a"], suffixes_overlap) == [[""], ["a"]]
+    assert disjoint_layers(["a", "b"], suffix_containers) == [["a", "b"]]
+    assert disjoint_layers(["a", "a/b", "a"], suffix_containers) == [["a"], ["a"], ["a/b"]]
+    assert disjoint_layers(["m=1", "m=12"], suffix_containers) == [["m=1", "m=12"]]
+    assert disjoint_layers(["", "a"], suffix_containers) == [[""], ["a"]]
+    days = ["202601", "20260105", "2025", "20260105", "__NULL__"]
+    assert disjoint_layers(days, TimePartition("ts").containers) == [
+        ["202601", "2025", "__NULL__"], ["20260105"], ["20260105"],
+    ]
+
+
+def test_layers_are_linear():
+    started = time.time()
+    names = [f"events_{number}" for number in range(100_000)]
+    assert disjoint_layers([*names, "events_7"]) == [names, ["events_7"]]
+    assert time.time() - started < 2
