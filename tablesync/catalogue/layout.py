@@ -49,6 +49,63 @@ def lake(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "lake", write)
 
 
+def revised_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The lake after a correction: each price is higher by one."""
+
+    def write(location: str) -> None:
+        orders = table(spark, sf_dir, "orders")
+        dated = orders.withColumns(
+            {
+                "o_totalprice": F.col("o_totalprice") + 1,
+                "year": F.year("o_orderdate"),
+                "month": F.month("o_orderdate"),
+            }
+        )
+        write_partitioned(dated, location, "year", "month")
+
+    return once(spark, sf_dir, "revised", write)
+
+
+def aged_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The lake with a column that only its first month, written first, has."""
+
+    def write(location: str) -> None:
+        orders = table(spark, sf_dir, "orders")
+        first = (F.year("o_orderdate") == 1995) & (F.month("o_orderdate") == 1)
+        oldest = orders.where(first).withColumn("legacy", F.upper("o_orderpriority"))
+        oldest.write.parquet(f"{location}/first")
+        rest = orders.where(~first).withColumns(
+            {"year": F.year("o_orderdate"), "month": F.month("o_orderdate")}
+        )
+        write_partitioned(rest, f"{location}/later", "year", "month")
+
+    return once(spark, sf_dir, "aged", write)
+
+
+def two_schemas(spark: SparkSession, sf_dir: str) -> str:
+    """``suppliers/t``, a table whose second half has a column more; and ``days/events_*``,
+    whose first day lacks a column of the others and has one they lack."""
+
+    def write(location: str) -> None:
+        supplier = table(spark, sf_dir, "supplier")
+        odd = F.col("s_suppkey") % 2 == 1
+        supplier.where(~odd).write.parquet(f"{location}/suppliers/t")
+        wider = supplier.where(odd).withColumn("s_double", F.col("s_acctbal") * 2)
+        wider.write.mode("append").parquet(f"{location}/suppliers/t")
+        events = table(spark, sf_dir, "events")
+        day = F.to_date("ts")
+        first = F.lit("2024-01-01").cast("date")
+        names = ("event_id", "ts", "event_type")
+        events.where(day == first).select(*names, "user_id").write.parquet(
+            f"{location}/days/events_1"
+        )
+        events.where(day > first).select(*names, "value").write.parquet(
+            f"{location}/days/events_2"
+        )
+
+    return once(spark, sf_dir, "two-schemas", write)
+
+
 def shards(spark: SparkSession, sf_dir: str) -> str:
     """``events`` as one table per day, ``events_YYYYMMDD``."""
 

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.load import delete_and_copy, project_by_name
+from ..operators.load import delete_and_copy
 from ..operators.store import ManagedTable
 from ..operators.views import read_table, read_view
 from ..session import engine_session, scratch_dir
 from ..spec import ColumnSpec, PrefixSource, SyncSpec
 from ..sync import evolve, sync
-from .layout import eras, lake, once, table
+from .layout import eras, lake, once, revised_lake, table
 
 JANUARY = "\"o_orderdate\" >= '1996-01-01' AND \"o_orderdate\" < '1996-02-01'"
 
@@ -35,8 +35,12 @@ def lake_spec(spark: SparkSession, sf_dir: str, label: str, **changes) -> SyncSp
 def delete_copy(incremental_runs: int):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = lake_spec(spark, sf_dir, "delete_copy")
-        for _ in range(1 + incremental_runs):
-            sync(spark, spec)
+        sync(spark, spec)
+        # The source is corrected before the incremental runs, which load one month of it.
+        source = PrefixSource(revised_lake(spark, sf_dir), incremental_paths=("year=1996/month=1",))
+        later = lake_spec(spark, sf_dir, "delete_copy", source=source, location=spec.location)
+        for _ in range(incremental_runs):
+            sync(spark, later)
         return read_table(spark, spec.location)
 
     return query
@@ -84,10 +88,17 @@ def delete_keeps_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def delete_all_when_unpaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without slices and predicate, an incremental run replaces everything."""
-    source = PrefixSource(lake(spark, sf_dir))
-    spec = lake_spec(spark, sf_dir, "unpaired", source=source, incremental_predicate=None)
-    sync(spark, spec)
+    spec = lake_spec(
+        spark, sf_dir, "unpaired", source=PrefixSource(lake(spark, sf_dir)),
+        incremental_predicate=None,
+    )
     sync(spark, spec)
+    other = PrefixSource(f"{revised_lake(spark, sf_dir)}/year=1996")
+    later = lake_spec(
+        spark, sf_dir, "unpaired", source=other, incremental_predicate=None,
+        location=spec.location,
+    )
+    sync(spark, later)
     return read_table(spark, spec.location)
 
 
@@ -220,12 +231,16 @@ def full_ingest_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_by_name_case_sensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wrong case reads as NULL, extra columns are dropped, order is the table's."""
-    engine = engine_session(spark)
-    schema = engine.read.schema(
-        "o_totalprice double, O_ORDERPRIORITY string, o_orderkey bigint"
-    ).parquet(f"{sf_dir}/orders.parquet")
-    loaded = project_by_name(table(engine, sf_dir, "orders"), schema.schema)
+    """A strict load into declared columns: wrong case reads as NULL, extra columns are
+    dropped, order is the table's."""
+    columns = (
+        ColumnSpec("o_totalprice", "double"),
+        ColumnSpec("O_ORDERPRIORITY", "string"),
+        ColumnSpec("o_orderkey", "bigint"),
+    )
+    spec = lake_spec(spark, sf_dir, "strict", columns=columns)
+    sync(spark, spec)
+    loaded = read_table(spark, spec.location)
     return loaded.select("o_totalprice", F.col("O_ORDERPRIORITY").alias("wrong_case"), "o_orderkey")
 
 
@@ -458,6 +473,10 @@ _OTHER_SLICE = (
     f"SELECT * FROM orders WHERE NOT ({_IN_JANUARY}) UNION ALL "
     "SELECT * FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 2"
 )
+_CORRECTED = (
+    f"SELECT * REPLACE (CASE WHEN {_IN_JANUARY} THEN o_totalprice + 1 ELSE o_totalprice END "
+    "AS o_totalprice) FROM orders"
+)
 _NEW = "o_orderdate >= DATE '1998-01-01'"
 _NULLED = (
     "SELECT o_orderkey, o_custkey, o_orderstatus, "
@@ -467,15 +486,18 @@ _NULLED = (
 _AMOUNT = "CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE printf('%.2f', o_totalprice) END"
 
 ORACLE = {
-    "delete_copy_incremental": "SELECT * FROM orders",
-    "delete_copy_repeat": "SELECT * FROM orders",
+    "delete_copy_incremental": _CORRECTED,
+    "delete_copy_repeat": _CORRECTED,
     "delete_copy_other_slice": _OTHER_SLICE,
     "delete_copy_algebra": _OTHER_SLICE,
     "delete_keeps_null_rows": (
         f"SELECT * FROM ({_NULLED}) WHERE (o_totalprice > 300000) IS NOT TRUE "
         f"UNION ALL SELECT * FROM ({_NULLED}) WHERE o_totalprice > 450000"
     ),
-    "delete_all_when_unpaired": "SELECT * FROM orders",
+    "delete_all_when_unpaired": (
+        "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders "
+        "WHERE year(o_orderdate) = 1996"
+    ),
     "full_refresh_slices": "SELECT * FROM orders WHERE year(o_orderdate) IN (1996, 1997)",
     "affected_file_rewrite": "SELECT * FROM orders WHERE year(o_orderdate) <> 1996",
     "time_travel": "SELECT * FROM orders",

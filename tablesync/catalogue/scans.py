@@ -13,9 +13,9 @@ from ..session import engine_session, scratch_dir
 from ..sources.export import export_slices
 from ..sources.listing import normalise_suffix
 from ..sources.prefix import Prefix
-from ..spec import SqlSource, SyncSpec, TableSource
+from ..spec import PrefixSource, SqlSource, SyncSpec, TableSource
 from ..sync import sync
-from .layout import lake, shards, table, write_partitioned
+from .layout import aged_lake, lake, shards, table, two_schemas, write_partitioned
 
 
 def prefix_scan(*suffixes: str, pattern: str | None = None):
@@ -30,16 +30,26 @@ ROLLUP_SUFFIXES = ("", "year=1996", "year=1996/month=1", "year=1996/month=12", "
 
 
 def segments_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each segment counts as many files as it has: how many files hold a month is
+    up to the writer, so the months are returned."""
     prefix = Prefix(engine_session(spark), lake(spark, sf_dir), ROLLUP_SUFFIXES)
-    return prefix.rollup().select("path_suffix", "file_count")
+    found = prefix.files().groupBy("path_suffix").agg(
+        F.countDistinct(F.regexp_extract("rel", r"^(.*)/[^/]*$", 1)).alias("months"),
+        F.count("*").alias("files"),
+    )
+    return prefix.rollup().join(found, "path_suffix", "left").select(
+        "path_suffix",
+        F.coalesce("months", F.lit(0)).alias("months"),
+        (F.col("file_count") == F.coalesce("files", F.lit(0))).alias("all_counted"),
+    )
 
 
 def segment_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Directories of the matched files, one row per file."""
+    """Directories of the matched files."""
     prefix = Prefix(engine_session(spark), lake(spark, sf_dir), ("year=1996", "year=1997/month=1"))
     return prefix.files().select(
         "path_suffix", F.regexp_extract("rel", r"^(.*)/[^/]*$", 1).alias("directory")
-    )
+    ).distinct()
 
 
 def newest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +60,7 @@ def newest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rank = F.struct("modificationTime", "rel")
     return ranked.agg(
         F.count("chosen").alias("chosen"),
-        F.count_if(F.col("chosen").isNull()).alias("others"),
+        (F.count("*") > 16).alias("some_left"),
         (
             F.min(F.when(F.col("chosen"), rank)) > F.max(F.when(F.col("chosen").isNull(), rank))
         ).alias("all_newer"),
@@ -252,6 +262,55 @@ def exported_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synced_table(spark, "exported", source)
 
 
+def exported_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month and a day in it go through one export, from one scan."""
+    source = TableSource(
+        sf_dir,
+        "events",
+        partition=TimePartition("ts"),
+        full_refresh_predicates=("202401", "20240105"),
+        export_location=scratch_dir(spark, "export"),
+    )
+    return synced_table(spark, "exported_partitions", source)
+
+
+def infer_all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that only the oldest of many files has."""
+    return synced_table(spark, "aged", PrefixSource(aged_lake(spark, sf_dir)))
+
+
+def table_dir_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = TableSource(f"{two_schemas(spark, sf_dir)}/suppliers", "t")
+    return synced_table(spark, "two_schemas", source)
+
+
+def shards_first_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later shards lose what the first lacks and read as NULL what they lack."""
+    source = TableSource(f"{two_schemas(spark, sf_dir)}/days", "events_*")
+    return synced_table(spark, "first_schema", source)
+
+
+def select_where_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quoted predicate selects the source's slice and the table's rows to delete."""
+    quoted = "\"o_orderstatus\" = 'F'"
+
+    def spec(price: str, location: str, staging: str) -> SyncSpec:
+        source = SqlSource(
+            f"SELECT o_orderkey, o_orderstatus, {price} AS o_totalprice "
+            f"FROM parquet.`{sf_dir}/orders.parquet`",
+            staging,
+            incremental_predicates=(quoted,),
+        )
+        return SyncSpec(
+            target="quoted", location=location, source=source, incremental_predicate=quoted
+        )
+
+    location, staging = scratch_dir(spark, "quoted"), scratch_dir(spark, "staging")
+    sync(spark, spec("o_totalprice", location, staging))
+    sync(spark, spec("o_totalprice + 1", location, staging))
+    return read_table(spark, location)
+
+
 def normalise_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     padded = F.concat(F.lit(" //"), F.col("url"), F.lit("/ "))
@@ -288,6 +347,11 @@ QUERIES = {
     "export_codecs": export_codecs,
     "exported_shards": exported_shards,
     "normalise_suffixes": normalise_suffixes,
+    "exported_partitions": exported_partitions,
+    "infer_all_files": infer_all_files,
+    "table_dir_two_schemas": table_dir_two_schemas,
+    "shards_first_schema": shards_first_schema,
+    "select_where_quoted": select_where_quoted,
 }
 
 _MONTH = "year(o_orderdate) = {} AND month(o_orderdate) = {}"
@@ -313,7 +377,8 @@ ORACLE = {
     "scan_regex": "SELECT * FROM orders WHERE month(o_orderdate) >= 10",
     "scan_regex_per_segment": f"SELECT * FROM orders WHERE {_MONTH.format(1996, 1)}",
     "segments_rollup": " UNION ALL ".join(
-        f"SELECT '{suffix}' AS path_suffix, n AS file_count FROM ({_FILES.format(condition)})"
+        f"SELECT '{suffix}' AS path_suffix, n AS months, true AS all_counted "
+        f"FROM ({_FILES.format(condition)})"
         for suffix, condition in zip(
             ROLLUP_SUFFIXES,
             (
@@ -333,7 +398,7 @@ ORACLE = {
         f"WHERE {_MONTH.format(1997, 1)}"
     ),
     "newest_files": (
-        f"SELECT CAST(16 AS BIGINT) AS chosen, n - 16 AS others, true AS all_newer "
+        "SELECT CAST(16 AS BIGINT) AS chosen, n > 16 AS some_left, true AS all_newer "
         f"FROM ({_FILES.format('true')})"
     ),
     "infer_capped_schema": " UNION ALL ".join(
@@ -400,4 +465,23 @@ ORACLE = {
         "SELECT * FROM events WHERE CAST(ts AS DATE) IN (DATE '2024-01-03', DATE '2024-01-04')"
     ),
     "normalise_suffixes": "SELECT page_id, trim(url, '/') AS suffix FROM pages",
+    "exported_partitions": (
+        "SELECT * FROM events WHERE year(ts) = 2024 AND month(ts) = 1 "
+        "UNION ALL SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05'"
+    ),
+    "infer_all_files": (
+        f"SELECT *, CASE WHEN {_MONTH.format(1995, 1)} THEN upper(o_orderpriority) END AS legacy "
+        "FROM orders"
+    ),
+    "table_dir_two_schemas": (
+        "SELECT *, CASE WHEN s_suppkey % 2 = 1 THEN s_acctbal * 2 END AS s_double FROM supplier"
+    ),
+    "shards_first_schema": (
+        "SELECT event_id, ts, event_type, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-01' "
+        "THEN user_id END AS user_id FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-01'"
+    ),
+    "select_where_quoted": (
+        "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 "
+        "ELSE o_totalprice END AS o_totalprice FROM orders"
+    ),
 }
