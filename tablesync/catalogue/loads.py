@@ -230,6 +230,35 @@ def full_ingest_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def full_ingest_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structs and arrays of structs of text, converted to declared types while loading."""
+
+    def write(location: str) -> None:
+        key, text = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+        entry = F.struct(text.alias("cust"), F.col("o_orderstatus").alias("Status"))
+        table(spark, sf_dir, "orders").select(
+            key.alias("k"), entry.alias("one"), F.array(entry, entry).alias("many")
+        ).write.parquet(location)
+
+    columns = (
+        ColumnSpec("k", "bigint"),
+        ColumnSpec("one", "struct<status:string,cust:bigint,absent:int>"),
+        ColumnSpec("many", "array<struct<cust:bigint>>"),
+    )
+    location = once(spark, sf_dir, "nested-text", write)
+    spec = SyncSpec(
+        target="nested_ingest",
+        location=scratch_dir(spark, "nested_ingest"),
+        source=PrefixSource(location, load_mode="full_ingest"),
+        columns=columns,
+    )
+    sync(spark, spec)
+    return read_table(spark, spec.location).select(
+        "k", "one.status", "one.cust", "one.absent",
+        F.element_at("many", 2)["cust"].alias("second"), F.size("many").alias("entries"),
+    )
+
+
 def load_by_name_case_sensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A strict load into declared columns: wrong case reads as NULL, extra columns are
     dropped, order is the table's."""
@@ -462,6 +491,7 @@ QUERIES = {
     "view_lower_snake": view_lower_snake,
     "view_expression_try_cast": view_expression_try_cast,
     "full_ingest_expression": full_ingest_expression,
+    "full_ingest_nested": full_ingest_nested,
     "load_by_name_case_sensitive": load_by_name_case_sensitive,
     "not_null_columns": not_null_columns,
     "evolve_plan_report": evolve_plan_report,
@@ -516,6 +546,11 @@ ORACLE = {
         "CAST(NULL AS DOUBLE) AS not_in_files, "
         "'decimal(38,0),double,date,bigint' AS loaded_types FROM orders"
     ),
+    "full_ingest_nested": (
+        "SELECT o_orderkey AS k, o_orderstatus AS status, o_custkey AS cust, "
+        "CAST(NULL AS INTEGER) AS absent, o_custkey AS second, CAST(2 AS INTEGER) AS entries "
+        "FROM orders"
+    ),
     "load_by_name_case_sensitive": (
         "SELECT o_totalprice, CAST(NULL AS VARCHAR) AS wrong_case, o_orderkey FROM orders"
     ),

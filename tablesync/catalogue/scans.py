@@ -152,6 +152,20 @@ def partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synced_table(spark, "pruned", source)
 
 
+def partition_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of a table that nobody declared as partitioned: its directories tell."""
+    location = f"{scratch_dir(spark, 'auto')}/daily"
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    write_partitioned(events, location, "day")
+    source = TableSource(
+        location.rpartition("/")[0],
+        "daily",
+        predicate_type="auto",
+        full_refresh_predicates=("20240105", "20240107"),
+    )
+    return synced_table(spark, "auto", source)
+
+
 MAPPED_FIELDS = (
     {"name": "event_id", "type": "INT64", "mode": "REQUIRED"},
     {"name": "ts", "type": "TIMESTAMP"},
@@ -347,6 +361,7 @@ QUERIES = {
     "export_codecs": export_codecs,
     "exported_shards": exported_shards,
     "normalise_suffixes": normalise_suffixes,
+    "partition_auto": partition_auto,
     "exported_partitions": exported_partitions,
     "infer_all_files": infer_all_files,
     "table_dir_two_schemas": table_dir_two_schemas,
@@ -465,6 +480,10 @@ ORACLE = {
         "SELECT * FROM events WHERE CAST(ts AS DATE) IN (DATE '2024-01-03', DATE '2024-01-04')"
     ),
     "normalise_suffixes": "SELECT page_id, trim(url, '/') AS suffix FROM pages",
+    "partition_auto": (
+        "SELECT *, CAST(ts AS DATE) AS day FROM events "
+        "WHERE CAST(ts AS DATE) IN (DATE '2024-01-05', DATE '2024-01-07')"
+    ),
     "exported_partitions": (
         "SELECT * FROM events WHERE year(ts) = 2024 AND month(ts) = 1 "
         "UNION ALL SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05'"

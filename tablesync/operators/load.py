@@ -89,7 +89,8 @@ def convert(source: DataFrame, schema: T.StructType) -> DataFrame:
     """Project and cast source rows to the table's columns.
 
     A declared expression is applied here, to the file's own columns; other columns
-    are taken by exact name. A column the files lack reads as NULL.
+    are taken by exact name. A column the files lack reads as NULL. Structs and arrays
+    convert field by field, matched by name regardless of case.
     """
     missing = [field for field in schema.fields if field.name not in source.columns]
     source = source.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
@@ -97,12 +98,36 @@ def convert(source: DataFrame, schema: T.StructType) -> DataFrame:
     for field in schema.fields:
         expression = (field.metadata or {}).get("expression")
         column = F.expr(file_field_refs(expression)) if expression else F.col(quoted(field.name))
-        if not _is_nested(field.dataType):
+        if _is_nested(field.dataType):
+            found = source.select(column.alias(field.name)).schema[0].dataType
+            column = fitted(column, found, field.dataType)
+        else:
             column = column.cast(field.dataType)
         columns.append(column.alias(field.name))
     return source.select(columns)
 
 
+def fitted(column: Column, found: T.DataType, wanted: T.DataType) -> Column:
+    """A value of type ``found`` as one of type ``wanted``; absent fields become NULL and
+    extra ones go, at every depth."""
+    if isinstance(found, T.StructType) and isinstance(wanted, T.StructType):
+        known = {child.name.lower(): child for child in found.fields}
+        fields = []
+        for child in wanted.fields:
+            match = known.get(child.name.lower())
+            if match is None:
+                value = F.lit(None).cast(child.dataType)
+            else:
+                value = fitted(column.getField(match.name), match.dataType, child.dataType)
+            fields.append(value.alias(child.name))
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(found, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        return F.transform(
+            column, lambda element: fitted(element, found.elementType, wanted.elementType)
+        )
+    return column if found == wanted else column.cast(wanted)
+
+
 def _is_nested(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.StructType, T.ArrayType, T.MapType))
 

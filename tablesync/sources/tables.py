@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import cached_property, partial, reduce
+from functools import cache, cached_property, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +92,34 @@ class Dataset:
             )
         return reduce(DataFrame.unionAll, [self.read(table).to(schema) for table in tables])
 
+    def partition(self, table: str) -> TimePartition | RangePartition | None:
+        """How a table is laid out: by the first partition column that the catalog, or the
+        table's directory names, tell of. An integer column has a partition per value."""
+        if not self.exists(table):
+            return None
+        if self.is_path:
+            if not self._has_partition_directories(table):
+                return None
+            names = [n for n in self._files.names(self.path(table)) if "=" in n]
+            column = names[0].partition("=")[0]
+        else:
+            full = f"{self.name}.{table}"
+            listed = [c.name for c in self.spark.catalog.listColumns(full) if c.isPartition]
+            if not listed:
+                return None
+            column = listed[0]
+            shown = self.spark.sql(f"SHOW PARTITIONS {full}").collect()
+            names = [row[0].partition("/")[0] for row in shown]
+        kind = self.read(table).schema[column].dataType
+        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return TimePartition(column)
+        if isinstance(kind, (T.IntegerType, T.LongType)):
+            values = [name.partition("=")[2] for name in names if name.startswith(f"{column}=")]
+            found = [int(value) for value in values if value.lstrip("-").isdigit()]
+            if found:
+                return RangePartition(column, min(found), max(found) + 1, 1)
+        return None
+
     def check_shards(self, tables: Sequence[str], schema: T.StructType) -> None:
         """Raise unless the footers of every table fit ``schema``.
 
@@ -152,18 +180,23 @@ class _Slices:
     check: Callable[[T.StructType], None] = lambda schema: None
 
 
-def _partition_slices(dataset: Dataset, source: TableSource, ids: Sequence[str]) -> _Slices:
+def _partition_slices(
+    dataset: Dataset,
+    source: TableSource,
+    partition: TimePartition | RangePartition,
+    ids: Sequence[str],
+) -> _Slices:
     if not dataset.exists(source.table):
         return _Slices(len(ids), [])
     table = dataset.read(source.table)
-    counts = partition_counts(table, source.partition, ids)
+    counts = partition_counts(table, partition, ids)
     found = [name for name in ids if counts[name]]
     return _Slices(
         len(ids),
         [f"{source.table}${name}" for name in found],
         table.schema,
-        rows=lambda: read_partitions(table, source.partition, found),
-        export=partial(export_partitions, table, source.partition, found),
+        rows=lambda: read_partitions(table, partition, found),
+        export=partial(export_partitions, table, partition, found),
     )
 
 
@@ -194,11 +227,17 @@ def _table_slices(
 def plan_table(context: SourceContext, source: TableSource) -> SourcePlan:
     dataset = Dataset(context.engine, source.dataset)
     predicates = slices_for(source, context.mode)
+
+    @cache
+    def partition() -> TimePartition | RangePartition | None:
+        """As declared, else as the table itself tells."""
+        return source.partition or dataset.partition(source.table)
+
     kind = resolve_table_predicates(
-        source.predicate_type, source.table, predicates, lambda: source.partition is not None
+        source.predicate_type, source.table, predicates, lambda: partition() is not None
     )
     if kind == PARTITION_DECORATOR:
-        slices = _partition_slices(dataset, source, predicates)
+        slices = _partition_slices(dataset, source, partition(), predicates)
     else:
         slices = _table_slices(dataset, source, kind, predicates)
     missing = slices.planned - len(slices.labels)

@@ -377,6 +377,33 @@ def read_partitions_plan(engine, table, partition, ids):
     return labelled_partitions(table, partition, ids, "s")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_partitioning_is_found_in_the_directories(engine, context, tmp_path):
+    rows = engine.sql("SELECT id, CAST(id % 3 AS int) AS k, DATE'2026-01-01' + CAST(id AS int) AS d FROM range(9)")
+    rows.write.partitionBy("d").parquet(str(tmp_path / "days"))
+    rows.write.partitionBy("k").parquet(str(tmp_path / "keys"))
+    rows.write.parquet(str(tmp_path / "flat"))
+    dataset = Dataset(engine, str(tmp_path))
+    assert dataset.partition("days") == TimePartition("d")
+    assert dataset.partition("keys") == RangePartition("k", 0, 3, 1)
+    assert dataset.partition("flat") is None and dataset.partition("missing") is None
+    source = TableSource(str(tmp_path), "days", full_refresh_predicates=("20260103",))
+    assert [row["id"] for row in plan_source(context(), source).rows().collect()] == [2]
+
+
+def test_partitioning_is_found_in_the_catalog(spark, context, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS found_db")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS found_db.t (id int, k int) USING parquet PARTITIONED BY (k) "
+        f"LOCATION '{tmp_path}/t'"
+    )
+    spark.sql("INSERT INTO found_db.t VALUES (1, 5), (2, 7)")
+    try:
+        source = TableSource("found_db", "t", full_refresh_predicates=("7",))
+        assert [row["id"] for row in plan_source(context(), source).rows().collect()] == [2]
+    finally:
+        spark.sql("DROP DATABASE found_db CASCADE")
+
+
 def test_ranges_are_exported(engine, tmp_path):
     table = engine.sql("SELECT id - 5 AS k FROM range(30) UNION ALL SELECT NULL")
     partition = RangePartition("k", 0, 20, 10)
