@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import UTC, datetime, timedelta
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -263,9 +265,12 @@ class ManagedTable:
         live = F.col("number") > max(expired)
         parts = records.select("number", live.alias("live"), F.inline("parts")).persist()
         try:
-            for row in _dead_files(parts).toLocalIterator():
-                self._files.delete(f"{self._path(row['directory'])}/{row['name']}")
-                done["files"] += 1
+            rows = _dead_files(parts).toLocalIterator()
+            with ThreadPoolExecutor(max_workers=16) as pool:  # the round trips overlap
+                while batch := list(islice(rows, 1000)):
+                    paths = [f"{self._path(row['directory'])}/{row['name']}" for row in batch]
+                    list(pool.map(self._files.delete, paths))
+                    done["files"] += len(batch)
             ends = parts.groupBy("directory").agg(F.max("live").alias("live"))
             dead = [row["directory"] for row in ends.where("NOT live").collect()]
         finally:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from .errors import PublishConflict, SchemaError, TableSyncError
 from .operators.load import enforce_not_null, project_by_name
 from .operators.runlog import append_run
-from .operators.store import ManagedTable, Version
+from .operators.store import Deletion, ManagedTable, Part, Version
 from .operators.views import View, ViewColumn, view_columns
 from .plans.evolution import EvolutionPlan, plan_evolution
 from .plans.modes import FULL_REFRESH, effective_mode, retry_delay, slices_for
@@ -195,15 +195,21 @@ def _load(
 ) -> None:
     view_aliases(plan.schema)
     result.cleanup["created_internal_table"] = table.create(plan.schema, result.run_id)
+    copied: dict[str, Part] = {}
     for attempt in range(1, spec.retry.max_attempts + 1):
         result.retry["attempts"] = attempt
-        directory = result.run_id if attempt == 1 else f"{result.run_id}-{attempt}"
+        kept = f"{result.run_id}-kept-{attempt}"
         try:
-            version = _load_once(table, spec, plan, result, directory)
+            version = _load_once(table, spec, plan, result, copied, kept)
         except Exception as error:
-            table.discard(directory)
+            # Only the delete depends on the head, so a conflict keeps what was copied.
+            table.discard(kept)
             last = attempt == spec.retry.max_attempts
-            if not isinstance(error, PublishConflict):
+            conflict = isinstance(error, PublishConflict)
+            if last or not conflict:
+                for number in range(len(copied) + 1):
+                    table.discard(_copy_directory(result, number))
+            if not conflict:
                 raise
             delay = 0.0
             if not last:
@@ -219,32 +225,53 @@ def _load(
         else:
             result.version = version.number
             result.publish_ids.append(f"v{version.number}")
+            for schema, part in copied.items():
+                if schema != version.schema.json():
+                    table.discard(part.directory)
             return
 
 
+def _copy_directory(result: SyncResult, number: int) -> str:
+    return result.run_id if number == 0 else f"{result.run_id}-{number}"
+
+
 def _load_once(
-    table: ManagedTable, spec: SyncSpec, plan: SourcePlan, result: SyncResult, directory: str
+    table: ManagedTable,
+    spec: SyncSpec,
+    plan: SourcePlan,
+    result: SyncResult,
+    copied: dict[str, Part],
+    kept: str,
 ) -> Version:
-    """Delete, copy and publish against the present head: all of it or nothing."""
+    """Delete, copy and publish against the present head: all of it or nothing.
+
+    ``copied`` holds the source's rows written so far, by the schema they were written
+    under; ``kept`` is the directory for rows of files that lose some.
+    """
     head = table.head()
     evolution = plan_evolution(head.schema, plan.schema)
     full = result.effective_mode == FULL_REFRESH
     if not full:
         _check_appended(evolution, head.schema)
     schema = evolution.schema
-    # The jobs that find the files to delete from and those that read the footers to
-    # load have nothing to do with each other, so they share the cluster.
+    key = schema.json()
+
+    def delete() -> tuple[Deletion, tuple[Part, ...]]:
+        deletion = table.delete(head, None if full else spec.incremental_predicate)
+        if deletion.rewritten is None:
+            return deletion, ()
+        return deletion, (table.write(project_by_name(deletion.rewritten, schema), kept),)
+
+    # Finding and rewriting the files to delete from and copying the source have nothing
+    # to do with each other, so they share the cluster.
     with ThreadPoolExecutor(max_workers=1) as pool:
-        predicate = None if full else spec.incremental_predicate
-        in_background = inheritable_thread_target(table.spark)
-        finding = pool.submit(in_background(table.delete), head, predicate)
-        incoming = enforce_not_null(project_by_name(plan.rows(), schema), schema)
-        deletion = finding.result()
-    if deletion.rewritten is not None:
-        kept_rows = project_by_name(deletion.rewritten, schema)
-        incoming = kept_rows.unionByName(incoming)
-    part = table.write(incoming, directory)
-    version = table.publish(head, schema, (*deletion.kept, part), result.run_id)
+        deleting = pool.submit(inheritable_thread_target(table.spark)(delete))
+        if key not in copied:
+            incoming = enforce_not_null(project_by_name(plan.rows(), schema), schema)
+            copied[key] = table.write(incoming, _copy_directory(result, len(copied)))
+        deletion, rewritten = deleting.result()
+    parts = (*deletion.kept, *rewritten, copied[key])
+    version = table.publish(head, schema, parts, result.run_id)
     result.rows_deleted = None if full else deletion.rows_deleted
     result.files_dropped = deletion.files_dropped
     result.files_rewritten = deletion.files_rewritten

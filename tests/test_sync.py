@@ -308,10 +308,46 @@ def test_conflict_is_retried_against_the_new_head(spark, rows, tmp_path):
     assert result.version == 2
 
 
-def test_conflicts_run_out(spark, rows, tmp_path):
+def test_a_conflict_copies_the_source_once(spark, write, tmp_path, monkeypatch):
+    write(tmp_path / "src", "id int, day int", (1, 1), (2, 2))
+    spec = SyncSpec(
+        "t", PrefixSource(str(tmp_path / "src")), location=str(tmp_path / "t"),
+        retry=RetryPolicy(4, 1, 1, 1, 0),
+    )
+    sync(spark, spec)
+    writes, conflicts = [], [1, 1]
+    write_part, publish = ManagedTable.write, ManagedTable.publish
+
+    def counted(self, frame, directory):
+        writes.append(directory)
+        return write_part(self, frame, directory)
+
+    def contested(self, parent, *rest):
+        if conflicts:
+            conflicts.pop()
+            raise PublishConflict("taken")
+        return publish(self, parent, *rest)
+
+    monkeypatch.setattr(ManagedTable, "write", counted)
+    monkeypatch.setattr(ManagedTable, "publish", contested)
+    result = sync(spark, spec, sleep=lambda _: None)
+    assert result.retry["attempts"] == 3 and writes == [result.run_id]
+    assert bag(read_table(spark, spec.location)) == [(1, 1), (2, 2)]
+
+
+def test_conflicts_run_out(spark, rows, tmp_path, monkeypatch):
     location = str(tmp_path / "t")
+    frame, publish = rows("id int", (1,)), ManagedTable.publish
+    count = iter(range(9))
+
+    def contested(self, parent, schema, parts, run_id):
+        part = self.write(frame, f"other-{next(count)}")
+        publish(self, parent, schema, (*parent.parts, part), "other")
+        return publish(self, parent, schema, parts, run_id)
+
+    monkeypatch.setattr(ManagedTable, "publish", contested)
     spec = SyncSpec(
-        "t", Racing(rows("id int", (1,)), location, 9), location=location,
+        "t", Racing(frame, location, 0), location=location,
         retry=RetryPolicy(2, 1, 60, 2, 0), run_log=str(tmp_path / "log"),
     )
     with pytest.raises(PublishConflict):
