@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from .folds import held_out, labelled_sample
 from .storage import fresh
-from .subword import Model, Shape, bags, fit, logits_of, probabilities, softmax
+from .subword import Model, Shape, bags, fit, logits_of, probabilities, release, softmax
 from .text import slices
 
 #: Bounds of the training sample, as in the quality classifier.
-TRAINING_ROWS = 6000
+TRAINING_ROWS = 4000
 TRAINING_CHARS = 1 << 15
 
 #: Share of rightly recognised calibration texts that rejection may cost, and the highest
@@ -70,7 +70,10 @@ def train_languages(
         return None
     apart = [i % 6 == 5 for i in range(len(examples))]
     model = fit([e for e, out in zip(examples, apart) if not out], shape)
-    return calibrate(model, [e for e, out in zip(examples, apart) if out])
+    model = calibrate(model, [e for e, out in zip(examples, apart) if out])
+    del examples
+    release()
+    return model
 
 
 ADDED = ("lang_pred", "lang_score", "lang_rejected")

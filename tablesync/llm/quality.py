@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from .folds import held_out, labelled_sample
 from .storage import fresh
-from .subword import Model, Shape, bags, fit, probabilities
+from .subword import Model, Shape, bags, fit, probabilities, release
 from .text import slices
 
 #: Bound of the training sample: rows, and characters of a text that may be drawn for it.
-TRAINING_ROWS = 8000
+TRAINING_ROWS = 6000
 TRAINING_CHARS = 1 << 16
 
 SHAPE = Shape(grams=(2, 3))
@@ -33,7 +33,10 @@ def train_quality(
     texts = documents.select("doc_id", "text").where(F.length("text") <= TRAINING_CHARS)
     # The sample is bounded by ``rows``, so it may be broadcast.
     examples = bags(texts.join(F.broadcast(picked), "doc_id"), "label", shape)
-    return fit(examples, shape) if examples else None
+    model = fit(examples, shape) if examples else None
+    del examples
+    release()
+    return model
 
 
 def score_quality(

@@ -12,6 +12,7 @@ once.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -104,16 +105,21 @@ def bags(frame: DataFrame, label: str, shape: Shape) -> list[tuple]:
 
     kind = frame.schema[label].dataType.simpleString()
     id_kind = frame.schema["doc_id"].dataType.simpleString()
-    rows = (
+    table = (
         frame.select("doc_id", F.col(label).alias("label"), "text")
         .mapInArrow(task, f"doc_id {id_kind}, label {kind}, keys binary, counts binary")
-        .collect()
+        .orderBy("doc_id", "label", "keys")
+        .toArrow()
     )
-    rows.sort(key=lambda row: (row["doc_id"], str(row["label"]), bytes(row["keys"])))
+    # The arrays below are views of the table, so nothing is held twice.
+    keys, counts = _views(table["keys"], np.int32), _views(table["counts"], np.float32)
+    return list(zip(table["label"].to_pylist(), keys, counts))
+
+
+def _views(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
     return [
-        (row["label"], np.frombuffer(row["keys"], np.int32), np.frombuffer(row["counts"], np.float32))
-        for row in rows
-    ]
+        np.frombuffer(value.as_buffer(), kind) for chunk in column.chunks for value in chunk
+    ]
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -159,6 +165,12 @@ def fit(examples: list[tuple], shape: Shape, seed: int = 1) -> Model:
     return Model(shape, classes, vectors @ weights, bias)
 
 
+def release() -> None:
+    """Hand the memory of a training sample that is no longer used back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def logits_of(model: Model, examples: list[tuple]) -> np.ndarray:
     if not examples:
         return np.zeros((0, len(model.classes)))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .folds import held_out, labelled_sample
-from .subword import Shape, bags
+from .subword import Shape, bags, release
 from .text import gram_features, slices, words
 
 #: Bounds of the training sample, as in the quality classifier.
@@ -125,9 +125,12 @@ def train_toxicity(
         return flat
     cuts = np.quantile(evidence[toxic], np.arange(1, GRADES) / GRADES)
     grades = np.where(toxic, 1 + np.searchsorted(cuts, evidence), 0)
-    return fit_severity(
+    model = fit_severity(
         [(grade, keys, counts) for grade, (_, keys, counts) in zip(grades, examples)], shape
     )
+    del examples
+    release()
+    return model
 
 
 def grade_toxicity(documents: DataFrame, model: Severity | None) -> DataFrame:
