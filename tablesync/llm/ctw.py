@@ -20,13 +20,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .folds import remainder
 from .storage import stash
-from .text import Words, slices, words
+from .text import FOLD, IS_SPACE, raw, slices, vocabulary_hashes, word_hashes, words
 
 #: Bytes of context; with the next byte they must fit a 64-bit key, so at most 7.
 DEPTH = 5
@@ -36,41 +35,49 @@ END, BEFORE = 0xFF, 0xFE
 END_WORD = bytes([END])
 
 #: Characters of text in a block, the unit that texts and scores are joined by.
-BLOCK_CHARS = 48 << 20
+BLOCK_CHARS = 32 << 20
 
 #: Distinct strings or words that a task holds before it hands them on.
-HELD = 1 << 20
+HELD = 1 << 19
 
 _U = np.uint64
 
 
-def stream(found: Words, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all strings of ``depth + 1`` bytes, and the text of each.
+def stream(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all strings of ``depth + 1`` bytes in the streams of texts, and the text of each.
 
     A key has the predicted byte in its lowest eight bits, the byte before it in the next,
     and so on; before a text come marks.
     """
-    lengths = np.diff(found.offsets)[found.code]
-    count = np.bincount(found.doc, weights=lengths + 1, minlength=found.rows).astype(np.int64)
-    size = count + depth + 1
+    data, offsets = raw(texts)
+    rows = len(offsets) - 1
+    inside = ~IS_SPACE[data]
+    # A word's bytes stay, and the white space right after it, which becomes a space.
+    keep = inside.copy()
+    keep[1:] |= inside[:-1]
+    filled = offsets[:-1] < offsets[1:]
+    firsts = offsets[:-1][filled]
+    keep[firsts] = inside[firsts]
+    kept = np.append(0, np.cumsum(keep))[offsets]
+    closed = np.zeros(rows, np.int64)  # a text that ends in a word gets a space as well
+    closed[filled] = inside[offsets[1:][filled] - 1]
+    size = np.diff(kept) + closed + depth + 1
     stops = np.cumsum(size)
-    data = np.full(int(stops[-1]) if len(stops) else 0, 0x20, np.uint8)
-    begins = np.cumsum(lengths + 1) - lengths - 1 + found.doc * (depth + 1) + depth
-    inner = np.cumsum(lengths) - lengths
-    span = np.arange(int(lengths.sum()))
-    source = found.offsets[:-1][found.code]
-    data[span + np.repeat(begins - inner, lengths)] = found.data[
-        span + np.repeat(source - inner, lengths)
-    ]
-    data[stops - 1] = END
-    real = np.ones(len(data), bool)
+    # Eight bytes are read at each place, so seven are put before the first.
+    line = np.full(7 + (int(stops[-1]) if rows else 0), 0x20, np.uint8)
+    body = line[7:]
+    shift = (stops - size + depth - kept[:-1]).astype(np.int32)
+    place = np.arange(int(kept[-1]), dtype=np.int32) + np.repeat(shift, np.diff(kept))
+    letters = np.where(inside, FOLD[data], np.uint8(0x20))
+    body[place] = letters[keep]
+    body[stops - 1] = END
+    real = np.ones(len(body), bool)
     for k in range(depth):
-        data[stops - size + k] = BEFORE
+        body[stops - size + k] = BEFORE
         real[stops - size + k] = False
-    keys = np.zeros(len(data), _U)
-    for k in range(depth + 1):
-        keys[k:] |= data[: len(data) - k].astype(_U) << _U(8 * k)
-    return keys[real], np.repeat(np.arange(found.rows), size)[real]
+    windows = np.ndarray((len(body),), ">u8", line.tobytes(), 0, (1,))
+    keys = windows.astype(np.uint64) & _mask(8 * (depth + 1))
+    return keys[real], np.repeat(np.arange(rows, dtype=np.int32), size - depth)
 
 
 def _log_rising(n: np.ndarray) -> np.ndarray:
@@ -197,6 +204,11 @@ def _batches(grams: pa.Array | None, names: pa.Array | None, values: dict) -> It
     yield from table.combine_chunks().to_batches(max_chunksize=1 << 16)
 
 
+def _by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
 def tally(documents: DataFrame, depth: int) -> DataFrame:
     """``gram, word, n``: each string and each word, and its count in ``learned`` texts.
 
@@ -204,39 +216,57 @@ def tally(documents: DataFrame, depth: int) -> DataFrame:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts = np.zeros(0, _U), np.zeros(0, np.int64)
-        held = pa.table({"word": pa.array([], pa.large_binary()), "n": pa.array([], pa.int64())})
+        grams, counts = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+        held: list[pa.Table] = []
         ends = texts = 0
-        waiting: list[pa.Table] = []
+
+        def strings_merged() -> None:
+            merged = _summed(np.concatenate(grams), np.concatenate(counts))
+            grams[:], counts[:] = [merged[0]], [merged[1]]
+
+        def words_merged() -> None:
+            table = pa.concat_tables(held).group_by("word").aggregate([("n", "sum")])
+            held[:] = [table.rename_columns(["word", "n"]).combine_chunks()]
+
+        def strings_out() -> Iterator[pa.RecordBatch]:
+            yield from _batches(pa.array(grams[0].view(np.int64)), None, {"n": counts[0]})
+            grams[:], counts[:] = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+
+        def words_out() -> Iterator[pa.RecordBatch]:
+            table = held.pop()
+            values = {"n": table["n"].combine_chunks()}
+            yield from _batches(None, table["word"].combine_chunks(), values)
+
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 learned = part.column("learned").to_numpy(zero_copy_only=False)
                 ends, texts = ends + int(learned.sum()), texts + len(part)
+                keys, doc = stream(part.column("text"), depth)
+                use = learned[doc]
+                # Sorting in place is the quickest way to count integers here.
+                for own, weight in ((keys[use], 1), (keys[~use], 0)):
+                    own, n = np.unique(own, return_counts=True)
+                    grams.append(own)
+                    counts.append(n.astype(np.int64) * weight)
                 found = words(part.column("text"), True)
-                keys, doc = stream(found, depth)
-                grams, counts = _summed(
-                    np.concatenate([grams, keys]), np.concatenate([counts, learned[doc] * 1])
-                )
-                if len(grams) > HELD:
-                    yield from _batches(pa.array(grams.view(np.int64)), None, {"n": counts})
-                    grams, counts = np.zeros(0, _U), np.zeros(0, np.int64)
-                use = np.bincount(
+                count = np.bincount(
                     found.code, weights=learned[found.doc], minlength=len(found.offsets) - 1
                 )
-                waiting.append(pa.table({"word": found.distinct, "n": use.astype(np.int64)}))
-                if sum(map(len, waiting)) > HELD:
-                    held = pa.concat_tables([held, *waiting]).group_by("word").aggregate(
-                        [("n", "sum")]
-                    ).rename_columns({"n_sum": "n"}).combine_chunks()
-                    waiting = []
-                    if len(held) > HELD // 2:
-                        yield from _batches(None, held["word"].combine_chunks(), {"n": held["n"]})
-                        held = held.slice(0, 0)
+                held.append(pa.table({"word": found.distinct, "n": count.astype(np.int64)}))
+                if sum(map(len, grams)) > 3 * HELD:
+                    strings_merged()
+                    if len(grams[0]) > HELD:
+                        yield from strings_out()
+                if sum(map(len, held)) > 2 * HELD:
+                    words_merged()
+                    if len(held[0]) > HELD:
+                        yield from words_out()
         if texts:
-            yield from _batches(pa.array(grams.view(np.int64)), None, {"n": counts})
-            waiting.append(pa.table({"word": pa.array([END_WORD], pa.large_binary()), "n": [ends]}))
-            held = pa.concat_tables([held, *waiting]).group_by("word").aggregate([("n", "sum")])
-            yield from _batches(None, held["word"].combine_chunks(), {"n": held["n_sum"]})
+            held.append(pa.table({"word": pa.array([END_WORD], pa.large_binary()), "n": [ends]}))
+            words_merged()
+            yield from words_out()
+            strings_merged()
+            yield from strings_out()
 
     found = documents.select("learned", "text").mapInArrow(
         task, "gram long, word binary, n long"
@@ -256,25 +286,26 @@ def asked_of(blocked: DataFrame, depth: int) -> DataFrame:
 
         def hand_on(block: int, last: bool) -> Iterator[pa.RecordBatch]:
             own = np.unique(np.concatenate(grams.pop(block)))
-            if last or len(own) > HELD // 2:
+            if last or len(own) > HELD:
                 numbers = np.full(len(own), block, np.int64)
                 yield from _batches(pa.array(own.view(np.int64)), None, {"block": numbers})
             else:
                 grams[block] = [own]
             word = pa.chunked_array(names.pop(block)).unique()
-            if last or len(word) > HELD // 2:
+            if last or len(word) > HELD:
                 yield from _batches(None, word, {"block": np.full(len(word), block, np.int64)})
             else:
                 names[block] = [word]
 
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 numbers = part.column("block").to_numpy()
                 for block in np.unique(numbers):
                     own = int(block)
-                    found = words(part.column("text").filter(pa.array(numbers == block)), True)
+                    texts = part.column("text").filter(pa.array(numbers == block))
+                    found = words(texts, True)
                     grams.setdefault(own, [np.zeros(0, _U)]).append(
-                        np.unique(stream(found, depth)[0])
+                        np.unique(stream(texts, depth)[0])
                     )
                     names.setdefault(own, [pa.array([END_WORD], pa.large_binary())]).append(
                         found.distinct
@@ -360,7 +391,8 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
 def score_texts(
     documents: DataFrame, learned: Column, depth: int = DEPTH, block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
-    """Add ``n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte``.
+    """The columns but ``text``, and ``n_tokens, n_known, train_tokens, base_score, score,
+    n_bytes, bits_per_byte``.
 
     ``learned`` marks the texts to learn from. ``score`` is the model's log10 probability of
     the text; ``bits_per_byte`` its code length over the bytes of the stream. The base
@@ -387,36 +419,35 @@ def score_texts(
     # Texts are dealt to blocks once: both uses below read the same exchange.
     place = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks))
     dealt = documents.withColumn("block", place).repartition(max(parts, blocks), "block")
-    asked = asked_of(dealt, depth)
-    model = asked.where("gram IS NOT NULL").select("block", "gram").join(scores, "gram").select(
-        "block", "gram", F.lit(None).cast("binary").alias("word"), "value"
-    ).unionByName(
-        asked.where("word IS NOT NULL").select("block", "word")
-        .join(known_words.select("word", F.col("n").cast("double").alias("value")), "word")
-        .withColumn("gram", F.lit(None).cast("long"))
-    )
+    valued = scores.withColumn("word", F.lit(None).cast("binary")).unionByName(
+        known_words.select(
+            F.lit(None).cast("long").alias("gram"), "word", F.col("n").cast("double").alias("value")
+        )
+    )
+    valued = valued.withColumnsRenamed({"gram": "_gram", "word": "_word"})
+    same = F.col("gram").eqNullSafe(F.col("_gram")) & F.col("word").eqNullSafe(F.col("_word"))
+    model = asked_of(dealt, depth).join(valued, same).select("block", "gram", "word", "value")
     added = pa.schema(
         [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
          ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()),
          ("bits_per_byte", pa.float64())]
     )
-    names = documents.columns
+    names = [name for name in documents.columns if name != "text"]
 
     def answer(texts: pa.Table, model: pa.Table) -> pa.Table:
-        values = model["value"].to_numpy()
         of_gram = model["gram"].is_valid().to_numpy()
-        gram = model["gram"].drop_null().to_numpy().view(_U)
-        order = np.argsort(gram)
-        gram, chance = gram[order], values[of_gram][order]
-        known = model["word"].drop_null().combine_chunks().cast(pa.large_binary())
-        count = values[~of_gram]
+        values = model["value"].to_numpy()
+        gram, chance = _by_key(model["gram"].drop_null().to_numpy().view(_U), values[of_gram])
+        # Within a block words are told apart by 64 bits of their hash.
+        hashes = [vocabulary_hashes(chunk) for chunk in model["word"].drop_null().chunks]
+        word, count = _by_key(np.concatenate([*hashes, np.zeros(0, _U)]), values[~of_gram])
         base = np.log10((count + 0.5) / floor)
-        end = known.index(pa.scalar(END_WORD, pa.large_binary())).as_py()
+        end = int(np.searchsorted(word, vocabulary_hashes(pa.array([END_WORD]))[0]))
         done = []
         for batch in texts.to_batches():
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 found = words(part.column("text"), True)
-                keys, doc = stream(found, depth)
+                keys, doc = stream(part.column("text"), depth)
                 # Strings repeat within a slice, so each distinct one is looked up once.
                 distinct = pa.array(keys).dictionary_encode()
                 own = chance[np.searchsorted(gram, distinct.dictionary.to_numpy())]
@@ -424,8 +455,7 @@ def score_texts(
                     doc, weights=own[distinct.indices.to_numpy()], minlength=found.rows
                 )
                 letters = np.bincount(doc, minlength=found.rows)
-                at = pc.index_in(found.distinct, value_set=known).to_numpy(zero_copy_only=False)
-                at = at.astype(np.int64)
+                at = np.searchsorted(word, word_hashes(found))
                 columns = [
                     np.bincount(found.doc, minlength=found.rows) + 1,
                     found.per_doc((count[at] > 0) * 1.0) + (count[end] > 0),
@@ -440,7 +470,7 @@ def score_texts(
                 done.append(pa.RecordBatch.from_arrays(kept.columns + typed, names + added.names))
         return pa.Table.from_batches(done)
 
-    out = documents.withColumns(
+    out = documents.select(*names).withColumns(
         {
             "n_tokens": F.lit(0).cast("long"), "n_known": F.lit(0).cast("long"),
             "train_tokens": F.lit(0).cast("long"), "base_score": F.lit(0.0),

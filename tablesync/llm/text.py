@@ -17,10 +17,10 @@ import pyarrow.compute as pc
 #: The bytes that separate words.
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[list(SEPARATORS)] = True
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[list(SEPARATORS)] = True
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
 
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
@@ -96,14 +96,14 @@ def words(texts: pa.Array, fold: bool) -> Words:
     """Split texts into words; ``fold`` lower-cases A-Z."""
     data, offsets = raw(texts)
     rows = len(offsets) - 1
-    inside = ~_IS_SPACE[data]
+    inside = ~IS_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
     begins[firsts] = inside[firsts]
     at = np.flatnonzero(begins)
     doc = np.searchsorted(offsets, at, side="right") - 1
-    kept = (_FOLD[data] if fold else data)[inside]
+    kept = (FOLD[data] if fold else data)[inside]
     starts = (np.cumsum(inside) - inside)[at]
     spans = np.append(starts, len(kept)).astype(np.int64)
     array = pa.Array.from_buffers(
@@ -129,6 +129,16 @@ def word_hashes(found: Words) -> np.ndarray:
     return mix(sums + lengths.astype(np.uint64) * _ODD)
 
 
+def vocabulary_hashes(vocabulary: pa.Array, step: int = 1 << 15) -> np.ndarray:
+    """The same hash of words that are given one by one, ``step`` of them at a time."""
+    none = np.zeros(0, np.int64)
+    parts = [np.zeros(0, np.uint64)]
+    for at in range(0, len(vocabulary), step):
+        data, offsets = raw(vocabulary.slice(at, step))
+        parts.append(word_hashes(Words(none, none, data, offsets, 0)))
+    return np.concatenate(parts)
+
+
 def gram_features(
     found: Words, lengths: tuple[int, ...], bits: int
 ) -> tuple[np.ndarray, np.ndarray]:

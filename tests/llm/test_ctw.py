@@ -11,7 +11,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesync.llm import ctw
-from tablesync.llm.text import words
 
 
 def fold(text):
@@ -87,8 +86,7 @@ def test_scores_match_a_tree_walked_node_by_node(rows):
 
 
 def test_bytes_after_a_context_add_up_to_one():
-    found = words(pa.array(["the cat sat on the mat"] * 5), True)
-    keys, _ = ctw.stream(found, 2)
+    keys, _ = ctw.stream(pa.array(["the cat sat on the mat"] * 5), 2)
     u, n = np.unique(keys, return_counts=True)
     trees = ctw.forest(u, n.astype(np.int64), 2, 0)
     for context in (int(u[3]) >> 8, 0x7A7A):
@@ -96,6 +94,16 @@ def test_bytes_after_a_context_add_up_to_one():
         assert np.exp(ctw.predict(every, trees)).sum() == pytest.approx(1)
 
 
+@pytest.mark.parametrize("depth", [2, 5, 7])
+def test_streams_hold_words_spaces_and_ends(depth):
+    texts = ["", None, "Ab", " Ab  c\n", "x y", "\t", "é"]
+    keys, doc = ctw.stream(pa.array(texts), depth)
+    for i, text in enumerate(texts):
+        data = b"\xfe" * depth + line(text)
+        expected = [int.from_bytes(data[j : j + depth + 1], "big") for j in range(len(data) - depth)]
+        assert keys[doc == i].tolist() == expected
+
+
 def test_large_counts_use_the_series():
     n = np.array([0, 1, 10, 4096, 4097, 10**6])
     got = ctw._log_rising(n)
