@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .folds import remainder
 from .storage import stash
+from .subword import release
 from .text import FOLD, IS_SPACE, raw, slices, vocabulary_hashes, word_hashes, words
 
 #: Bytes of context; with the next byte they must fit a 64-bit key, so at most 7.
@@ -37,8 +38,9 @@ END_WORD = bytes([END])
 #: Characters of text in a block, the unit that texts and scores are joined by.
 BLOCK_CHARS = 32 << 20
 
-#: Distinct strings or words that a task holds before it hands them on.
-HELD = 1 << 19
+#: Distinct strings or words that a task holds before it hands them on; Spark's own partial
+#: aggregation, or the reader of a block, merges what comes more than once.
+HELD = 1 << 18
 
 _U = np.uint64
 
@@ -259,8 +261,9 @@ def tally(documents: DataFrame, depth: int) -> DataFrame:
                         yield from strings_out()
                 if sum(map(len, held)) > 2 * HELD:
                     words_merged()
-                    if len(held[0]) > HELD:
+                    if len(held[0]) > HELD // 2:
                         yield from words_out()
+            release()
         if texts:
             held.append(pa.table({"word": pa.array([END_WORD], pa.large_binary()), "n": [ends]}))
             words_merged()
@@ -292,7 +295,7 @@ def asked_of(blocked: DataFrame, depth: int) -> DataFrame:
             else:
                 grams[block] = [own]
             word = pa.chunked_array(names.pop(block)).unique()
-            if last or len(word) > HELD:
+            if last or len(word) > HELD // 2:
                 yield from _batches(None, word, {"block": np.full(len(word), block, np.int64)})
             else:
                 names[block] = [word]
@@ -314,6 +317,7 @@ def asked_of(blocked: DataFrame, depth: int) -> DataFrame:
                         yield from hand_on(own, False)
                         grams.setdefault(own, [np.zeros(0, _U)])
                         names.setdefault(own, [pa.array([END_WORD], pa.large_binary())])
+            release()
         for block in list(grams):
             yield from hand_on(block, True)
 
@@ -468,6 +472,7 @@ def score_texts(
                 typed = [pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, added)]
                 kept = part.select(names)
                 done.append(pa.RecordBatch.from_arrays(kept.columns + typed, names + added.names))
+        release()
         return pa.Table.from_batches(done)
 
     out = documents.select(*names).withColumns(
