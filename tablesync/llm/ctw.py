@@ -38,10 +38,13 @@ END_WORD = bytes([END])
 #: Characters of text in a block, the unit that texts and scores are joined by.
 BLOCK_CHARS = 32 << 20
 
-#: Distinct strings or words that a task holds before it hands them on; Spark's own partial
-#: aggregation, or the reader of a block, merges what comes more than once.
+#: Distinct strings or words that a counting task holds before it hands them on; Spark's own
+#: partial aggregation merges what comes more than once.
 HELD = 1 << 18
 
+#: Distinct strings or words of a block that are held together; a block of usual text has fewer.
+BLOCK_HELD = 1 << 20
+
 _U = np.uint64
 
 
@@ -289,13 +292,13 @@ def asked_of(blocked: DataFrame, depth: int) -> DataFrame:
 
         def hand_on(block: int, last: bool) -> Iterator[pa.RecordBatch]:
             own = np.unique(np.concatenate(grams.pop(block)))
-            if last or len(own) > HELD:
+            if last or len(own) > BLOCK_HELD:
                 numbers = np.full(len(own), block, np.int64)
                 yield from _batches(pa.array(own.view(np.int64)), None, {"block": numbers})
             else:
                 grams[block] = [own]
             word = pa.chunked_array(names.pop(block)).unique()
-            if last or len(word) > HELD // 2:
+            if last or len(word) > BLOCK_HELD:
                 yield from _batches(None, word, {"block": np.full(len(word), block, np.int64)})
             else:
                 names[block] = [word]
@@ -313,7 +316,7 @@ def asked_of(blocked: DataFrame, depth: int) -> DataFrame:
                     names.setdefault(own, [pa.array([END_WORD], pa.large_binary())]).append(
                         found.distinct
                     )
-                    if max(sum(map(len, grams[own])), sum(map(len, names[own]))) > 2 * HELD:
+                    if max(sum(map(len, grams[own])), sum(map(len, names[own]))) > BLOCK_HELD * 3 // 2:
                         yield from hand_on(own, False)
                         grams.setdefault(own, [np.zeros(0, _U)])
                         names.setdefault(own, [pa.array([END_WORD], pa.large_binary())])
