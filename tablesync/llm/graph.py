@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,3 +54,22 @@ def components(links: DataFrame) -> DataFrame:
     tree = pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return tree.union(roots)
+
+
+def forest(count: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links: what connects, without what closes a ring."""
+    parent = list(range(count))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for a, b in zip(left.tolist(), right.tolist()):
+        x, y = root(a), root(b)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return kept

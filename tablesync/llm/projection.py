@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import components, forest
 from .storage import stash
 from .vectors import dimension_of, matrix, usable
 
@@ -95,25 +95,6 @@ def _runs(coded: DataFrame, window: int, run: int) -> DataFrame:
     )
 
 
-def _forest(count: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the links: what connects, without what closes a ring."""
-    parent = list(range(count))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    kept = []
-    for a, b in zip(left.tolist(), right.tolist()):
-        x, y = root(a), root(b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            kept.append((a, b))
-    return kept
-
-
 def window_links(
     nodes: DataFrame, dimension: int, cosine: float, passes: int, window: int, seed: int = 7
 ) -> DataFrame:
@@ -137,7 +118,7 @@ def window_links(
             hits = np.flatnonzero(close)
             left.append(hits)
             right.append(hits + gap)
-        kept = _forest(len(node), np.concatenate(left), np.concatenate(right))
+        kept = forest(len(node), np.concatenate(left), np.concatenate(right))
         ends = np.array(kept, np.int64).reshape(-1, 2)
         return pa.table({"a": node[ends[:, 0]], "b": node[ends[:, 1]]})
 

@@ -95,6 +95,71 @@ def test_a_large_group_of_near_copies_is_one(rows):
     assert sum(r.kept for r in found) == 6
 
 
+def with_two_replaced(base, rng, number):
+    own = list(base)
+    for place in rng.choice(len(base) // 2 - 4, 2, replace=False):
+        own[2 + 2 * place] = f"x{number}y{place}"
+    return own
+
+
+def counted_links(rows, least=0.8):
+    bags = {i: shingle_bag(t) for i, t in rows}
+    return {i: sum(similarity(own, bags[j]) >= least for j in bags if j != i) for i, own in bags.items()}
+
+
+@pytest.mark.parametrize("chunk", [bag.CHUNK, 4000])
+def test_a_hub_joins_what_is_not_alike(rows, monkeypatch, chunk):
+    """Variants are like the base only, which is no leader of most bands."""
+    monkeypatch.setattr(bag, "CHUNK", chunk)
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(with_two_replaced(base, rng, i)) for i in range(150)]
+    texts.insert(70, " ".join(base))
+    texts += [" ".join(base[:n]) for n in (40, 85, 100, 110)]  # lengths of other classes
+    data = list(enumerate(texts))
+    found = bag.group_near_copies(rows("doc_id long, text string", *data)).collect()
+    assert {r.doc_id: r.group_id for r in found} == expected_groups(data)
+    assert {r.doc_id: r.n_links for r in found} == counted_links(data)
+    kept = bag.drop_near_copies(rows("doc_id long, text string", *data)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(r.doc_id for r in found if r.kept)
+
+
+def test_a_pair_among_thousands_that_are_half_alike(rows):
+    """All share much of a form; one pair is alike."""
+    rng = np.random.default_rng(6)
+    form = [f"w{i}" for i in range(120)]
+
+    def filled(number):  # 13 shingles or more go with each block of words
+        own = list(form)
+        for place in rng.choice(8, 2, replace=False):
+            own[place * 15 + 3 : place * 15 + 12] = [f"x{number}y{place}z{i}" for i in range(9)]
+        return own
+
+    texts = [filled(i) for i in range(2500)]
+    pair = list(texts[1234])
+    pair[0] = "other"
+    texts.append(pair)
+    data = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = bag.group_near_copies(rows("doc_id long, text string", *data)).collect()
+    linked = {r.doc_id: r.group_id for r in found if r.n_links}
+    assert linked == {1234: 1234, 2500: 1234}
+
+
+@pytest.mark.parametrize("split", [0, 7])
+def test_pairs_of_a_block_are_those_of_the_bags(split):
+    rng = np.random.default_rng(split)
+    texts = [" ".join(f"v{x}" for x in rng.integers(0, 2, rng.integers(1, 8))) for _ in range(90)]
+    doc, key, count = bag.shingles(pa.array(texts))
+    packed = [
+        key[doc == i].tobytes() + count[doc == i].astype(np.uint32).tobytes() for i in range(90)
+    ]
+    left, right = (packed[:split], packed[split:]) if split else (packed, None)
+    i, j = bag.similar(left, right, 0.4)
+    every = {(x, y) for x in range(90) for y in range(x + 1, 90) if not split or x < split <= y}
+    wanted = {(x, y) for x, y in every if bag.overlap(packed[x], packed[y]) >= 0.4}
+    assert set(zip(i.tolist(), (j + split).tolist())) == wanted and len(i) == len(wanted) > 10
+
+
 def test_multiplicity_counts(rows):
     one = "a b c d e f g h"
     frame = rows("doc_id long, text string", (1, one), (2, " ".join([one] * 6)), (3, one.upper()))
