@@ -3,12 +3,14 @@
 In each pass a vector's code is 64 random hashes, the signs of its projections, written one
 after the other. Vectors of a label are ordered by their codes, which brings similar ones
 close, and each is compared with a bounded window of successors. Pairs whose exact cosine is
-high enough are united over all passes. A group that is larger than a window is found as a
+high enough are united over all passes. Passes come in rounds: as many as the largest label
+needs for a stated chance to miss a pair, and on until a round joins nothing more. A group that is larger than a window is found as a
 chain of windows; the links inside each group are then counted exactly, block against block.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +26,9 @@ COSINE = 0.93
 PASSES = 16
 WINDOW = 64
 
+#: The chance to miss a pair of just that cosine among vectors of its label spread evenly.
+MISS = 1e-4
+
 #: Vectors of a sorted run that are compared together, and of a group that are counted together.
 RUN = 4096
 CHUNK = 1024
@@ -126,6 +131,51 @@ def window_links(
     return runs.groupBy("part", "number").applyInArrow(task, f"a {kind}, b {kind}")
 
 
+def passes_needed(rows: int, cosine: float, window: int, miss: float = MISS) -> int:
+    """Passes after which a pair of that cosine was in no window with a chance of ``miss``.
+
+    A pair meets in a pass when it agrees in the bits that narrow a label down to a window.
+    """
+    bits = math.log2(max(1.0, rows / window))
+    agree = 1 - math.acos(max(-1.0, min(1.0, cosine))) / math.pi
+    meet = agree**bits
+    return 1 if meet >= 1 else math.ceil(math.log(miss) / math.log1p(-max(meet, 1e-12)))
+
+
+def linked_groups(
+    nodes: DataFrame, dimension: int, cosine: float, passes: int, window: int
+) -> DataFrame:
+    """``node, component`` of the linked nodes, from rounds of ``passes`` passes each.
+
+    Rounds go on until there were as many passes as the largest label needs and the last round
+    joined nothing that was apart, which dense clusters take more passes for.
+    """
+    largest = nodes.groupBy("label").count().agg(F.max("count").alias("n")).first()["n"] or 0
+    needed = passes_needed(largest, cosine, window)
+    links = stash(window_links(nodes, dimension, cosine, passes, window), "near")
+    group, done = stash(components(links), "groups"), passes
+    while largest > 1:
+        found = window_links(nodes, dimension, cosine, passes, window, seed=7 + done)
+        found = stash(found, "near")
+        done += passes
+        known = [
+            group.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
+            for end in ("a", "b")
+        ]
+        apart = found.join(known[0], "a", "left").join(known[1], "b", "left").where(
+            F.coalesce("_a", "a") != F.coalesce("_b", "b")
+        )
+        fresh = stash(apart.select("a", "b"), "new-links")
+        none = fresh.isEmpty()
+        if not none:
+            # The groups so far stand for their links.
+            tree = group.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            group = stash(components(tree.union(fresh)), "groups")
+        elif done >= needed:
+            break
+    return group
+
+
 def count_links(grouped: DataFrame, dimension: int, cosine: float, chunk: int = CHUNK) -> DataFrame:
     """``node, others``: rows at the linked nodes of each node's component, counted exactly.
 
@@ -202,8 +252,7 @@ def group_vectors(
     # One id may stand for several vectors when rows repeat it, so nodes get a name of their own.
     name = F.xxhash64("node", "label", "vector")
     named = nodes.select(name.alias("node"), "label", "vector")
-    links = stash(window_links(named, max(1, dimension), cosine, passes, window), "near")
-    group = stash(components(links), "groups")
+    group = linked_groups(named, max(1, dimension), cosine, passes, window)
     inside = nodes.withColumn("_name", name).join(group.withColumnRenamed("node", "_node"),
                                                   F.col("_name") == F.col("_node"))
     counted = count_links(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesync.llm.multi_index import search, visit
-from tablesync.llm.projection import group_vectors
+from tablesync.llm.projection import group_vectors, passes_needed
 
 ODD = [
     (0, [1.0, 0.0], 1), (100, [1.0, 0.0], 1), (1, [0.0, 0.0], 1), (2, None, 1),
@@ -134,3 +134,19 @@ def test_groups_larger_than_window_run_and_chunk(rows, monkeypatch):
     data += [(1000 + i, data[0][1], 1) for i in range(30)]
     frame = rows("vec_id long, embedding array<double>, label int", *data)
     assert got(group_vectors(frame, window=8)) == expected(frame.toPandas())
+
+
+def test_passes_grow_with_the_label():
+    assert passes_needed(64, 0.93, 64) == 1
+    some = [passes_needed(n, 0.93, 64) for n in (10_000, 100_000, 1_500_000)]
+    assert some == sorted(some) and 16 < some[0] < some[2] < 64
+
+
+def test_lone_pairs_of_a_label_are_all_found(rows):
+    """Two passes with so small a window see only some of them."""
+    rng = np.random.default_rng(4)
+    points = rng.standard_normal((1500, 32))
+    close = points[:40] + 0.36 * rng.standard_normal((40, 32))
+    data = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([points, close]))]
+    frame = rows("vec_id long, embedding array<double>, label int", *data)
+    assert got(group_vectors(frame, passes=6, window=8)) == expected(frame.toPandas())
