@@ -41,8 +41,3 @@ def write(rows):
         return str(path)
 
     return go
-
-
-def bag(frame):
-    """Rows in a stable order."""
-    return sorted((tuple(row) for row in frame.collect()), key=str)

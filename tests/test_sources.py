@@ -3,7 +3,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import bag
+from frames import bag
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

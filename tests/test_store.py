@@ -4,7 +4,7 @@ import os
 from datetime import UTC, datetime, timedelta
 
 import pytest
-from conftest import bag
+from frames import bag
 from pyspark.sql import types as T
 
 from tablesync import ManagedTable, PublishConflict, SchemaError
