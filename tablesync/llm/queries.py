@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from .bagminhash import group_near_copies
+from .collocations import mine_collocations
 from .ctw import score_documents
 from .deploy import ship
 from .langid import predict_languages
@@ -69,6 +70,10 @@ def op10_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -86,12 +91,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bagminhash": op8_bagminhash,
     "op9_ordinal_toxicity": op9_ordinal_toxicity,
     "op10_sorted_projections": op10_sorted_projections,
+    "op12_trie_collocations": op12_trie_collocations,
     "op13_dual_tree": op13_dual_tree,
 }
 
 #: The first ten operators learn, search approximately, tokenise or write files, which SQL does
 #: not express. Their tests compare with brute force instead.
 ORACLE: dict[str, str] = {
+    "op12_trie_collocations": r"""
+        WITH piece AS (
+            SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM (
+                SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents)),
+        total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM piece GROUP BY lang),
+        gram AS (
+            SELECT lang, k, ws[i:i + k - 1] AS g, count(*) AS f FROM (
+                SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+                FROM piece, (VALUES (1), (2), (3), (4)) AS t(k))
+            GROUP BY ALL HAVING count(*) >= 30),
+        cut AS (
+            SELECT lang, k, g, f AS a, unnest(range(1, k)) AS j FROM gram WHERE k > 1),
+        scored AS (
+            SELECT c.lang, c.k, c.g, c.a, c.j, x.f AS l, y.f AS r,
+                ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score
+            FROM cut c
+            JOIN gram x ON x.lang = c.lang AND x.g = c.g[1:c.j]
+            JOIN gram y ON y.lang = c.lang AND y.g = c.g[c.j + 1:c.k]),
+        lowest AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+        inner_part AS (
+            SELECT lang, g[i:i + m - 1] AS g, max(f) AS most FROM (
+                SELECT lang, g, f, m, unnest(range(1, k - m + 2)) AS i
+                FROM gram, (VALUES (2), (3)) AS t(m) WHERE m < k)
+            GROUP BY ALL),
+        kept AS (
+            SELECT lowest.* FROM lowest LEFT JOIN inner_part USING (lang, g)
+            WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a),
+        ranked AS (
+            SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score, row_number() OVER (
+                PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank
+            FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score
+        FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+    """,
     "op13_dual_tree": r"""
         WITH doc AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
