@@ -26,8 +26,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bitmap import bit_map, contains, keys_of
 from .storage import stash
-from .text import mix, powers, slices, vocabulary_hashes, word_hashes
+from .text import mix, slices, vocabulary_hashes, word_hashes
 from .tokenize import byte_class, tokens
 
 #: What separates words, and what separates pieces as well.
@@ -38,8 +39,8 @@ WORD = ~(BLANK | STOP)
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 
-#: Bits of a bit map of frequent phrases, as a power of two, and hash functions of it.
-MAP_BITS, HASHES = 25, 3
+#: Bits of a bit map of frequent phrases, as a power of two.
+MAP_BITS = 25
 
 #: Bits of a digit of a trie, and digits of all its phrases together. The arrays of a trie have
 #: up to eight slots of eight bytes for a digit: a broadcast stays below about 64 MB.
@@ -92,52 +93,6 @@ def count_words(documents: DataFrame, seed: int) -> DataFrame:
     return counted.groupBy("symbol", "lang", "word").agg(F.sum("n").alias("n"))
 
 
-def bit_map(frame: DataFrame, columns: list[str]) -> np.ndarray:
-    """A bit map of the rows' symbols, made where the rows are; its size does not grow."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << (MAP_BITS - 3), np.uint8)
-        for batch in batches:
-            key = keys_of([batch.column(c).to_numpy().view(_U) for c in columns])
-            _set(bits, key)
-        words = bits.view(np.int64)
-        at = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], ["at", "bits"])
-
-    parts = frame.select(*columns).mapInArrow(task, "at long, bits long")
-    table = parts.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    words = np.zeros(1 << (MAP_BITS - 6), np.int64)
-    words[table["at"].to_numpy()] = table["bits"].to_numpy()
-    return words.view(np.uint8)
-
-
-def keys_of(columns: list[np.ndarray]) -> np.ndarray:
-    total = np.zeros(len(columns[0]), _U)
-    for column, power in zip(columns, powers(0x9FB21C651E98DF25, len(columns))):
-        total += column * power
-    return mix(total)
-
-
-def _places(key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for i in range(HASHES):
-        place = key >> _U(64 - MAP_BITS)
-        yield (place >> _U(3)).astype(np.int64), (_U(1) << (place & _U(7))).astype(np.uint8)
-        if i < HASHES - 1:
-            key = mix(key + _U(i + 1))
-
-
-def _set(bits: np.ndarray, key: np.ndarray) -> None:
-    for byte, bit in _places(key):
-        np.bitwise_or.at(bits, byte, bit)
-
-
-def _in_map(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    found = np.ones(len(key), bool)
-    for byte, bit in _places(key):
-        found &= (bits[byte] & bit) != 0
-    return found
-
-
 def encode(documents: DataFrame, frequent: np.ndarray, seed: int) -> DataFrame:
     """Texts as ``symbols`` and a ``stream`` of places in them, a row for megabytes of text.
 
@@ -160,7 +115,7 @@ def encode(documents: DataFrame, frequent: np.ndarray, seed: int) -> DataFrame:
                 symbol = symbols_of(
                     word_hashes(found)[used % width], hashes[used // width], seed
                 )
-                good = _in_map(bits, keys_of([symbol]))
+                good = contains(bits, keys_of([symbol]))
                 number = np.where(good, np.cumsum(good), 0)
                 code = number[place]
                 ends = np.cumsum(STOP[data])[at]
@@ -214,7 +169,7 @@ def candidates(encoded: DataFrame, length: int, shorter: np.ndarray | None, leas
             if bits is not None:
                 for step in (0, 1):
                     parts = [symbols[stream[at + step + i] - 1] for i in range(length - 1)]
-                    at = at[_in_map(bits, keys_of(parts))]
+                    at = at[contains(bits, keys_of(parts))]
             columns = [stream[at + i] - 1 for i in range(length)]
             # Two columns at a time become one number, so runs are told apart exactly.
             group = columns[0].astype(np.int64)
@@ -425,7 +380,7 @@ def mine_collocations(
     totals = words.groupBy("lang").agg(F.sum("n").alias("n")).withColumnRenamed("lang", "_lang")
     totals = stash(totals, "totals")
     frequent = stash(words.where(F.col("n") >= least), "frequent")
-    encoded = stash(encode(documents, bit_map(frequent, ["symbol"]), seed), "encoded")
+    encoded = stash(encode(documents, bit_map(frequent, ["symbol"], MAP_BITS), seed), "encoded")
     known = frequent.select(F.array("symbol").alias("key"), F.col("n").alias("f"))
     shorter = None
     for length in range(2, longest + 1):
@@ -433,7 +388,7 @@ def mine_collocations(
         level = counts(encoded, found, length).where(F.col("f") >= least)
         known = known.union(level.select(F.array(*_names(length)).alias("key"), "f"))
         if length < longest:
-            shorter = bit_map(level, _names(length))
+            shorter = bit_map(level, _names(length), MAP_BITS)
     lexicon = frequent.select(F.col("symbol").alias("_symbol"), "lang", "word")
     best = stash(scored(stash(known, "known"), longest), "scored")
     first = best.withColumn("_first", F.col("key")[0])

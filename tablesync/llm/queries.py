@@ -19,6 +19,7 @@ from .packing import pack_documents
 from .projection import group_vectors
 from .quality import classify_quality
 from .ranked import rank_documents
+from .suffixes import cut_repeats
 from .toxicity import rate_toxicity
 from .warc import archive_round_trip
 
@@ -70,6 +71,10 @@ def op10_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op12_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_collocations(_table(spark, sf_dir, "documents"))
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bagminhash": op8_bagminhash,
     "op9_ordinal_toxicity": op9_ordinal_toxicity,
     "op10_sorted_projections": op10_sorted_projections,
+    "op11_induced_suffixes": op11_induced_suffixes,
     "op12_trie_collocations": op12_trie_collocations,
     "op13_dual_tree": op13_dual_tree,
 }
@@ -98,6 +104,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: The first ten operators learn, search approximately, tokenise or write files, which SQL does
 #: not express. Their tests compare with brute force instead.
 ORACLE: dict[str, str] = {
+    "op11_induced_suffixes": r"""
+        WITH doc AS (
+            SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h
+            FROM documents),
+        win AS (
+            SELECT r, doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS x FROM (
+                SELECT r, doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS s FROM doc)),
+        again AS (
+            SELECT r, s FROM (
+                SELECT r, s, row_number() OVER (
+                    PARTITION BY x ORDER BY doc_id NULLS LAST, r, s) AS n FROM win)
+            WHERE n > 1),
+        run AS (
+            SELECT r, s, sum(fresh) OVER (PARTITION BY r ORDER BY s) AS k FROM (
+                SELECT r, s, CASE WHEN lag(s) OVER (PARTITION BY r ORDER BY s) + 100 >= s
+                    THEN 0 ELSE 1 END AS fresh
+                FROM again)),
+        span AS (SELECT r, min(s) AS b, max(s) + 100 AS e FROM run GROUP BY r, k),
+        gap AS (
+            SELECT r, b AS e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY b), 0) AS b FROM span
+            UNION ALL SELECT r, len(h) // 2, coalesce(last, 0) FROM doc LEFT JOIN (
+                SELECT r, max(e) AS last FROM span GROUP BY r) USING (r)),
+        kept AS (
+            SELECT r, string_agg(substr(h, 2 * b + 1, 2 * (e - b)), '' ORDER BY b) AS k
+            FROM gap JOIN doc USING (r) GROUP BY r),
+        gone AS (
+            SELECT r, sum(e - b)::BIGINT AS n_removed, count(*) AS n_spans FROM span GROUP BY r)
+        SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes,
+            coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+            sha256(unhex(k)) AS kept_sha256
+        FROM doc JOIN kept USING (r) LEFT JOIN gone USING (r)
+    """,
     "op12_trie_collocations": r"""
         WITH piece AS (
             SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM (
