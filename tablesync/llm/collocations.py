@@ -47,6 +47,9 @@ MAP_BITS = 25
 DIGIT, BLOCK = 7, 1 << 20
 SIBLINGS = 1 << DIGIT
 
+#: Phrases whose counts a task hands on as one row.
+PART = 1 << 12
+
 #: Text encoded as one row.
 PIECE = 8 << 20
 
@@ -280,6 +283,14 @@ class Trie:
         return state
 
 
+def _summed(table: pa.Table) -> pa.Table:
+    """The counts of all tasks for a part of a trie's phrases, which have any."""
+    rows = [np.frombuffer(row.as_buffer(), np.int64) for row in table["counts"].combine_chunks()]
+    total = np.sum(rows, axis=0)
+    at = np.flatnonzero(total)
+    return pa.table({"at": at + table["part"][0].as_py() * PART, "f": total[at]})
+
+
 def counts(encoded: DataFrame, phrases: DataFrame, length: int) -> DataFrame:
     """``s0, s1, ..., f``: how often each phrase occurs, overlaps included."""
     spark = encoded.sparkSession
@@ -302,12 +313,15 @@ def counts(encoded: DataFrame, phrases: DataFrame, length: int) -> DataFrame:
                 code = np.append(-1, trie.codes(symbols))[stream]
                 count += np.bincount(trie.reached(code, length), minlength=len(count))
             found = count[trie.accept]
-            at = np.flatnonzero(found)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], ["at", "f"])
+            parts = range(0, len(found), PART)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([at // PART for at in parts], pa.int64()),
+                 pa.array([found[at : at + PART].tobytes() for at in parts], pa.binary())],
+                ["part", "counts"],
+            )
 
-        summed = encoded.mapInArrow(task, "at long, f long").groupBy("at").agg(
-            F.sum("f").alias("f")
-        )
+        sums = encoded.mapInArrow(task, "part long, counts binary").groupBy("part")
+        summed = sums.applyInArrow(_summed, "at long, f long")
         table = pa.table({"at": np.arange(len(phrase))} | {n: own[n] for n in names})
         named = spark.createDataFrame(table.rename_columns(["_at", *names]))
         result = stash(summed.join(named, F.col("at") == F.col("_at")).select(*names, "f"), "counts")

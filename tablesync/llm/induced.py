@@ -22,18 +22,28 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
-ENTRY = np.dtype([("c", "<u4"), ("p", "<i8"), ("v", "<i8")])
 
-#: Entries handled at once, entries queues hold in memory, steps inside a range of symbols.
-BATCH, ROOM, DEEP = 1 << 18, 1 << 22, 8
+#: A symbol, a place and a value. Shards of 2**31 symbols or more need longer ones.
+ENTRY = np.dtype([("c", "<u4"), ("p", "<u4"), ("v", "<u4")])
+WIDE = np.dtype([("c", "<u4"), ("p", "<i8"), ("v", "<i8")])
+
+#: Entries handled at once, entries queues hold in memory.
+BATCH, ROOM = 1 << 18, 1 << 22
 
 
 class Files:
-    """Arrays in files of one folder."""
+    """Arrays in memory up to ``memory`` bytes together, beyond that in files of one folder."""
 
-    def __init__(self, folder: str):
-        self.folder, self.count = folder, 0
+    def __init__(self, folder: str, memory: int = 128 << 20):
+        self.folder, self.memory, self.count = folder, memory, 0
+        self.held: dict[int, int] = {}
         self.paths: dict[int, str] = {}
+        self.entry, self.whole = ENTRY, np.uint32
+
+    def measure(self, symbols: int) -> None:
+        """Fix how wide places and ranks are."""
+        if symbols >= 1 << 31:
+            self.entry, self.whole = WIDE, np.int64
 
     def path(self) -> str:
         self.count += 1
@@ -41,8 +51,11 @@ class Files:
 
     def array(self, size: int, kind: type | str) -> np.ndarray:
         """A new array of zeros."""
-        if not size:
-            return np.zeros(0, kind)
+        length = size * np.dtype(kind).itemsize
+        if sum(self.held.values()) + length <= self.memory or not size:
+            array = np.zeros(size, kind)
+            self.held[array.ctypes.data] = length
+            return array
         path = self.path()
         # A plain view, as slices of the mapped class are slow.
         array = np.asarray(np.memmap(path, kind, "w+", shape=(size,)))
@@ -50,13 +63,42 @@ class Files:
         return array
 
     def drop(self, *arrays: np.ndarray) -> None:
-        """Delete the files of arrays; their memory goes with the last reference."""
+        """Forget arrays; their memory goes with the last reference."""
         for array in arrays:
+            self.held.pop(array.ctypes.data, None)
             path = self.paths.pop(array.ctypes.data, None)
             if path is not None:
                 os.unlink(path)
 
 
+class Growing:
+    """An array that grows at its end, in memory up to ``room`` bytes, then in a file."""
+
+    def __init__(self, files: Files, kind: type, room: int = 32 << 20):
+        self.files, self.kind, self.room = files, kind, room
+        self.parts: list[np.ndarray] = []
+        self.size, self.path = 0, None
+
+    def add(self, array: np.ndarray) -> None:
+        self.parts.append(array)
+        self.size += array.nbytes
+        if self.size > self.room:
+            self._write()
+
+    def _write(self) -> None:
+        self.path = self.path or self.files.path()
+        with open(self.path, "ab") as out:
+            for part in self.parts:
+                out.write(part.tobytes())
+        self.parts = []
+
+    def finish(self) -> np.ndarray:
+        if self.path is None:
+            return np.concatenate(self.parts)
+        self._write()
+        return np.asarray(np.memmap(self.path, self.kind, "r"))
+
+
 class Queue:
     """A list of entries for each range of symbols, in memory up to ``room``, then in files."""
 
@@ -71,7 +113,8 @@ class Queue:
         """Append entries to the lists ``at``, keeping their order."""
         if not len(entries):
             return
-        order = np.argsort(at, kind="stable")
+        # Small integers are sorted by radix.
+        order = np.argsort(at.astype(np.uint16) if len(self.parts) < 1 << 16 else at, kind="stable")
         at, entries = at[order], entries[order]
         ends = np.append(np.flatnonzero(at[1:] != at[:-1]) + 1, len(at)).tolist()
         begin = 0
@@ -98,8 +141,9 @@ class Queue:
         left = int(self.stored[at] - self.read[at])
         if left:
             count = left if limit is None else min(left, limit)
+            kind = self.files.entry
             found = np.fromfile(
-                self.paths[at], ENTRY, count, offset=int(self.read[at]) * ENTRY.itemsize
+                self.paths[at], kind, count, offset=int(self.read[at]) * kind.itemsize
             )
             self.read[at] += count
             if self.read[at] == self.stored[at]:
@@ -110,7 +154,7 @@ class Queue:
             return np.concatenate([found, self.pop(at)])
         parts, self.parts[at] = self.parts[at], []
         if not parts:
-            return np.zeros(0, ENTRY)
+            return np.zeros(0, self.files.entry)
         found = parts[0] if len(parts) == 1 else np.concatenate(parts)
         if limit is not None and len(found) > limit:
             self.parts[at] = [found[limit:]]
@@ -123,8 +167,8 @@ class Run:
     """Places with a value each, appended to a file range by range."""
 
     def __init__(self, files: Files, ranges: int, size: int):
-        self.place = files.array(size, np.int64)
-        self.value = files.array(size, np.int64)
+        self.place = files.array(size, files.whole)
+        self.value = files.array(size, files.whole)
         self.begin = np.zeros(ranges, np.int64)
         self.end = np.zeros(ranges, np.int64)
         self.used = 0
@@ -194,6 +238,12 @@ class Ranges:
         return np.searchsorted(self.first, symbol, side="right") - 1
 
 
+def _count(small: np.ndarray, kind: bool) -> int:
+    """Suffixes of a type."""
+    ones = sum(int(small[low : low + BATCH].sum()) for low in range(0, len(small), BATCH))
+    return ones if kind else len(small) - ones
+
+
 class Pass:
     """One pass over all suffixes in rising order, or, ``falling``, in falling order.
 
@@ -207,8 +257,8 @@ class Pass:
     ):
         self.text, self.small, self.ranges, self.falling = text, small, ranges, falling
         self.seeds, self.common = seeds, common
-        self.queue = Queue(files, ranges.count)
-        self.out = Run(files, ranges.count, len(text))
+        self.files, self.queue = files, Queue(files, ranges.count)
+        self.out = Run(files, ranges.count, _count(small, falling))
         self.rank = 0
         self.low = np.full(ranges.symbols, 1 << 20, np.int64)
 
@@ -225,7 +275,7 @@ class Pass:
 
     def _before(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which entries have a suffix before them of the wanted type, those and their symbols."""
-        before = place - 1
+        before = place.astype(np.int64) - 1
         has = before >= 0
         wanted = np.zeros(len(place), bool)
         wanted[has] = self.small[before[has]] == self.falling
@@ -244,12 +294,12 @@ class Pass:
 
     def _batch(self, at: int, entries: np.ndarray, last: tuple | None, seed: bool) -> tuple:
         """Pass over entries; ``last`` is ``(place, value, seed)`` of the one before them."""
-        value = entries["v"].copy()
+        value = entries["v"].astype(np.int64)
         if self.common is None:
             fresh = np.ones(len(entries), bool)
             fresh[1:] = value[1:] != value[:-1]
             if last is not None and last[2] == seed:
-                fresh[0] = value[0] != last[1]
+                fresh[0] = int(value[0]) != last[1]
             own = self.rank + np.cumsum(fresh)
             self.rank = int(own[-1])
         else:
@@ -261,14 +311,14 @@ class Pass:
         if not seed:
             self.out.add(at, entries["p"], own)
         wanted, before, symbol = self._before(entries["p"])
-        pushed = np.empty(len(before), ENTRY)
+        pushed = np.empty(len(before), self.files.entry)
         pushed["c"], pushed["p"] = symbol, before
         if self.common is None:
             pushed["v"] = own[wanted]
         else:
             pushed["v"] = 1 + self._least(value, np.flatnonzero(wanted), symbol)
         self.queue.push(self.ranges.of(symbol), pushed)
-        return entries["p"][-1], entries["v"][-1], seed
+        return int(entries["p"][-1]), int(entries["v"][-1]), seed
 
     def _least(self, value: np.ndarray, at: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """The least of ``value`` since the push before for the same symbol, for each push."""
@@ -286,7 +336,7 @@ class Pass:
                 found[own] = np.minimum(tables[i][low[own]], tables[i][high[own] - (1 << i) + 1])
             return found
 
-        order = np.lexsort((at, symbol))
+        order = np.argsort(symbol.astype(np.uint16), kind="stable")
         place, own = at[order], symbol[order].astype(np.int64)
         first = np.ones(len(place), bool)
         first[1:] = own[1:] != own[:-1]
@@ -324,97 +374,80 @@ class Pass:
     ) -> np.ndarray:
         """Pass over the symbols ``first`` to ``end - 1``; returns what is pushed beyond them."""
         if not len(entries) and not len(seeds):
-            return np.zeros(0, ENTRY)
-        if end - first == 1:
-            return self._alone(at, first, entries, seeds)
-        place = [np.concatenate([entries["p"], seeds["p"]])]
-        symbol = [self._turn(np.concatenate([entries["c"], seeds["c"]]))]
-        low = self._turn(np.array([end - 1 if self.falling else first]))[0]
-        origin = [np.arange(len(place[0]))]
+            return np.zeros(0, self.files.entry)
+        base = self.ranges.symbols - end if self.falling else first
+        own = np.concatenate([entries["c"], seeds["c"]])
         kind = np.repeat([0, 2], [len(entries), len(seeds)])
-        keys = [[(symbol[0] - low) * 3 + kind]]
+        place, code = [np.concatenate([entries["p"], seeds["p"]])], [(self._turn(own) - base) * 3 + kind]
+        parent, begin = [np.arange(len(own))], 0
         while True:
             wanted, before, own = self._before(place[-1])
             inside = (own >= first) & (own < end)
             if not inside.any():
                 break
-            if len(place) > DEEP:
-                return self._around(at, first, end, entries, seeds, own[inside])
-            rows = np.flatnonzero(wanted)[inside]
+            parent.append(begin + np.flatnonzero(wanted)[inside])
+            begin += len(place[-1])
             place.append(before[inside])
-            symbol.append(self._turn(own[inside]))
-            keys.append([(symbol[-1] - low) * 3 + 1, *[key[rows] for key in keys[-1]]])
-            origin.append(origin[-1][rows])
-        depth = len(keys)
-        columns = []
-        for i in range(depth):
-            columns.append(
-                np.concatenate(
-                    [k[i] if i < len(k) else np.full(len(k[0]), -1, np.int64) for k in keys]
-                )
-            )
-        origin_, place_ = np.concatenate(origin), np.concatenate(place)
-        order = np.lexsort([origin_, *columns[::-1]])
-        value = np.concatenate([entries["v"], seeds["v"]])[origin_][order]
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = value[1:] != value[:-1]
-        for column in columns:
-            sorted_ = column[order]
-            fresh[1:] |= sorted_[1:] != sorted_[:-1]
-        rank = self.rank + np.cumsum(fresh)
-        self.rank = int(rank[-1])
-        place_ = place_[order]
-        induced = columns[0][order] % 3 != 2
-        self.out.add(at, place_[induced], rank[induced])
-        wanted, before, own = self._before(place_)
+            code.append((self._turn(own[inside]) - base) * 3 + 1)
+        depth = np.repeat(np.arange(len(place)), [len(x) for x in place])
+        place, code, parent = (np.concatenate(x) for x in (place, code, parent))
+        order = self._ordered(code, parent, len(entries) + len(seeds))
+        value = np.concatenate([entries["v"], seeds["v"]])
+        rank = self._ranked(order, code, parent, depth, value)
+        place = place[order]
+        induced = code[order] % 3 != 2
+        self.out.add(at, place[induced], rank[induced])
+        wanted, before, own = self._before(place)
         beyond = (own < first) | (own >= end)
-        pushed = np.empty(int(beyond.sum()), ENTRY)
+        pushed = np.empty(int(beyond.sum()), self.files.entry)
         pushed["c"], pushed["p"], pushed["v"] = own[beyond], before[beyond], rank[wanted][beyond]
         return pushed
 
-    def _alone(self, at: int, symbol: int, entries: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-        """Pass over one symbol of a range: its entries, what they add to it, its seeds."""
-        result = []
-        while len(entries):
-            fresh = np.append(True, entries["v"][1:] != entries["v"][:-1])
-            rank = self.rank + np.cumsum(fresh)
-            self.rank = int(rank[-1])
-            self.out.add(at, entries["p"], rank)
-            pushed = self._pushed(entries["p"], rank)
-            near = pushed["c"] == symbol
-            entries = pushed[near]
-            result.append(pushed[~near])
-        if len(seeds):
-            fresh = np.append(True, seeds["v"][1:] != seeds["v"][:-1])
-            rank = self.rank + np.cumsum(fresh)
-            self.rank = int(rank[-1])
-            result.append(self._pushed(seeds["p"], rank))
-        return np.concatenate(result)
-
-    def _pushed(self, place: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        wanted, before, symbol = self._before(place)
-        pushed = np.empty(len(before), ENTRY)
-        pushed["c"], pushed["p"], pushed["v"] = symbol, before, rank[wanted]
-        return pushed
-
-    def _around(
-        self, at: int, first: int, end: int, entries: np.ndarray, seeds: np.ndarray, deep: np.ndarray
+    @staticmethod
+    def _ordered(code: np.ndarray, parent: np.ndarray, roots: int) -> np.ndarray:
+        """Entries by their symbols and those on the way to where they came from, which the
+        order of the first ``roots`` ends. Ranks by so many symbols give those by twice as many.
+        """
+        count = len(code)
+        if count == roots:
+            small = code.astype(np.uint16) if code.max() < 1 << 16 else code
+            return np.argsort(small, kind="stable")
+        key = code * (roots + 1)
+        key[:roots] += np.arange(roots)
+        jump = parent
+        while True:
+            found, rank = np.unique(key, return_inverse=True)
+            if len(found) == count:
+                order = np.empty(count, np.int64)
+                order[rank] = np.arange(count)
+                return order
+            key = rank * count + rank[jump]
+            jump = jump[jump]
+
+    def _ranked(
+        self, order: np.ndarray, code: np.ndarray, parent: np.ndarray, depth: np.ndarray, value: np.ndarray
     ) -> np.ndarray:
-        """Long ways inside a range: the symbol they most often are at is passed over by itself."""
-        symbol, count = np.unique(deep, return_counts=True)
-        alone = int(symbol[np.argmax(count)])
-        spans = [(first, alone), (alone, alone + 1), (alone + 1, end)]
-        result = []
-        for low, high in spans[::-1] if self.falling else spans:
-            if low == high:
-                continue
-            mine = (entries["c"] >= low) & (entries["c"] < high)
-            own = (seeds["c"] >= low) & (seeds["c"] < high)
-            pushed = self._solve(at, low, high, entries[mine], seeds[own])
-            near = (pushed["c"] >= first) & (pushed["c"] < end)
-            entries = np.concatenate([entries, pushed[near]])
-            result.append(pushed[~near])
-        return np.concatenate(result)
+        """Ranks in order; equal for entries of equal symbols, ways and values of the roots."""
+        fresh = np.ones(len(order), bool)
+        same = np.zeros(len(order), bool)
+        same[1:] = (code[order[1:]] == code[order[:-1]]) & (depth[order[1:]] == depth[order[:-1]])
+        group = np.empty(len(order), np.int64)
+        levels = np.argsort(depth[order], kind="stable")
+        ends = np.cumsum(np.bincount(depth))
+        begin = 0
+        for level, end in enumerate(ends.tolist()):
+            at = levels[begin:end]
+            own = order[at]
+            source = value[own] if level == 0 else group[parent[own]]
+            alike = same[at].copy()
+            alike[0] = False
+            alike[1:] &= source[1:] == source[:-1]
+            fresh[at] = ~alike
+            group[own] = np.cumsum(~alike)
+            begin = end
+        rank = self.rank + np.cumsum(fresh)
+        self.rank = int(rank[-1])
+        return rank
 
 
 def _seed_queue(
@@ -422,7 +455,7 @@ def _seed_queue(
 ) -> Queue:
     queue = Queue(files, ranges.count)
     for place in places:
-        entries = np.empty(len(place), ENTRY)
+        entries = np.empty(len(place), files.entry)
         entries["c"], entries["p"], entries["v"] = text[place], place, values(place)
         queue.push(ranges.of(entries["c"]), entries)
     return queue
@@ -437,10 +470,10 @@ def _falling_seeds(out: Run, text: np.ndarray, files: Files, ranges: int, shift:
         carried = 0
         for end in range(high, low, -BATCH):
             begin = max(low, end - BATCH)
-            entries = np.empty(end - begin, ENTRY)
+            entries = np.empty(end - begin, files.entry)
             entries["p"] = out.place[begin:end][::-1]
             entries["c"] = text[entries["p"]]
-            value = np.asarray(out.value[begin:end][::-1])
+            value = out.value[begin:end][::-1]
             if shift:
                 value, carried = np.append(carried, value[:-1]), value[-1]
             entries["v"] = value
@@ -457,14 +490,15 @@ def _named(
 
     Equal names mean equal stretches up to the next seed; names are ranks of these.
     """
-    slots = files.array(len(small) // 2 + 1, np.int64)
+    slots = files.array(len(small) // 2 + 1, files.whole)
     slots[(len(small) - 1) // 2] = 1  # the last symbol
     name, last, seeds = 1, None, 1
     for at in range(ranges.count):
         low, high = int(out.begin[at]), int(out.end[at])
         for end in range(high, low, -BATCH):
             begin = max(low, end - BATCH)
-            place, rank = out.place[begin:end][::-1], out.value[begin:end][::-1]
+            place = out.place[begin:end][::-1].astype(np.int64)
+            rank = out.value[begin:end][::-1]
             seed = (place > 0) & (small[place - 1] == 0)
             place, rank = place[seed], rank[seed]
             if not len(place):
@@ -503,18 +537,18 @@ def _sorted_seeds(
     reduced = _reduced(slots, seeds, names, files)
     files.drop(slots)
     if names == seeds:
-        order = files.array(seeds, np.int64)
+        order = files.array(seeds, files.whole)
         for low in range(0, seeds, BATCH):
             own = np.asarray(reduced[low : low + BATCH])
             order[own] = np.arange(low, low + len(own))
     else:
         order = suffix_array(reduced, files)
     files.drop(reduced)
-    places, used = files.array(seeds, np.int64), 0
+    places, used = files.array(seeds, files.whole), 0
     for own in seeds_of(small):
         places[used : used + len(own)] = own
         used += len(own)
-    result = files.array(seeds, np.int64)
+    result = files.array(seeds, files.whole)
     for low in range(0, seeds, BATCH):
         result[low : low + BATCH] = places[order[low : low + BATCH]]
     files.drop(places, order)
@@ -538,13 +572,13 @@ def suffix_array(text: np.ndarray, files: Files) -> np.ndarray:
     small = kinds(text, files)
     ranges = Ranges(text, False)
     order = _sorted_seeds(text, small, ranges, files)
-    parts = (order[low : low + BATCH] for low in range(0, len(order), BATCH))
+    parts = (order[low : low + BATCH].astype(np.int64) for low in range(0, len(order), BATCH))
     queue = _seed_queue(parts, lambda p: 0, text, ranges, files)
     files.drop(order)
     rising = Pass(text, small, ranges, lambda at: queue, files, False).run()
     back = _falling_seeds(rising, text, files, ranges.count, False)
     falling = Pass(text, small, ranges, back, files, True).run()
-    result, used = files.array(n, np.int64), 1
+    result, used = files.array(n, files.whole), 1
     result[0] = n - 1
     for at in range(ranges.count):
         if ranges.end[at] - ranges.first[at] > 1:
@@ -590,6 +624,7 @@ def sorted_suffixes(
                 break
         return np.minimum(found, most)
 
+    files.measure(n)
     small = kinds(text, files)
     ranges = Ranges(text, True)
     order = _sorted_seeds(text, small, ranges, files)
@@ -601,7 +636,7 @@ def sorted_suffixes(
         last[0] = place[-1:].copy()
         return common(before, place)
 
-    parts = (np.asarray(order[low : low + BATCH]) for low in range(0, len(order), BATCH))
+    parts = (order[low : low + BATCH].astype(np.int64) for low in range(0, len(order), BATCH))
     queue = _seed_queue(parts, between, text, ranges, files)
     files.drop(order)
     cut = lambda left, right: common(left, right)
@@ -613,8 +648,8 @@ def sorted_suffixes(
         before = None
         low, high = int(rising.begin[at]), int(rising.end[at])
         for begin in range(low, high, BATCH):
-            place = np.asarray(rising.place[begin : min(high, begin + BATCH)])
-            value = np.asarray(rising.value[begin : min(high, begin + BATCH)]).copy()
+            place = rising.place[begin : min(high, begin + BATCH)].astype(np.int64)
+            value = rising.value[begin : min(high, begin + BATCH)].astype(np.int64)
             if before is None:
                 value[0] = 0
             before = place[-1:]
@@ -622,7 +657,7 @@ def sorted_suffixes(
         low, high = int(falling.begin[at]), int(falling.end[at])
         for end in range(high, low, -BATCH):
             begin = max(low, end - BATCH)
-            place = np.asarray(falling.place[begin:end])[::-1]
+            place = falling.place[begin:end][::-1].astype(np.int64)
             # In a falling pass a value belongs to an entry and the one before it, which is larger.
             value = np.empty(end - begin, np.int64)
             value[1:] = falling.value[begin:end][::-1][:-1]

@@ -27,17 +27,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import bit_map, contains, keys_of
-from .induced import BATCH, Files, sorted_suffixes
+from .induced import BATCH, Files, Growing, sorted_suffixes
 from .storage import stash
 from .text import mix, raw, slices
 
 LENGTH = 100
 
 #: Bytes of an anchor, bits of the bit map of anchors as a power of two.
-GRAM, MAP_BITS = 20, 27
+GRAM, MAP_BITS = 32, 27
 
 #: Bytes of text cut at once, of pieces told apart at once in a task, of pieces of a shard.
-SLICE, HELD, SHARD = 2 << 20, 48 << 20, 16 << 20
+SLICE, HELD, SHARD = 256 << 10, 48 << 20, 24 << 20
 
 #: Pieces that may share an anchor.
 CROWD = 2048
@@ -227,50 +227,60 @@ def spread(pieces: DataFrame, length: int) -> DataFrame:
 
 
 class Shard:
-    """The different pieces of a shard, in files."""
+    """The different pieces of a shard, but for those that are alone with their key."""
 
     def __init__(self, files: Files, length: int):
         self.files, self.length = files, length
-        self.text_path = files.path()
-        self.text = open(self.text_path, "wb")
-        self.meta_path = files.path()
-        self.meta = open(self.meta_path, "wb")
+        self.text, self.meta = Growing(files, np.uint16), Growing(files, np.int64)
         self.size = self.count = 0
-        self.last = None
+        self.last = self.open = self.alone = None
 
     def add(self, batch: pa.RecordBatch) -> np.ndarray:
-        """Append the pieces of a sorted batch; returns which of them repeat the one before."""
-        piece = batch.column("piece").cast(pa.large_binary())
+        """Take the pieces of a sorted batch; returns which of them repeat the one before."""
+        piece = batch.column("piece")
         code = piece.dictionary_encode().indices.to_numpy()
         same = np.zeros(len(code), bool)
         same[1:] = code[1:] == code[:-1]
         same[0] = piece[0].as_py() == self.last
         self.last = piece[len(piece) - 1].as_py()
-        kept = piece.filter(pa.array(~same))
-        data, offsets = raw(kept)
+        rows = batch.filter(pa.array(~same))
+        if self.alone is not None:
+            rows = pa.concat_batches([self.alone, rows])
+        if rows.num_rows:
+            key = rows.column("key").to_numpy()
+            run = np.cumsum(np.append(False, key[1:] != key[:-1]))
+            met = np.bincount(run)[run] > 1
+            if self.open is not None:
+                met |= key == self.open
+            self.alone = None if met[-1] else rows.slice(len(key) - 1)
+            self.open = int(key[-1]) if met[-1] else None
+            self._append(rows.filter(pa.array(met)))
+        return same
+
+    def _append(self, rows: pa.RecordBatch) -> None:
+        data, offsets = raw(rows.column("piece"))
         sizes = np.diff(offsets)
         symbols = np.ones(len(data) + len(sizes), np.uint16)
-        place = np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)
-        symbols[place] = data.astype(np.uint16) + 2
-        self.text.write(symbols.tobytes())
+        symbols[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data
+        inside = np.ones(len(symbols), bool)
+        inside[np.cumsum(sizes + 1) - 1] = False
+        symbols[inside] += 2
         meta = np.empty((len(sizes), 5), np.int64)
         meta[:, 0] = self.size + offsets[:-1] + np.arange(len(sizes))
         for i, name in enumerate(("windows", "o", "row", "start")):
-            meta[:, i + 1] = batch.column(name).to_numpy()[~same]
-        self.meta.write(meta.tobytes())
+            meta[:, i + 1] = rows.column(name).to_numpy()
+        self.text.add(symbols)
+        self.meta.add(meta.ravel())
         self.size += len(symbols)
         self.count += len(sizes)
-        return same
 
     def covered(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Row, first byte and end of the runs of windows that occur earlier."""
         if not self.count:
             return
-        self.text.write(bytes(2 * (1 + self.length + 4)))
-        self.text.close()
-        self.meta.close()
-        text = np.asarray(np.memmap(self.text_path, np.uint16, "r"))
-        meta = np.asarray(np.memmap(self.meta_path, np.int64, "r")).reshape(-1, 5)
+        self.text.add(np.zeros(1 + self.length + 4, np.uint16))
+        text = self.text.finish()
+        meta = self.meta.finish().reshape(-1, 5)
         begin, windows, o, row, start = (np.ascontiguousarray(meta[:, i]) for i in range(5))
         marks = self.files.array(self.size + 1, np.uint8)
         held = np.zeros(0, np.int64)
@@ -348,7 +358,7 @@ def covered_spans(pieces: DataFrame, length: int) -> DataFrame:
 
     dealt = pieces.select("key", "piece", "o", "row", "start", "windows").repartition(shards, "key")
     dealt = dealt.sortWithinPartitions("key", "piece", "o", "row", "start")
-    return dealt.drop("key").mapInArrow(task, SPAN)
+    return dealt.mapInArrow(task, SPAN)
 
 
 def _without(texts: pa.Array, firsts: pa.Array, ends: pa.Array) -> list[tuple]:
