@@ -66,9 +66,9 @@ class Bench:
             took = time.perf_counter() - started
             best = took if best is None else min(best, took)
         self.times[name] = round(best, 3)
-        if hasattr(result, "files_rewritten"):
-            self.facts[f"{name}_files_rewritten"] = result.files_rewritten
-            self.facts[f"{name}_files_dropped"] = result.files_dropped
+        if hasattr(result, "slices_rewritten"):
+            self.facts[f"{name}_slices_rewritten"] = result.slices_rewritten
+            self.facts[f"{name}_slices_dropped"] = result.slices_dropped
 
     def spec(self, **changes) -> SyncSpec:
         source = PrefixSource(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,38 +121,39 @@ def full_refresh_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def affected_file_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping deletes that each touch a few of the table's files."""
-    label = "affected"
-    spec = lake_spec(spark, sf_dir, label)
-    managed = ManagedTable(engine_session(spark), spec.location)
-    orders = table(managed.spark, sf_dir, "orders")
-    managed.create(orders.schema, label)
-    spread = orders.repartitionByRange(16, "o_orderdate")
-    head = managed.publish(managed.head(), orders.schema, (managed.write(spread, "first"),), label)
-    for number, predicate in enumerate((JANUARY, "year(\"o_orderdate\") = 1996")):
-        deletion = managed.delete(head, predicate)
-        parts = deletion.kept
-        if deletion.rewritten is not None:
-            parts += (managed.write(deletion.rewritten, f"rewrite-{number}"),)
-        head = managed.publish(head, head.schema, parts, label)
-    return managed.read()
+    """Two overlapping deletes, by month slices: the first empties a slice, the second, which
+    cuts across slices, rewrites the one it touches in part and drops the others."""
+    spec = lake_spec(
+        spark, sf_dir, "affected", slice_by="date_trunc('month', \"o_orderdate\")",
+        source=PrefixSource(lake(spark, sf_dir), incremental_paths=("year=1996/month=1",)),
+    )
+    sync(spark, spec)
+    nothing = once(
+        spark, sf_dir, "no-orders",
+        lambda to: table(spark, sf_dir, "orders").where("o_orderkey < 0").write.parquet(f"{to}/none"),
+    )
+    for predicate in (JANUARY, "year(\"o_orderdate\") = 1996"):
+        empty = PrefixSource(nothing, incremental_paths=("none",))
+        sync(spark, replace(spec, source=empty, incremental_predicate=predicate))
+    return read_table(spark, spec.location)
 
 
 def time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versions inside the retention window stay readable."""
+    """Who reads the table while it is replaced has the rows from before: a frame that was
+    opened first does not change."""
     spec = lake_spec(spark, sf_dir, "travel")
-    first = sync(spark, spec)
+    sync(spark, spec)
+    before = read_table(spark, spec.location)
     source = PrefixSource(lake(spark, sf_dir), full_refresh_paths=("year=1995",))
     sync(
         spark,
         SyncSpec(target="travel", location=spec.location, source=source, strategy="full_refresh"),
     )
-    ManagedTable(engine_session(spark), spec.location).expire(retention_days=7)
-    return read_table(spark, spec.location, version=first.version)
+    return before
 
 
 def expired_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The head after older versions, and the files only they used, are gone."""
+    """The head after what only earlier records named is gone."""
     spec = lake_spec(spark, sf_dir, "expired")
     for _ in range(3):
         sync(spark, spec)
@@ -163,19 +166,20 @@ def expired_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- names, types, expressions --------------------------------------------------
 
 
-def camel_orders(spark: SparkSession, sf_dir: str) -> str:
-    """``orders`` under mixed-case names, prices partly not numbers."""
+def camel(orders: DataFrame) -> DataFrame:
+    """Orders under mixed-case names, prices partly not numbers."""
+    text = F.format_string("%.2f", "o_totalprice")
+    return orders.select(
+        F.col("o_orderkey").alias("OrderID"),
+        F.col("o_custkey").alias("HTTPCustomerKey"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("pending")).otherwise(text).alias("AmountText"),
+        F.col("o_orderdate").alias("2ndDate Value"),
+    )
+
 
+def camel_orders(spark: SparkSession, sf_dir: str) -> str:
     def write(location: str) -> None:
-        text = F.format_string("%.2f", "o_totalprice")
-        table(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("OrderID"),
-            F.col("o_custkey").alias("HTTPCustomerKey"),
-            F.when(F.col("o_orderstatus") == "P", F.lit("pending"))
-            .otherwise(text)
-            .alias("AmountText"),
-            F.col("o_orderdate").alias("2ndDate Value"),
-        ).write.parquet(location)
+        camel(table(spark, sf_dir, "orders")).write.parquet(location)
 
     return once(spark, sf_dir, "camel", write)
 
@@ -187,6 +191,38 @@ def view_lower_snake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_view(spark, spec.location)
 
 
+def view_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view in the catalog after an incremental run, as a session of its own reads it."""
+    schema = f"tablesync_{uuid.uuid4().hex[:12]}"
+    columns = (
+        ColumnSpec("OrderID", "BIGINT"),
+        ColumnSpec("HTTPCustomerKey", "BIGINT"),
+        ColumnSpec("AmountText", "STRING", alias="amount", expression='try_cast("AmountText" AS DOUBLE)'),
+        ColumnSpec("2ndDate Value", "timestamp_ntz", alias="order_date"),
+    )
+    location = camel_orders(spark, sf_dir)
+    spec = lake_spec(
+        spark, sf_dir, "sales.catalog_orders", columns=columns, catalog_schema=schema,
+        source=PrefixSource(location, incremental_paths=("later",)),
+        incremental_predicate='year("2ndDate Value") = 1996',
+        slice_by='year("2ndDate Value")',
+    )
+    sync(spark, spec)
+    opened = spark.newSession().table(f"{schema}.catalog_orders")
+    rows = table(spark, sf_dir, "orders").where("year(o_orderdate) = 1996")
+    later = once(
+        spark, sf_dir, "camel-1996",
+        lambda to: camel(rows.withColumn("o_custkey", F.col("o_custkey") + 1)).write.parquet(
+            f"{to}/later"
+        ),
+    )
+    sync(spark, replace(spec, source=PrefixSource(later, incremental_paths=("later",))))
+    fresh = spark.newSession().table(f"{schema}.catalog_orders")
+    # A reader that opened the view before the second run still has the table as it was.
+    both = opened.select(F.lit("before").alias("opened"), "*")
+    return both.unionByName(fresh.select(F.lit("after").alias("opened"), "*"))
+
+
 def view_expression_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tolerant casts computed by the view; the table keeps the text."""
     columns = (
@@ -332,6 +368,18 @@ def _field(source: str, name: str, kind: str | None = None) -> Column:
     return (column.cast(kind) if kind else column).alias(name)
 
 
+def _limit(value: str) -> Column:
+    """A whole decimal: the given limit for some rows, the order's customer for others."""
+    narrow = F.lit(value).cast("decimal(10,0)")
+    own = F.col("o_custkey").cast("decimal(10,0)")
+    return F.when(F.col("o_orderkey") % 7 == 0, narrow).when(F.col("o_orderkey") % 7 > 1, own)
+
+
+def _wide(value: str) -> Column:
+    own = F.col("o_custkey").cast("bigint")
+    return F.when(F.col("o_orderkey") % 7 == 0, F.lit(value).cast("bigint")).otherwise(own)
+
+
 def _alpha_beta() -> list[Column]:
     return [
         F.struct(_field("o_orderpriority", "alpha"), _field("o_custkey", "beta")).alias("payload")
@@ -379,6 +427,22 @@ EVOLUTIONS: dict[str, tuple] = {
         ],
         {"item_count": "payload.item_count", "price": "CAST(payload.price AS DOUBLE)"},
     ),
+    # Values at the limits of the narrower type; the newer files exceed them.
+    "evolve_nested_decimal": (
+        lambda: [
+            F.struct(
+                _limit("9999999999").alias("code"),
+                F.array(F.struct(_limit("-9999999999").alias("n"))).alias("parts"),
+            ).alias("payload")
+        ],
+        lambda: [
+            F.struct(
+                _wide("9223372036854775807").alias("code"),
+                F.array(F.struct(_wide("-9223372036854775808").alias("n"))).alias("parts"),
+            ).alias("payload")
+        ],
+        {"code": "payload.code", "n": "payload.parts[0].n"},
+    ),
     "evolve_nested_keep_missing": (
         _alpha_beta,
         lambda: [F.struct(_field("o_orderpriority", "alpha")).alias("payload")],
@@ -455,7 +519,9 @@ def evolve_plan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     managed = ManagedTable(engine, scratch_dir(spark, "report"))
     managed.create(stored.schema, "report")
-    managed.publish(managed.head(), stored.schema, (managed.write(stored, "first"),), "report")
+    managed.publish(
+        managed.head(), stored.schema, (), "report", [managed.write(stored, "first")]
+    )
     plan = evolve(spark, managed.location, wanted.schema)
     counts = managed.read().agg(
         *(F.count(F.expr(change.path)).alias(str(i)) for i, change in enumerate(plan.changes))
@@ -489,6 +555,7 @@ QUERIES = {
     "time_travel": time_travel,
     "expired_versions": expired_versions,
     "view_lower_snake": view_lower_snake,
+    "view_catalog": view_catalog,
     "view_expression_try_cast": view_expression_try_cast,
     "full_ingest_expression": full_ingest_expression,
     "full_ingest_nested": full_ingest_nested,
@@ -536,6 +603,12 @@ ORACLE = {
         "SELECT o_orderkey AS order_id, o_custkey AS http_customer_key, "
         f'{_AMOUNT} AS amount_text, o_orderdate AS "_2nd_date_value" FROM orders'
     ),
+    "view_catalog": (
+        "SELECT opened, o_orderkey AS order_id, o_custkey + "
+        "CASE WHEN opened = 'after' AND year(o_orderdate) = 1996 THEN 1 ELSE 0 END "
+        f"AS http_customer_key, TRY_CAST({_AMOUNT} AS DOUBLE) AS amount, "
+        "o_orderdate AS order_date FROM orders, (VALUES ('before'), ('after')) AS t(opened)"
+    ),
     "view_expression_try_cast": (
         f"SELECT o_orderkey AS order_id, TRY_CAST({_AMOUNT} AS DOUBLE) AS amount, "
         "CAST(o_custkey AS VARCHAR) AS http_customer_key FROM orders"
@@ -581,6 +654,15 @@ ORACLE = {
         "SELECT o_orderkey, o_custkey AS item_count, "
         "CAST(CAST(o_totalprice AS DECIMAL(20, 2)) AS DOUBLE) AS price FROM orders"
     ),
+    "evolve_nested_decimal": (
+        f"SELECT o_orderkey, CASE WHEN {_NEW} THEN CASE WHEN o_orderkey % 7 = 0 "
+        "THEN 9223372036854775807 ELSE o_custkey END "
+        "WHEN o_orderkey % 7 = 0 THEN 9999999999 WHEN o_orderkey % 7 > 1 THEN o_custkey END AS code, "
+        f"CASE WHEN {_NEW} THEN CASE WHEN o_orderkey % 7 = 0 "
+        "THEN CAST(-9223372036854775808 AS BIGINT) ELSE o_custkey END "
+        "WHEN o_orderkey % 7 = 0 THEN -9999999999 WHEN o_orderkey % 7 > 1 THEN o_custkey END AS n "
+        "FROM orders"
+    ),
     "evolve_nested_keep_missing": (
         "SELECT o_orderkey, o_orderpriority AS alpha, "
         f"CASE WHEN NOT ({_NEW}) THEN CAST(o_custkey AS VARCHAR) END AS beta FROM orders"

@@ -13,6 +13,7 @@ from ..functions.expressions import file_field_refs
 from ..functions.naming import quoted
 from ..plans.evolution import can_widen
 from ..plans.types import as_nullable
+from .slicing import SLICE, with_slice
 
 # The two ways to load Parquet files.
 STRICT, CONVERT = "add_files_copy", "full_ingest"
@@ -90,7 +91,7 @@ def convert(source: DataFrame, schema: T.StructType) -> DataFrame:
 
     A declared expression is applied here, to the file's own columns; other columns
     are taken by exact name. A column the files lack reads as NULL. Structs and arrays
-    convert field by field, matched by name regardless of case.
+    convert field by field, matched by name regardless of case. The slice of a row stays.
     """
     missing = [field for field in schema.fields if field.name not in source.columns]
     source = source.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
@@ -104,6 +105,8 @@ def convert(source: DataFrame, schema: T.StructType) -> DataFrame:
         else:
             column = column.cast(field.dataType)
         columns.append(column.alias(field.name))
+    if SLICE in source.columns:
+        columns.append(F.col(SLICE))
     return source.select(columns)
 
 
@@ -150,7 +153,7 @@ def project_by_name(source: DataFrame, schema: T.StructType) -> DataFrame:
                 respelled[field.name] = F.col(quoted(field.name)).cast(data_type)
     if respelled:
         source = source.withColumns(respelled)
-    return source.to(as_nullable(schema))
+    return source.to(as_nullable(with_slice(schema, source)))
 
 
 def _respell(found: T.DataType, stored: T.DataType) -> T.DataType:

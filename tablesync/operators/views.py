@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import SchemaError
+from ..errors import PublishConflict, SchemaError
 from ..functions.naming import quoted
 from ..plans.types import view_aliases
 from ..session import Files, engine_session
@@ -47,31 +47,54 @@ def project_view(table: DataFrame, columns: list[ViewColumn]) -> DataFrame:
 
 
 class View:
-    """The view definition kept beside a managed table."""
+    """The view definition kept beside a managed table.
+
+    ``_views/<n>.json`` appears with its full content or not at all, and the highest number
+    counts, so a reader meets the definition before or the one after, never part of one.
+    """
 
     def __init__(self, table: ManagedTable):
         self.table = table
-        self._path = f"{table.location}/_view.json"
+        self._folder = f"{table.location}/_views"
         self._files = Files(table.spark, table.location)
 
+    def _numbers(self) -> list[int]:
+        names = self._files.names(self._folder)
+        return [int(name[:-5]) for name in names if name.endswith(".json")]
+
     def exists(self) -> bool:
-        return self._files.exists(self._path)
+        return bool(self._numbers())
 
     def columns(self) -> list[ViewColumn]:
-        if not self.exists():
+        numbers = self._numbers()
+        if not numbers:
             raise SchemaError(f"no view is published at {self.table.location}")
-        return [ViewColumn(**column) for column in json.loads(self._files.read_text(self._path))]
+        text = self._files.read_text(self._path(numbers[-1]))
+        return [ViewColumn(**column) for column in json.loads(text)]
+
+    def _path(self, number: int) -> str:
+        return f"{self._folder}/{number:010d}.json"
 
     def create_or_replace(self, columns: list[ViewColumn], schema: T.StructType) -> None:
-        """Store the definition; a bad expression fails here, without opening a file."""
+        """Store the definition if it changed; a bad expression fails here, without opening a
+        file. Of two runs that replace it at once the later one counts."""
         project_view(self.table.spark.createDataFrame([], schema), columns)
-        self._files.write_text(self._path, json.dumps([asdict(column) for column in columns]))
+        text = json.dumps([asdict(column) for column in columns])
+        while True:
+            numbers = self._numbers()
+            if numbers and self._files.read_text(self._path(numbers[-1])) == text:
+                return
+            try:
+                self._files.put_if_absent(self._path(numbers[-1] + 1 if numbers else 0), text)
+                return
+            except PublishConflict:
+                continue
 
     def read(self) -> DataFrame:
         return project_view(self.table.read(), self.columns())
 
     def drop(self) -> None:
-        self._files.delete(self._path)
+        self._files.delete(self._folder)
 
 
 def read_view(

@@ -103,7 +103,7 @@ def _merge(
         return T.ArrayType(element, old.containsNull)
     if _same(old, new):
         return old
-    if nested and can_widen(old, new):
+    if nested and evolves_to(old, new):
         changes.append(Change(path, "widen", old.simpleString(), new.simpleString()))
         return new
     raise SchemaError(
@@ -150,13 +150,28 @@ def _merge_struct(
     return T.StructType(fields)
 
 
+# Fixed value: a decimal of up to so many digits, none after the point, counts as an ``int``.
+INT_DIGITS = 10
+
+
 def can_widen(old: T.DataType, new: T.DataType) -> bool:
-    """``int`` to ``bigint``, or more decimal digits at the same scale."""
+    """``int`` to ``bigint``, or more decimal digits at the same scale.
+
+    The Parquet reader does these itself; :func:`evolves_to` allows one more.
+    """
     if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
         return old.scale == new.scale and new.precision >= old.precision
     return isinstance(old, T.IntegerType) and isinstance(new, T.LongType)
 
 
+def evolves_to(old: T.DataType, new: T.DataType) -> bool:
+    """Whether a nested field may become ``new``: widening, or integers kept as decimals of up
+    to ten digits becoming ``bigint``, for which stored rows are cast when they are read."""
+    if isinstance(old, T.DecimalType) and isinstance(new, T.LongType):
+        return old.scale == 0 and old.precision <= INT_DIGITS
+    return can_widen(old, new)
+
+
 def _is_struct_array(data_type: T.DataType) -> bool:
     return isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, T.StructType)
 

@@ -189,3 +189,14 @@ def as_nullable(data_type: Any) -> Any:
     if isinstance(data_type, T.MapType):
         return T.MapType(as_nullable(data_type.keyType), as_nullable(data_type.valueType), True)
     return data_type
+
+
+def bare(data_type: Any) -> Any:
+    """The same type with NULL allowed everywhere and without metadata."""
+    if isinstance(data_type, T.StructType):
+        return T.StructType([T.StructField(f.name, bare(f.dataType)) for f in data_type])
+    if isinstance(data_type, T.ArrayType):
+        return T.ArrayType(bare(data_type.elementType))
+    if isinstance(data_type, T.MapType):
+        return T.MapType(bare(data_type.keyType), bare(data_type.valueType))
+    return data_type

@@ -18,6 +18,7 @@ from ..operators.load import (
     convert,
     has_load_expressions,
 )
+from ..operators.slicing import SLICE, by_directory
 from ..plans.modes import slices_for
 from ..plans.slices import disjoint_layers, suffix_containers
 from ..plans.types import normalise_inferred
@@ -72,20 +73,22 @@ class Prefix:
             return normalise_inferred(self.read().schema)
         return footer_schema(self.newest(max_files))
 
-    def read(self, schema: T.StructType | None = None) -> DataFrame:
+    def read(self, schema: T.StructType | None = None, sliced: bool = False) -> DataFrame:
         """All rows of all segments: a file in two segments is read twice.
 
         Without a schema the rows have the merged schema of every selected file; the
         executors read the footers, and one listing serves both footers and rows.
-        Directory names like ``dt=...`` are not columns.
+        Directory names like ``dt=...`` are not columns. ``sliced`` rows come with the slice
+        of their directory.
         """
+        mark = by_directory if sliced else (lambda scan: scan)
         if self.pattern:
             copies = self.named if self.named is not None else named_files(self.files())
             names = [path for path, _ in copies]
             if schema is None and all(count == 1 for _, count in copies):
-                return merging_scan(self.spark, names)
+                return mark(merging_scan(self.spark, names))
             paths = [path for path, count in copies for _ in range(count)]
-            return _reader(self.spark, schema or _merged(self.spark, names))(paths)
+            return mark(_reader(self.spark, schema or _merged(self.spark, names))(paths))
         chosen = [suffix for suffix in self.suffixes if suffix in self.present]
         layers = [chosen]
         if len(covering(chosen)) < len(chosen):
@@ -95,8 +98,8 @@ class Prefix:
         for layer in layers:
             paths = [self._path(suffix) for suffix in layer]
             if schema is None:
-                return merging_scan(self.spark, paths)
-            scans.append(_reader(self.spark, schema, recursiveFileLookup=True)(paths))
+                return mark(merging_scan(self.spark, paths))
+            scans.append(mark(_reader(self.spark, schema, recursiveFileLookup=True)(paths)))
         return reduce(DataFrame.unionAll, scans)
 
 
@@ -161,7 +164,7 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
                         return SourcePlan(segments=segments, skip_reason=reason)
                     raise SourceError(reason)
                 prefix.named = named_files(matched) if source.file_pattern else None
-                frame = prefix.read()
+                frame = prefix.read(sliced=True)
                 if schema is None and source.infer_max_files is not None:
                     schema = footer_schema(newest_files(matched, source.infer_max_files))
                 planned = _distinct_files(matched, segments, suffixes)
@@ -172,7 +175,7 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
         else:
             raise SourceError("files under the location keep changing while they are listed")
     if schema is None:
-        schema = normalise_inferred(frame.schema)
+        schema = normalise_inferred(frame.drop(SLICE).schema)
     if source.split_bytes:
         context.engine.conf.set("spark.sql.files.maxPartitionBytes", str(source.split_bytes))
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..errors import SourceError
 from ..operators.load import check_file_types, convert
+from ..operators.slicing import SLICE, by_directory, with_slice
 from ..plans.modes import slices_for
 from ..plans.slices import (
     NULL_PARTITION,
@@ -72,13 +73,14 @@ class Dataset:
             return _agreeing(lambda: reader.parquet(literal_path(self.path(table))))
         return self.spark.table(f"{self.name}.{table}")
 
-    def read_shards(self, tables: Sequence[str]) -> DataFrame:
+    def read_shards(self, tables: Sequence[str], sliced: bool = False) -> DataFrame:
         """All rows of some tables, in the columns and types of the first one.
 
         Columns a later shard adds are dropped, columns it lacks are NULL. Flat
         Parquet shards become a single scan however many there are; a shard named
-        twice is read twice.
+        twice is read twice. ``sliced`` rows come with the slice of their directory.
         """
+        mark = by_directory if sliced else (lambda scan: scan)
         first = self.read(tables[0])
         schema = normalise_inferred(first.schema)
         if self.is_path and not self._has_partition_directories(tables[0]):
@@ -86,11 +88,12 @@ class Dataset:
             return reduce(
                 DataFrame.unionAll,
                 [
-                    reader.parquet(*(literal_path(self.path(name)) for name in layer))
+                    mark(reader.parquet(*(literal_path(self.path(name)) for name in layer)))
                     for layer in disjoint_layers(tables)
                 ],
             )
-        return reduce(DataFrame.unionAll, [self.read(table).to(schema) for table in tables])
+        scans = [mark(self.read(table)) for table in tables]
+        return reduce(DataFrame.unionAll, [scan.to(with_slice(schema, scan)) for scan in scans])
 
     def partition(self, table: str) -> TimePartition | RangePartition | None:
         """How a table is laid out: by the first partition column that the catalog, or the
@@ -195,7 +198,7 @@ def _partition_slices(
         len(ids),
         [f"{source.table}${name}" for name in found],
         table.schema,
-        rows=lambda: read_partitions(table, partition, found),
+        rows=lambda: read_partitions(by_directory(table), partition, found),
         export=partial(export_partitions, table, partition, found),
     )
 
@@ -218,7 +221,7 @@ def _table_slices(
         len(names),
         found,
         stored,
-        rows=lambda: dataset.read_shards(found),
+        rows=lambda: dataset.read_shards(found, sliced=True),
         export=lambda *to: export_slices([dataset.read(n).to(fitted) for n in found], *to),
         check=lambda schema: dataset.check_shards(found, schema),
     )
@@ -267,7 +270,8 @@ def plan_table(context: SourceContext, source: TableSource) -> SourcePlan:
     def rows() -> DataFrame:
         frame = slices.rows()
         if source.export_location:
-            frame = read_export(frame, source.export_location, context.run_id)
+            exported = read_export(frame.drop(SLICE), source.export_location, context.run_id)
+            frame = by_directory(exported)
         if source.schema_fields is not None:
             return convert(frame, _without_expressions(schema))
         slices.check(schema)

@@ -217,7 +217,11 @@ class SyncSpec:
     ``target`` names the view (``name``, ``schema.name`` or ``db.schema.name``). The
     table lives at ``location``, by default ``<warehouse>/<target parts>``. Versions
     replaced more than ``retention_days`` ago are removed after a successful run (None
-    keeps them all).
+    keeps them all). ``slice_by`` is an expression over the table's columns whose values
+    become slices, the units a delete drops or rewrites (for example
+    ``date_trunc('month', "order_date")``); by default a slice is a directory of the source.
+    With ``catalog_schema`` a view named like the last part of the target is kept in that
+    schema of the session catalog.
     """
 
     target: str
@@ -238,6 +242,8 @@ class SyncSpec:
     run_log_fail_on_error: bool = False
     invocation_id: str | None = None
     model_id: str | None = None
+    slice_by: str | None = None
+    catalog_schema: str | None = None
 
     def __post_init__(self):
         object.__setattr__(self, "columns", tuple(self.columns or ()))

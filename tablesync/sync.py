@@ -12,13 +12,15 @@ from datetime import UTC, datetime
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .errors import PublishConflict, SchemaError, TableSyncError
+from .operators.catalog import CatalogView
 from .operators.load import enforce_not_null, project_by_name
 from .operators.runlog import append_run
-from .operators.store import Deletion, ManagedTable, Part, Version
+from .operators.slicing import by_value, check_names
+from .operators.store import Deletion, ManagedTable, Version, Written
 from .operators.views import View, ViewColumn, view_columns
 from .plans.evolution import EvolutionPlan, plan_evolution
 from .plans.modes import FULL_REFRESH, effective_mode, retry_delay, slices_for
@@ -41,14 +43,15 @@ class SyncResult:
     error_message: str | None = None
     slices: tuple[str, ...] = ()
     view_columns: list[ViewColumn] = field(default_factory=list)
+    catalog_view: str | None = None
     segments: list[dict[str, Any]] = field(default_factory=list)
     job_references: list[dict[str, Any]] = field(default_factory=list)
     staging_reference: str | None = None
     publish_ids: list[str] = field(default_factory=list)
     version: int | None = None
     rows_deleted: int | None = None
-    files_dropped: int = 0
-    files_rewritten: int = 0
+    slices_dropped: int = 0
+    slices_rewritten: int = 0
     retry: dict[str, Any] = field(default_factory=dict)
     cleanup: dict[str, Any] = field(default_factory=dict)
     run_log_error: str | None = None
@@ -106,9 +109,13 @@ def sync(
         if plan.skip_reason:
             result.status, result.error_message = "skipped", plan.skip_reason
         else:
-            _load(table, spec, plan, result, sleep)
+            with table.lease(result.run_id):
+                _load(table, spec, plan, result, sleep)
             result.view_columns = view_columns(plan.schema, plan.expressions_at_load)
             view.create_or_replace(result.view_columns, plan.schema)
+            if spec.catalog_schema:
+                catalog = CatalogView(table, spec.catalog_schema, spec.target)
+                result.catalog_view = catalog.create_or_replace(result.view_columns)
             result.status = "success"
             _expire(table, spec, result)
     except Exception as error:
@@ -194,8 +201,9 @@ def _load(
     sleep: Callable[[float], None],
 ) -> None:
     view_aliases(plan.schema)
+    check_names(plan.schema)
     result.cleanup["created_internal_table"] = table.create(plan.schema, result.run_id)
-    copied: dict[str, Part] = {}
+    copied: dict[str, Written] = {}
     for attempt in range(1, spec.retry.max_attempts + 1):
         result.retry["attempts"] = attempt
         kept = f"{result.run_id}-kept-{attempt}"
@@ -225,9 +233,9 @@ def _load(
         else:
             result.version = version.number
             result.publish_ids.append(f"v{version.number}")
-            for schema, part in copied.items():
+            for schema, written in copied.items():
                 if schema != version.schema.json():
-                    table.discard(part.directory)
+                    table.discard(written.part.directory)
             return
 
 
@@ -240,13 +248,13 @@ def _load_once(
     spec: SyncSpec,
     plan: SourcePlan,
     result: SyncResult,
-    copied: dict[str, Part],
+    copied: dict[str, Written],
     kept: str,
 ) -> Version:
     """Delete, copy and publish against the present head: all of it or nothing.
 
     ``copied`` holds the source's rows written so far, by the schema they were written
-    under; ``kept`` is the directory for rows of files that lose some.
+    under; ``kept`` is the directory for rows of slices that lose some.
     """
     head = table.head()
     evolution = plan_evolution(head.schema, plan.schema)
@@ -256,25 +264,29 @@ def _load_once(
     schema = evolution.schema
     key = schema.json()
 
-    def delete() -> tuple[Deletion, tuple[Part, ...]]:
+    def sliced(rows: DataFrame) -> DataFrame:
+        return by_value(rows, spec.slice_by) if spec.slice_by else rows
+
+    def delete() -> tuple[Deletion, tuple[Written, ...]]:
         deletion = table.delete(head, None if full else spec.incremental_predicate)
         if deletion.rewritten is None:
             return deletion, ()
-        return deletion, (table.write(project_by_name(deletion.rewritten, schema), kept),)
+        rows = project_by_name(deletion.rewritten, schema)
+        return deletion, (table.write(sliced(rows), kept),)
 
-    # Finding and rewriting the files to delete from and copying the source have nothing
+    # Finding and rewriting the slices to delete from and copying the source have nothing
     # to do with each other, so they share the cluster.
     with ThreadPoolExecutor(max_workers=1) as pool:
         deleting = pool.submit(inheritable_thread_target(table.spark)(delete))
         if key not in copied:
             incoming = enforce_not_null(project_by_name(plan.rows(), schema), schema)
-            copied[key] = table.write(incoming, _copy_directory(result, len(copied)))
+            copied[key] = table.write(sliced(incoming), _copy_directory(result, len(copied)))
         deletion, rewritten = deleting.result()
-    parts = (*deletion.kept, *rewritten, copied[key])
-    version = table.publish(head, schema, parts, result.run_id)
+    added = (*rewritten, copied[key])
+    version = table.publish(head, schema, deletion.kept, result.run_id, added)
     result.rows_deleted = None if full else deletion.rows_deleted
-    result.files_dropped = deletion.files_dropped
-    result.files_rewritten = deletion.files_rewritten
+    result.slices_dropped = deletion.slices_dropped
+    result.slices_rewritten = deletion.slices_rewritten
     result.cleanup["altered_internal_table_schema"] = evolution.altered
     result.cleanup["schema_evolution_warnings"] = evolution.warnings
     return version

@@ -286,7 +286,7 @@ def _plan_racing(context, source):
             table = ManagedTable(context.engine, source.location)
             head = table.head()
             part = table.write(source.frame, f"other-{source.races}")
-            table.publish(head, head.schema, (*head.parts, part), "other")
+            table.publish(head, head.schema, head.parts, "other", [part])
         return source.frame
 
     return SourcePlan(schema=source.frame.schema, rows=rows)
@@ -340,10 +340,10 @@ def test_conflicts_run_out(spark, rows, tmp_path, monkeypatch):
     frame, publish = rows("id int", (1,)), ManagedTable.publish
     count = iter(range(9))
 
-    def contested(self, parent, schema, parts, run_id):
+    def contested(self, parent, schema, parts, run_id, added=()):
         part = self.write(frame, f"other-{next(count)}")
-        publish(self, parent, schema, (*parent.parts, part), "other")
-        return publish(self, parent, schema, parts, run_id)
+        publish(self, parent, schema, parent.parts, "other", [part])
+        return publish(self, parent, schema, parts, run_id, added)
 
     monkeypatch.setattr(ManagedTable, "publish", contested)
     spec = SyncSpec(
