@@ -11,14 +11,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .folds import held_out, labelled_sample
+from .folds import held_out, training_sample
 from .storage import fresh
-from .subword import Model, Shape, bags, fit, logits_of, probabilities, release, softmax
+from .subword import Model, Shape, fit, learned, logits_of, probabilities, softmax
 from .text import slices
 
-#: Bounds of the training sample, as in the quality classifier.
-TRAINING_ROWS = 4000
-TRAINING_CHARS = 1 << 15
+#: Texts of the training sample; its bytes are bounded in :mod:`.folds`.
+TRAINING_ROWS = 6000
 
 #: Share of rightly recognised calibration texts that rejection may cost, and the highest
 #: threshold it may use: a language with an even chance is never rejected.
@@ -62,18 +61,14 @@ def train_languages(
 
     None when no text carries a language.
     """
-    picked = labelled_sample(documents, "lang", rows)
-    texts = documents.select("doc_id", "text").where(F.length("text") <= TRAINING_CHARS)
-    # The sample is bounded by ``rows``, so it may be broadcast.
-    examples = bags(texts.join(F.broadcast(picked), "doc_id"), "label", shape)
-    if not examples:
-        return None
-    apart = [i % 6 == 5 for i in range(len(examples))]
-    model = fit([e for e, out in zip(examples, apart) if not out], shape)
-    model = calibrate(model, [e for e, out in zip(examples, apart) if out])
-    del examples
-    release()
-    return model
+    sample = training_sample(documents, None, "lang", rows)
+
+    def learn(examples: list[tuple]) -> Model:
+        apart = [i % 6 == 5 for i in range(len(examples))]
+        model = fit([e for e, out in zip(examples, apart) if not out], shape)
+        return calibrate(model, [e for e, out in zip(examples, apart) if out])
+
+    return learned(sample.texts, shape, learn)
 
 
 ADDED = ("lang_pred", "lang_score", "lang_rejected")
@@ -119,7 +114,12 @@ def detect_languages(
 
 
 def predict_languages(documents: DataFrame) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, rejected`` of every document."""
+    """``doc_id, held_out, lang_pred, score, rejected`` of every row of ``documents``.
+
+    A text that is null, empty or without a letter is ``und`` with score 0. A null id is not
+    held out. Rows that repeat an id are predicted, and learned from, each by its own text and
+    language; a text of an id that carries two languages is not learned from.
+    """
     found = detect_languages(documents.select("doc_id", "text"), train_languages(documents))
     return found.select(
         "doc_id",
@@ -131,7 +131,10 @@ def predict_languages(documents: DataFrame) -> DataFrame:
 
 
 def keep_recognised(documents: DataFrame) -> DataFrame:
-    """The documents whose language is recognised, with their own columns only."""
+    """The documents whose language is recognised, with their own columns only.
+
+    Null and empty texts go. Each row is judged by its own text, whatever its id.
+    """
     added = tuple(fresh(name, documents.columns) for name in ADDED)
     found = detect_languages(documents, train_languages(documents), added)
     return found.where(~F.col(added[2])).select(*documents.columns)

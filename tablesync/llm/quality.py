@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,14 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .folds import held_out, labelled_sample
+from .folds import held_out, training_sample
 from .storage import fresh
-from .subword import Model, Shape, bags, fit, probabilities, release
+from .subword import Model, Shape, fit, learned, probabilities
 from .text import slices
 
-#: Bound of the training sample: rows, and characters of a text that may be drawn for it.
-TRAINING_ROWS = 6000
-TRAINING_CHARS = 1 << 16
+#: Texts of the training sample; its bytes are bounded in :mod:`.folds`.
+TRAINING_ROWS = 8000
 
 SHAPE = Shape(grams=(2, 3))
 
@@ -24,19 +24,24 @@ SHAPE = Shape(grams=(2, 3))
 def train_quality(
     documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, shape: Shape = SHAPE
 ) -> Model | None:
-    """Fit on about ``rows`` labelled texts (of at most ``TRAINING_CHARS`` characters).
+    """Fit on about ``rows`` labelled texts.
 
-    Both labels get an equal share of the sample while there are enough; their shares in
-    the corpus are put back as a prior. None when no text carries a label.
+    Both labels get an equal share of the sample while there are enough; their shares among
+    all labelled texts are put back as a prior. None when no text carries a label.
     """
-    picked = labelled_sample(labels, "quality", rows)
-    texts = documents.select("doc_id", "text").where(F.length("text") <= TRAINING_CHARS)
-    # The sample is bounded by ``rows``, so it may be broadcast.
-    examples = bags(texts.join(F.broadcast(picked), "doc_id"), "label", shape)
-    model = fit(examples, shape) if examples else None
-    del examples
-    release()
-    return model
+    sample = training_sample(documents, labels, "quality", rows)
+    counts = sample.counts
+    total = sum(counts.values())
+
+    def learn(examples: list[tuple]) -> Model:
+        model = fit(examples, shape)
+        drawn = Counter(label for label, _, _ in examples)
+        for place, label in enumerate(model.classes):
+            prior = counts[label] / total * len(examples) / drawn[label]
+            model.bias[place] += np.float32(np.log(prior))
+        return model
+
+    return learned(sample.texts, shape, learn)
 
 
 def score_quality(
@@ -67,7 +72,12 @@ def score_quality(
 
 
 def classify_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every document."""
+    """``doc_id, held_out, score, predicted`` of every row of ``documents``.
+
+    Null and empty texts score as texts without words do. A null id is not held out. Rows that
+    repeat an id are scored each by its own text, and learned from each with the id's label;
+    an id with both labels is not learned from. Without labels every score is 0.5.
+    """
     scored = score_quality(documents.select("doc_id", "text"), train_quality(documents, labels))
     return scored.select(
         "doc_id",
@@ -78,7 +88,10 @@ def classify_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier does not reject, with their own columns only."""
+    """The documents that the classifier does not reject, with their own columns only.
+
+    Each row is judged by its own text, whatever its id; see :func:`classify_quality`.
+    """
     column = fresh("score", documents.columns)
     scored = score_quality(documents, train_quality(documents, labels), column)
     return scored.where(F.col(column) >= 0.5).select(*documents.columns)

@@ -13,13 +13,14 @@ once.
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .text import Words, gram_features, slices, words
 
@@ -71,55 +72,64 @@ def repeats(found: Words) -> np.ndarray:
     return np.bincount(found.doc[1:][same], minlength=found.rows)
 
 
-def bags(frame: DataFrame, label: str, shape: Shape) -> list[tuple]:
-    """``(label, buckets, counts)`` of every row of a small frame, in the order of ``doc_id``."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def bags_of(part: pa.RecordBatch, shape: Shape) -> tuple[list[bytes], list[bytes]]:
+    """Buckets and their counts of every text of a slice."""
+    found = words(part.column("text"), shape.fold_case)
+    owner, bucket = gram_features(found, shape.grams, shape.bits)
+    by_owner = np.argsort(owner, kind="stable")
+    bucket = bucket[by_owner].astype(np.int32)
+    ends = np.cumsum(np.bincount(owner, minlength=len(found.offsets) - 1))
+    bounds = np.searchsorted(found.doc, np.arange(found.rows + 1))
+    again = repeats(found)
+    keys, counts = [], []
+    for row in range(found.rows):
+        code, n = np.unique(found.code[bounds[row] : bounds[row + 1]], return_counts=True)
+        own = [bucket[(ends[c - 1] if c else 0) : ends[c]] for c in code]
+        flat = np.concatenate([*own, np.array([shape.end, shape.repeat], np.int32)])
+        weight = np.append(np.repeat(n, [len(x) for x in own]), [1, again[row]])
+        key, place = np.unique(flat, return_inverse=True)
+        keys.append(key.astype(np.int32).tobytes())
+        counts.append(np.bincount(place, weights=weight).astype(np.float32).tobytes())
+    return keys, counts
+
+
+def learned(texts: DataFrame, shape: Shape, learn: Callable[[list[tuple]], Any]) -> Any:
+    """What ``learn`` makes of the examples ``(label, buckets, counts)`` of a bounded sample.
+
+    ``texts`` has ``doc_id``, ``label`` and ``text``. Bags are made where the texts are; one
+    task on an executor gets them, in the order of ``doc_id``, and learns, and the driver is
+    handed the finished model alone. None when there is no example.
+    """
+
+    def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                found = words(part.column("text"), shape.fold_case)
-                owner, bucket = gram_features(found, shape.grams, shape.bits)
-                by_owner = np.argsort(owner, kind="stable")
-                bucket = bucket[by_owner].astype(np.int32)
-                ends = np.cumsum(np.bincount(owner, minlength=len(found.offsets) - 1))
-                bounds = np.searchsorted(found.doc, np.arange(found.rows + 1))
-                again = repeats(found)
-                keys, counts = [], []
-                for row in range(found.rows):
-                    code, n = np.unique(
-                        found.code[bounds[row] : bounds[row + 1]], return_counts=True
-                    )
-                    own = [bucket[(ends[c - 1] if c else 0) : ends[c]] for c in code]
-                    flat = np.concatenate([*own, np.array([shape.end, shape.repeat], np.int32)])
-                    weight = np.append(np.repeat(n, [len(x) for x in own]), [1, again[row]])
-                    key, place = np.unique(flat, return_inverse=True)
-                    keys.append(key.astype(np.int32).tobytes())
-                    counts.append(
-                        np.bincount(place, weights=weight).astype(np.float32).tobytes()
-                    )
+                keys, counts = bags_of(part, shape)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("label"), pa.array(keys, pa.binary()),
                      pa.array(counts, pa.binary())],
                     ["doc_id", "label", "keys", "counts"],
                 )
 
-    kind = frame.schema[label].dataType.simpleString()
-    id_kind = frame.schema["doc_id"].dataType.simpleString()
-    table = (
-        frame.select("doc_id", F.col(label).alias("label"), "text")
-        .mapInArrow(task, f"doc_id {id_kind}, label {kind}, keys binary, counts binary")
-        .orderBy("doc_id", "label", "keys")
-        .toArrow()
-    )
-    # The arrays below are views of the table, so nothing is held twice.
-    keys, counts = _views(table["keys"], np.int32), _views(table["counts"], np.float32)
-    return list(zip(table["label"].to_pylist(), keys, counts))
+    def model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples = []
+        for batch in batches:
+            # The arrays are views of the batch, so nothing is held twice.
+            keys, counts = _views(batch["keys"], np.int32), _views(batch["counts"], np.float32)
+            examples += zip(batch["label"].to_pylist(), keys, counts)
+        found = [pickle.dumps(learn(examples))] if examples else []
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["model"])
+
+    kind = texts.schema["label"].dataType.simpleString()
+    id_kind = texts.schema["doc_id"].dataType.simpleString()
+    bagged = texts.mapInArrow(bag, f"doc_id {id_kind}, label {kind}, keys binary, counts binary")
+    ordered = bagged.repartition(1).sortWithinPartitions("doc_id", "label", "keys")
+    rows = ordered.mapInArrow(model, "model binary").collect()  # at most one
+    return pickle.loads(rows[0]["model"]) if rows else None
 
 
-def _views(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
-    return [
-        np.frombuffer(value.as_buffer(), kind) for chunk in column.chunks for value in chunk
-    ]
+def _views(column: pa.Array, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(value.as_buffer(), kind) for value in column]
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -166,7 +176,7 @@ def fit(examples: list[tuple], shape: Shape, seed: int = 1) -> Model:
 
 
 def release() -> None:
-    """Hand the memory of a training sample that is no longer used back to the system."""
+    """Hand the memory of arrays that are no longer used back to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
 

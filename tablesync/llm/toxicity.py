@@ -17,13 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .folds import held_out, labelled_sample
-from .subword import Shape, bags, release
+from .folds import held_out, training_sample
+from .subword import Shape, learned
 from .text import gram_features, slices, words
 
-#: Bounds of the training sample, as in the quality classifier.
+#: Texts of the training sample; its bytes are bounded in :mod:`.folds`.
 TRAINING_ROWS = 6000
-TRAINING_CHARS = 1 << 15
 
 #: Grades that labelled toxic texts are divided into, by the weight of evidence in them.
 GRADES = 3
@@ -112,25 +111,27 @@ def train_toxicity(
     A first fit has one threshold. Its evidence ranks the toxic texts of the sample, and
     their quantiles are the grades of the second fit. None when no text carries a label.
     """
-    picked = labelled_sample(labels, "toxic", rows)
-    texts = documents.select("doc_id", "text").where(F.length("text") <= TRAINING_CHARS)
-    # The sample is bounded by ``rows``, so it may be broadcast.
-    examples = bags(texts.join(F.broadcast(picked), "doc_id"), "label", shape)
-    if not examples:
+    sample = training_sample(documents, labels, "toxic", rows)
+
+    def learn(examples: list[tuple]) -> tuple:
+        model = fit_severity(examples, shape)
+        evidence = np.array([model.weights[keys[:-2]].sum() for _, keys, _ in examples])
+        toxic = np.array([label == 1 for label, _, _ in examples], bool)
+        if toxic.any():
+            cuts = np.quantile(evidence[toxic], np.arange(1, GRADES) / GRADES)
+            grades = np.where(toxic, 1 + np.searchsorted(cuts, evidence), 0)
+            graded = [(g, keys, counts) for g, (_, keys, counts) in zip(grades, examples)]
+            model = fit_severity(graded, shape)
+        # Most weights are zero, so the others are handed on with their places.
+        kept = np.flatnonzero(model.weights)
+        return kept, model.weights[kept], model.thresholds
+
+    found = learned(sample.texts, shape, learn)
+    if found is None:
         return None
-    flat = fit_severity(examples, shape)
-    evidence = np.array([flat.weights[keys[:-2]].sum() for _, keys, _ in examples])
-    toxic = np.array([label == 1 for label, _, _ in examples], bool)
-    if not toxic.any():
-        return flat
-    cuts = np.quantile(evidence[toxic], np.arange(1, GRADES) / GRADES)
-    grades = np.where(toxic, 1 + np.searchsorted(cuts, evidence), 0)
-    model = fit_severity(
-        [(grade, keys, counts) for grade, (_, keys, counts) in zip(grades, examples)], shape
-    )
-    del examples
-    release()
-    return model
+    weights = np.zeros(shape.rows, np.float32)
+    weights[found[0]] = found[1]
+    return Severity(weights, found[2])
 
 
 def grade_toxicity(documents: DataFrame, model: Severity | None) -> DataFrame:
@@ -165,7 +166,12 @@ def grade_toxicity(documents: DataFrame, model: Severity | None) -> DataFrame:
 
 
 def rate_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted, severity`` of every document."""
+    """``doc_id, held_out, score, predicted, severity`` of every row of ``documents``.
+
+    Null and empty texts hold no evidence. A null id is not held out. Rows that repeat an id
+    are rated each by its own text; an id with both labels is not learned from. Without labels
+    score and severity are 0.
+    """
     graded = grade_toxicity(documents.select("doc_id", "text"), train_toxicity(documents, labels))
     return graded.select(
         "doc_id",

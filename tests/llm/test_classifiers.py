@@ -1,17 +1,22 @@
 from __future__ import annotations
 
+import re
 import zlib
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tablesync.llm.folds import held_out, labelled_sample
+from tablesync.llm.folds import held_out, training_sample
 from tablesync.llm.langid import (
     UNKNOWN, detect_languages, keep_recognised, predict_languages, train_languages,
 )
 from tablesync.llm.quality import classify_quality, keep_good, score_quality, train_quality
 from tablesync.llm.subword import Shape, fit, softmax
+from tablesync.llm.text import gram_features, words
+from tablesync.llm.toxicity import SHAPE as TOXIC
 from tablesync.llm.toxicity import (
     Severity, evidence_of, fit_severity, grade_toxicity, rate_toxicity, train_toxicity,
 )
@@ -24,10 +29,87 @@ def test_folds(rows):
 
 
 def test_the_sample_is_bounded_and_leaves_held_out_rows(rows):
-    frame = rows("doc_id long, quality int", *[(i, i % 2) for i in range(600)], (None, 1), (7, None))
-    got = labelled_sample(frame, "quality", 100).collect()
+    frame = rows("doc_id long, text string", *[(i, f"t{i}") for i in range(600)], (None, "n"), (601, None))
+    labels = rows("doc_id long, quality int", *[(i, i % 2) for i in range(602)], (None, 1), (7, None))
+    sample = training_sample(frame, labels, "quality", 100)
+    got = sample.texts.collect()
     assert 40 <= len(got) <= 160
     assert all(zlib.crc32(str(r.doc_id).encode()) % 3 != 1 for r in got)
+    assert all(r.label == r.doc_id % 2 and r.text == f"t{r.doc_id}" for r in got)
+    few = training_sample(frame, labels, "quality", 600, size=100).texts.count()
+    assert 5 <= few <= 70  # texts have up to four bytes
+
+
+def test_a_hot_id_teaches_each_text_its_own_language(rows):
+    """Five hundred rows of one id in two languages: an example a row, none with another label."""
+    hot = [(1, f"{lang} {i}", lang) for i in range(250) for lang in ("en", "fr")]
+    assert zlib.crc32(b"1") % 3 != 1
+    repeated = [(1, "en 0", "en")] * 50 + [(1, "both", "en"), (1, "both", "fr")]
+    frame = rows("doc_id long, text string, lang string", *hot, *repeated)
+    sample = training_sample(frame, None, "lang", 10_000)
+    got = sample.texts.collect()
+    assert sample.counts == {"en": 250, "fr": 250} and len(got) == 500
+    assert all(r.text.startswith(r.label) for r in got)
+    some = training_sample(frame, None, "lang", 100).texts.count()
+    assert 60 <= some <= 140
+
+
+def test_ids_with_both_labels_teach_nothing(rows):
+    frame = rows("doc_id long, text string", (2, "a"), (2, "b"), (3, "c"), (5, "d"))
+    labels = rows("doc_id long, quality int", (2, 1), (2, 1), (3, 0), (3, 1), (5, 0))
+    sample = training_sample(frame, labels, "quality", 1000)
+    got = sorted((r.doc_id, r.text, r.label) for r in sample.texts.collect())
+    assert got == [(i, t, q) for i, t, q in ((2, "a", 1), (2, "b", 1), (5, "d", 0))
+                   if zlib.crc32(str(i).encode()) % 3 != 1]
+
+
+def test_long_texts_are_learned_from(rows):
+    words = {"aa": "alpha beta ", "bb": "gamma delta "}
+    rows_ = [(i, words[k] * 20_000, k) for i in range(12) for k in words]
+    model = train_languages(rows("doc_id long, text string, lang string", *rows_))
+    assert model.classes == ["aa", "bb"]
+
+
+def _plain_features(text, shape, fold):
+    """Buckets of a text, one word and one n-gram at a time."""
+    found = Counter()
+    data = (text or "").encode()
+    if fold:
+        data = bytes(b + 32 if 65 <= b <= 90 else b for b in data)
+    parts = [w for w in re.split(rb"[\x20\x09-\x0D]+", data) if w]
+    for word in parts:
+        one = words(pa.array([word.decode()]), False)
+        for bucket in gram_features(one, shape.grams, shape.bits)[1].tolist():
+            found[bucket] += 1
+    again = sum(a == b for a, b in zip(parts, parts[1:]))
+    return found, again
+
+
+def test_scores_equal_a_plain_forward_pass(odd, documents, labels):
+    """Brute force for the three classifiers over the fitted tables."""
+    some = documents.limit(12).select("doc_id", "text").union(odd.select("doc_id", "text"))
+    texts = [r.text for r in some.collect()]
+    quality, lang = train_quality(documents, labels), train_languages(documents)
+    tox = train_toxicity(documents, labels)
+    for text, q, l, t in zip(
+        texts,
+        [r.quality_score for r in score_quality(some, quality).collect()],
+        [(r.lang_pred, r.lang_score) for r in detect_languages(some, lang).collect()],
+        [(r.toxicity, r.severity) for r in grade_toxicity(some, tox).collect()],
+    ):
+        for model, got in ((quality, q), (lang, l)):
+            found, again = _plain_features(text, model.shape, model.shape.fold_case)
+            total = sum(n * model.table[b] for b, n in found.items())
+            total = total + model.table[model.shape.end] + again * model.table[model.shape.repeat]
+            chance = softmax((total / (sum(found.values()) + 1 + again) + model.bias) / model.temperature)
+            if model is quality:
+                assert got == pytest.approx(float(chance[1]), abs=1e-4)
+            elif got[0] != UNKNOWN:
+                assert model.classes[int(np.argmax(chance))] == got[0]
+                assert got[1] == pytest.approx(float(chance.max()), abs=1e-4)
+        found, _ = _plain_features(text, TOXIC, True)
+        above = tox.at_least(np.array([sum(float(tox.weights[b]) for b in found)]))[0]
+        assert t == (pytest.approx(above[0], abs=1e-4), pytest.approx(above.sum(), abs=1e-3))
 
 
 def test_quality_on_held_out_rows(documents, labels):
@@ -110,8 +192,6 @@ def test_labels_are_no_input(documents, labels):
 def test_descent_separates_two_bags():
     shape = Shape(bits=4, dimensions=4, least_steps=400)
     examples = [(i % 2, [i % 2, 16, 17], [1.0, 1.0, 0.0]) for i in range(20)]
-    import numpy as np
-
     examples = [(y, np.array(k), np.array(c, np.float32)) for y, k, c in examples]
     model = fit(examples, shape)
     for label, keys, counts in examples[:2]:
@@ -120,8 +200,6 @@ def test_descent_separates_two_bags():
 
 
 def test_severity_is_ordered():
-    import numpy as np
-
     shape = Shape(bits=4, epochs=60)
     marks = [shape.end, shape.repeat]
     bags = {0: [1, 2], 1: [1, 3], 2: [3, 4], 3: [3, 4, 5]}
@@ -134,8 +212,6 @@ def test_severity_is_ordered():
 
 
 def test_evidence_counts_a_feature_once():
-    import numpy as np
-
     shape = Shape(bits=10, grams=(3,), fold_case=True)
     weights = np.ones(shape.rows, np.float32)
     once, twice, none = evidence_of(pa.array(["abc", "ABC abc", None]), weights, shape)
