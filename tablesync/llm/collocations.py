@@ -51,7 +51,7 @@ SIBLINGS = 1 << DIGIT
 PART = 1 << 12
 
 #: Text encoded as one row.
-PIECE = 8 << 20
+PIECE = 4 << 20
 
 _U = np.uint64
 
