@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,10 +169,10 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
                 frame = prefix.read(sliced=True)
                 if schema is None and source.infer_max_files is not None:
                     schema = footer_schema(newest_files(matched, source.infer_max_files))
-                planned = _distinct_files(matched, segments, suffixes)
+                planned = listing_digest(matched.groupBy("path").agg(F.first("length").alias("length")))
             finally:
                 matched.unpersist()
-            if planned == _scanned_files(frame):
+            if _same_files(planned, scan_digest(frame), segments):
                 break
         else:
             raise SourceError("files under the location keep changing while they are listed")
@@ -196,16 +198,52 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
     )
 
 
-def _distinct_files(matched: DataFrame, segments: list[dict], suffixes: tuple[str, ...]) -> int:
-    """Planned files; segments that overlap count theirs once."""
-    if len(covering(suffixes)) == len(suffixes):
-        return sum(segment["file_count"] for segment in segments)
-    return matched.select("path").distinct().count()
-
-
-def _scanned_files(frame: DataFrame) -> int:
-    """Files in the scan's own listing; their names stay where they are."""
-    return len(frame._jdf.inputFiles())
+@dataclass(frozen=True)
+class ListingDigest:
+    """A set of files in a few numbers that do not depend on their order."""
+
+    count: int
+    hashes: tuple[int, Decimal]
+    size: int
+
+
+def _path_digest(paths: DataFrame) -> list[Column]:
+    hashed = F.xxhash64("path")
+    return [
+        F.count("*").alias("n"),
+        F.coalesce(F.bit_xor(hashed), F.lit(0)).alias("x"),
+        F.coalesce(F.sum(hashed.cast("decimal(38,0)")), F.lit(0)).alias("s"),
+    ]
+
+
+def listing_digest(files: DataFrame) -> ListingDigest:
+    """Of a listing with a row for each file, ``path, length``."""
+    total = F.coalesce(F.sum("length"), F.lit(0)).alias("size")
+    row = files.agg(*_path_digest(files), total).first()
+    return ListingDigest(row["n"], (row["x"], row["s"]), row["size"])
+
+
+def scan_digest(frame: DataFrame) -> ListingDigest:
+    """Of the files in a scan's own listing; their names stay in the engine."""
+    spark = frame.sparkSession
+    jvm = spark._jvm
+    names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(frame._jdf.inputFiles())
+    listed = spark._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING())
+    # These are URIs: encoded, and with an empty authority that a listing leaves out.
+    decoded = F.url_decode(F.replace("value", F.lit("+"), F.lit("%2B")))
+    path = F.regexp_replace(decoded, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("path")
+    paths = DataFrame(listed.toDF(), spark).select(path)
+    row = paths.agg(*_path_digest(paths)).first()
+    leaves = frame._jdf.queryExecution().analyzed().collectLeaves()
+    size = sum(leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
+    return ListingDigest(row["n"], (row["x"], row["s"]), size)
+
+
+def _same_files(planned: ListingDigest, scanned: ListingDigest, segments: list[dict]) -> bool:
+    """Whether a scan is of the planned files. Bytes are compared where no file is read twice."""
+    same = (planned.count, planned.hashes) == (scanned.count, scanned.hashes)
+    once = sum(segment["file_count"] for segment in segments) == planned.count
+    return same and (not once or planned.size == scanned.size)
 
 
 def _segments(matched: DataFrame, suffixes: tuple[str, ...]) -> list[dict]:

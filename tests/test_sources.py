@@ -14,7 +14,8 @@ from tablesync.sources import sqltext, tables  # noqa: F401
 from tablesync.sources.base import SourceContext, plan_source
 from tablesync.sources.export import export_partitions, export_slices, read_export
 from tablesync.sources.listing import covering, match_segments, normalise_suffix
-from tablesync.sources.prefix import Prefix
+from tablesync.sources import prefix as prefix_module
+from tablesync.sources.prefix import Prefix, ListingDigest, listing_digest, scan_digest
 from tablesync.sources.tables import Dataset, partition_counts
 
 
@@ -115,14 +116,14 @@ def test_rows_are_those_of_the_plan(context, write, tmp_path, pattern, paths):
     planned = sum(segment["file_count"] for segment in plan.segments)
     write(tmp_path / "lake/a/late", "x int", (3,))
     write(tmp_path / "lake/a/b", "x int", (4,), mode="append")
-    assert bag(plan.rows()) == sorted([(1,), (2,)] * planned)
+    assert bag(plan.rows().drop("_slice")) == sorted([(1,), (2,)] * planned)
 
 
 def test_files_that_keep_coming(context, write, tmp_path, monkeypatch):
     from tablesync.sources import prefix as module
 
     write(tmp_path / "lake", "x int", (1,))
-    monkeypatch.setattr(module, "_scanned_files", lambda frame: 7)
+    monkeypatch.setattr(module, "scan_digest", lambda frame: ListingDigest(7, (0, 0), -1))
     with pytest.raises(SourceError, match="keep changing"):
         plan_source(context(), PrefixSource(str(tmp_path / "lake")))
 
@@ -258,7 +259,7 @@ def test_catalog_tables(spark, context, rows):
     for day, value in (("20260101", 1), ("20260102", 2)):
         rows("id int", (value,)).write.mode("overwrite").saveAsTable(f"shop.clicks_{day}")
     plan = plan_source(context(), TableSource("shop", "clicks_*"))
-    assert bag(plan.rows()) == [(1,), (2,)]
+    assert bag(plan.rows().drop("_slice")) == [(1,), (2,)]
     spark.sql("DROP DATABASE shop CASCADE")
 
 
@@ -278,12 +279,12 @@ def test_time_partitions(context, tmp_path):
                 str(root), "orders", partition=TimePartition(column), full_refresh_predicates=ids
             )
             plan = plan_source(context(), source)
-            assert [row[0] for row in bag(plan.rows())] == wanted
+            assert [row[0] for row in bag(plan.rows().drop("_slice"))] == wanted
     hours = TableSource(
         str(root), "orders", partition=TimePartition("t"), full_refresh_predicates=("2026013123",)
     )
     plan = plan_source(context(), hours)
-    assert [row[0] for row in bag(plan.rows())] == [1]
+    assert [row[0] for row in bag(plan.rows().drop("_slice"))] == [1]
 
 
 def test_partition_range_reaches_the_scan(engine, write, tmp_path):
@@ -306,7 +307,7 @@ def test_range_partitions(context, write, tmp_path):
             full_refresh_predicates=ids,
         )
         plan = plan_source(context(), source)
-        assert [row[0] for row in bag(plan.rows())] == wanted
+        assert [row[0] for row in bag(plan.rows().drop("_slice"))] == wanted
 
 
 def test_partition_counts(engine, rows):
@@ -329,7 +330,7 @@ def test_a_table_directory_of_two_schemas(context, write, tmp_path):
     write(tmp_path / "d/t", "id int, extra string", (2, "x"), mode="append")
     plan = plan_source(context(), TableSource(str(tmp_path / "d"), "t"))
     assert plan.schema.names == ["id", "extra"]
-    assert bag(plan.rows()) == [(1, None), (2, "x")]
+    assert bag(plan.rows().drop("_slice")) == [(1, None), (2, "x")]
 
 
 @pytest.mark.parametrize(
@@ -350,7 +351,7 @@ def test_shards_take_the_first_one_s_columns(context, write, tmp_path):
     write(tmp_path / "d/e_1", "id int, a string", (1, "x"))
     write(tmp_path / "d/e_2", "id int, b string", (2, "y"))
     plan = plan_source(context(), TableSource(str(tmp_path / "d"), "e_*"))
-    assert bag(plan.rows()) == [(1, "x"), (2, None)]
+    assert bag(plan.rows().drop("_slice")) == [(1, "x"), (2, None)]
 
 
 @pytest.mark.parametrize("ids", [("202601", "20260105", "2025"), ("20260105", "__NULL__")])
@@ -428,7 +429,7 @@ def test_mapped_fields_convert(context, engine, tmp_path):
     frame.write.parquet(str(tmp_path / "d/t"))
     fields = ({"name": "at", "type": "TIMESTAMP"}, {"name": "amount", "type": "NUMERIC"})
     plan = plan_source(context(), TableSource(str(tmp_path / "d"), "t", schema_fields=fields))
-    loaded = plan.rows()
+    loaded = plan.rows().drop("_slice")
     assert [kind for _, kind in loaded.dtypes] == ["timestamp_ntz", "decimal(38,9)"]
     assert str(loaded.first()[0]) == "2026-01-01 12:00:00"
 
@@ -444,7 +445,7 @@ def test_sql_sees_the_callers_views(spark, context, rows, tmp_path):
         full_refresh_predicates=("at = 'a'", "id = 3"),
     )
     plan = plan_source(context(), source)
-    assert bag(plan.rows()) == [(1, "a"), (3, None)]
+    assert bag(plan.rows().drop("_slice")) == [(1, "a"), (3, None)]
 
 
 def test_predicates_quote_as_the_delete_does(context, rows, tmp_path):
@@ -452,7 +453,7 @@ def test_predicates_quote_as_the_delete_does(context, rows, tmp_path):
 
     def found(predicate):
         source = SqlSource("SELECT * FROM quoting", str(tmp_path), full_refresh_predicates=(predicate,))
-        return bag(plan_source(context(), source).rows())
+        return bag(plan_source(context(), source).rows().drop("_slice"))
 
     assert found("\"st\" = 'F'") == [("F", 1)]
     assert found("\"a\"\"b\" = 2") == [("O", 2)]
@@ -466,7 +467,7 @@ def test_staging_reuse(spark, context, rows, tmp_path):
         values = {"sql": "SELECT * FROM changing", "staging_location": str(tmp_path / "s")}
         run_id = f"run{next(counter)}"
         plan = plan_source(context(run_id=run_id), SqlSource(**(values | changes)))
-        return len(plan.job_references), bag(plan.rows())
+        return len(plan.job_references), bag(plan.rows().drop("_slice"))
 
     counter = iter(range(100))
     rows("id int", (1,)).createOrReplaceTempView("changing")
@@ -525,3 +526,39 @@ def test_expired_builds_are_dropped(spark, context, rows, tmp_path, monkeypatch)
     plan_source(context(run_id="three"), source)
     (stage,) = os.listdir(tmp_path / "s")
     assert [n for n in sorted(os.listdir(tmp_path / "s" / stage)) if n[0] not in "._"] == ["three"]
+
+
+def test_a_swapped_file_is_noticed(context, write, rows, tmp_path, monkeypatch):
+    """One file goes and one comes between the two listings: the counts agree, the plan is made
+    again all the same, and rows and segments are those of the files that are there."""
+    lake = tmp_path / "lake"
+    write(lake / "a", "id int", (1,))
+    write(lake / "b", "id int", (2,), (3,))
+    read, swaps = Prefix.read, [1]
+
+    def swapped(self, *args, **kwargs):
+        if swaps:
+            swaps.pop()
+            write(lake / "c d+e", "id int", (7,), (8,), (9,))
+            for name in os.listdir(lake / "a"):
+                os.unlink(lake / "a" / name)
+        return read(self, *args, **kwargs)
+
+    monkeypatch.setattr(Prefix, "read", swapped)
+    listed = []
+    monkeypatch.setattr(
+        prefix_module, "scan_digest", lambda frame: listed.append(1) or scan_digest(frame)
+    )
+    plan = plan_source(context(), PrefixSource(str(lake)))
+    assert len(listed) == 2 and not swaps
+    assert plan.segments[0]["file_count"] == 2
+    assert sorted(row["id"] for row in plan.rows().collect()) == [2, 3, 7, 8, 9]
+
+
+def test_digests_do_not_depend_on_order(rows):
+    files = [("/x/a", 1), ("/x/b", 2), ("/x/c", 3)]
+    one = listing_digest(rows("path string, length long", *files))
+    assert one == listing_digest(rows("path string, length long", *files[::-1]))
+    assert one != listing_digest(rows("path string, length long", *files[:2], ("/x/d", 3)))
+    assert one != listing_digest(rows("path string, length long", *files[:2], ("/x/c", 4)))
+    assert listing_digest(rows("path string, length long")).count == 0
