@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..errors import SourceError
 from ..functions import (
     error_text,
     json_count,
+    json_field,
     log_timestamp,
     lower_snake,
     redact,
@@ -16,7 +19,10 @@ from ..functions import (
     try_double,
     try_number,
 )
-from ..operators.runlog import latest_runs, mode_history, read_runs, status_counts
+from ..operators.reconcile import differing_slices
+from ..operators.runlog import (
+    RUN_LOG_SCHEMA, append_run, latest_runs, merge_days, mode_history, read_runs, status_counts,
+)
 from ..operators.views import read_table, read_view
 from ..session import engine_session, scratch_dir
 from ..sources.base import SourcePlan, register_source
@@ -71,6 +77,30 @@ def run_log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def run_log_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log with the runs of many days, derived from events: the days before the last one are
+    merged, and a week of it is read."""
+    log = scratch_dir(spark, "log")
+    engine = engine_session(spark)
+    events = table(engine, sf_dir, "events")
+    last = events.agg(F.max(F.to_date("ts")).alias("d")).first()["d"]
+    window = events.where(F.to_date("ts") > F.lit(last - timedelta(days=10)))
+    window = window.groupBy(F.to_date("ts").alias("day"), (F.col("user_id") % 3).alias("part"))
+    runs = window.agg(F.max("ts").alias("at"), F.count("*").alias("n")).collect()
+    for run in runs:  # thirty runs, a row each
+        values = dict.fromkeys(RUN_LOG_SCHEMA.names) | {
+            "run_id": f"{run['day']}-{run['part']}", "target_view": f"events_{run['part']}",
+            "status": "success", "finished_at": run["at"].replace(tzinfo=UTC),
+            "retry": {"rows": run["n"]},
+        }
+        append_run(engine, log, values)
+    merge_days(engine, log, last)
+    week = read_runs(engine, log, last - timedelta(days=6), last)
+    return week.groupBy(F.to_date("finished_at").cast("string").alias("day")).agg(
+        F.count("*").alias("runs"), F.sum(json_field(F.col("retry"), "$.rows", "bigint")).alias("events")
+    )
+
+
 def run_log_skip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Successful, skipped and failed runs, beside the rows the table still has."""
     log = scratch_dir(spark, "log")
@@ -106,6 +136,49 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted
 
 
+_PLANTED = {"lost": "1995-03", "doubled": "1996-05", "changed": "1997-07"}
+
+
+def reconcile_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months in which a table and its source differ: the source has since lost a row of one
+    month, has one of another twice and a changed one in a third."""
+    spec = lake_spec(spark, sf_dir, "reconcile_slices")
+    sync(spark, spec)
+    stored = read_table(spark, spec.location)
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    orders = table(stored.sparkSession, sf_dir, "orders").withColumn("_month", month)
+    marked = orders.groupBy("_month").agg(F.min("o_orderkey").alias("_first"))
+    marked = marked.where(F.col("_month").isin(*_PLANTED.values()))
+    source = orders.join(marked.drop("_month"), F.col("o_orderkey") == F.col("_first"), "left")
+    hit = F.col("_first").isNotNull()
+    times = F.when(hit & (F.col("_month") == _PLANTED["lost"]), 0).when(
+        hit & (F.col("_month") == _PLANTED["doubled"]), 2
+    )
+    copies = F.array_repeat(F.lit(1), F.coalesce(times, F.lit(1)))
+    price = F.when(
+        hit & (F.col("_month") == _PLANTED["changed"]), F.col("o_totalprice") + 1
+    ).otherwise(F.col("o_totalprice"))
+    source = source.withColumn("o_totalprice", price).select(*stored.columns, F.explode(copies))
+    return differing_slices(stored, source.select(*stored.columns), month)
+
+
+def variant_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of JSON text, some of it cut short: what is not JSON is NULL."""
+    events = table(spark, sf_dir, "events")
+    nested = F.concat(F.lit('{"user": {"id": '), "user_id", F.lit("}, \"kinds\": [\""),
+                      "event_type", F.lit('"], "props": '), "props", F.lit("}"))
+    cut = F.when(F.col("event_id") % 5 == 0, F.expr("substr(props, 1, length(props) - 1)"))
+    return events.select(
+        "event_id",
+        json_field(F.coalesce(cut, F.col("props")), "$.k", "bigint").alias("k"),
+        json_field(nested, "$.user.id", "bigint").alias("user"),
+        json_field(nested, "$.kinds[0]", "string").alias("kind"),
+        json_field(nested, "$.kinds[0]", "bigint").alias("not_a_number"),
+        json_field(nested, "$.props.k", "double").alias("deep"),
+        json_field(nested, "$.absent", "string").alias("absent"),
+    )
+
+
 class TableRows:
     """A source plugged in by a caller: a DataFrame-producing function."""
 
@@ -205,7 +278,10 @@ QUERIES = {
     "run_log_modes": run_log_modes,
     "run_log_latest": run_log_latest,
     "run_log_skip_counts": run_log_skip_counts,
+    "run_log_days": run_log_days,
     "reconcile_counts": reconcile_counts,
+    "reconcile_slices": reconcile_slices,
+    "variant_fields": variant_fields,
     "custom_source": custom_source,
     "redact_texts": redact_texts,
     "redact_errors": redact_errors,
@@ -263,10 +339,26 @@ ORACLE = {
         "CAST(1 AS BIGINT) AS success, CAST(1 AS BIGINT) AS skipped, "
         "CAST(1 AS BIGINT) AS failure, count(*) AS table_rows FROM orders"
     ),
+    "run_log_days": (
+        "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(DISTINCT user_id % 3) AS runs, "
+        "CAST(count(*) AS BIGINT) AS events FROM events WHERE CAST(ts AS DATE) > "
+        "(SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 7 DAY GROUP BY 1"
+    ),
     "reconcile_counts": (
         "SELECT 'view' AS side, count(*) AS row_count FROM orders "
         "UNION ALL SELECT 'internal', count(*) FROM orders"
     ),
+    "reconcile_slices": (
+        "SELECT slice, n AS left_rows, n + CASE slice WHEN '1995-03' THEN -1 "
+        "WHEN '1996-05' THEN 1 ELSE 0 END AS right_rows FROM (SELECT "
+        "strftime(o_orderdate, '%Y-%m') AS slice, count(*) AS n FROM orders GROUP BY 1) "
+        "WHERE slice IN ('1995-03', '1996-05', '1997-07')"
+    ),
+    "variant_fields": (
+        "SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN CAST(props ->> '$.k' AS BIGINT) END AS k, "
+        'user_id AS "user", event_type AS kind, CAST(NULL AS BIGINT) AS not_a_number, '
+        "CAST(props ->> '$.k' AS DOUBLE) AS deep, CAST(NULL AS VARCHAR) AS absent FROM events"
+    ),
     "custom_source": (
         "SELECT doc_id, lang, source, n_chars, quality || '/' || toxic AS label "
         "FROM documents LEFT JOIN labels USING (doc_id)"

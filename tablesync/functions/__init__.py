@@ -3,6 +3,7 @@
 from .expressions import (
     file_field_refs,
     json_count,
+    json_field,
     log_timestamp,
     stable_digest,
     stable_hash,
@@ -16,6 +17,7 @@ __all__ = [
     "error_text",
     "file_field_refs",
     "json_count",
+    "json_field",
     "log_timestamp",
     "lower_snake",
     "quoted",

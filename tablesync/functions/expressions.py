@@ -40,6 +40,12 @@ def json_count(array_json: Column) -> Column:
     return F.coalesce(F.json_array_length(array_json), F.lit(0))
 
 
+def json_field(value: Column, path: str, kind: str) -> Column:
+    """A field of JSON text by its path (``$.a.b[0]``); NULL for text that is not JSON, a path
+    that is not there or a value that is not of the type. The text is parsed once, to a variant."""
+    return F.try_variant_get(F.try_parse_json(value), path, kind)
+
+
 def log_timestamp(value: Column) -> Column:
     """Timestamp text with microseconds."""
     return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")

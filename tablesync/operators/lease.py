@@ -5,11 +5,13 @@ from __future__ import annotations
 import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import timedelta
 
 from ..session import Files
 
-#: Seconds between renewals.
+#: Seconds between renewals, and how old a lease is that its holder has lost.
 RENEWAL = 60
+LAPSE = timedelta(minutes=30)
 
 
 @contextmanager

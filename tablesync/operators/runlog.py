@@ -1,12 +1,16 @@
-"""The run log: one row per run, appended as its own small Parquet directory.
+"""The run log: one row per run, appended as its own small Parquet directory of its day.
 
-A directory per run means concurrent runs never share a commit path, so there is
-no lock to wait for.
+``<location>/day=YYYY-MM-DD/run=<id>/``: concurrent runs never share a commit path, so there is
+no lock to wait for, and a read lists the days it wants. The runs of a finished day are merged
+into one directory; while a merge deletes what it merged, readers may meet a run in both places
+and count it once.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+from datetime import UTC, date, datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,14 +48,79 @@ def append_run(
     if error_kind:
         message = F.coalesce("error_message", F.lit(""))
         frame = frame.withColumn("error_message", error_text(F.lit(error_kind), message))
-    frame.write.parquet(f"{location.rstrip('/')}/run-{row['run_id']}")
+    day = row["finished_at"].astimezone(UTC).date()
+    frame.write.parquet(f"{_day(location, day)}/{_RUN}{row['run_id']}")
 
 
-def read_runs(spark: SparkSession, location: str) -> DataFrame:
-    if not Files(spark, location).is_dir(location):
+_DAY, _RUN, _MERGED = "day=", "run=", "run=merged-"
+
+
+def _day(location: str, day: date) -> str:
+    return f"{location.rstrip('/')}/{_DAY}{day.isoformat()}"
+
+
+def logged_days(spark: SparkSession, location: str) -> list[date]:
+    """The days that have runs, from directory names."""
+    names = Files(spark, location).names(location)
+    return [date.fromisoformat(name.removeprefix(_DAY)) for name in names if name.startswith(_DAY)]
+
+
+def read_runs(
+    spark: SparkSession, location: str, since: date | None = None, until: date | None = None
+) -> DataFrame:
+    """The runs that finished on the days (UTC) from ``since`` to ``until``, both included.
+
+    Other days are not even listed.
+    """
+    days = [
+        day for day in logged_days(spark, location)
+        if (since is None or day >= since) and (until is None or day <= until)
+    ]
+    if not days:
         return spark.createDataFrame([], RUN_LOG_SCHEMA)
+    files = Files(spark, location)
+    merging = False
+    for day in days[:-1]:  # the last day is merged by no one yet
+        names = files.names(_day(location, day))
+        merging |= len(names) > 1 and any(name.startswith(_MERGED) for name in names)
+    runs = _scan(spark, [_day(location, day) for day in days])
+    return runs.dropDuplicates(["run_id"]) if merging else runs
+
+
+def _scan(spark: SparkSession, paths: list[str]) -> DataFrame:
     reader = spark.read.schema(RUN_LOG_SCHEMA).option("recursiveFileLookup", True)
-    return reader.parquet(literal_path(location))
+    return reader.parquet(*map(literal_path, paths))
+
+
+def merge_days(spark: SparkSession, location: str, before: date | None = None) -> int:
+    """Merge the runs of each day before ``before`` (by default: today) into one directory;
+    returns how many days were merged. The merged directory is complete before it gets its
+    name, so a merge that is cut short loses nothing and is repeated by the next one."""
+    before = before or datetime.now(UTC).date()
+    files, merged = Files(spark, location), 0
+    for day in logged_days(spark, location):
+        folder = _day(location, day)
+        names = [name for name in files.names(folder) if name.startswith(_RUN)]
+        if day >= before or len(names) < 2:
+            continue
+        paths = [f"{folder}/{name}" for name in names]
+        token = uuid.uuid4().hex
+        rows = _scan(spark, paths).dropDuplicates(["run_id"]).coalesce(1)
+        rows.write.parquet(f"{folder}/.{token}")
+        files.rename(f"{folder}/.{token}", f"{folder}/{_MERGED}{token}")
+        for path in paths:
+            files.delete(path)
+        merged += 1
+    return merged
+
+
+def latest_run(spark: SparkSession, location: str, target: str) -> DataFrame:
+    """The latest run of one target: days are read from the newest back until one has it."""
+    for day in sorted(logged_days(spark, location), reverse=True):
+        found = latest_runs(read_runs(spark, location, day, day).where(F.col("target_view") == target))
+        if not found.isEmpty():
+            return found
+    return spark.createDataFrame([], RUN_LOG_SCHEMA)
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:

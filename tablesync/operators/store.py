@@ -29,7 +29,7 @@ from ..errors import PublishConflict, SchemaError
 from ..functions.naming import quoted
 from ..plans.types import bare
 from ..session import Files, literal_path
-from .lease import held
+from .lease import LAPSE, held
 from .load import fitted, keep_filter
 from .slicing import AT, SLICE
 
@@ -371,9 +371,6 @@ class ManagedTable:
         return len(old)
 
 
-#: A lease that nobody has renewed for so long is lost; its holder renews it every minute.
-LAPSE = timedelta(minutes=30)
-
 _WRITE_OPTIONS = {
     "mapreduce.fileoutputcommitter.algorithm.version": "2",
     "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",

@@ -14,7 +14,8 @@ from ..errors import SourceError
 
 @dataclass
 class SourcePlan:
-    """One run's reading plan. ``rows`` makes the frame to load, once per attempt."""
+    """One run's reading plan. ``rows`` makes the frame to load, once per attempt; ``close``
+    is called when the run no longer reads the source."""
 
     schema: T.StructType | None = None
     rows: Callable[[], DataFrame] | None = None
@@ -23,6 +24,7 @@ class SourcePlan:
     staging_reference: str | None = None
     expressions_at_load: bool = False
     skip_reason: str | None = None
+    close: Callable[[], None] = lambda: None
 
 
 @dataclass(frozen=True)

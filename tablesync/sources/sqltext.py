@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 import re
 import time
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame
 
 from ..functions.expressions import stable_digest
+from ..operators.lease import LAPSE, held
 from ..operators.load import check_file_types
 from ..plans.modes import slices_for
 from ..plans.slices import resolve_sql_predicates
@@ -21,8 +23,6 @@ from .export import export_slices, read_export
 
 # A text literal, a back-quoted name, or a name in double quotes.
 _QUOTED = re.compile(r"""'(?:[^'\\]|\\.|'')*'|`[^`]*`|"(?P<name>(?:[^"]|"")*)(?:")""")
-# A run may still read a build for a while after it expired.
-_GRACE_SECONDS = 24 * 3600
 
 
 def select_rows(context: SourceContext, sql: str, predicates: tuple[str, ...]) -> DataFrame:
@@ -67,10 +67,11 @@ def staging_hash(source: SqlSource, target: str, predicates: tuple[str, ...]) ->
 
 
 class Staging:
-    """Staged results under one location: a sidecar names the current build.
+    """Staged results under one location, each build with a record of its own.
 
-    A build is written to a directory of its own before the sidecar points to it,
-    so a rebuild never disturbs a run that still reads the one before.
+    A build is written to its own directory and then recorded by put-if-absent, so builds that
+    run at once leave a record each, and a rebuild never disturbs a run that still reads the
+    one before. A run that reads a build holds a lease on it.
     """
 
     def __init__(self, context: SourceContext, location: str, digest: str):
@@ -78,36 +79,55 @@ class Staging:
         self._files = Files(context.engine, location)
         self._digest = digest
         self.path = f"{location.rstrip('/')}/stage_{digest[:24]}"
-        self._sidecar = f"{self.path}/_staging.json"
+        self._records = f"{self.path}/_builds"
+        self._leases = f"{self.path}/_leases"
 
     def current(self) -> str | None:
-        """The build to reuse, if it has the right hash and has not expired."""
-        state = self._state()
-        if state["hash"] != self._digest or not state["builds"]:
-            return None
-        newest = state["builds"][-1]
-        fresh = newest["expires_at"] > time.time() and self._files.exists(newest["path"])
-        return newest["path"] if fresh else None
+        """The newest build with the right hash that has not expired."""
+        fresh = [
+            build for build in self.builds()
+            if build["hash"] == self._digest and build["expires_at"] > time.time()
+        ]
+        for build in sorted(fresh, key=lambda build: build["expires_at"], reverse=True):
+            if self._files.exists(build["path"]):
+                return build["path"]
+        return None
 
     def build(self, frame: DataFrame, hours: float) -> str:
-        """Run the query into a new build and drop builds that expired a day ago."""
+        """Run the query into a new build, record it and drop expired builds nobody reads."""
         path = f"{self.path}/{self._context.run_id}"
         frame.write.parquet(path)
         now = time.time()
-        kept = []
-        for build in self._state()["builds"]:
-            if build["expires_at"] + _GRACE_SECONDS < now:
+        record = {"hash": self._digest, "path": path, "expires_at": now + hours * 3600}
+        self._files.put_if_absent(f"{self._records}/{self._context.run_id}.json", json.dumps(record))
+        for build in self.builds():
+            name = build["path"].rpartition("/")[2]
+            if name == self._context.run_id or build["expires_at"] >= now:
+                continue
+            if not self._leased(name, now):
+                self._files.delete(f"{self._records}/{name}.json")
                 self._files.delete(build["path"])
-            else:
-                kept.append(build)
-        kept.append({"path": path, "expires_at": now + hours * 3600})
-        self._files.write_text(self._sidecar, json.dumps({"hash": self._digest, "builds": kept}))
         return path
 
-    def _state(self) -> dict:
-        if not self._files.exists(self._sidecar):
-            return {"hash": None, "builds": []}
-        return json.loads(self._files.read_text(self._sidecar))
+    def builds(self) -> list[dict]:
+        names = [name for name in self._files.names(self._records) if name.endswith(".json")]
+        return [json.loads(self._files.read_text(f"{self._records}/{name}")) for name in names]
+
+    def lease(self, build: str):
+        """While open, the build is not deleted."""
+        name = build.rpartition("/")[2]
+        return held(self._files, f"{self._leases}/{name}--{self._context.run_id}")
+
+    def _leased(self, name: str, now: float) -> bool:
+        """Whether some run has renewed a lease on the build lately; lost leases go."""
+        leased = False
+        for lease in self._files.names(self._leases):
+            if lease.startswith(f"{name}--"):
+                if self._files.modified(f"{self._leases}/{lease}") >= now - LAPSE.total_seconds():
+                    leased = True
+                else:
+                    self._files.delete(f"{self._leases}/{lease}")
+        return leased
 
 
 def plan_sql(context: SourceContext, source: SqlSource) -> SourcePlan:
@@ -120,6 +140,8 @@ def plan_sql(context: SourceContext, source: SqlSource) -> SourcePlan:
     if build is None:
         build = staging.build(select_rows(context, source.sql, predicates), source.staging_hours)
         jobs.append({"operation": "query", "path": build})
+    lease = ExitStack()
+    lease.enter_context(staging.lease(build))
     staged = context.engine.read.parquet(literal_path(build))
     schema = context.declared if context.declared is not None else normalise_inferred(staged.schema)
     segment = {"table": staging.path.rpartition("/")[2]}
@@ -143,6 +165,7 @@ def plan_sql(context: SourceContext, source: SqlSource) -> SourcePlan:
         segments=[segment],
         job_references=jobs,
         staging_reference=staging.path,
+        close=lease.close,
     )
 
 

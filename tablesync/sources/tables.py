@@ -35,6 +35,10 @@ from .prefix import agreeing as _agreeing
 from .prefix import merging_scan
 
 
+# Fixed value: the directory name of rows whose partition value is NULL.
+_NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
+
+
 class Dataset:
     """A set of tables: Parquet directories under a path, or a catalog database."""
 
@@ -123,6 +127,29 @@ class Dataset:
                 return RangePartition(column, min(found), max(found) + 1, 1)
         return None
 
+    def partition_values(self, table: str, column: str) -> DataFrame | None:
+        """The values of a partition column from the catalog's partitions or the directory
+        names, no file opened; None when the table is not laid out by that column first."""
+        if self.is_path:
+            if not self._has_partition_directories(table):
+                return None
+            names = [n for n in self._files.names(self.path(table)) if n.startswith(f"{column}=")]
+            shown = self.spark.createDataFrame([(name,) for name in names], "partition string")
+        else:
+            full = f"{self.name}.{table}"
+            listed = [c.name for c in self.spark.catalog.listColumns(full) if c.isPartition]
+            if not listed or listed[0] != column:
+                return None
+            shown = self.spark.sql(f"SHOW PARTITIONS {full}")
+            names = [column]
+        if not names:
+            return None
+        first = F.split("partition", "/")[0]
+        text = F.regexp_replace(F.substr(first, F.lit(len(column) + 2)), "[+]", "%2B")
+        value = F.when(F.endswith(first, F.lit(f"={_NULL_DIRECTORY}")), None).otherwise(F.url_decode(text))
+        kind = self.read(table).schema[column].dataType
+        return shown.select(value.cast(kind).alias(column)).distinct()
+
     def check_shards(self, tables: Sequence[str], schema: T.StructType) -> None:
         """Raise unless the footers of every table fit ``schema``.
 
@@ -144,6 +171,9 @@ def partition_counts(
 ) -> dict[str, int]:
     """Rows per partition id, in one pass over the partition column of those ids.
 
+    ``table`` may be just the values of the partition column, known from metadata: then
+    partitions are counted, and nothing of the table is scanned.
+
     Rows are grouped by the finest unit among the ids; a coarser time id is a prefix
     of the finer ones it holds.
     """
@@ -192,7 +222,8 @@ def _partition_slices(
     if not dataset.exists(source.table):
         return _Slices(len(ids), [])
     table = dataset.read(source.table)
-    counts = partition_counts(table, partition, ids)
+    known = dataset.partition_values(source.table, partition.column)
+    counts = partition_counts(table if known is None else known, partition, ids)
     found = [name for name in ids if counts[name]]
     return _Slices(
         len(ids),

@@ -7,6 +7,7 @@ import time
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from typing import Any
@@ -95,7 +96,7 @@ def sync(
         },
     )
     started = datetime.now(UTC)
-    view_existed = True
+    view_existed, source = True, ExitStack()
     try:
         view_existed = view.exists()
         result.effective_mode = effective_mode(
@@ -103,6 +104,7 @@ def sync(
         )
         result.slices = slices_for(spec.source, result.effective_mode)
         plan = plan_source(_context(spark, engine, spec, result), spec.source)
+        source.callback(plan.close)
         result.segments = plan.segments
         result.job_references = plan.job_references
         result.staging_reference = plan.staging_reference
@@ -119,6 +121,7 @@ def sync(
             result.status = "success"
             _expire(table, spec, result)
     except Exception as error:
+        source.close()
         result.status, result.error_message = "failure", str(error)
         _clean_up(table, spec, result, view_existed)
         try:
@@ -126,6 +129,7 @@ def sync(
         except Exception as log_error:  # the run's own error is the one to raise
             result.run_log_error = type(log_error).__name__
         raise
+    source.close()
     _log(engine, spec, result, started)
     return result
 
@@ -159,6 +163,7 @@ def plan(
         spec.strategy, spec.full_refresh, exists, View(table).exists()
     )
     source = plan_source(_context(spark, engine, spec, result), spec.source)
+    source.close()
     planned = SyncPlan(
         result.effective_mode,
         slices_for(spec.source, result.effective_mode),

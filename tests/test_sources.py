@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from frames import bag
@@ -514,18 +515,64 @@ def test_export_keeps_a_column_called_segment(rows, tmp_path):
     assert bag(read_export(frame, str(tmp_path), "run")) == [(1, "x")]
 
 
-def test_expired_builds_are_dropped(spark, context, rows, tmp_path, monkeypatch):
-    from tablesync.sources import sqltext as module
+def _builds(stage):
+    return sorted(name for name in os.listdir(stage) if name[0] not in "._")
 
+
+def test_expired_builds_are_dropped_unless_leased(spark, context, rows, tmp_path):
     rows("id int", (1,)).createOrReplaceTempView("built")
     source = SqlSource("SELECT * FROM built", str(tmp_path / "s"), reuse=False, staging_hours=0)
     first = plan_source(context(run_id="one"), source)
+    second = plan_source(context(run_id="two"), source)
+    stage = tmp_path / "s" / os.listdir(tmp_path / "s")[0]
+    assert _builds(stage) == ["one", "two"]  # both are leased
+    second.close()
+    plan_source(context(run_id="three"), source).close()
+    assert _builds(stage) == ["one", "three"]
     assert bag(first.rows()) == [(1,)]
-    plan_source(context(run_id="two"), source)
-    monkeypatch.setattr(module, "_GRACE_SECONDS", -1)
-    plan_source(context(run_id="three"), source)
-    (stage,) = os.listdir(tmp_path / "s")
-    assert [n for n in sorted(os.listdir(tmp_path / "s" / stage)) if n[0] not in "._"] == ["three"]
+    os.utime(stage / "_leases" / "one--one", (1, 1))  # a run that died long ago
+    plan_source(context(run_id="four"), source).close()
+    assert _builds(stage) == ["four"]
+    first.close()
+
+
+def test_builds_at_once_leave_a_record_each(context, rows, tmp_path):
+    rows("id int", (1,)).createOrReplaceTempView("at_once")
+    source = SqlSource("SELECT * FROM at_once", str(tmp_path / "s"), reuse=False)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        plans = list(pool.map(lambda n: plan_source(context(run_id=f"run{n}"), source), range(4)))
+    stage = tmp_path / "s" / os.listdir(tmp_path / "s")[0]
+    records = [name for name in os.listdir(stage / "_builds") if name.endswith(".json") and name[0] != "."]
+    assert sorted(records) == [f"run{n}.json" for n in range(4)]
+    assert all(bag(plan.rows()) == [(1,)] for plan in plans)
+    again = plan_source(context(run_id="later"), SqlSource("SELECT * FROM at_once", str(tmp_path / "s")))
+    assert again.job_references == []
+    for plan in [*plans, again]:
+        plan.close()
+
+
+def test_partitions_exist_by_their_directories(engine, context, tmp_path, monkeypatch):
+    """Whether partitions exist is known without a scan: data files may even be unreadable."""
+    from tablesync.sources import tables as module
+
+    days = "SELECT id AS k, date_add(DATE'2026-01-30', CAST(id % 30 AS int)) AS day FROM range(90)"
+    null = "SELECT -1L, CAST(NULL AS date)"
+    engine.sql(f"{days} UNION ALL {null}").write.partitionBy("day").parquet(str(tmp_path / "d/t"))
+    plans = []
+
+    def counted(table, partition, ids):
+        plans.append(table._jdf.queryExecution().optimizedPlan().toString())
+        return partition_counts(table, partition, ids)
+
+    monkeypatch.setattr(module, "partition_counts", counted)
+    source = TableSource(
+        str(tmp_path / "d"), "t", partition=TimePartition("day"), skip_missing=True,
+        full_refresh_predicates=("20260131", "202602", "202604", "__NULL__"),
+    )
+    plan = plan_source(context(), source)
+    assert [s["table"] for s in plan.segments] == ["t$20260131", "t$202602", "t$__NULL__"]
+    assert "parquet" not in plans[0].lower() and "LogicalRDD" in plans[0] or "LocalRelation" in plans[0]
+    assert plan.rows().count() == 3 + 3 * 28 + 1
 
 
 def test_a_swapped_file_is_noticed(context, write, rows, tmp_path, monkeypatch):
