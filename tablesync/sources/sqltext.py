@@ -83,22 +83,21 @@ class Staging:
         self._leases = f"{self.path}/_leases"
 
     def current(self) -> str | None:
-        """The newest build with the right hash that has not expired."""
-        fresh = [
-            build for build in self.builds()
-            if build["hash"] == self._digest and build["expires_at"] > time.time()
-        ]
-        for build in sorted(fresh, key=lambda build: build["expires_at"], reverse=True):
-            if self._files.exists(build["path"]):
-                return build["path"]
-        return None
+        """The newest build, if it has the right hash and has not expired."""
+        newest = max(self.builds(), key=lambda build: build["built_at"], default=None)
+        if newest is None or newest["hash"] != self._digest:
+            return None
+        fresh = newest["expires_at"] > time.time() and self._files.exists(newest["path"])
+        return newest["path"] if fresh else None
 
     def build(self, frame: DataFrame, hours: float) -> str:
         """Run the query into a new build, record it and drop expired builds nobody reads."""
         path = f"{self.path}/{self._context.run_id}"
         frame.write.parquet(path)
         now = time.time()
-        record = {"hash": self._digest, "path": path, "expires_at": now + hours * 3600}
+        record = {
+            "hash": self._digest, "path": path, "built_at": now, "expires_at": now + hours * 3600
+        }
         self._files.put_if_absent(f"{self._records}/{self._context.run_id}.json", json.dumps(record))
         for build in self.builds():
             name = build["path"].rpartition("/")[2]
