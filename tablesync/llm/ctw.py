@@ -192,6 +192,14 @@ def predict(keys: np.ndarray, trees: list[list[Level]]) -> np.ndarray:
     return total
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Distinct keys in order; sorting them is much quicker here than hashing them."""
+    keys = np.sort(keys)
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = keys[1:] != keys[:-1]
+    return keys[fresh]
+
+
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     return _grouped(keys[order], counts[order])
@@ -291,7 +299,7 @@ def asked_of(blocked: DataFrame, depth: int) -> DataFrame:
         names: dict[int, list[pa.Array]] = {}
 
         def hand_on(block: int, last: bool) -> Iterator[pa.RecordBatch]:
-            own = np.unique(np.concatenate(grams.pop(block)))
+            own = _distinct(np.concatenate(grams.pop(block)))
             if last or len(own) > BLOCK_HELD:
                 numbers = np.full(len(own), block, np.int64)
                 yield from _batches(pa.array(own.view(np.int64)), None, {"block": numbers})
@@ -311,7 +319,7 @@ def asked_of(blocked: DataFrame, depth: int) -> DataFrame:
                     texts = part.column("text").filter(pa.array(numbers == block))
                     found = words(texts, True)
                     grams.setdefault(own, [np.zeros(0, _U)]).append(
-                        np.unique(stream(texts, depth)[0])
+                        _distinct(stream(texts, depth)[0])
                     )
                     names.setdefault(own, [pa.array([END_WORD], pa.large_binary())]).append(
                         found.distinct
@@ -424,16 +432,24 @@ def score_texts(
     blocks = max(1, -(-size // block_chars))
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Texts are dealt to blocks once: both uses below read the same exchange.
-    place = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks))
+    # Rows that repeat each other go to different ones.
+    place = F.xxhash64("doc_id", F.length("text"), F.monotonically_increasing_id())
+    place = F.pmod(place, F.lit(blocks))
     dealt = documents.withColumn("block", place).repartition(max(parts, blocks), "block")
     valued = scores.withColumn("word", F.lit(None).cast("binary")).unionByName(
         known_words.select(
             F.lit(None).cast("long").alias("gram"), "word", F.col("n").cast("double").alias("value")
         )
     )
-    valued = valued.withColumnsRenamed({"gram": "_gram", "word": "_word"})
-    same = F.col("gram").eqNullSafe(F.col("_gram")) & F.col("word").eqNullSafe(F.col("_word"))
-    model = asked_of(dealt, depth).join(valued, same).select("block", "gram", "word", "value")
+    # Both kinds meet by one number; the word itself is compared after it.
+    hashed = F.xxhash64("word").bitwiseOR(F.lit(-(1 << 63)))
+    key = F.coalesce(F.col("gram"), hashed)
+    valued = valued.withColumn("_key", key).withColumnRenamed("word", "_word").drop("gram")
+    asked = asked_of(dealt, depth).withColumn("key", key)
+    no_word = F.col("_word").isNull()
+    same_word = F.when(F.col("word").isNull(), no_word).otherwise(F.col("word") == F.col("_word"))
+    both = asked.join(valued, (F.col("key") == F.col("_key")) & same_word)
+    model = both.select("block", "gram", "word", "value")
     added = pa.schema(
         [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
          ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()),
@@ -457,7 +473,10 @@ def score_texts(
                 keys, doc = stream(part.column("text"), depth)
                 # Strings repeat within a slice, so each distinct one is looked up once.
                 distinct = pa.array(keys).dictionary_encode()
-                own = chance[np.searchsorted(gram, distinct.dictionary.to_numpy())]
+                asked = distinct.dictionary.to_numpy()
+                order = np.argsort(asked)
+                own = np.empty(len(asked))
+                own[order] = chance[np.searchsorted(gram, asked[order])]
                 score = np.bincount(
                     doc, weights=own[distinct.indices.to_numpy()], minlength=found.rows
                 )
