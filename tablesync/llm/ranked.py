@@ -208,6 +208,10 @@ class DocumentTree:
             levels.append(level)
         self.levels = levels[::-1]
 
+    def members(self, number: int) -> np.ndarray:
+        """The documents of a leaf, in the order of its matrix."""
+        return self.order[number * LEAF : (number + 1) * LEAF]
+
     def leaf(self, number: int) -> np.ndarray:
         """The impacts of a leaf's documents as a matrix."""
         low, high = number * LEAF, min(self.rows, (number + 1) * LEAF)
@@ -316,7 +320,7 @@ def best_documents(
                 i, j = np.nonzero(good)
                 best.add(
                     tree.item[own][i], score[i, j].astype(np.int64),
-                    ids[docs.order[leaf * LEAF + j]],
+                    ids[docs.members(int(leaf))[j]],
                 )
             best.settle()
 
