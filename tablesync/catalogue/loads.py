@@ -6,15 +6,21 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..errors import TableSyncError
 from ..operators.load import delete_and_copy
 from ..operators.store import ManagedTable
 from ..operators.views import read_table, read_view
+from ..plans.evolution import check_compatible
+from ..plans.types import map_declared_columns
 from ..session import engine_session, scratch_dir
-from ..spec import ColumnSpec, PrefixSource, SyncSpec
-from ..sync import evolve, sync
+from ..sources.base import SourceContext, SourcePlan, register_source
+from ..spec import ColumnSpec, PrefixSource, SyncSpec, TableSource
+from ..sync import evolve, plan, sync
 from .layout import eras, lake, once, revised_lake, table
 
 JANUARY = "\"o_orderdate\" >= '1996-01-01' AND \"o_orderdate\" < '1996-02-01'"
@@ -163,6 +169,95 @@ def expired_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return managed.read().withColumn("versions", F.lit(versions).cast("bigint"))
 
 
+class Contested:
+    """Orders from a directory; while they are read, another run publishes first, once."""
+
+    kind = "contested"
+    full_refresh_slices = incremental_slices = ()
+
+    def __init__(self, path: str, location: str):
+        self.path, self.location, self.races = path, location, 1
+
+
+def _plan_contested(context: SourceContext, source: Contested) -> SourcePlan:
+    frame = context.engine.read.option("recursiveFileLookup", True).parquet(source.path)
+
+    def rows() -> DataFrame:
+        if source.races:
+            source.races = 0
+            managed = ManagedTable(context.engine, source.location)
+            managed.publish(managed.head(), managed.head().schema, managed.head().parts, "other")
+        return frame
+
+    return SourcePlan(schema=frame.schema, rows=rows)
+
+
+def retry_after_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that loses the race to publish computes against the new head and publishes after."""
+    register_source(Contested, _plan_contested)
+    location = scratch_dir(spark, "contested")
+    source = Contested(lake(spark, sf_dir), location)
+    spec = SyncSpec(target="contested", location=location, source=source)
+    result = sync(spark, spec, sleep=lambda seconds: None)
+    log = (F.lit(result.retry["attempts"]), F.lit(len(result.retry["retryable_errors"])), F.lit(result.version))
+    names = ("attempts", "conflicts", "version")
+    rows = read_table(spark, location)
+    return rows.withColumns({n: c.cast("bigint") for n, c in zip(names, log)})
+
+
+def failed_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run that fails leaves no table behind; the next one, corrected, is a first run."""
+    dropped = F.lit(False)
+    bad = (ColumnSpec("o_orderkey", "bigint"), ColumnSpec("o_custkey", "bigint", expression="no_such(1)"))
+    spec = lake_spec(spark, sf_dir, "first_run", columns=bad)
+    try:
+        sync(spark, spec)
+    except AnalysisException:
+        managed = ManagedTable(engine_session(spark), spec.location)
+        dropped = F.lit(not managed.exists())
+    good = replace(spec, columns=bad[:1])
+    mode = sync(spark, good).effective_mode
+    rows = read_table(spark, spec.location)
+    return rows.select("o_orderkey", dropped.alias("dropped"), F.lit(mode).alias("mode"))
+
+
+def refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What planning refuses, by the kind of error, beside the rows the table keeps."""
+    spec = lake_spec(spark, sf_dir, "refusing")
+    sync(spark, spec)
+    stored = read_table(spark, spec.location).schema
+    key, twice = ColumnSpec("o_orderkey", "bigint"), ColumnSpec("OOrderkey", "bigint", alias="o_orderkey")
+    narrower = stored.fields[0].name
+    tries = {
+        "alias_collision": lambda: sync(spark, replace(spec, columns=(key, twice))),
+        "duplicate_name": lambda: map_declared_columns((key, key)),
+        "predicate_type": lambda: plan(
+            spark, replace(spec, source=TableSource(
+                sf_dir, "orders", predicate_type="table_suffix", full_refresh_predicates=("x",),
+                incremental_predicates=("x",),
+            )),
+        ),
+        "unpaired_predicate": lambda: replace(spec, incremental_predicate=None),
+        "incompatible_type": lambda: check_compatible(
+            stored, T.StructType([T.StructField(narrower, T.StringType()), *stored.fields[1:]])
+        ),
+        "removed_column": lambda: check_compatible(stored, T.StructType(stored.fields[1:])),
+    }
+    found = []
+    for rule, attempt in tries.items():
+        try:
+            attempt()
+            found.append(f"{rule}=accepted")
+        except TableSyncError as error:
+            found.append(f"{rule}={type(error).__name__}")
+    rows = read_table(spark, spec.location).agg(F.count("*").alias("table_rows"))
+    pairs = rows.select("table_rows", F.explode(F.lit(found)).alias("pair"))
+    return pairs.select(
+        F.substring_index("pair", "=", 1).alias("rule"),
+        F.substring_index("pair", "=", -1).alias("error"), "table_rows",
+    )
+
+
 # --- names, types, expressions --------------------------------------------------
 
 
@@ -522,9 +617,9 @@ def evolve_plan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     managed.publish(
         managed.head(), stored.schema, (), "report", [managed.write(stored, "first")]
     )
-    plan = evolve(spark, managed.location, wanted.schema)
+    steps = evolve(spark, managed.location, wanted.schema)
     counts = managed.read().agg(
-        *(F.count(F.expr(change.path)).alias(str(i)) for i, change in enumerate(plan.changes))
+        *(F.count(F.expr(change.path)).alias(str(i)) for i, change in enumerate(steps.changes))
     )
     report = F.explode(
         F.array(
@@ -536,7 +631,7 @@ def evolve_plan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(change.to_type).cast("string").alias("to_type"),
                     F.col(str(i)).alias("row_count"),
                 )
-                for i, change in enumerate(plan.changes)
+                for i, change in enumerate(steps.changes)
             )
         )
     )
@@ -552,6 +647,9 @@ QUERIES = {
     "delete_all_when_unpaired": delete_all_when_unpaired,
     "full_refresh_slices": full_refresh_slices,
     "affected_file_rewrite": affected_file_rewrite,
+    "retry_after_conflict": retry_after_conflict,
+    "failed_first_run": failed_first_run,
+    "refusals": refusals,
     "time_travel": time_travel,
     "expired_versions": expired_versions,
     "view_lower_snake": view_lower_snake,
@@ -597,6 +695,17 @@ ORACLE = {
     ),
     "full_refresh_slices": "SELECT * FROM orders WHERE year(o_orderdate) IN (1996, 1997)",
     "affected_file_rewrite": "SELECT * FROM orders WHERE year(o_orderdate) <> 1996",
+    "retry_after_conflict": (
+        "SELECT *, CAST(2 AS BIGINT) AS attempts, CAST(1 AS BIGINT) AS conflicts, "
+        "CAST(2 AS BIGINT) AS version FROM orders"
+    ),
+    "failed_first_run": "SELECT o_orderkey, true AS dropped, 'full_refresh' AS mode FROM orders",
+    "refusals": (
+        "SELECT rule, error, (SELECT count(*) FROM orders) AS table_rows FROM (VALUES "
+        "('alias_collision', 'SchemaError'), ('duplicate_name', 'SchemaError'), "
+        "('predicate_type', 'SpecError'), ('unpaired_predicate', 'SpecError'), "
+        "('incompatible_type', 'SchemaError'), ('removed_column', 'SchemaError')) t(rule, error)"
+    ),
     "time_travel": "SELECT * FROM orders",
     "expired_versions": "SELECT *, CAST(1 AS BIGINT) AS versions FROM orders",
     "view_lower_snake": (
