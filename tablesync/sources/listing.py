@@ -48,14 +48,19 @@ def _suffix_rows(spark: SparkSession, suffixes: Sequence[str]) -> DataFrame:
 
 
 def match_segments(
-    listing: DataFrame, root: str, suffixes: Sequence[str], pattern: str | None = None
+    listing: DataFrame,
+    root: str,
+    suffixes: Sequence[str],
+    pattern: str | None = None,
+    others: bool = False,
 ) -> DataFrame:
     """Files per segment: ``segment, path_suffix, rel, path, length, modificationTime``.
 
     Each file is paired with its own parent directories and joined to the suffix
     list by equality. ``month=1`` therefore never takes ``month=10``, a file that
     lies under two suffixes appears once for each, and no file is compared with
-    every suffix. The pattern is searched in the name relative to the segment.
+    every suffix. The pattern is searched in the name relative to the segment. With ``others``
+    the files it leaves out stay too, told apart by ``selected``.
     """
     wanted = _suffix_rows(listing.sparkSession, suffixes)
     if len(suffixes) <= BROADCAST_SUFFIXES:
@@ -68,11 +73,39 @@ def match_segments(
     )
     named = listing.withColumn("rel", rel).withColumn("path_suffix", F.explode(parents))
     matched = named.join(wanted, "path_suffix")
+    columns = ["segment", "path_suffix", "rel", "path", "length", "modificationTime"]
+    selected = F.lit(True)
     if pattern:
         prefix = F.when(F.col("path_suffix") == "", 0).otherwise(F.length("path_suffix") + 1)
         name = F.col("rel").substr(prefix + F.lit(1), F.length("rel"))
-        matched = matched.where(name.rlike(pattern))
-    return matched.select("segment", "path_suffix", "rel", "path", "length", "modificationTime")
+        selected = name.rlike(pattern)
+    if others:
+        return matched.select(*columns, selected.alias("selected"))
+    return matched.where(selected).select(*columns)
+
+
+def selected_paths(matched: DataFrame) -> DataFrame:
+    """``path, copies``: the directories and files that hold just what a pattern selects.
+
+    ``matched`` has the files it leaves out as well. A directory without subdirectories, all
+    files of which are selected once, stands for them; of other directories the selected files
+    are named, with the number of segments each is selected in.
+    """
+    copies = F.count_if("selected").alias("copies")
+    files = matched.groupBy("path").agg(copies)
+    files = files.withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+    folders = files.groupBy("folder").agg(F.min("copies").alias("low"), F.max("copies").alias("high"))
+    pieces = F.split("folder", "/")
+    above = F.transform(
+        F.sequence(F.lit(1), F.size(pieces) - 1),
+        lambda depth: F.concat_ws("/", F.slice(pieces, F.lit(1), depth)),
+    )
+    parents = folders.select(F.explode(above).alias("folder")).distinct()
+    whole = folders.where("low = 1 AND high = 1").join(parents, "folder", "left_anti")
+    rest = files.where("copies > 0").join(whole.select("folder"), "folder", "left_anti")
+    return whole.select(F.col("folder").alias("path"), F.lit(1).cast("long").alias("copies")).unionByName(
+        rest.select("path", "copies")
+    )
 
 
 def segment_sums(matched: DataFrame) -> DataFrame:

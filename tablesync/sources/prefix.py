@@ -27,7 +27,15 @@ from ..plans.types import normalise_inferred
 from ..session import Files, literal_path, one_partition_per_core
 from ..spec import PrefixSource
 from .base import SourceContext, SourcePlan, register_source
-from .listing import covering, list_files, match_segments, newest_files, segment_rollup, segment_sums
+from .listing import (
+    covering,
+    list_files,
+    match_segments,
+    newest_files,
+    segment_rollup,
+    segment_sums,
+    selected_paths,
+)
 
 class Prefix:
     """The files a suffix list selects under a location."""
@@ -52,8 +60,8 @@ class Prefix:
     def _path(self, suffix: str) -> str:
         return f"{self.root}/{suffix}" if suffix else self.root
 
-    def files(self) -> DataFrame:
-        """One row per (segment, file)."""
+    def files(self, others: bool = False) -> DataFrame:
+        """One row per (segment, file); with ``others`` also of files the pattern leaves out."""
         directories = [self._path(suffix) for suffix in covering(sorted(self.present))]
         if directories:
             listing = list_files(self.spark, *directories)
@@ -61,7 +69,7 @@ class Prefix:
             listing = self.spark.createDataFrame(
                 [], "path string, length long, modificationTime timestamp"
             )
-        return match_segments(listing, self.root, self.suffixes, self.pattern)
+        return match_segments(listing, self.root, self.suffixes, self.pattern, others)
 
     def rollup(self) -> DataFrame:
         return segment_rollup(self.files(), self.suffixes)
@@ -85,7 +93,7 @@ class Prefix:
         """
         mark = by_directory if sliced else (lambda scan: scan)
         if self.pattern:
-            copies = self.named if self.named is not None else named_files(self.files())
+            copies = self.named if self.named is not None else named_paths(self.files(others=True))
             names = [path for path, _ in copies]
             if schema is None and all(count == 1 for _, count in copies):
                 return mark(merging_scan(self.spark, names))
@@ -105,14 +113,13 @@ class Prefix:
         return reduce(DataFrame.unionAll, scans)
 
 
-def named_files(matched: DataFrame) -> list[tuple[str, int]]:
-    """Paths a pattern selects, and in how many segments each lies.
+def named_paths(matched: DataFrame) -> list[tuple[str, int]]:
+    """Directories and files a pattern selects, and in how many segments each lies.
 
-    A pattern cannot be given to the reader, so the names go back to it as a list:
-    file metadata, which the reader's own index holds as well.
+    A pattern cannot be given to the reader, so paths go back to it as a list. Files whose
+    directory is selected whole are not named; of a lake laid out by day the days are.
     """
-    counted = matched.groupBy("path").agg(F.count("*").alias("copies"))
-    return [(row["path"], row["copies"]) for row in counted.collect()]
+    return [(row["path"], row["copies"]) for row in selected_paths(matched).collect()]
 
 
 def footer_schema(files: DataFrame) -> T.StructType:
@@ -157,21 +164,22 @@ def plan_prefix(context: SourceContext, source: PrefixSource) -> SourcePlan:
         for _ in range(LISTINGS):
             # One listing serves the sums and the file names. The scan lists once more, reads
             # all footers and holds on to what it found: it must be what was planned.
-            matched = prefix.files().persist()
+            listed = prefix.files(others=bool(source.file_pattern)).persist()
             try:
+                matched = listed.where("selected") if source.file_pattern else listed
                 segments = _segments(matched, suffixes)
                 if not any(segment["file_count"] for segment in segments):
                     reason = "no Parquet files matched the location"
                     if source.skip_missing:
                         return SourcePlan(segments=segments, skip_reason=reason)
                     raise SourceError(reason)
-                prefix.named = named_files(matched) if source.file_pattern else None
+                prefix.named = named_paths(listed) if source.file_pattern else None
                 frame = prefix.read(sliced=True)
                 if schema is None and source.infer_max_files is not None:
                     schema = footer_schema(newest_files(matched, source.infer_max_files))
                 planned = listing_digest(matched.groupBy("path").agg(F.first("length").alias("length")))
             finally:
-                matched.unpersist()
+                listed.unpersist()
             if _same_files(planned, scan_digest(frame), segments):
                 break
         else:

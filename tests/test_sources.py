@@ -16,7 +16,7 @@ from tablesync.sources.base import SourceContext, plan_source
 from tablesync.sources.export import export_partitions, export_slices, read_export
 from tablesync.sources.listing import covering, match_segments, normalise_suffix
 from tablesync.sources import prefix as prefix_module
-from tablesync.sources.prefix import Prefix, ListingDigest, listing_digest, scan_digest
+from tablesync.sources.prefix import ListingDigest, Prefix, listing_digest, named_paths, scan_digest
 from tablesync.sources.tables import Dataset, partition_counts
 
 
@@ -602,6 +602,24 @@ def test_a_swapped_file_is_noticed(context, write, rows, tmp_path, monkeypatch):
     assert sorted(row["id"] for row in plan.rows().collect()) == [2, 3, 7, 8, 9]
 
 
+def test_a_pattern_hands_back_directories(engine, write, rows, tmp_path):
+    """Directories that are selected whole stand for their files; others name the files."""
+    for name in ("y=1/m=10", "y=1/m=11", "y=1/m=2", "y=2/m=10", "y=3"):
+        write(tmp_path / "lake" / name, "x int", (1,))
+        write(tmp_path / "lake" / name, "x int", (2,), mode="append")
+    write(tmp_path / "lake/y=2/m=10/deeper", "x int", (3,))
+    (tmp_path / "lake/y=3/notes.txt").write_text("not parquet")
+    prefix = Prefix(engine, str(tmp_path / "lake"), ("",), r"(m=1[01]/|y=3/.*)[^/]*parquet$")
+    found = sorted(path.split("/lake/")[1] for path, _ in named_paths(prefix.files(others=True)))
+    assert [p for p in found if not p.endswith(".parquet")] == ["y=1/m=10", "y=1/m=11"]
+    assert len(found) == 2 + 2 + 2  # and two files each of y=2/m=10 and y=3
+    assert sorted(row["x"] for row in prefix.read().collect()) == [1, 1, 1, 1, 2, 2, 2, 2]
+    twice = Prefix(engine, str(tmp_path / "lake"), ("y=1", "y=1/m=10"), "parquet$")
+    assert sorted(row["x"] for row in twice.read().collect()) == [1, 1, 1, 1, 2, 2, 2, 2]
+    whole = {path.split("/lake/")[1]: n for path, n in named_paths(twice.files(others=True))}
+    assert whole["y=1/m=11"] == 1 and sorted(whole.values()) == [1, 1, 2, 2]
+
+
 def test_digests_do_not_depend_on_order(rows):
     files = [("/x/a", 1), ("/x/b", 2), ("/x/c", 3)]
     one = listing_digest(rows("path string, length long", *files))
