@@ -36,7 +36,7 @@ END, BEFORE = 0xFF, 0xFE
 END_WORD = bytes([END])
 
 #: Characters of text in a block, the unit that texts and scores are joined by.
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 20 << 20
 
 #: Distinct strings or words that a counting task holds before it hands them on; Spark's own
 #: partial aggregation merges what comes more than once.
@@ -445,11 +445,12 @@ def score_texts(
     hashed = F.xxhash64("word").bitwiseOR(F.lit(-(1 << 63)))
     key = F.coalesce(F.col("gram"), hashed)
     valued = valued.withColumn("_key", key).withColumnRenamed("word", "_word").drop("gram")
-    asked = asked_of(dealt, depth).withColumn("key", key)
+    asked = asked_of(dealt, depth).select(key.alias("key"), "word", "block")
     no_word = F.col("_word").isNull()
     same_word = F.when(F.col("word").isNull(), no_word).otherwise(F.col("word") == F.col("_word"))
     both = asked.join(valued, (F.col("key") == F.col("_key")) & same_word)
-    model = both.select("block", "gram", "word", "value")
+    gram = F.when(no_word, F.col("key")).alias("gram")
+    model = both.select("block", gram, "word", "value")
     added = pa.schema(
         [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
          ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()),
