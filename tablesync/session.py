@@ -31,6 +31,7 @@ ENGINE_CONF = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.files.ignoreCorruptFiles": "false",
     "spark.sql.files.ignoreMissingFiles": "false",
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 _SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
