@@ -17,33 +17,40 @@ from tablesync.llm.quality import keep_good
 from tablesync.llm.storage import stash
 
 
+def _begin(spark: SparkSession) -> None:
+    """Make the package importable on executors, and drop what earlier stages left behind: Spark
+    frees broadcasts and shuffle files once the driver has collected their handles."""
+    ship(spark)
+    spark.sparkContext._jvm.System.gc()
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is not recognised go."""
-    ship(spark)
+    _begin(spark)
     return keep_recognised(docs)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    ship(spark)
+    _begin(spark)
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    ship(spark)
+    _begin(spark)
     return drop_near_copies(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document comes as often as the mix takes it: not at all, once or twice."""
-    ship(spark)
+    _begin(spark)
     return repeat_mixed(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in their sequences."""
-    ship(spark)
+    _begin(spark)
     return pack_documents(docs)
 
 
