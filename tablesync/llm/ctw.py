@@ -36,7 +36,7 @@ END, BEFORE = 0xFF, 0xFE
 END_WORD = bytes([END])
 
 #: Characters of text in a block, the unit that texts and scores are joined by.
-BLOCK_CHARS = 20 << 20
+BLOCK_CHARS = 28 << 20
 
 #: Distinct strings or words that a counting task holds before it hands them on; Spark's own
 #: partial aggregation merges what comes more than once.
@@ -201,7 +201,7 @@ def _distinct(keys: np.ndarray) -> np.ndarray:
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     return _grouped(keys[order], counts[order])
 
 
