@@ -36,7 +36,7 @@ END, BEFORE = 0xFF, 0xFE
 END_WORD = bytes([END])
 
 #: Characters of text in a block, the unit that texts and scores are joined by.
-BLOCK_CHARS = 28 << 20
+BLOCK_CHARS = 24 << 20
 
 #: Distinct strings or words that a counting task holds before it hands them on; Spark's own
 #: partial aggregation merges what comes more than once.
