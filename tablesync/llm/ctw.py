@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .folds import remainder
 from .storage import stash
 from .subword import release
-from .text import FOLD, IS_SPACE, raw, slices, vocabulary_hashes, word_hashes, words
+from .text import FOLD, IS_SPACE, distinct, raw, slices, vocabulary_hashes, word_hashes, words
 
 #: Bytes of context; with the next byte they must fit a 64-bit key, so at most 7.
 DEPTH = 5
@@ -192,14 +192,6 @@ def predict(keys: np.ndarray, trees: list[list[Level]]) -> np.ndarray:
     return total
 
 
-def _distinct(keys: np.ndarray) -> np.ndarray:
-    """Distinct keys in order; sorting them is much quicker here than hashing them."""
-    keys = np.sort(keys)
-    fresh = np.ones(len(keys), bool)
-    fresh[1:] = keys[1:] != keys[:-1]
-    return keys[fresh]
-
-
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys)
     return _grouped(keys[order], counts[order])
@@ -299,7 +291,7 @@ def asked_of(blocked: DataFrame, depth: int) -> DataFrame:
         names: dict[int, list[pa.Array]] = {}
 
         def hand_on(block: int, last: bool) -> Iterator[pa.RecordBatch]:
-            own = _distinct(np.concatenate(grams.pop(block)))
+            own = distinct(np.concatenate(grams.pop(block)))
             if last or len(own) > BLOCK_HELD:
                 numbers = np.full(len(own), block, np.int64)
                 yield from _batches(pa.array(own.view(np.int64)), None, {"block": numbers})
@@ -319,7 +311,7 @@ def asked_of(blocked: DataFrame, depth: int) -> DataFrame:
                     texts = part.column("text").filter(pa.array(numbers == block))
                     found = words(texts, True)
                     grams.setdefault(own, [np.zeros(0, _U)]).append(
-                        _distinct(stream(texts, depth)[0])
+                        distinct(stream(texts, depth)[0])
                     )
                     names.setdefault(own, [pa.array([END_WORD], pa.large_binary())]).append(
                         found.distinct

@@ -37,6 +37,14 @@ def mix(value: np.ndarray) -> np.ndarray:
     return value
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct integers in order; sorting them is much quicker here than hashing them."""
+    values = np.sort(values)
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = values[1:] != values[:-1]
+    return values[fresh]
+
+
 def powers(base: int, count: int) -> np.ndarray:
     """``base ** 0 ... base ** (count - 1)`` modulo 2**64."""
     result = np.full(count, base, np.uint64)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .folds import held_out, training_sample
 from .subword import Shape, learned
-from .text import gram_features, slices, words
+from .text import distinct, gram_features, slices, words
 
 #: Texts of the training sample; its bytes are bounded in :mod:`.folds`.
 TRAINING_ROWS = 6000
@@ -92,13 +92,13 @@ def evidence_of(texts: pa.Array, weights: np.ndarray, shape: Shape = SHAPE) -> n
     bucket = bucket[order]
     count = np.bincount(owner, minlength=len(found.offsets) - 1)
     begin = np.cumsum(count) - count
-    pairs = np.unique(found.doc.astype(np.int64) << 32 | found.code)
+    pairs = distinct(found.doc.astype(np.int64) << 32 | found.code)
     doc, code = pairs >> 32, pairs & 0xFFFFFFFF
     size = count[code]
     ends = np.cumsum(size)
     place = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
     at = np.repeat(begin[code], size) + place
-    occurs = np.unique(np.repeat(doc, size) << 32 | bucket[at])
+    occurs = distinct(np.repeat(doc, size) << 32 | bucket[at])
     values = weights[occurs & 0xFFFFFFFF].astype(np.float64)
     return np.bincount(occurs >> 32, weights=values, minlength=found.rows)
 
