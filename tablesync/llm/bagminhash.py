@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .graph import components, forest
 from .storage import stash
+from .subword import release
 from .text import mix, powers, slices, word_hashes, words
 
 WORDS = 5
@@ -35,6 +36,9 @@ BANDS, ROWS = 26, 5
 #: blocks where those leave several groups.
 PAIRWISE = 12
 
+#: Bytes of text whose shingles a task holds at once, about a hundred times as many in arrays.
+SLICE = 1 << 20
+
 #: Shingles of a chunk, a side of a block; a text counts as LEAST of them at least.
 CHUNK, LEAST = 1 << 19, 256
 
@@ -118,21 +122,26 @@ def band_hashes(table: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix(total + mix(np.arange(bands, dtype=_U) + _U(101)))
 
 
+def _signed(batch: pa.RecordBatch, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+    for part in slices(batch, "text", SLICE):
+        doc, key, count = shingles(part.column("text"))
+        table = signatures(doc, key, count, len(part), bands * rows)
+        any_word = np.bincount(doc, minlength=len(part)) > 0
+        hashes = band_hashes(table[any_word], bands, rows).view(np.int64)
+        lists = pa.ListArray.from_arrays(
+            np.arange(0, hashes.size + 1, bands, dtype=np.int32), hashes.reshape(-1)
+        )
+        kept = part.column("key").filter(pa.array(any_word))
+        yield pa.RecordBatch.from_arrays([kept, lists], ["key", "bands"])
+
+
 def sign(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``key, bands``: the band hashes of each text with a word; others get no row."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                doc, key, count = shingles(part.column("text"))
-                table = signatures(doc, key, count, len(part), bands * rows)
-                any_word = np.bincount(doc, minlength=len(part)) > 0
-                hashes = band_hashes(table[any_word], bands, rows).view(np.int64)
-                lists = pa.ListArray.from_arrays(
-                    np.arange(0, hashes.size + 1, bands, dtype=np.int32), hashes.reshape(-1)
-                )
-                kept = part.column("key").filter(pa.array(any_word))
-                yield pa.RecordBatch.from_arrays([kept, lists], ["key", "bands"])
+            yield from _signed(batch, bands, rows)
+            release()
 
     return texts.select("key", "text").mapInArrow(task, "key string, bands array<long>")
 
@@ -189,24 +198,29 @@ def candidates(member: DataFrame, pairwise: int = PAIRWISE) -> DataFrame:
     return close.union(wide).distinct()
 
 
+def _packed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for part in slices(batch, "text", SLICE):
+        doc, key, count = shingles(part.column("text"))
+        bounds = np.searchsorted(doc, np.arange(len(part) + 1))
+        bags = [
+            key[i:j].tobytes() + count[i:j].astype(np.uint32).tobytes()
+            for i, j in zip(bounds[:-1], bounds[1:])
+        ]
+        total = np.bincount(doc, count, len(part)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [part.column("key"), pa.array(bags, pa.binary()), pa.array(total)],
+            ["key", "bag", "total"],
+        )
+
+
 def pack_shingles(texts: DataFrame) -> DataFrame:
     """``key, bag, total``: distinct shingle hashes in order and their counts, as binary, and
     the sum of the counts."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                doc, key, count = shingles(part.column("text"))
-                bounds = np.searchsorted(doc, np.arange(len(part) + 1))
-                bags = [
-                    key[i:j].tobytes() + count[i:j].astype(np.uint32).tobytes()
-                    for i, j in zip(bounds[:-1], bounds[1:])
-                ]
-                total = np.bincount(doc, count, len(part)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), pa.array(bags, pa.binary()), pa.array(total)],
-                    ["key", "bag", "total"],
-                )
+            yield from _packed(batch)
+            release()
 
     return texts.select("key", "text").mapInArrow(task, "key string, bag binary, total long")
 

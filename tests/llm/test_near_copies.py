@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -195,3 +196,20 @@ def test_components_of_chains_stars_and_rings(rows):
         **{i: 200 for i in range(200, 203)},
     }
     assert components(frame.limit(0)).count() == 0
+
+
+def test_shingles_are_held_for_a_small_part_of_a_batch():
+    """Arrays for a batch of 8 MB of text stay below 120 MB, and its results are those of its rows."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 5000, 400)) for _ in range(4000)]
+    batch = pa.RecordBatch.from_pydict({"key": [str(i) for i in range(4000)], "text": texts})
+    for work in (lambda b: bag._signed(b, bag.BANDS, bag.ROWS), bag._packed):
+        tracemalloc.start()
+        for part in work(batch):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 120e6
+        some = [row for part in work(batch) for row in part.to_pylist()]
+        for i in (0, 1777, 3999):
+            assert [some[i]] == [r for p in work(batch.slice(i, 1)) for r in p.to_pylist()]
