@@ -17,7 +17,7 @@ from typing import Any
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
-from .errors import PublishConflict, SpecError
+from .errors import PublishConflict
 
 # Name matching on load is case-sensitive, predicates may quote identifiers with
 # double quotes (which needs ANSI mode, as do casts that fail rather than lose a
@@ -75,18 +75,15 @@ def literal_path(path: str) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path in the folder every executor shares (``spark.checkpoint.dir``)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    on_cluster = not spark.sparkContext.master.startswith("local")
+    """A new path in a folder every executor shares: ``spark.checkpoint.dir``, the context's
+    checkpoint folder, or on a cluster the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if on_cluster:
-            raise SpecError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="tablesync-")
-    if on_cluster and ":" not in base and Files(spark, base).qualified(base).startswith("file:"):
-        raise SpecError(
-            "spark.checkpoint.dir is a plain path on a local file system; a mounted shared "
-            "folder is given as file:///..."
-        )
+        # Only in local mode do executors share the driver's temporary folder.
+        if re.match(r"local(\[|$)", spark.sparkContext.master):
+            base = tempfile.mkdtemp(prefix="tablesync-")
+        else:
+            base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tablesync-{label}-{uuid.uuid4().hex[:12]}"
 
 

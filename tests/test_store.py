@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import time
 from datetime import UTC, datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from frames import bag
@@ -21,7 +22,7 @@ from tablesync.operators.lease import held
 from tablesync.operators.slicing import SLICE, check_names
 from tablesync.operators.store import LAPSE, Part, era_schema
 from tablesync.plans.evolution import plan_evolution
-from tablesync.session import Files, engine_session
+from tablesync.session import Files, engine_session, scratch_dir
 
 
 @pytest.fixture(scope="module")
@@ -306,3 +307,23 @@ def test_not_null(engine, ddl, value, fails):
             checked.collect()
     else:
         assert checked.count() == 1 and checked.collect()
+
+
+@pytest.mark.parametrize(
+    ("master", "given", "checkpoint", "base"),
+    [
+        ("spark://host:7077", "/mnt/shared", None, "/mnt/shared"),
+        ("spark://host:7077", "file:///mnt/shared/", None, "file:///mnt/shared"),
+        ("spark://host:7077", None, "hdfs:///checkpoints", "hdfs:///checkpoints"),
+        ("spark://host:7077", None, None, "file:/warehouse"),
+        ("local-cluster[3,2,1024]", None, None, "file:/warehouse"),
+    ],
+)
+def test_scratch_is_in_a_shared_folder(master, given, checkpoint, base):
+    settings = {"spark.sql.warehouse.dir": "file:/warehouse", "spark.checkpoint.dir": given}
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint)
+    spark = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: settings[key] or default),
+        sparkContext=context, _jvm=None,
+    )
+    assert scratch_dir(spark, "x").startswith(f"{base}/tablesync-x-")
