@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gc
 import itertools
 from collections import Counter
 
@@ -11,7 +12,7 @@ from test_near_copies import shingle_bag, similarity
 from tablesync.llm.langid import predict_languages
 from tablesync.llm.mixing import mix_sources
 from tablesync.llm.quality import classify_quality
-from tablesync.llm.storage import fresh, stash
+from tablesync.llm.storage import COLLECT_EVERY, fresh, stash
 
 SF = "/root/testdata/sf0.001"
 
@@ -94,3 +95,14 @@ def test_every_query_is_registered():
     names = [name for name in entry.queries() if name.startswith("op")]
     assert [name.split("_")[0] for name in names] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in entry.queries()
+
+
+def test_a_row_of_stashes_frees_what_the_driver_held(spark, rows):
+    """An object that nothing refers to is gone from the driver's JVM after some stashes."""
+    jvm = spark.sparkContext._jvm
+    held = jvm.java.lang.ref.WeakReference(jvm.java.lang.Object())
+    gc.collect()  # the handle on this side
+    frame = rows("a int", (1,))
+    for _ in range(COLLECT_EVERY):
+        stash(frame, "row")
+    assert held.get() is None
