@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .folds import remainder
 from .storage import stash
 from .subword import release
-from .text import FOLD, IS_SPACE, distinct, raw, slices, vocabulary_hashes, word_hashes, words
+from .text import distinct, letters, raw, slices, vocabulary_hashes, word_hashes, words
 
 #: Bytes of context; with the next byte they must fit a 64-bit key, so at most 7.
 DEPTH = 5
@@ -45,7 +45,11 @@ HELD = 1 << 18
 #: Distinct strings or words of a block that are held together; a block of usual text has fewer.
 BLOCK_HELD = 1 << 20
 
+#: Places after the first that a lookup tries before it turns to binary search.
+PROBES = 4
+
 _U = np.uint64
+_SPREAD = _U(0x9E3779B97F4A7C15)
 
 
 def stream(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,33 +60,36 @@ def stream(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """
     data, offsets = raw(texts)
     rows = len(offsets) - 1
-    inside = ~IS_SPACE[data]
+    line = letters(data, True)
+    inside = line != 0x20
     # A word's bytes stay, and the white space right after it, which becomes a space.
     keep = inside.copy()
     keep[1:] |= inside[:-1]
     filled = offsets[:-1] < offsets[1:]
     firsts = offsets[:-1][filled]
     keep[firsts] = inside[firsts]
-    kept = np.append(0, np.cumsum(keep))[offsets]
-    closed = np.zeros(rows, np.int64)  # a text that ends in a word gets a space as well
+    size = np.full(rows, depth + 1, np.int64)
+    if len(firsts):
+        size[filled] += np.add.reduceat(keep, firsts, dtype=np.int64)
+    closed = np.zeros(rows, bool)  # a text that ends in a word gets a space as well
     closed[filled] = inside[offsets[1:][filled] - 1]
-    size = np.diff(kept) + closed + depth + 1
+    size += closed
     stops = np.cumsum(size)
     # Eight bytes are read at each place, so seven are put before the first.
-    line = np.full(7 + (int(stops[-1]) if rows else 0), 0x20, np.uint8)
-    body = line[7:]
-    shift = (stops - size + depth - kept[:-1]).astype(np.int32)
-    place = np.arange(int(kept[-1]), dtype=np.int32) + np.repeat(shift, np.diff(kept))
-    letters = np.where(inside, FOLD[data], np.uint8(0x20))
-    body[place] = letters[keep]
-    body[stops - 1] = END
+    padded = np.full(7 + (int(stops[-1]) if rows else 0), 0x20, np.uint8)
+    body = padded[7:]
     real = np.ones(len(body), bool)
     for k in range(depth):
         body[stops - size + k] = BEFORE
         real[stops - size + k] = False
-    windows = np.ndarray((len(body),), ">u8", line.tobytes(), 0, (1,))
-    keys = windows.astype(np.uint64) & _mask(8 * (depth + 1))
-    return keys[real], np.repeat(np.arange(rows, dtype=np.int32), size - depth)
+    body[stops - 1] = END
+    given = real.copy()
+    given[stops - 1] = False
+    given[stops[closed] - 2] = False
+    body[given] = line[keep]
+    windows = np.ndarray((len(body),), ">u8", padded.tobytes(), 0, (1,))
+    keys = windows[real].astype(np.uint64) & _mask(8 * (depth + 1))
+    return keys, np.repeat(np.arange(rows, dtype=np.int32), size - depth)
 
 
 def _log_rising(n: np.ndarray) -> np.ndarray:
@@ -209,6 +216,35 @@ def _batches(grams: pa.Array | None, names: pa.Array | None, values: dict) -> It
     yield from table.combine_chunks().to_batches(max_chunksize=1 << 16)
 
 
+class Lookup:
+    """Values by integers, for looking up only integers that are there.
+
+    Multiplied by an odd number different integers stay different and their upper bits are
+    spread, so most are found within a few places of where their upper bits begin.
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(1, len(keys).bit_length())
+        self.shift = _U(64 - bits)
+        self.keys, self.values = _by_key(keys * _SPREAD, values)
+        count = np.bincount((self.keys >> self.shift).view(np.int64), minlength=1 << bits)
+        self.begins = (np.cumsum(count) - count).astype(np.int32)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        found = np.empty(len(keys))
+        for first in range(0, len(keys), 1 << 16):
+            own = keys[first : first + (1 << 16)] * _SPREAD
+            at = self.begins.take((own >> self.shift).view(np.int64)).astype(np.int64)
+            left = np.flatnonzero(self.keys.take(at) != own)
+            for _ in range(PROBES):
+                at[left] += 1
+                # A key that is there lies at or after its place, so none runs past the end.
+                left = left[self.keys.take(at.take(left)) != own.take(left)]
+            at[left] = np.searchsorted(self.keys, own[left])
+            found[first : first + len(own)] = self.values.take(at)
+        return found
+
+
 def _by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys)
     return keys[order], values[order]
@@ -453,7 +489,7 @@ def score_texts(
     def answer(texts: pa.Table, model: pa.Table) -> pa.Table:
         of_gram = model["gram"].is_valid().to_numpy()
         values = model["value"].to_numpy()
-        gram, chance = _by_key(model["gram"].drop_null().to_numpy().view(_U), values[of_gram])
+        chance = Lookup(model["gram"].drop_null().to_numpy().view(_U), values[of_gram])
         # Within a block words are told apart by 64 bits of their hash.
         hashes = [vocabulary_hashes(chunk) for chunk in model["word"].drop_null().chunks]
         word, count = _by_key(np.concatenate([*hashes, np.zeros(0, _U)]), values[~of_gram])
@@ -464,15 +500,7 @@ def score_texts(
             for part in slices(batch, "text", 1 << 20):
                 found = words(part.column("text"), True)
                 keys, doc = stream(part.column("text"), depth)
-                # Strings repeat within a slice, so each distinct one is looked up once.
-                distinct = pa.array(keys).dictionary_encode()
-                asked = distinct.dictionary.to_numpy()
-                order = np.argsort(asked)
-                own = np.empty(len(asked))
-                own[order] = chance[np.searchsorted(gram, asked[order])]
-                score = np.bincount(
-                    doc, weights=own[distinct.indices.to_numpy()], minlength=found.rows
-                )
+                score = np.bincount(doc, weights=chance(keys), minlength=found.rows)
                 letters = np.bincount(doc, minlength=found.rows)
                 at = np.searchsorted(word, word_hashes(found))
                 columns = [

@@ -22,6 +22,10 @@ IS_SPACE[list(SEPARATORS)] = True
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 
+#: Tables for ``bytes.translate``: every separator becomes a space, and A-Z lower case in one.
+_SPACED = np.where(IS_SPACE, 0x20, np.arange(256)).astype(np.uint8).tobytes()
+_FOLDED = np.where(IS_SPACE, 0x20, FOLD).astype(np.uint8).tobytes()
+
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 
@@ -65,6 +69,11 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def letters(data: np.ndarray, fold: bool) -> np.ndarray:
+    """The bytes with each separator a space; ``fold`` lower-cases A-Z."""
+    return np.frombuffer(data.tobytes().translate(_FOLDED if fold else _SPACED), np.uint8)
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``size`` bytes of text: at least a row, no row cut."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
@@ -104,16 +113,18 @@ def words(texts: pa.Array, fold: bool) -> Words:
     """Split texts into words; ``fold`` lower-cases A-Z."""
     data, offsets = raw(texts)
     rows = len(offsets) - 1
-    inside = ~IS_SPACE[data]
+    line = letters(data, fold)
+    inside = line != 0x20
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
     begins[firsts] = inside[firsts]
     at = np.flatnonzero(begins)
-    doc = np.searchsorted(offsets, at, side="right") - 1
-    kept = (FOLD[data] if fold else data)[inside]
-    starts = (np.cumsum(inside) - inside)[at]
-    spans = np.append(starts, len(kept)).astype(np.int64)
+    doc = np.repeat(np.arange(rows), np.diff(np.searchsorted(at, offsets)))
+    kept = line[inside]
+    # From one word's begin to the next there are no other letters than its own.
+    lengths = np.add.reduceat(inside, at, dtype=np.int64) if len(at) else at
+    spans = np.append(0, np.cumsum(lengths))
     array = pa.Array.from_buffers(
         pa.large_binary(), len(at), [None, pa.py_buffer(spans), pa.py_buffer(kept)]
     )

@@ -148,3 +148,16 @@ def test_many_blocks_give_what_one_gives(documents):
     one = {r.doc_id: r.score for r in ctw.score_texts(few, learned).collect()}
     many = {r.doc_id: r.score for r in ctw.score_texts(few, learned, block_chars=9000).collect()}
     assert many == pytest.approx(one)
+
+
+@pytest.mark.parametrize("spread", [True, False])
+def test_lookup_finds_every_string(spread):
+    """Also where more strings share their upper bits than are tried one by one."""
+    numbers = np.arange(1, 70_000, dtype=np.uint64)
+    undo = np.uint64(pow(int(ctw._SPREAD), -1, 1 << 64))
+    keys = numbers << np.uint64(16) if spread else numbers * undo
+    lookup = ctw.Lookup(keys, numbers * 0.5)
+    order = np.random.default_rng(3).permutation(len(keys))
+    asked = np.concatenate([order, order[:100]])
+    assert (lookup(keys[asked]) == numbers[asked] * 0.5).all()
+    assert not len(ctw.Lookup(keys[:0], numbers[:0] * 0.5)(keys[:0]))
