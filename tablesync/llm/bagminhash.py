@@ -469,9 +469,11 @@ def _grouped(
     links = stash(verified(pairs, bags.select("key", "bag"), similarity), "near").select("a", "b")
     group = stash(components(links), "groups")
     wide = wide_links(member, group, bags, similarity, pairwise)
-    if wide is not None:
-        links = links.union(stash(wide, "wide-links"))
-        group = stash(components(links), "groups")
+    wide = None if wide is None else stash(wide, "wide-links")
+    if wide is not None and not wide.isEmpty():
+        # What is joined already goes in as stars, so these rounds only join groups.
+        joined = group.where("node <> component").select("node", "component").toDF("a", "b")
+        group = stash(components(joined.union(wide)), "groups")
     named = group.join(owners, F.col("node") == F.col("key")).select("node", "component", "owner")
     least = named.groupBy("component").agg(F.min("owner").alias("least"))
     least = named.join(least, "component").select("node", "least")

@@ -7,9 +7,9 @@ to 1 in relative entropy. They have the form of an exponential tilt of the odds,
     rate = most * e / (e + most - 1),   e = exp(multiplier * size / mean size),
 
 with one multiplier per source, the solution of a convex dual. Rates depend on source and
-size only, so the dual is solved on a histogram of sizes: each Newton step is one distributed
-aggregate over it. Rates are then rounded to whole copies such that the error of a source
-stays below about half of its smallest texts.
+size only, so the dual is solved on a histogram of sizes, which Spark counts: each source's is
+one small group, in which Newton steps are taken. Rates are then rounded to whole copies such
+that the error of a source stays below about half of its smallest texts.
 """
 
 from __future__ import annotations
@@ -48,8 +48,6 @@ def source_targets(cells: DataFrame, most: float = MOST, share: float = TOTAL_SH
     and the excess is shared among the rest until none is above.
     """
     sums = cells.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
-    sums = stash(sums, "sources")
-    total = sums.agg(F.sum("source_size").alias("all")).first()["all"] or 0
     # A row per source: one narrow sort, whatever the number of documents.
     order = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.lit(WEIGHTS[-1])
@@ -68,90 +66,58 @@ def source_targets(cells: DataFrame, most: float = MOST, share: float = TOTAL_SH
             F.coalesce(F.sum(F.when(full, F.col("_cap"))), F.lit(0.0)).alias("given"),
             F.coalesce(F.sum(F.when(~full, F.col("_weight"))), F.lit(0.0)).alias("open"),
             F.count(F.when(full, 1)).alias("closed"),
+            F.coalesce(F.sum("source_size"), F.lit(0)).alias("all"),
         ).first()
         if row["open"] == 0 or row["closed"] == closed:
             break
         closed = row["closed"]
-        level = max(level, (share * total - row["given"]) / row["open"])
+        level = max(level, (share * row["all"] - row["given"]) / row["open"])
     target = F.least(F.col("_weight") * F.lit(level), F.col("_cap"))
     if row["open"] == 0:
         target = F.col("_cap")
     return weighed.select("source", "source_size", target.alias("target"))
 
 
-def _rate(multiplier: Column, size: Column, mean: Column, most: float) -> Column:
-    tilt = F.exp(F.greatest(F.least(-multiplier * size / mean, F.lit(500.0)), F.lit(-500.0)))
-    return F.lit(float(most)) / (1 + (most - 1) * tilt)
+def _rates(multiplier: float, size: np.ndarray, mean: float, most: float) -> np.ndarray:
+    with np.errstate(invalid="ignore"):  # an infinite multiplier of no words
+        power = -multiplier * size / mean
+    return most / (1 + (most - 1) * np.exp(np.fmax(np.fmin(power, 500.0), -500.0)))
 
 
-def balance(cells: DataFrame, targets: DataFrame, most: float = MOST) -> DataFrame:
-    """``source, mean, multiplier``: the dual solution, by safeguarded Newton steps.
+def balance(size: np.ndarray, n: np.ndarray, target: float, most: float) -> tuple[float, float]:
+    """The mean size of a source and its multiplier, by safeguarded Newton steps.
 
     The gap of a source, tokens at the current rates less its target, rises with the
     multiplier. A step that leaves the bracket known so far is replaced by its middle.
     Sources at an end (target 0, or ``most`` times the source) have an infinite multiplier.
     """
-    sources = cells.groupBy("source").agg(
-        F.sum("n").alias("_n"), F.sum(F.col("n") * F.col("size")).alias("_s")
-    )
-    same = F.col("source").eqNullSafe(F.col("_source"))
-    goals = targets.select(F.col("source").alias("_source"), "target", "source_size")
-    state = sources.join(goals, same).select(
-        "source",
-        F.greatest(F.col("_s") / F.col("_n"), F.lit(1e-9)).alias("mean"),
-        "target",
-        F.try_divide(F.col("target"), F.col("source_size") * F.lit(float(most))).alias("_part"),
-    )
-    inner = (F.col("_part") > 1e-12) & (F.col("_part") < 1 - 1e-12)
-    start = F.log(F.try_divide(F.col("_part") * (most - 1), 1 - F.col("_part")))
-    state = state.select(
-        "source", "mean", "target",
-        F.when(inner, start)
-        .when(F.coalesce(F.col("_part"), F.lit(0.0)) >= 1 - 1e-12, F.lit(float("inf")))
-        .otherwise(F.lit(float("-inf"))).alias("multiplier"),
-        F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high"),
-        (~F.coalesce(inner, F.lit(False))).alias("done"),
-    )
-    state = stash(state, "dual")
+    whole = float(n @ size)
+    mean = max(whole / float(n.sum()), 1e-9)
+    part = target / (whole * most) if whole else 0.0
+    if part >= 1 - 1e-12:
+        return mean, np.inf
+    if part <= 1e-12 or most <= 1:
+        return mean, -np.inf
+    at = float(np.log(part * (most - 1) / (1 - part)))
+    low, high = -np.inf, np.inf
     for _ in range(NEWTON_STEPS):
-        moving = state.where("NOT done").select(
-            F.col("source").alias("_source"), "mean", "multiplier"
-        )
-        at = cells.join(moving, same)
-        rate = _rate(F.col("multiplier"), F.col("size"), F.col("mean"), most)
-        tokens = F.col("n") * F.col("size") * rate
-        slope = tokens * (1 - rate / F.lit(float(most))) * F.col("size") / F.col("mean")
-        sums = at.groupBy("_source").agg(
-            F.sum(tokens).alias("tokens"), F.sum(slope).alias("slope")
-        )
-        gap = F.col("tokens") - F.col("target")
-        step = state.join(sums, same, "left")
-        step = step.withColumn(
-            "low", F.when(gap < 0, F.col("multiplier")).otherwise(F.col("low"))
-        ).withColumn("high", F.when(gap > 0, F.col("multiplier")).otherwise(F.col("high")))
-        newton = F.col("multiplier") - F.try_divide(gap, F.col("slope"))
-        middle = (
-            F.when(F.col("low") == F.lit(float("-inf")), F.col("high") - F.abs("high") - 1)
-            .when(F.col("high") == F.lit(float("inf")), F.col("low") + F.abs("low") + 1)
-            .otherwise((F.col("low") + F.col("high")) / 2)
-        )
-        fine = F.coalesce((newton > F.col("low")) & (newton < F.col("high")), F.lit(False))
-        near = F.abs(gap) <= F.lit(TOLERANCE) * F.col("target")
-        stuck = (F.col("high") - F.col("low")) <= F.lit(1e-13) * F.abs("multiplier")
-        over = F.col("done") | F.coalesce(near | stuck, F.lit(True))
-        state = stash(
-            step.select(
-                "source", "mean", "target",
-                F.when(over, F.col("multiplier")).otherwise(
-                    F.when(fine, newton).otherwise(middle)
-                ).alias("multiplier"),
-                "low", "high", over.alias("done"),
-            ),
-            "dual",
-        )
-        if state.where("NOT done").isEmpty():
+        rate = _rates(at, size, mean, most)
+        tokens = n * size * rate
+        gap = float(tokens.sum()) - target
+        slope = float((tokens * (1 - rate / most) * size).sum()) / mean
+        low, high = (at if gap < 0 else low), (at if gap > 0 else high)
+        if abs(gap) <= TOLERANCE * target or high - low <= 1e-13 * abs(at):
             break
-    return state.select("source", "mean", "multiplier")
+        newton = at - gap / slope if slope else np.nan
+        if low < newton < high:
+            at = newton
+        elif low == -np.inf:
+            at = high - abs(high) - 1
+        elif high == np.inf:
+            at = low + abs(low) + 1
+        else:
+            at = (low + high) / 2
+    return mean, at
 
 
 def _round_cells(cells: pd.DataFrame) -> pd.DataFrame:
@@ -180,6 +146,16 @@ def _round_cells(cells: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def _plan_cells(cells: pd.DataFrame) -> pd.DataFrame:
+    """Rates and whole copies for the cells of one source, with its size and target."""
+    cells = cells.sort_values("size", kind="stable")
+    size, n = cells["size"].to_numpy(float), cells["n"].to_numpy(float)
+    target, most = float(cells["target"].iloc[0]), float(cells["most"].iloc[0])
+    mean, multiplier = balance(size, n, target, most)
+    plan = _round_cells(cells.assign(rate=_rates(multiplier, size, mean, most)))
+    return plan.assign(source_size=cells["source_size"].iloc[0], target=target)
+
+
 def mix_sources(documents: DataFrame, most: int = MOST, share: float = TOTAL_SHARE) -> DataFrame:
     """``doc_id, size, source_size, target, taken, rate, copies`` of every document.
 
@@ -197,21 +173,15 @@ def mix_sources(documents: DataFrame, most: int = MOST, share: float = TOTAL_SHA
 def _mix_sized(sized: DataFrame, most: int, share: float) -> DataFrame:
     cells = stash(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
     targets = source_targets(cells, most, share)
-    dual = balance(cells, targets, most)
     names = targets.select(F.col("source").alias("_source"), "source_size", "target")
-    dual = dual.withColumnRenamed("source", "_dual")
-    by_source = names.join(dual, F.col("_source").eqNullSafe(F.col("_dual"))).drop("_dual")
-    rated = cells.join(by_source, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "source", "size", "n", F.lit(most).cast("long").alias("most"),
-        _rate(F.col("multiplier"), F.col("size"), F.col("mean"), most).alias("rate"),
-    )
+    goals = cells.join(names, F.col("source").eqNullSafe(F.col("_source"))).select(
+        "source", "size", "n", F.lit(most).cast("long").alias("most"), "source_size", "target"
+    )
     # A source with S words has at most sqrt(2 S) different sizes, so this group is small.
     kind = cells.schema["source"].dataType.simpleString()
-    plan = rated.groupBy("source").applyInPandas(
-        _round_cells, f"source {kind}, size long, rate double, base long, extra long"
-    )
-    plan = plan.join(by_source, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "source", "size", "rate", "base", "extra", "source_size", "target"
+    plan = goals.groupBy("source").applyInPandas(
+        _plan_cells,
+        f"source {kind}, size long, rate double, base long, extra long, source_size long, target double",
     )
     plan = stash(plan, "plan").withColumnsRenamed({"source": "_source", "size": "_size"})
     # Copies beyond the base go to the first documents of a cell in the order of the hash.

@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tablesync.llm import mixing
 from tablesync.llm.mixing import _round_cells, mix_sources, repeat_mixed, source_targets
 from tablesync.llm.packing import pack_documents, tail_bounds
 from tablesync.llm.totals import running_total
@@ -103,6 +104,27 @@ def test_rounding_carries_what_is_owed():
     assert abs((copies * out["size"]).sum() - wanted) <= 1
 
 
+def test_multipliers_meet_the_target():
+    size, n = np.array([0.0, 1, 7, 100, 4000]), np.array([5.0, 50, 10, 3, 1])
+    for share in (0.01, 0.5, 1.0, 1.5, 1.99):
+        target = share * float(n @ size)
+        mean, at = mixing.balance(size, n, target, 2)
+        rate = mixing._rates(at, size, mean, 2)
+        assert float(n @ (size * rate)) == pytest.approx(target, rel=1e-8) and rate[0] == 1
+    assert mixing.balance(size, n, 0.0, 2)[1] == -np.inf
+    assert mixing.balance(size, n, 2 * float(n @ size), 2)[1] == np.inf
+    assert mixing.balance(np.zeros(1), np.ones(1), 0.0, 2)[1] == -np.inf
+    assert mixing._rates(np.inf, size, 1.0, 2).tolist()[1:] == [2, 2, 2, 2]
+
+
+def test_newton_steps_take_no_tables(monkeypatch, documents):
+    """However many steps a source takes, the driver sees the same few jobs."""
+    written, stash = [], mixing.stash
+    monkeypatch.setattr(mixing, "stash", lambda frame, label: written.append(label) or stash(frame, label))
+    assert mix_sources(documents).count() == documents.count()
+    assert written == ["sizes", "cells", "weights", "plan"]
+
+
 def test_running_totals_of_a_hot_group(rows):
     frame = rows("g string, i long, v long", *[("x" if i % 4 else None, i, i % 7) for i in range(500)])
     got = running_total(frame, ["g"], F.xxhash64("i"), ["i"], "v", "t")

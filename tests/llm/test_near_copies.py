@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from tablesync.llm import bagminhash as bag
+from tablesync.llm import graph
 from tablesync.llm.graph import components
 from tablesync.llm.text import mix
 
@@ -186,6 +187,16 @@ def test_one_id_with_two_texts(rows):
     assert kept == [(1, "a b c"), (2, "x y z")]
 
 
+def test_components_end_with_the_first_stars(monkeypatch, rows):
+    """Groups whose texts are all linked are stars after one round, and no other is made."""
+    written, stash = [], graph.stash
+    monkeypatch.setattr(graph, "stash", lambda frame, label: written.append(label) or stash(frame, label))
+    links = [(base + i, base + j) for base in (0, 10, 20) for i in range(4) for j in range(i)]
+    found = {r.node: r.component for r in components(rows("a long, b long", *links)).collect()}
+    assert found == {base + i: base for base in (0, 10, 20) for i in range(4)}
+    assert len(written) == 3  # the links, and both halves of a round
+
+
 def test_components_of_chains_stars_and_rings(rows):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 120)]
     links += [(200, 201), (201, 202), (202, 200), (5, 5), (201, 200)]
