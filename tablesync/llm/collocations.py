@@ -7,10 +7,13 @@ two words up. Each level has two passes over the encoded texts:
    counts when the runs of one word less that begin at it and at the next word are in a bit map
    of the frequent ones. A bit map has no false negatives, so no frequent phrase is lost. Of the
    runs left, those stay whose occurrences, counted up to the threshold in each task, reach it.
+   Runs are dealt by their hash to parts of a bounded size and handed on as arrays, a row for a
+   part: neither the task that finds them nor the one that adds them up has a row for each run.
 2. Counts. The candidates, in blocks of a fixed size, become double-array tries, which are
-   broadcast one by one. numpy holds the trie state of every text position and advances all of
-   them by a word at once; the states reached at the last level are counted and the counts of
-   all tasks summed.
+   broadcast one by one. A block has the phrases of a range of first words, so that its trie
+   leaves most positions at once. numpy holds the trie state of every text position and advances
+   all of them by a word at once; the phrases reached at the last level are counted and the
+   counts of all tasks summed.
 
 Words are 64-bit symbols that include the language, so languages never mix. That no two words
 share a symbol is checked over all words of the corpus; if two do, other symbols are taken.
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .bitmap import bit_map, contains, keys_of
 from .storage import stash
-from .text import mix, slices, vocabulary_hashes, word_hashes
+from .text import mix, raw, slices, vocabulary_hashes, word_hashes
 from .tokenize import byte_class, tokens
 
 #: What separates words, and what separates pieces as well.
@@ -43,13 +46,22 @@ LEAST, LONGEST, TOP = 30, 4, 2000
 MAP_BITS = 25
 
 #: Bits of a digit of a trie, and digits of all its phrases together. The arrays of a trie have
-#: up to eight slots of eight bytes for a digit: a broadcast stays below about 64 MB.
-DIGIT, BLOCK = 7, 1 << 20
+#: up to eight slots of eight bytes for a digit that no other phrase shares: a broadcast stays
+#: below about 128 MB, and near half of that as the digits of first words are shared.
+DIGIT, BLOCK = 7, 1 << 21
 SIBLINGS = 1 << DIGIT
 
+#: Leading bits of a first word's symbol that make a cell: blocks are whole cells, large cells
+#: are divided.
+CELL = 12
+
 #: Phrases whose counts a task hands on as one row.
 PART = 1 << 12
 
+#: Words of the corpus for each part that candidates are dealt to, and so at most the runs of a
+#: part that differ; runs of a part that a task hands on at once are in one row.
+SHARE = 1 << 20
+
 #: Text encoded as one row.
 PIECE = 4 << 20
 
@@ -150,11 +162,50 @@ def _names(length: int) -> list[str]:
     return [f"s{i}" for i in range(length)]
 
 
-def candidates(encoded: DataFrame, length: int, shorter: np.ndarray | None, least: int) -> DataFrame:
+def _dealt(runs: np.ndarray, count: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Runs, one in each line of ``runs``, and their counts: a row for each part that has any."""
+    for at in range(0, len(runs), SHARE):
+        some = runs[at : at + SHARE]
+        part = (keys_of(list(some.T)) % _U(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        own, begin = np.unique(part[order], return_index=True)
+        ends = np.append(begin, len(order))
+
+        def cut(values: np.ndarray) -> pa.Array:
+            spans = (ends * (values.nbytes // len(values))).astype(np.int32)
+            return pa.Array.from_buffers(
+                pa.binary(), len(own), [None, pa.py_buffer(spans), pa.py_buffer(values[order])]
+            )
+
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(own), cut(some), cut(count[at : at + SHARE])], ["part", "runs", "counts"]
+        )
+
+
+def _often(table: pa.Table, length: int, least: int) -> np.ndarray:
+    """The runs of a part, one in each line, whose counts of all tasks reach ``least``."""
+    runs = raw(table["runs"].combine_chunks())[0].view(_U).reshape(-1, length)
+    count = raw(table["counts"].combine_chunks())[0].view(np.int32)
+    key = keys_of(list(runs.T))
+    order = np.argsort(key)
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (runs[order[1:]] != runs[order[:-1]]).any(axis=1)
+    if (fresh[1:] & (key[order[1:]] == key[order[:-1]])).any():
+        # Runs that differ share a hash, so equal ones need not be neighbours.
+        order = np.lexsort(runs.T)
+        fresh[1:] = (runs[order[1:]] != runs[order[:-1]]).any(axis=1)
+    begin = np.flatnonzero(fresh)
+    total = np.add.reduceat(count[order], begin, dtype=np.int64)
+    return runs[order[begin[total >= least]]]
+
+
+def candidates(
+    encoded: DataFrame, length: int, shorter: np.ndarray | None, least: int, parts: int
+) -> DataFrame:
     """``s0, s1, ...``: runs of ``length`` words that may occur ``least`` times.
 
     ``shorter`` is the bit map of the frequent runs of one word less; None if that is a word,
-    as rare words are not in the encoded texts.
+    as rare words are not in the encoded texts. The runs are added up in ``parts`` parts.
     """
     names = _names(length)
     share = shorter is not None and encoded.sparkSession.sparkContext.broadcast(shorter.tobytes())
@@ -171,8 +222,8 @@ def candidates(encoded: DataFrame, length: int, shorter: np.ndarray | None, leas
             at = np.flatnonzero(alive)
             if bits is not None:
                 for step in (0, 1):
-                    parts = [symbols[stream[at + step + i] - 1] for i in range(length - 1)]
-                    at = at[contains(bits, keys_of(parts))]
+                    pieces = [symbols[stream[at + step + i] - 1] for i in range(length - 1)]
+                    at = at[contains(bits, keys_of(pieces))]
             columns = [stream[at + i] - 1 for i in range(length)]
             # Two columns at a time become one number, so runs are told apart exactly.
             group = columns[0].astype(np.int64)
@@ -180,15 +231,15 @@ def candidates(encoded: DataFrame, length: int, shorter: np.ndarray | None, leas
                 _, group = np.unique(group, return_inverse=True)
                 group = group * (len(symbols) + 1) + column
             _, first, count = np.unique(group, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [*[_signed(symbols[column[first]]) for column in columns],
-                 pa.array(np.minimum(count, least).astype(np.int32))],
-                [*names, "n"],
-            )
+            runs = np.stack([symbols[column[first]] for column in columns], axis=1)
+            yield from _dealt(runs, np.minimum(count, least).astype(np.int32), parts)
 
-    schema = ", ".join(f"{name} long" for name in names)
-    found = encoded.mapInArrow(task, f"{schema}, n int").groupBy(*names).agg(F.sum("n").alias("n"))
-    return found.where(F.col("n") >= least).select(*names)
+    def merged(table: pa.Table) -> pa.Table:
+        runs = _often(table, length, least)
+        return pa.table({name: _signed(runs[:, i].copy()) for i, name in enumerate(names)})
+
+    found = encoded.mapInArrow(task, "part long, runs binary, counts binary").groupBy("part")
+    return found.applyInArrow(merged, ", ".join(f"{name} long" for name in names))
 
 
 class Trie:
@@ -197,7 +248,8 @@ class Trie:
     A symbol's place in the alphabet of the trie is written in digits of ``DIGIT`` bits, so that
     a state has few children whatever the vocabulary. The state after a digit is the slot
     ``base[state] + digit``, which belongs to the state if ``check`` says so. ``accept`` lists
-    the slots of whole phrases, in the phrases' order.
+    the slots of whole phrases, in the phrases' order; no digit follows them, so their ``base``
+    is the phrase's number.
     """
 
     def __init__(self, phrases: np.ndarray):
@@ -213,6 +265,7 @@ class Trie:
             nodes = nodes.ravel() + count
             count += len(edge)
         self.accept = self._place(np.concatenate(parent), np.concatenate(label), count)[nodes]
+        self.base[self.accept] = np.arange(len(phrases))
 
     def _digit(self, code: np.ndarray, place: int) -> np.ndarray:
         return (code >> (DIGIT * (self.digits - 1 - place))) & (SIBLINGS - 1)
@@ -231,7 +284,7 @@ class Trie:
         begin = 1 + SIBLINGS * len(wide)
         size = begin + SIBLINGS + 8 * len(parent)
         taken = np.zeros(size, bool)
-        rank = np.empty(count, np.int64)
+        rank = np.empty(count, np.int32)
         rank[np.argsort(-children, kind="stable")] = np.arange(count)
         kind = np.frexp(children.astype(float))[1]
         for own in range(int(kind.max()), 0, -1):
@@ -241,7 +294,7 @@ class Trie:
                 slot = rng.integers(begin, size - SIBLINGS, count)[state] + label[edge]
                 bad = taken[slot]
                 # Of states that want the same slot the one with most children has it.
-                claim = np.full(size, count, np.int64)
+                claim = np.full(size, count, np.int32)
                 np.minimum.at(claim, slot, rank[state])
                 bad |= claim[slot] != rank[state]
                 refused = np.zeros(count, bool)
@@ -291,28 +344,44 @@ def _summed(table: pa.Table) -> pa.Table:
     return pa.table({"at": at + table["part"][0].as_py() * PART, "f": total[at]})
 
 
+def _blocks(phrases: DataFrame, length: int) -> list[Column]:
+    """Conditions that divide phrases into blocks of about ``BLOCK`` digits at most."""
+    most = max(1, BLOCK // (3 * length))  # alphabets are below 2 ** 21, so 3 digits
+    cell = F.shiftright("s0", 64 - CELL)
+    sizes = phrases.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect()
+    runs: list[list[int]] = []
+    for at, n in sorted((row["cell"], row["n"]) for row in sizes):
+        if runs and runs[-1][2] + n <= most:
+            runs[-1][1:] = [at, runs[-1][2] + n]
+        else:
+            runs.append([at, at, n])
+    found = []
+    for low, high, n in runs:
+        parts = -(-n // most)
+        part = F.pmod(F.xxhash64(*_names(length)), F.lit(parts))
+        found += [cell.between(low, high) & (part == i) for i in range(parts)]
+    return found
+
+
 def counts(encoded: DataFrame, phrases: DataFrame, length: int) -> DataFrame:
     """``s0, s1, ..., f``: how often each phrase occurs, overlaps included."""
     spark = encoded.sparkSession
     names = _names(length)
-    total = phrases.count()
-    blocks = -(-total * length * 3 // BLOCK)  # alphabets are below 2 ** 21, so 3 digits
-    numbered = phrases.withColumn(
-        "_block", F.pmod(F.xxhash64(*names), F.lit(max(1, blocks)))
-    )
     parts = []
-    for block in range(blocks):
-        own = numbered.where(F.col("_block") == block).orderBy(*names).select(*names).toArrow()
+    for block in _blocks(phrases, length):
+        own = phrases.where(block).orderBy(*names).toArrow()
+        if not len(own):
+            continue
         phrase = np.stack([own[name].to_numpy().view(_U) for name in names], axis=1)
         shared = spark.sparkContext.broadcast(Trie(phrase))
 
         def task(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             trie = shared.value
-            count = np.zeros(len(trie.base), np.int64)
+            found = np.zeros(len(trie.accept), np.int64)
             for symbols, stream in _rows(batches):
                 code = np.append(-1, trie.codes(symbols))[stream]
-                count += np.bincount(trie.reached(code, length), minlength=len(count))
-            found = count[trie.accept]
+                reached = trie.base[trie.reached(code, length)]
+                found += np.bincount(reached, minlength=len(found))
             parts = range(0, len(found), PART)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([at // PART for at in parts], pa.int64()),
@@ -396,9 +465,10 @@ def mine_collocations(
     frequent = stash(words.where(F.col("n") >= least), "frequent")
     encoded = stash(encode(documents, bit_map(frequent, ["symbol"], MAP_BITS), seed), "encoded")
     known = frequent.select(F.array("symbol").alias("key"), F.col("n").alias("f"))
+    parts = max(1, -(-(totals.agg(F.sum("n")).first()[0] or 0) // SHARE))
     shorter = None
     for length in range(2, longest + 1):
-        found = stash(candidates(encoded, length, shorter, least), f"runs{length}")
+        found = stash(candidates(encoded, length, shorter, least, parts), f"runs{length}")
         level = counts(encoded, found, length).where(F.col("f") >= least)
         known = known.union(level.select(F.array(*_names(length)).alias("key"), "f"))
         if length < longest:

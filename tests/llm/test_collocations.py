@@ -75,6 +75,62 @@ def test_awkward_rows(odd, clashing, rows):
     assert found(rows("lang string, text string", ("en", "one two")), 30, 10) == []
 
 
+def encoded_texts(spark, texts):
+    """Texts of single letters as three rows each, like those of as many tasks."""
+    rows = []
+    for text in texts:
+        symbols = np.unique([ord(word) for word in text.split()]).astype(np.uint64)
+        stream = np.append(0, np.searchsorted(symbols, [ord(w) for w in text.split()]) + 1)
+        rows += [(symbols.tobytes(), stream.astype(np.int32).tobytes())] * 3
+    return spark.createDataFrame(rows, "symbols binary, stream binary").repartition(4)
+
+
+@pytest.mark.parametrize("share", [1 << 20, 2])
+def test_candidates_are_handed_on_as_arrays(spark, monkeypatch, share):
+    """The JVM has a row for a part of the runs, not one for each run of each task."""
+    monkeypatch.setattr(collocations, "SHARE", share)
+    texts = ["a b c a b d", "b a b c", "d d d d d", "a", ""]
+    runs = Counter(run for text in texts for run in zip(text.split(), text.split()[1:]))
+    found = collocations.candidates(encoded_texts(spark, texts), 2, None, 7, 3)
+    assert sorted((chr(r.s0), chr(r.s1)) for r in found.collect()) == sorted(
+        run for run, n in runs.items() if 3 * n >= 7
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "runs" in plan
+
+
+def test_runs_that_share_a_hash_are_told_apart(monkeypatch):
+    whole = collocations.keys_of
+    monkeypatch.setattr(collocations, "keys_of", lambda columns: whole(columns) & np.uint64(1))
+    rng = np.random.default_rng(5)
+    runs = rng.integers(1, 6, (4000, 3), dtype=np.uint64)
+    count = rng.integers(1, 4, 4000).astype(np.int32)
+    batches = [b for at in (0, 1500) for b in collocations._dealt(
+        runs[at : at + 1500 + at], count[at : at + 1500 + at], 2)]
+    table = collocations.pa.Table.from_batches(batches)
+    assert sorted(set(table["part"].to_pylist())) == [0, 1]
+    found = [
+        run for part in (0, 1) for run in collocations._often(
+            table.filter(collocations.pc.field("part") == part), 3, 60).tolist()
+    ]
+    wanted = Counter()
+    for run, n in zip(runs.tolist(), count.tolist()):
+        wanted[tuple(run)] += n
+    kept = sorted(run for run, n in wanted.items() if n >= 60)
+    assert sorted(map(tuple, found)) == kept and 0 < len(kept) < len(wanted)
+
+
+def test_blocks_hold_each_phrase_once_and_few(spark, monkeypatch):
+    """Also where one first word has more phrases than a block."""
+    monkeypatch.setattr(collocations, "BLOCK", 60)
+    symbols = np.random.default_rng(2).integers(-(1 << 63), 1 << 63, 90, dtype=np.int64)
+    pairs = [(int(symbols[0]), i) for i in range(100)] + [(int(s), 1) for s in symbols[1:]]
+    frame = spark.createDataFrame(pairs, "s0 long, s1 long")
+    own = [frame.where(block).collect() for block in collocations._blocks(frame, 2)]
+    assert sorted(tuple(row) for rows_ in own for row in rows_) == sorted(pairs)
+    assert max(map(len, own)) <= 25 and len(own) < 40
+
+
 def test_shared_symbols_are_noticed(rows, monkeypatch):
     """Were two words to share a symbol, the next seed would be tried."""
     whole = collocations.symbols_of
