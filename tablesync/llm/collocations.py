@@ -22,11 +22,12 @@ share a symbol is checked over all words of the corpus; if two do, other symbols
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bitmap import bit_map, contains, keys_of
@@ -62,8 +63,9 @@ PART = 1 << 12
 #: part that differ; runs of a part that a task hands on at once are in one row.
 SHARE = 1 << 20
 
-#: Text encoded as one row.
+#: Text encoded as one row, and bytes of encoded texts that go to Python at once: a row or two.
 PIECE = 4 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _U = np.uint64
 
@@ -158,6 +160,18 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.nd
             )
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """For encoded texts, a task's share of which else is one batch; Arrow's buffers for it are
+    outside the heap and double as they fill."""
+    before = spark.conf.get(_BATCH_BYTES)
+    spark.conf.set(_BATCH_BYTES, str(PIECE))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_BYTES, before)
+
+
 def _names(length: int) -> list[str]:
     return [f"s{i}" for i in range(length)]
 
@@ -467,12 +481,13 @@ def mine_collocations(
     known = frequent.select(F.array("symbol").alias("key"), F.col("n").alias("f"))
     parts = max(1, -(-(totals.agg(F.sum("n")).first()[0] or 0) // SHARE))
     shorter = None
-    for length in range(2, longest + 1):
-        found = stash(candidates(encoded, length, shorter, least, parts), f"runs{length}")
-        level = counts(encoded, found, length).where(F.col("f") >= least)
-        known = known.union(level.select(F.array(*_names(length)).alias("key"), "f"))
-        if length < longest:
-            shorter = bit_map(level, _names(length), MAP_BITS)
+    with small_batches(documents.sparkSession):
+        for length in range(2, longest + 1):
+            found = stash(candidates(encoded, length, shorter, least, parts), f"runs{length}")
+            level = counts(encoded, found, length).where(F.col("f") >= least)
+            known = known.union(level.select(F.array(*_names(length)).alias("key"), "f"))
+            if length < longest:
+                shorter = bit_map(level, _names(length), MAP_BITS)
     lexicon = frequent.select(F.col("symbol").alias("_symbol"), "lang", "word")
     best = stash(scored(stash(known, "known"), longest), "scored")
     first = best.withColumn("_first", F.col("key")[0])
