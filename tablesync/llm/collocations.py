@@ -409,7 +409,7 @@ def counts(encoded: DataFrame, phrases: DataFrame, length: int) -> DataFrame:
         named = spark.createDataFrame(table.rename_columns(["_at", *names]))
         result = stash(summed.join(named, F.col("at") == F.col("_at")).select(*names, "f"), "counts")
         parts.append(result)
-        shared.unpersist()
+        shared.destroy()  # unpersist() would leave the driver's copy until its garbage is collected
     if not parts:
         schema = ", ".join(f"{name} long" for name in names)
         return spark.createDataFrame([], f"{schema}, f long")
